@@ -1,0 +1,115 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tagweave.codes import CatalogError
+from tagweave.operators.bitmap import (
+    bitmap_slice,
+    build_bitmaps,
+    cardinality,
+    decode,
+    route_by_type,
+    unpivot_tags,
+    uid_to_long,
+)
+from tagweave.plans import jobs
+
+from .conftest import mini_catalog
+
+
+def _pairs(spark, uids, code="t", value="v"):
+    return spark.createDataFrame([(code, value, u) for u in uids], "tag_code string, tag_value string, uid bigint")
+
+
+@pytest.mark.parametrize("layout,sparse_max", [("bitmap", 512), ("hybrid", 512), ("hybrid", 0)])
+def test_bucket_bounds_round_trip(spark, layout, sparse_max):
+    uids = [0, 1, 32768, 32769, 65536]
+    bm = build_bitmaps(_pairs(spark, uids), layout=layout, sparse_max=sparse_max)
+    assert sorted(r.bucket for r in bm.collect()) == [0, 1, 2]
+    assert sorted(r.uid for r in decode(bm).collect()) == uids
+    assert cardinality(bm).first().cardinality == 5
+
+
+def test_layout_choice_per_group(spark):
+    dense = list(range(1, 601))
+    bm = build_bitmaps(
+        _pairs(spark, dense, value="dense").unionByName(_pairs(spark, [5, 7], value="sparse")), sparse_max=512
+    )
+    rows = {r.tag_value: r for r in bm.collect()}
+    assert rows["dense"].uids is not None and rows["dense"].uid_list is None
+    assert rows["sparse"].uids is None and rows["sparse"].uid_list == [5, 7]
+    assert {r.tag_value: r.cardinality for r in cardinality(bm).collect()} == {"dense": 600, "sparse": 2}
+
+
+def test_duplicate_uid_counts_once(spark):
+    for layout in ("bitmap", "hybrid"):
+        bm = build_bitmaps(_pairs(spark, [1, 1, 2]), layout=layout)
+        assert cardinality(bm).first().cardinality == 2
+
+
+def test_empty_and_null_cells_have_no_entry(spark):
+    wide = spark.createDataFrame([("1", "", "x"), ("2", None, "y")], "uid string, a string, b string")
+    got = sorted(tuple(r) for r in unpivot_tags(wide, ["a", "b"]).collect())
+    assert got == [("1", "b", "x"), ("2", "b", "y")]
+
+
+def test_bad_uids_raise_by_default_and_drop_on_request(spark):
+    df = spark.createDataFrame(
+        [(None,), ("-1",), ("u7",), ("18446744073709551615",), ("42",)], "uid string"
+    )
+    assert [r.uid for r in uid_to_long(df, "drop").collect()] == [42]
+    for bad in (None, "-1", "u7", "18446744073709551615"):
+        one = spark.createDataFrame([(bad,)], "uid string")
+        with pytest.raises(Exception, match="invalid uid"):
+            uid_to_long(one).collect()
+
+
+def test_route_by_type_and_unknown_code():
+    tags = [{"tag_code": "A", "tag_value_type": "1"}, {"tag_code": "B", "tag_value_type": "3"}]
+    routed = route_by_type(tags)
+    assert [t["tag_code"] for t in routed["1"]] == ["A"] and routed["2"] == []
+    with pytest.raises(CatalogError):
+        route_by_type([{"tag_code": "C", "tag_value_type": "9"}])
+
+
+def test_typed_slice_values(spark):
+    wide = spark.createDataFrame([("1", "5", "1.50"), ("2", "5", "2.00")], "uid string, n string, d string")
+    long_rows = bitmap_slice(wide, [{"tag_code": "N"}], "1").collect()
+    assert [(r.tag_value, r.uid_list) for r in long_rows] == [(5, [1, 2])]
+    dec = {str(r.tag_value) for r in bitmap_slice(wide, [{"tag_code": "D"}], "2").collect()}
+    assert dec == {"1.50", "2.00"}
+    bad = spark.createDataFrame([("1", "abc")], "uid string, n string")
+    with pytest.raises(Exception, match="is not bigint"):
+        bitmap_slice(bad, [{"tag_code": "N"}], "1").collect()
+
+
+def test_dense_path_adds_no_shuffle(spark):
+    bm = build_bitmaps(_pairs(spark, range(1, 2000)))
+    bm.collect()
+    plan = bm._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # one shuffle on the group key, read again by the dense branch
+    assert "ReusedExchange" in plan
+    assert plan.count("Exchange hashpartitioning") == 2  # the exchange + its reuse
+
+
+def test_slice_of_type_without_tags_is_cleared(spark, warehouse, store):
+    tags = [
+        (1, "TAG_SEG", "3", "select cast(c_custkey as string) uid, c_mktsegment query_value from customer"),
+        (2, "TAG_BAL", "2", "select cast(c_custkey as string) uid, cast(c_acctbal as decimal(16,2)) query_value from customer"),
+    ]
+    cat = mini_catalog(spark, tags)
+    jobs.run_day(spark, cat, store, "2024-01-15")
+    assert jobs.read_bitmaps(store, "2", "2024-01-15").count() > 0
+    cat2 = mini_catalog(spark, tags, statuses={2: "0"})
+    jobs.run_merge_job(spark, cat2, store, "2024-01-15")
+    jobs.run_bitmap_job(spark, cat2, store, "2024-01-15")
+    assert jobs.read_bitmaps(store, "2", "2024-01-15").count() == 0
+    seg = cardinality(jobs.read_bitmaps(store, "3", "2024-01-15"))
+    assert seg.agg(F.sum("cardinality")).first()[0] == spark.table("customer").count()
+
+
+def test_no_enabled_tag_clears_every_type(spark, store):
+    cat = mini_catalog(spark, [(1, "TAG_X", "3", "select 1")], statuses={1: "0"})
+    written = jobs.run_bitmap_job(spark, cat, store, "2024-01-15")
+    assert sorted(written) == ["1", "2", "3", "4"]
+    for code in written:
+        assert jobs.read_bitmaps(store, code, "2024-01-15").count() == 0

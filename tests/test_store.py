@@ -1,0 +1,55 @@
+from pyspark.sql import functions as F
+
+from tagweave.codes import wide_table_name
+from tagweave.plans import jobs
+from tagweave.plans.seed import seed_catalog
+
+from .conftest import mini_catalog
+
+
+def test_dated_names():
+    assert wide_table_name("2024-01-15") == "user_tag_merge_20240115"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rerun_is_idempotent_and_other_dates_kept(spark, warehouse, store):
+    cat = seed_catalog(spark)
+    jobs.run_tag_job(spark, cat, store, 2, "2024-01-15")
+    jobs.run_tag_job(spark, cat, store, 2, "1998-01-01")
+    first = sorted(map(tuple, store.read_tag("TAG_ORDER_COUNT", "1").collect()))
+    jobs.run_tag_job(spark, cat, store, 2, "2024-01-15")
+    again = sorted(map(tuple, store.read_tag("TAG_ORDER_COUNT", "1").collect()))
+    assert first == again
+    assert {r[2] for r in again} == {"2024-01-15", "1998-01-01"}
+
+
+def test_rewrite_with_no_rows_clears_the_slice(spark, warehouse, store):
+    sql = "select cast(c_custkey as string) uid, c_mktsegment query_value from customer where 'executeDate' < '2000-01-01'"
+    cat = mini_catalog(spark, [(1, "TAG_X", "3", sql)])
+    jobs.run_tag_job(spark, cat, store, 1, "1999-01-01")
+    jobs.run_tag_job(spark, cat, store, 1, "1999-06-01")
+    assert store.read_tag("TAG_X", "3", "1999-06-01").count() > 0
+    cat2 = mini_catalog(spark, [(1, "TAG_X", "3", sql.replace("2000-01-01", "1999-03-01"))])
+    jobs.run_tag_job(spark, cat2, store, 1, "1999-06-01")
+    assert store.read_tag("TAG_X", "3", "1999-06-01").count() == 0
+    assert store.read_tag("TAG_X", "3", "1999-01-01").count() > 0
+
+
+def test_tab_in_value_is_kept(spark, store):
+    df = spark.createDataFrame([("1", "x\ty")], "uid string, query_value string")
+    store.write_tag(df, "TAG_TAB", "2024-01-15")
+    assert store.read_tag("TAG_TAB", "3", "2024-01-15").first().query_value == "x\ty"
+
+
+def test_slice_read_prunes_partitions(spark, store):
+    df = spark.createDataFrame([("1", 5)], "uid string, query_value bigint")
+    store.write_tag(df, "TAG_P", "2024-01-15")
+    store.write_tag(df, "TAG_P", "2024-01-16")
+    read = store.read_tag("TAG_P", "1", "2024-01-15").select("uid", "query_value")
+    plan = _plan(read)
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-15" in plan
+    assert read.count() == 1
+    assert read.where(F.col("query_value") == 5).count() == 1
