@@ -7,12 +7,12 @@ own output for the date, so any of them can be rerun after a failure.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tagweave.codes import BITMAP_TABLES, TASK_ENABLED, check_date
+from tagweave.codes import BITMAP_TABLES, check_date
 from tagweave.operators.bitmap import SPARSE_MAX, bitmap_schema, bitmap_slice, route_by_type
 from tagweave.operators.export import cluster_by_uid
 from tagweave.operators.tags import build_tag
@@ -34,14 +34,22 @@ def run_tag_job(
 
 
 def enabled_task_ids(catalog: Catalog) -> list[int]:
-    rows = (
-        catalog.task_info.where(F.col("task_status") == TASK_ENABLED)
-        .join(catalog.tag_info.select(F.col("tag_task_id").alias("id")).distinct(), "id")
-        .select("id")
-        .orderBy("id")
-        .collect()
-    )
-    return [r["id"] for r in rows]
+    """Tasks that are enabled and compute a tag, in id order."""
+    return catalog.enabled_task_ids()
+
+
+def _concurrently(fn, items, parallelism: int) -> list:
+    """Submit independent Spark jobs from a few driver threads.
+
+    The scheduler interleaves their tasks, so short jobs do not wait behind
+    each other's fixed costs (planning, listing, commit). Results keep the
+    order of ``items``; the first failure is raised.
+    """
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
 
 
 def merge_frame(
@@ -91,6 +99,7 @@ class BitmapOptions:
     layout: str = "hybrid"
     on_bad_uid: str = "error"
     sparse_max: int = SPARSE_MAX
+    parallelism: int = 4
 
 
 def run_bitmap_job(
@@ -108,8 +117,8 @@ def run_bitmap_job(
     check_date(execute_date)
     routed = route_by_type(catalog.enabled_tag_rows())
     wide = store.read_wide(execute_date) if any(routed.values()) else None
-    written = {}
-    for type_code, table in BITMAP_TABLES.items():
+
+    def write_type(type_code: str) -> str:
         tags = routed[type_code]
         if tags:
             rows = bitmap_slice(
@@ -122,10 +131,12 @@ def run_bitmap_job(
             )
         else:
             rows = spark.createDataFrame([], bitmap_schema(type_code))
-        path = store.table_path(table)
+        path = store.table_path(BITMAP_TABLES[type_code])
         store.overwrite_slice(rows, path, execute_date)
-        written[type_code] = path
-    return written
+        return path
+
+    codes = list(BITMAP_TABLES)
+    return dict(zip(codes, _concurrently(write_type, codes, options.parallelism)))
 
 
 def read_bitmaps(store: ProfileStore, type_code: str, execute_date: str | None = None) -> DataFrame:
@@ -134,6 +145,23 @@ def read_bitmaps(store: ProfileStore, type_code: str, execute_date: str | None =
     )
 
 
+def run_tag_jobs(
+    spark: SparkSession,
+    catalog: Catalog,
+    store: ProfileStore,
+    execute_date: str,
+    parallelism: int = 8,
+) -> list[str]:
+    """Every enabled task's tag job for a date (independent, run concurrently)."""
+    task_ids = enabled_task_ids(catalog)
+    catalog.prefetch(task_ids)
+    return _concurrently(
+        lambda task_id: run_tag_job(spark, catalog, store, task_id, execute_date),
+        task_ids,
+        parallelism,
+    )
+
+
 def run_day(
     spark: SparkSession,
     catalog: Catalog,
@@ -143,8 +171,7 @@ def run_day(
     jdbc: dict | None = None,
 ) -> None:
     """All enabled tags, then merge, export and bitmaps for one date."""
-    for task_id in enabled_task_ids(catalog):
-        run_tag_job(spark, catalog, store, task_id, execute_date)
+    run_tag_jobs(spark, catalog, store, execute_date)
     run_merge_job(spark, catalog, store, execute_date)
     run_export_job(spark, catalog, store, execute_date, jdbc=jdbc)
     run_bitmap_job(spark, catalog, store, execute_date, bitmap_options)

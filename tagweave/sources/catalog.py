@@ -122,6 +122,7 @@ class Catalog:
         self.tag_info = conform(tag_info, TAG_INFO_SCHEMA)
         self.task_info = conform(task_info, TASK_INFO_SCHEMA)
         self.task_tag_rule = conform(task_tag_rule, TASK_TAG_RULE_SCHEMA)
+        self._cache: dict = {}
 
     # -- loading ------------------------------------------------------------
     @classmethod
@@ -185,17 +186,12 @@ class Catalog:
     def tasks_by_id(self, task_id: int) -> DataFrame:
         return self.task_info.where(F.col("id") == F.lit(int(task_id)))
 
-    def rules_for_task(self, task_id: int) -> DataFrame:
-        """Rules of a task with the label (the leaf tag's name) joined in.
-
-        Inner join: a rule whose ``sub_tag_id`` names no tag is dropped.
-        Ordered by rule id, which is the first-match order of the labels.
-        """
+    def _rules(self, condition) -> DataFrame:
         leaf = self.tag_info.select(
             F.col("id").alias("_leaf_id"), F.col("tag_name").alias("sub_tag_value")
         )
         return (
-            self.task_tag_rule.where(F.col("task_id") == F.lit(int(task_id)))
+            self.task_tag_rule.where(condition)
             .join(leaf, F.col("sub_tag_id") == F.col("_leaf_id"), "inner")
             .select(
                 "id",
@@ -209,7 +205,21 @@ class Catalog:
             .orderBy("id")
         )
 
+    def rules_for_task(self, task_id: int) -> DataFrame:
+        """Rules of a task with the label (the leaf tag's name) joined in.
+
+        Inner join: a rule whose ``sub_tag_id`` names no tag is dropped.
+        Ordered by rule id, which is the first-match order of the labels.
+        """
+        return self._rules(F.col("task_id") == F.lit(int(task_id)))
+
     # -- lookups brought to the driver (catalog rows only) -----------------------
+    # A Catalog instance is the metadata snapshot of one run: each lookup is
+    # fetched once and remembered, and ``prefetch`` loads the rows of every
+    # enabled task in three queries instead of three per task.
+    def _memo(self) -> dict:
+        return self._cache
+
     @staticmethod
     def _first(df: DataFrame, what: str) -> Row:
         rows = df.orderBy("id").limit(1).collect()
@@ -219,21 +229,55 @@ class Catalog:
 
     def tag_for_task(self, task_id: int) -> Row:
         """The tag computed by a task (first by id if several)."""
-        return self._first(self.tags_by_task(task_id), f"tag for task {task_id}")
+        key = ("tag", int(task_id))
+        memo = self._memo()
+        if key not in memo:
+            memo[key] = self._first(self.tags_by_task(task_id), f"tag for task {task_id}")
+        return memo[key]
 
     def task_by_id(self, task_id: int) -> Row:
-        return self._first(self.tasks_by_id(task_id), f"task with id {task_id}")
+        key = ("task", int(task_id))
+        memo = self._memo()
+        if key not in memo:
+            memo[key] = self._first(self.tasks_by_id(task_id), f"task with id {task_id}")
+        return memo[key]
 
     def enabled_tag_rows(self) -> list[Row]:
         """Enabled tags in id order; one row per tag of the catalog."""
-        return self.enabled_tags().collect()
+        memo = self._memo()
+        if "enabled" not in memo:
+            memo["enabled"] = self.enabled_tags().collect()
+        return memo["enabled"]
+
+    def enabled_task_ids(self) -> list[int]:
+        return sorted({int(t["tag_task_id"]) for t in self.enabled_tag_rows()})
+
+    def prefetch(self, task_ids=None) -> None:
+        """Fetch tags, tasks and rules of ``task_ids`` (default: enabled) at once."""
+        ids = [int(i) for i in (task_ids if task_ids is not None else self.enabled_task_ids())]
+        if not ids:
+            return
+        memo = self._memo()
+        wanted = F.col("tag_task_id").isin(ids)
+        for row in self.tag_info.where(wanted).select(*TAG_BY_TASK_COLUMNS).orderBy("id").collect():
+            memo.setdefault(("tag", int(row["tag_task_id"])), row)
+        for row in self.task_info.where(F.col("id").isin(ids)).orderBy("id").collect():
+            memo.setdefault(("task", int(row["id"])), row)
+        rules: dict[int, list[Row]] = {i: [] for i in ids}
+        for row in self._rules(F.col("task_id").isin(ids)).collect():
+            rules[int(row["task_id"])].append(row)
+        for i, rows in rules.items():
+            memo[("rules", i)] = rows
 
     def rule_rows(self, task_id: int, tag_code: str | None = None) -> list[Row]:
         """Label rules in first-match order, with the match mode resolved."""
-        rows = self.rules_for_task(task_id).collect()
+        key = ("rules", int(task_id))
+        memo = self._memo()
+        if key not in memo:
+            memo[key] = self.rules_for_task(task_id).collect()
         default = MATCH_PREDICATE if (tag_code or "").upper() == PREDICATE_TAG_CODE else MATCH_EXACT
         out = []
-        for r in rows:
+        for r in memo[key]:
             mode = (r["match_mode"] or default).lower()
             if mode not in (MATCH_EXACT, MATCH_PREDICATE):
                 raise CatalogError(f"rule {r['id']}: unknown match_mode {r['match_mode']!r}")

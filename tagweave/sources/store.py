@@ -83,13 +83,22 @@ class ProfileStore:
     def read_slices(
         self, path: str, schema: T.StructType, execute_date: str | None = None
     ) -> DataFrame:
-        """All slices (or one) of a dated table, with ``dt`` as text."""
+        """All slices (or one) of a dated table, with ``dt`` as text.
+
+        For one date only its folder is listed (``basePath`` keeps ``dt`` as
+        a column), so the cost does not grow with the table's history. A
+        date that was never written reads as empty.
+        """
         if not self.exists(path):
             raise MissingTableError(path)
-        df = self.spark.read.schema(with_dt(schema)).option("basePath", path).parquet(path)
-        if execute_date is not None:
-            df = df.where(F.col("dt") == F.lit(check_date(execute_date)))
-        return df
+        full = with_dt(schema)
+        reader = self.spark.read.schema(full).option("basePath", path)
+        if execute_date is None:
+            return reader.parquet(path)
+        slice_path = f"{path}/dt={check_date(execute_date)}"
+        if not self.exists(slice_path):
+            return self.spark.createDataFrame([], full)
+        return reader.parquet(slice_path).where(F.col("dt") == F.lit(execute_date))
 
     # -- tag tables -----------------------------------------------------------
     def write_tag(self, df: DataFrame, tag_code: str, execute_date: str) -> None:
