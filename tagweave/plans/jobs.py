@@ -139,6 +139,18 @@ def run_bitmap_job(
     return dict(zip(codes, _concurrently(write_type, codes, options.parallelism)))
 
 
+def register_tables(catalog: Catalog, store: ProfileStore, execute_date: str | None = None) -> list[str]:
+    """Expose the enabled tags' tables, the bitmap tables and (for a date)
+    the wide table in the session catalog under the store's database name."""
+    names = [store.register_tag(t["tag_code"], t["tag_value_type"]) for t in catalog.enabled_tag_rows()]
+    for code, table in BITMAP_TABLES.items():
+        if store.exists(store.table_path(table)):
+            names.append(store.register_dated(table, bitmap_schema(code)))
+    if execute_date is not None and store.exists(store.wide_path(execute_date)):
+        names.append(store.register_wide(execute_date))
+    return names
+
+
 def read_bitmaps(store: ProfileStore, type_code: str, execute_date: str | None = None) -> DataFrame:
     return store.read_slices(
         store.table_path(BITMAP_TABLES[type_code]), bitmap_schema(type_code), execute_date

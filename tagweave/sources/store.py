@@ -122,3 +122,40 @@ class ProfileStore:
         if not self.exists(path):
             raise MissingTableError(f"wide table {path}")
         return self.spark.read.parquet(path)
+
+    # -- catalog registration ---------------------------------------------------
+    def _create_database(self) -> None:
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'"
+        )
+
+    def register_dated(self, name: str, schema: T.StructType) -> str:
+        """Expose a dated table as ``<database>.<name>`` (partitioned by dt).
+
+        Partitions are recovered from the folders, so queries such as
+        ``select * from user_profile.tag_x where dt = '2024-01-15'`` prune
+        through the catalog. Call again after new dates are written.
+        """
+        self._create_database()
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_dt(schema).fields)
+        table = f"`{self.database}`.`{name}`"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+            f"PARTITIONED BY (dt) LOCATION '{self.table_path(name)}'"
+        )
+        self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        return f"{self.database}.{name}"
+
+    def register_tag(self, tag_code: str, type_code: str) -> str:
+        return self.register_dated(tag_code.lower(), tag_schema(type_code))
+
+    def register_wide(self, execute_date: str) -> str:
+        """Expose the dated wide table as ``<database>.user_tag_merge_<yyyyMMdd>``."""
+        self._create_database()
+        name = wide_table_name(execute_date)
+        self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{name}`")
+        self.spark.sql(
+            f"CREATE TABLE `{self.database}`.`{name}` USING parquet "
+            f"LOCATION '{self.wide_path(execute_date)}'"
+        )
+        return f"{self.database}.{name}"

@@ -53,3 +53,37 @@ def test_slice_read_prunes_partitions(spark, store):
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-15" in plan
     assert read.count() == 1
     assert read.where(F.col("query_value") == 5).count() == 1
+
+
+def test_tables_registered_in_catalog(spark, warehouse, store):
+    from tagweave.plans.seed import EXECUTE_DATE
+
+    cat = seed_catalog(spark)
+    jobs.run_day(spark, cat, store, EXECUTE_DATE)
+    store.database = f"up_{abs(hash(store.root)) % 10**8}"
+    names = jobs.register_tables(cat, store, EXECUTE_DATE)
+    db = store.database
+    assert f"{db}.tag_cust_segment" in names and f"{db}.user_tag_merge_20240115" in names
+    n = spark.sql(f"select count(*) from {db}.tag_cust_segment where dt = '{EXECUTE_DATE}'").first()[0]
+    assert n == spark.table("customer").count()
+    wide = spark.sql(f"select count(*) from {db}.user_tag_merge_20240115").first()[0]
+    assert wide == store.read_wide(EXECUTE_DATE).count()
+    card = spark.sql(f"select count(*) from {db}.user_tag_value_string where dt = '{EXECUTE_DATE}'").first()[0]
+    assert card > 0
+
+
+def test_cli_day_on_parquet_catalog(spark, tmp_path):
+    from tagweave.__main__ import main
+    from tagweave.plans.seed import EXECUTE_DATE
+    from tagweave.session import scratch_dir
+
+    from .conftest import SF_SMALL
+
+    seed_catalog(spark).write_parquet(str(tmp_path / "meta"))
+    root = scratch_dir(spark, "cli")
+    assert main(["day", "0", EXECUTE_DATE, "--catalog", f"parquet:{tmp_path / 'meta'}",
+                 "--warehouse-parquet", SF_SMALL, "--store-root", root]) == 0
+    from tagweave.sources.store import ProfileStore
+
+    st = ProfileStore(spark, root=root)
+    assert st.read_wide(EXECUTE_DATE).count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
