@@ -10,7 +10,6 @@ bit ``p mod 8`` counted from the least significant bit.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,18 +41,33 @@ def bitmap_count(bitmap: Column) -> Column:
     return F.call_function("bitmap_count", bitmap)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def bitmap_positions(bitmaps: pd.Series) -> pd.Series:
-    """Set bit positions of each bitmap, ascending (Arrow-batched).
+# Bitmaps expanded per output batch: 64 x 32768 ids at most (16 MB of ids).
+EXPAND_ROWS_PER_BATCH = 64
 
-    Spark has no built-in that expands a bitmap; this is a per-row helper on
-    a bounded input (4096 bytes -> at most 32768 positions).
-    """
 
-    def expand(buf):
-        if buf is None:
-            return None
-        bits = np.unpackbits(np.frombuffer(bytes(buf), dtype=np.uint8), bitorder="little")
-        return np.flatnonzero(bits).astype(np.int64)
+def expand_bitmap_batches(batches, key_names):
+    """``mapInArrow`` body: (keys..., bucket, uids) -> (keys..., uid) rows.
 
-    return bitmaps.map(expand)
+    Vectorized with numpy over a few bitmaps at a time, so memory per
+    yielded batch stays bounded whatever the Arrow input batch size.
+    """
+    import pyarrow as pa
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, EXPAND_ROWS_PER_BATCH):
+            chunk = batch.slice(start, EXPAND_ROWS_PER_BATCH)
+            blobs = chunk.column("uids").to_pylist()
+            if any(b is None or len(b) != BITMAP_BYTES for b in blobs):
+                raise ValueError("bitmap column holds a value that is not a 4096-byte bitmap")
+            bits = np.unpackbits(
+                np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(len(blobs), BITMAP_BYTES),
+                axis=1,
+                bitorder="little",
+            )
+            rows, pos = np.nonzero(bits)
+            bucket = np.asarray(chunk.column("bucket").to_numpy(zero_copy_only=False), dtype=np.int64)
+            base = np.where(bucket == 0, 0, (bucket - 1) * BUCKET_BITS + 1)
+            take = pa.array(rows, type=pa.int64())
+            cols = [chunk.column(name).take(take) for name in key_names]
+            uid = pa.array(base[rows] + pos.astype(np.int64), type=pa.int64())
+            yield pa.RecordBatch.from_arrays([*cols, uid], names=[*key_names, "uid"])

@@ -29,10 +29,10 @@ from tagweave.codes import BITMAP_TABLES, CatalogError, value_type
 from tagweave.functions.bitmap import (
     bit_position,
     bitmap_count,
-    bitmap_positions,
     bucket_base,
     bucket_number,
     construct_agg,
+    expand_bitmap_batches,
 )
 
 GROUP_KEYS = ["tag_code", "tag_value", "bucket"]
@@ -181,8 +181,20 @@ def cardinality(bitmaps: DataFrame, keys: Sequence[str] = ("tag_code", "tag_valu
 
 
 def decode(bitmaps: DataFrame, keys: Sequence[str] = ("tag_code", "tag_value")) -> DataFrame:
-    """One row per (tag, value, uid) stored in the bitmaps."""
-    base = bucket_base(F.col("bucket"))
-    from_bits = F.transform(bitmap_positions(F.col("uids")), lambda p: base + p)
-    ids = F.coalesce(F.col("uid_list"), from_bits)
-    return bitmaps.select(*keys, F.explode(ids).alias("uid"))
+    """One row per (tag, value, uid) stored in the bitmaps.
+
+    Id lists explode on the JVM; bitmaps expand in Arrow batches (Spark has
+    no built-in to list a bitmap's bits). No shuffle either way.
+    """
+    keys = list(keys)
+    listed = bitmaps.where(F.col("uid_list").isNotNull()).select(
+        *keys, F.explode("uid_list").alias("uid")
+    )
+    dense = bitmaps.where(F.col("uids").isNotNull()).select(*keys, "bucket", "uids")
+    out_schema = T.StructType(
+        [bitmaps.schema[k] for k in keys] + [T.StructField("uid", T.LongType())]
+    )
+    expanded = dense.mapInArrow(
+        lambda batches: expand_bitmap_batches(batches, keys), out_schema
+    )
+    return listed.unionByName(expanded)

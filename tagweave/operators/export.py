@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 
+# Aim for export files of about this size (compressed Parquet).
+EXPORT_FILE_BYTES = 256 << 20
+
+
+def partitions_for(size_bytes: int, target_bytes: int = EXPORT_FILE_BYTES) -> int:
+    """Range partitions for an input of ``size_bytes`` on disk."""
+    return max(1, math.ceil(size_bytes / target_bytes))
+
 
 def cluster_by_uid(wide: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Range-partition on uid and sort inside each partition.

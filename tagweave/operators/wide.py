@@ -40,12 +40,13 @@ def tag_branch(tag_rows: DataFrame, tag_code: str) -> DataFrame:
 
 
 def union_tags(branches: Sequence[DataFrame], spark: SparkSession | None = None) -> DataFrame:
-    """N-way UNION ALL (by name) of tag branches."""
+    """N-way UNION ALL of tag branches (Catalyst flattens it to one Union)."""
     if not branches:
         if spark is None:
             raise ValueError("an empty union needs a session")
         return spark.createDataFrame([], UNION_SCHEMA)
-    return reduce(DataFrame.unionByName, branches)
+    names = UNION_SCHEMA.fieldNames()
+    return reduce(DataFrame.union, [b.select(*names) for b in branches])
 
 
 def wide_columns(tag_codes: Sequence[str]) -> list[str]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.codes import BITMAP_TABLES, check_date
 from tagweave.operators.bitmap import SPARSE_MAX, bitmap_schema, bitmap_slice, route_by_type
-from tagweave.operators.export import cluster_by_uid
+from tagweave.operators.export import cluster_by_uid, partitions_for
 from tagweave.operators.tags import build_tag
 from tagweave.operators.wide import build_wide
 from tagweave.sources.catalog import Catalog
@@ -81,7 +81,8 @@ def run_export_job(
 
     With ``jdbc`` options (``url``, ``driver``, ...) the rows go to a JDBC
     table named like the wide table; otherwise to a uid-clustered Parquet
-    dataset. Both replace the previous export of the date.
+    dataset of about 256 MB per file (sized from the wide table on disk).
+    Both replace the previous export of the date.
     """
     wide = store.read_wide(execute_date)
     if jdbc is not None:
@@ -90,6 +91,8 @@ def run_export_job(
         write_jdbc(wide, mode=opts.pop("mode", "overwrite"), **opts)
         return opts["table"]
     path = store.export_path(execute_date)
+    if num_partitions is None:
+        num_partitions = partitions_for(store.size_bytes(store.wide_path(execute_date)))
     cluster_by_uid(wide, num_partitions).write.mode("overwrite").parquet(path)
     return path
 

@@ -69,6 +69,13 @@ class ProfileStore:
     def exists(self, path: str) -> bool:
         return _exists(self.spark, path)
 
+    def size_bytes(self, path: str) -> int:
+        """Bytes stored below ``path`` (one metadata call, no data read)."""
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(hpath).getLength())
+
     # -- dated slices -------------------------------------------------------
     def overwrite_slice(self, df: DataFrame, path: str, execute_date: str) -> None:
         """Replace ``<path>/dt=D`` with ``df`` (static-partition overwrite).
