@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--warehouse-parquet", help="folder of <table>.parquet files instead")
     p.add_argument("--store-root", help="shared folder of the profile database")
     p.add_argument("--database", default="user_profile")
-    p.add_argument("--bitmap-layout", default="hybrid", choices=["hybrid", "bitmap"])
+    p.add_argument("--bitmap-layout", default="auto", choices=["auto", "hybrid", "bitmap"])
     p.add_argument("--drop-bad-uids", action="store_true")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver")

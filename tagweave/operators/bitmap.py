@@ -8,10 +8,18 @@ Per value type (long, decimal, string, date) one table
 * ``uid_list`` - the sorted ids themselves, for groups of at most
   ``sparse_max`` ids (the default 512 ids x 8 bytes = one bitmap).
 
-Exactly one of the two is set. With ``layout="bitmap"`` every group is a
-bitmap, like a plain bitmap state. The hybrid layout keeps a tag whose values
-are nearly unique per uid (a spend amount, a date) at a few bytes per uid
-instead of 4 KB per uid, in the shuffle and on disk.
+Exactly one of the two is set. Layouts:
+
+* ``bitmap`` - every group is a bitmap, aggregated with map-side partial
+  bitmaps: on uid-clustered input a dense value costs ~1 bit per uid in the
+  shuffle, but a value held by one uid costs a whole 4 KB bitmap;
+* ``hybrid`` - positions are shuffled (~8 bytes per uid) and each group then
+  picks list or bitmap by its size: right for tags whose values are nearly
+  unique per uid (a spend amount, a date);
+* ``auto`` (default) - one small statistics aggregate per run (rows and
+  approximate distinct values per tag, one row per tag to the driver) sends
+  each tag to ``bitmap`` when its values hold many uids on average and to
+  ``hybrid`` otherwise.
 
 Hot keys: the group key includes the bucket, so no group holds more than
 32768 ids, however many uids share one value.
@@ -111,26 +119,19 @@ def typed_value(pairs: DataFrame, type_code: str) -> DataFrame:
     )
 
 
-def build_bitmaps(
-    pairs: DataFrame, layout: str = "hybrid", sparse_max: int = SPARSE_MAX
-) -> DataFrame:
-    """Distinct uid set per (tag_code, tag_value), one row per bucket.
+# ``auto``: a tag whose values hold at least this many uids on average
+# (rows / distinct values) is built with map-side partial bitmaps.
+DENSE_MIN_IDS_PER_VALUE = 4096
 
-    ``pairs`` has ``tag_code, tag_value, uid BIGINT`` (uid >= 0).
-    """
-    located = pairs.select(
-        "tag_code",
-        "tag_value",
-        bucket_number(F.col("uid")).alias("bucket"),
-        bit_position(F.col("uid")).alias("pos"),
+
+def _bitmap_layout(located: DataFrame) -> DataFrame:
+    return located.groupBy(*GROUP_KEYS).agg(
+        construct_agg(F.col("pos")).alias("uids"),
+        F.lit(None).cast(T.ArrayType(T.LongType())).alias("uid_list"),
     )
-    if layout == "bitmap":
-        return located.groupBy(*GROUP_KEYS).agg(
-            construct_agg(F.col("pos")).alias("uids"),
-            F.lit(None).cast(T.ArrayType(T.LongType())).alias("uid_list"),
-        )
-    if layout != "hybrid":
-        raise ValueError("layout must be 'hybrid' or 'bitmap'")
+
+
+def _hybrid_layout(located: DataFrame, sparse_max: int) -> DataFrame:
     # One shuffle on the group key; a group holds at most 32768 positions.
     grouped = located.groupBy(*GROUP_KEYS).agg(F.collect_set("pos").alias("positions"))
     n = F.size("positions")
@@ -153,13 +154,84 @@ def build_bitmaps(
     return sparse.unionByName(dense)
 
 
+def dense_tags(pairs: DataFrame, min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE) -> list[str]:
+    """Tags whose values hold ``min_ids_per_value`` uids or more on average.
+
+    A partial + final aggregate with an HLL sketch per tag; the result has
+    one row per tag of the catalog.
+    """
+    stats = pairs.groupBy("tag_code").agg(
+        F.count("*").alias("n"), F.approx_count_distinct("tag_value").alias("values")
+    )
+    return sorted(
+        r["tag_code"]
+        for r in stats.collect()
+        if r["n"] >= min_ids_per_value * max(int(r["values"]), 1)
+    )
+
+
+def dense_from_bitmaps(
+    bitmaps: DataFrame, min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE
+) -> list[str]:
+    """``dense_tags`` from already built bitmap rows (e.g. a previous date).
+
+    Reads the compact bitmap rows only; one row per tag comes back.
+    """
+    per_value = cardinality(bitmaps)
+    stats = per_value.groupBy("tag_code").agg(
+        F.sum("cardinality").alias("n"), F.count("*").alias("values")
+    )
+    return sorted(
+        r["tag_code"]
+        for r in stats.collect()
+        if r["n"] >= min_ids_per_value * max(int(r["values"]), 1)
+    )
+
+
+def build_bitmaps(
+    pairs: DataFrame,
+    layout: str = "auto",
+    sparse_max: int = SPARSE_MAX,
+    dense_min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE,
+    dense: Sequence[str] | None = None,
+) -> DataFrame:
+    """Distinct uid set per (tag_code, tag_value), one row per bucket.
+
+    ``pairs`` has ``tag_code, tag_value, uid BIGINT`` (uid >= 0). For
+    ``auto``, ``dense`` may give the dense tags already (see ``dense_tags``).
+    """
+    located = pairs.select(
+        "tag_code",
+        "tag_value",
+        bucket_number(F.col("uid")).alias("bucket"),
+        bit_position(F.col("uid")).alias("pos"),
+    )
+    if layout == "bitmap":
+        return _bitmap_layout(located)
+    if layout == "hybrid":
+        return _hybrid_layout(located, sparse_max)
+    if layout != "auto":
+        raise ValueError("layout must be 'auto', 'hybrid' or 'bitmap'")
+    if dense is None:
+        dense = dense_tags(pairs, dense_min_ids_per_value)
+    dense = list(dense)
+    if not dense:
+        return _hybrid_layout(located, sparse_max)
+    is_dense = F.col("tag_code").isin(dense)
+    return _bitmap_layout(located.where(is_dense)).unionByName(
+        _hybrid_layout(located.where(~is_dense), sparse_max)
+    )
+
+
 def bitmap_slice(
     wide: DataFrame,
     tags: Sequence,
     type_code: str,
-    layout: str = "hybrid",
+    layout: str = "auto",
     on_bad_uid: str = "error",
     sparse_max: int = SPARSE_MAX,
+    dense_min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE,
+    dense: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of one typed bitmap table for the wide table's date.
 
@@ -169,7 +241,13 @@ def bitmap_slice(
     pairs = unpivot_tags(wide, columns)
     pairs = uid_to_long(pairs, on_bad_uid)
     pairs = typed_value(pairs, type_code)
-    out = build_bitmaps(pairs, layout=layout, sparse_max=sparse_max)
+    out = build_bitmaps(
+        pairs,
+        layout=layout,
+        sparse_max=sparse_max,
+        dense_min_ids_per_value=dense_min_ids_per_value,
+        dense=dense,
+    )
     schema = bitmap_schema(type_code)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 

@@ -9,6 +9,7 @@ that repeats many times inside a tag collapses before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,8 @@ def union_tags(branches: Sequence[DataFrame], spark: SparkSession | None = None)
             raise ValueError("an empty union needs a session")
         return spark.createDataFrame([], UNION_SCHEMA)
     names = UNION_SCHEMA.fieldNames()
-    return reduce(DataFrame.union, [b.select(*names) for b in branches])
+    aligned = [b if b.columns == names else b.select(*names) for b in branches]
+    return reduce(DataFrame.union, aligned)
 
 
 def wide_columns(tag_codes: Sequence[str]) -> list[str]:
@@ -82,16 +84,24 @@ def build_wide(
     """Wide rows of a date from the stored tag slices of ``tags`` (id order).
 
     A tag without a table is an error naming it; with ``missing_ok`` its
-    column is all NULL instead.
+    column is all NULL instead. The per-tag reads are only planned here
+    (listing one folder each), a few at a time from driver threads.
     """
-    branches = []
-    for tag in tags:
+
+    def branch(tag):
         try:
             rows = store.read_tag(tag["tag_code"], tag["tag_value_type"], execute_date)
         except MissingTableError:
             if missing_ok:
-                continue
+                return None
             raise
-        branches.append(tag_branch(rows, tag["tag_code"]))
-    union = union_tags(branches, store.spark)
+        return tag_branch(rows, tag["tag_code"])
+
+    tags = list(tags)
+    if len(tags) > 1:
+        with ThreadPoolExecutor(max_workers=min(8, len(tags))) as pool:
+            planned = list(pool.map(branch, tags))
+    else:
+        planned = [branch(t) for t in tags]
+    union = union_tags([b for b in planned if b is not None], store.spark)
     return pivot_tags(union, [t["tag_code"] for t in tags])

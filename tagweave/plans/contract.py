@@ -183,14 +183,26 @@ def bitmap_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cardinality(_all_bitmaps(store))
 
 
+def _cardinality_with(spark: SparkSession, sf_dir: str, label: str, options) -> DataFrame:
+    catalog, store = seed_day(spark, sf_dir)
+    other = ProfileStore(spark, root=scratch_dir(spark, label))
+    other.write_wide(store.read_wide(D), D)
+    jobs.run_bitmap_job(spark, catalog, other, D, options)
+    return cardinality(_all_bitmaps(other))
+
+
 def bitmap_cardinality_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same cardinalities with every group stored as a bitmap."""
-    catalog, store = seed_day(spark, sf_dir)
-    plain = ProfileStore(spark, root=scratch_dir(spark, "plain"))
-    wide = store.read_wide(D)
-    plain.write_wide(wide, D)
-    jobs.run_bitmap_job(spark, catalog, plain, D, jobs.BitmapOptions(layout="bitmap"))
-    return cardinality(_all_bitmaps(plain))
+    return _cardinality_with(spark, sf_dir, "plain", jobs.BitmapOptions(layout="bitmap"))
+
+
+def bitmap_cardinality_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same cardinalities with ``auto`` routing low-cardinality tags to bitmaps.
+
+    The density bar is lowered so that both paths run on small tables.
+    """
+    options = jobs.BitmapOptions(layout="auto", dense_min_ids_per_value=64)
+    return _cardinality_with(spark, sf_dir, "mixed", options)
 
 
 def bitmap_decode_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +280,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bitmap_route_types": bitmap_route_types,
         "bitmap_cardinality": bitmap_cardinality,
         "bitmap_cardinality_plain": bitmap_cardinality_plain,
+        "bitmap_cardinality_mixed": bitmap_cardinality_mixed,
         "bitmap_decode_uids": bitmap_decode_uids,
         "bitmap_typed_long": _typed("1"),
         "bitmap_typed_decimal": _typed("2"),
@@ -441,6 +454,7 @@ def oracle_sql() -> dict[str, str]:
         "bitmap_route_types": _o_route(),
         "bitmap_cardinality": _O_CARD,
         "bitmap_cardinality_plain": _O_CARD,
+        "bitmap_cardinality_mixed": _O_CARD,
         "bitmap_decode_uids": _o_pairs()
         + "select distinct tag_code, tag_value, cast(uid as bigint) as uid from p",
         "bitmap_typed_long": _o_typed("1"),

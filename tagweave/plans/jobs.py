@@ -9,11 +9,22 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagweave.codes import BITMAP_TABLES, check_date
-from tagweave.operators.bitmap import SPARSE_MAX, bitmap_schema, bitmap_slice, route_by_type
+from tagweave.operators.bitmap import (
+    DENSE_MIN_IDS_PER_VALUE,
+    SPARSE_MAX,
+    bitmap_schema,
+    bitmap_slice,
+    dense_from_bitmaps,
+    dense_tags,
+    route_by_type,
+    unpivot_tags,
+)
 from tagweave.operators.export import cluster_by_uid, partitions_for
 from tagweave.operators.tags import build_tag
 from tagweave.operators.wide import build_wide
@@ -99,12 +110,37 @@ def run_export_job(
 
 @dataclass(frozen=True)
 class BitmapOptions:
-    layout: str = "hybrid"
+    layout: str = "auto"
     on_bad_uid: str = "error"
     sparse_max: int = SPARSE_MAX
+    dense_min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE
     parallelism: int = 4
 
 
+def routing(
+    store: ProfileStore, wide: DataFrame, routed: dict, execute_date: str, min_ids_per_value: int
+) -> list[str]:
+    """Tags to build with map-side partial bitmaps (``auto`` layout).
+
+    Taken from the latest earlier date's bitmap slices when there are any
+    (compact rows, no scan of today's input); otherwise one statistics job
+    over today's input. Routing changes cost only, never results, so
+    statistics from an earlier day are safe to use.
+    """
+    previous = []
+    for code, table in BITMAP_TABLES.items():
+        path = store.table_path(table)
+        earlier = [d for d in store.slice_dates(path) if d < execute_date]
+        if routed[code] and earlier:
+            previous.append(read_bitmaps(store, code, earlier[-1]).withColumn(
+                "tag_value", F.col("tag_value").cast("string")))
+    if previous:
+        rows = reduce(DataFrame.unionByName, previous)
+        return dense_from_bitmaps(rows, min_ids_per_value)
+    columns = [t["tag_code"].lower() for tags in routed.values() for t in tags]
+    return dense_tags(unpivot_tags(wide, columns), min_ids_per_value)
+
+
 def run_bitmap_job(
     spark: SparkSession,
     catalog: Catalog,
@@ -115,11 +151,18 @@ def run_bitmap_job(
     """Rewrite the date's slice of all four typed bitmap tables.
 
     A type without enabled tags still has its slice cleared. Each type's job
-    reads only uid and that type's columns of the wide table.
+    reads only uid and that type's columns. The input is the uid-clustered
+    export when there is one (map-side partial bitmaps then cover whole uid
+    runs), else the wide table.
     """
     check_date(execute_date)
     routed = route_by_type(catalog.enabled_tag_rows())
-    wide = store.read_wide(execute_date) if any(routed.values()) else None
+    wide, dense = None, None
+    if any(routed.values()):
+        export = store.export_path(execute_date)
+        wide = store.spark.read.parquet(export) if store.exists(export) else store.read_wide(execute_date)
+        if options.layout == "auto":
+            dense = routing(store, wide, routed, execute_date, options.dense_min_ids_per_value)
 
     def write_type(type_code: str) -> str:
         tags = routed[type_code]
@@ -131,6 +174,8 @@ def run_bitmap_job(
                 layout=options.layout,
                 on_bad_uid=options.on_bad_uid,
                 sparse_max=options.sparse_max,
+                dense_min_ids_per_value=options.dense_min_ids_per_value,
+                dense=dense,
             )
         else:
             rows = spark.createDataFrame([], bitmap_schema(type_code))

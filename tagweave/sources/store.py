@@ -105,7 +105,22 @@ class ProfileStore:
         slice_path = f"{path}/dt={check_date(execute_date)}"
         if not self.exists(slice_path):
             return self.spark.createDataFrame([], full)
-        return reader.parquet(slice_path).where(F.col("dt") == F.lit(execute_date))
+        # Only this folder is listed, so every row has dt = execute_date.
+        return reader.parquet(slice_path)
+
+    def slice_dates(self, path: str) -> list[str]:
+        """Dates that have a slice folder under ``path`` (one listing call)."""
+        if not self.exists(path):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        dates = []
+        for status in fs.listStatus(hpath):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith("dt="):
+                dates.append(name[3:])
+        return sorted(dates)
 
     # -- tag tables -----------------------------------------------------------
     def write_tag(self, df: DataFrame, tag_code: str, execute_date: str) -> None:

@@ -20,7 +20,9 @@ def _pairs(spark, uids, code="t", value="v"):
     return spark.createDataFrame([(code, value, u) for u in uids], "tag_code string, tag_value string, uid bigint")
 
 
-@pytest.mark.parametrize("layout,sparse_max", [("bitmap", 512), ("hybrid", 512), ("hybrid", 0)])
+@pytest.mark.parametrize(
+    "layout,sparse_max", [("bitmap", 512), ("hybrid", 512), ("hybrid", 0), ("auto", 512)]
+)
 def test_bucket_bounds_round_trip(spark, layout, sparse_max):
     uids = [0, 1, 32768, 32769, 65536]
     bm = build_bitmaps(_pairs(spark, uids), layout=layout, sparse_max=sparse_max)
@@ -32,7 +34,9 @@ def test_bucket_bounds_round_trip(spark, layout, sparse_max):
 def test_layout_choice_per_group(spark):
     dense = list(range(1, 601))
     bm = build_bitmaps(
-        _pairs(spark, dense, value="dense").unionByName(_pairs(spark, [5, 7], value="sparse")), sparse_max=512
+        _pairs(spark, dense, value="dense").unionByName(_pairs(spark, [5, 7], value="sparse")),
+        layout="hybrid",
+        sparse_max=512,
     )
     rows = {r.tag_value: r for r in bm.collect()}
     assert rows["dense"].uids is not None and rows["dense"].uid_list is None
@@ -41,7 +45,7 @@ def test_layout_choice_per_group(spark):
 
 
 def test_duplicate_uid_counts_once(spark):
-    for layout in ("bitmap", "hybrid"):
+    for layout in ("bitmap", "hybrid", "auto"):
         bm = build_bitmaps(_pairs(spark, [1, 1, 2]), layout=layout)
         assert cardinality(bm).first().cardinality == 2
 
@@ -82,8 +86,26 @@ def test_typed_slice_values(spark):
         bitmap_slice(bad, [{"tag_code": "N"}], "1").collect()
 
 
+def test_auto_layout_routes_tags_by_ids_per_value(spark):
+    dense = spark.range(0, 20000).selectExpr("'seg' tag_code", "cast(id % 2 as string) tag_value", "id uid")
+    sparse = spark.range(0, 3000).selectExpr("'amt' tag_code", "cast(id as string) tag_value", "id uid")
+    pairs = dense.unionByName(sparse)
+    from tagweave.operators.bitmap import dense_tags
+
+    assert dense_tags(pairs, 4096) == ["seg"]
+    from tagweave.operators.bitmap import dense_from_bitmaps
+    bm = build_bitmaps(pairs, layout="auto")
+    rows = bm.collect()
+    assert all(r.uids is not None for r in rows if r.tag_code == "seg")
+    assert all(r.uid_list is not None for r in rows if r.tag_code == "amt")
+    got = {(r.tag_code, r.tag_value): r.cardinality for r in cardinality(bm).collect()}
+    assert got[("seg", "0")] == 10000 and got[("amt", "17")] == 1 and len(got) == 3002
+    assert sorted(r.uid for r in decode(bm).where("tag_code = 'seg'").collect()) == list(range(20000))
+    assert dense_from_bitmaps(bm, 4096) == ["seg"]
+
+
 def test_dense_path_adds_no_shuffle(spark):
-    bm = build_bitmaps(_pairs(spark, range(1, 2000)))
+    bm = build_bitmaps(_pairs(spark, range(1, 2000)), layout="hybrid")
     bm.collect()
     plan = bm._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # one shuffle on the group key, read again by the dense branch
@@ -113,3 +135,21 @@ def test_no_enabled_tag_clears_every_type(spark, store):
     assert sorted(written) == ["1", "2", "3", "4"]
     for code in written:
         assert jobs.read_bitmaps(store, code, "2024-01-15").count() == 0
+
+
+def test_auto_routing_reuses_an_earlier_date(spark, store, monkeypatch):
+    from tagweave.plans import jobs as jb
+
+    tags = [(1, "TAG_SEG", "3", "x")]
+    cat = mini_catalog(spark, tags)
+    wide = spark.range(0, 9000).selectExpr("cast(id as string) uid", "cast(id % 2 as string) tag_seg")
+    for date in ("2024-01-14", "2024-01-15"):
+        store.write_wide(wide, date)
+    opts = jb.BitmapOptions(dense_min_ids_per_value=1000)
+    jb.run_bitmap_job(spark, cat, store, "2024-01-14", opts)
+    # the second date must not need a statistics pass over its input
+    monkeypatch.setattr(jb, "dense_tags", lambda *a, **k: (_ for _ in ()).throw(AssertionError("scanned")))
+    jb.run_bitmap_job(spark, cat, store, "2024-01-15", opts)
+    rows = jb.read_bitmaps(store, "3", "2024-01-15").collect()
+    assert rows and all(r.uids is not None for r in rows)
+    assert cardinality(jb.read_bitmaps(store, "3", "2024-01-15")).count() == 2
