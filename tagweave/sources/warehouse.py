@@ -26,23 +26,28 @@ SAMPLE_TABLES = (
 )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence on the cluster's file system (HDFS, S3, local...)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def register_parquet_views(
     spark: SparkSession, root: str, tables: Iterable[str] = SAMPLE_TABLES
 ) -> list[str]:
     """Expose ``<root>/<name>.parquet`` (or ``<root>/<name>``) as temp views.
 
     The views are lazy scans: column pruning and filter pushdown of each tag
-    SQL reach the parquet reader.
+    SQL reach the parquet reader. Tables that are absent are skipped.
     """
     registered = []
     for name in tables:
-        path = os.path.join(root, f"{name}.parquet")
-        if "://" not in root and not os.path.exists(path):
-            path = os.path.join(root, name)
-            if not os.path.exists(path):
-                continue
-        spark.read.parquet(path).createOrReplaceTempView(name)
-        registered.append(name)
+        for path in (os.path.join(root, f"{name}.parquet"), os.path.join(root, name)):
+            if _exists(spark, path):
+                spark.read.parquet(path).createOrReplaceTempView(name)
+                registered.append(name)
+                break
     return registered
 
 

@@ -71,3 +71,13 @@ def test_parquet_round_trip(spark, tmp_path):
 def test_from_rows_rejects_unknown_fields(spark):
     with pytest.raises(CatalogError):
         Catalog.from_rows(spark, [{"id": 1, "bogus": 2}], [])
+
+
+def test_warehouse_views_skip_absent_tables(spark):
+    from tagweave.sources.warehouse import register_parquet_views
+
+    from .conftest import SF_SMALL
+
+    names = register_parquet_views(spark, SF_SMALL, ["customer", "no_such_table"])
+    assert names == ["customer"]
+    assert spark.table("customer").count() > 0

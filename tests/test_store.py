@@ -11,7 +11,6 @@ def test_dated_names():
     assert wide_table_name("2024-01-15") == "user_tag_merge_20240115"
 
 
-
 def test_rerun_is_idempotent_and_other_dates_kept(spark, warehouse, store):
     cat = seed_catalog(spark)
     jobs.run_tag_job(spark, cat, store, 2, "2024-01-15")
