@@ -169,14 +169,15 @@ class Catalog:
         sides are catalog tables; Spark's own size statistics decide whether
         the join broadcasts.
         """
+        return self._enabled().orderBy("id")
+
+    def _enabled(self) -> DataFrame:
         tasks = self.task_info.where(F.col("task_status") == TASK_ENABLED).select(
             F.col("id").alias("_task_id")
         )
-        return (
-            self.tag_info.join(tasks, F.col("tag_task_id") == F.col("_task_id"), "inner")
-            .drop("_task_id")
-            .orderBy("id")
-        )
+        return self.tag_info.join(
+            tasks, F.col("tag_task_id") == F.col("_task_id"), "inner"
+        ).drop("_task_id")
 
     def tags_by_task(self, task_id: int) -> DataFrame:
         return self.tag_info.where(F.col("tag_task_id") == F.lit(int(task_id))).select(
@@ -202,7 +203,6 @@ class Catalog:
                 "sub_tag_value",
                 "match_mode",
             )
-            .orderBy("id")
         )
 
     def rules_for_task(self, task_id: int) -> DataFrame:
@@ -211,7 +211,7 @@ class Catalog:
         Inner join: a rule whose ``sub_tag_id`` names no tag is dropped.
         Ordered by rule id, which is the first-match order of the labels.
         """
-        return self._rules(F.col("task_id") == F.lit(int(task_id)))
+        return self._rules(F.col("task_id") == F.lit(int(task_id))).orderBy("id")
 
     # -- lookups brought to the driver (catalog rows only) -----------------------
     # A Catalog instance is the metadata snapshot of one run: each lookup is
@@ -221,8 +221,17 @@ class Catalog:
         return self._cache
 
     @staticmethod
-    def _first(df: DataFrame, what: str) -> Row:
-        rows = df.orderBy("id").limit(1).collect()
+    def _by_id(df: DataFrame) -> list[Row]:
+        """Collect a catalog lookup and order it by id on the driver.
+
+        Lookups return a few metadata rows; sorting them here spares Spark a
+        range-partitioning job per lookup.
+        """
+        return sorted(df.collect(), key=lambda r: (r["id"] is None, r["id"]))
+
+    @classmethod
+    def _first(cls, df: DataFrame, what: str) -> Row:
+        rows = cls._by_id(df)
         if not rows:
             raise CatalogError(f"no {what}")
         return rows[0]
@@ -246,7 +255,7 @@ class Catalog:
         """Enabled tags in id order; one row per tag of the catalog."""
         memo = self._memo()
         if "enabled" not in memo:
-            memo["enabled"] = self.enabled_tags().collect()
+            memo["enabled"] = self._by_id(self._enabled())
         return memo["enabled"]
 
     def enabled_task_ids(self) -> list[int]:
@@ -259,12 +268,12 @@ class Catalog:
             return
         memo = self._memo()
         wanted = F.col("tag_task_id").isin(ids)
-        for row in self.tag_info.where(wanted).select(*TAG_BY_TASK_COLUMNS).orderBy("id").collect():
+        for row in self._by_id(self.tag_info.where(wanted).select(*TAG_BY_TASK_COLUMNS)):
             memo.setdefault(("tag", int(row["tag_task_id"])), row)
-        for row in self.task_info.where(F.col("id").isin(ids)).orderBy("id").collect():
+        for row in self._by_id(self.task_info.where(F.col("id").isin(ids))):
             memo.setdefault(("task", int(row["id"])), row)
         rules: dict[int, list[Row]] = {i: [] for i in ids}
-        for row in self._rules(F.col("task_id").isin(ids)).collect():
+        for row in self._by_id(self._rules(F.col("task_id").isin(ids))):
             rules[int(row["task_id"])].append(row)
         for i, rows in rules.items():
             memo[("rules", i)] = rows
@@ -274,7 +283,7 @@ class Catalog:
         key = ("rules", int(task_id))
         memo = self._memo()
         if key not in memo:
-            memo[key] = self.rules_for_task(task_id).collect()
+            memo[key] = self._by_id(self._rules(F.col("task_id") == F.lit(int(task_id))))
         default = MATCH_PREDICATE if (tag_code or "").upper() == PREDICATE_TAG_CODE else MATCH_EXACT
         out = []
         for r in memo[key]:
