@@ -16,10 +16,11 @@ Exactly one of the two is set. Layouts:
 * ``hybrid`` - positions are shuffled (~8 bytes per uid) and each group then
   picks list or bitmap by its size: right for tags whose values are nearly
   unique per uid (a spend amount, a date);
-* ``auto`` (default) - one small statistics aggregate per run (rows and
-  approximate distinct values per tag, one row per tag to the driver) sends
-  each tag to ``bitmap`` when its values hold many uids on average and to
-  ``hybrid`` otherwise.
+* ``auto`` (default) - per-tag statistics (ids and (value, bucket) groups,
+  one row per tag to the driver) send a tag to ``bitmap`` when its bitmaps
+  would be well filled on average and to ``hybrid`` otherwise. Groups, not
+  values, are counted: five values over sparse (e.g. hashed) ids still mean
+  one nearly empty bitmap per id.
 
 Hot keys: the group key includes the bucket, so no group holds more than
 32768 ids, however many uids share one value.
@@ -119,9 +120,10 @@ def typed_value(pairs: DataFrame, type_code: str) -> DataFrame:
     )
 
 
-# ``auto``: a tag whose values hold at least this many uids on average
-# (rows / distinct values) is built with map-side partial bitmaps.
-DENSE_MIN_IDS_PER_VALUE = 4096
+# ``auto``: a tag whose (value, bucket) groups hold at least this many ids on
+# average - a bitmap at least 1/16 full, under 2 bytes per id - is built with
+# map-side partial bitmaps.
+DENSE_MIN_IDS_PER_GROUP = 2048
 
 
 def _bitmap_layout(located: DataFrame) -> DataFrame:
@@ -154,45 +156,45 @@ def _hybrid_layout(located: DataFrame, sparse_max: int) -> DataFrame:
     return sparse.unionByName(dense)
 
 
-def dense_tags(pairs: DataFrame, min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE) -> list[str]:
-    """Tags whose values hold ``min_ids_per_value`` uids or more on average.
-
-    A partial + final aggregate with an HLL sketch per tag; the result has
-    one row per tag of the catalog.
-    """
-    stats = pairs.groupBy("tag_code").agg(
-        F.count("*").alias("n"), F.approx_count_distinct("tag_value").alias("values")
-    )
+def _dense(stats: DataFrame, min_ids_per_group: int) -> list[str]:
     return sorted(
         r["tag_code"]
         for r in stats.collect()
-        if r["n"] >= min_ids_per_value * max(int(r["values"]), 1)
+        if r["n"] >= min_ids_per_group * max(int(r["groups"]), 1)
     )
 
 
+def dense_tags(pairs: DataFrame, min_ids_per_group: int = DENSE_MIN_IDS_PER_GROUP) -> list[str]:
+    """Tags whose (value, bucket) groups hold ``min_ids_per_group`` ids on average.
+
+    ``pairs``: ``tag_code, tag_value, uid BIGINT``. A partial + final
+    aggregate with an HLL sketch per tag; one row per tag comes back.
+    """
+    group = F.xxhash64(F.col("tag_value"), bucket_number(F.col("uid")))
+    stats = pairs.groupBy("tag_code").agg(
+        F.count("*").alias("n"), F.approx_count_distinct(group).alias("groups")
+    )
+    return _dense(stats, min_ids_per_group)
+
+
 def dense_from_bitmaps(
-    bitmaps: DataFrame, min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE
+    bitmaps: DataFrame, min_ids_per_group: int = DENSE_MIN_IDS_PER_GROUP
 ) -> list[str]:
     """``dense_tags`` from already built bitmap rows (e.g. a previous date).
 
-    Reads the compact bitmap rows only; one row per tag comes back.
+    Each stored row is one (value, bucket) group; only the compact bitmap
+    rows are read and one row per tag comes back.
     """
-    per_value = cardinality(bitmaps)
-    stats = per_value.groupBy("tag_code").agg(
-        F.sum("cardinality").alias("n"), F.count("*").alias("values")
-    )
-    return sorted(
-        r["tag_code"]
-        for r in stats.collect()
-        if r["n"] >= min_ids_per_value * max(int(r["values"]), 1)
-    )
+    ids = F.coalesce(bitmap_count(F.col("uids")), F.size("uid_list").cast("bigint"))
+    stats = bitmaps.groupBy("tag_code").agg(F.sum(ids).alias("n"), F.count("*").alias("groups"))
+    return _dense(stats, min_ids_per_group)
 
 
 def build_bitmaps(
     pairs: DataFrame,
     layout: str = "auto",
     sparse_max: int = SPARSE_MAX,
-    dense_min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE,
+    dense_min_ids_per_group: int = DENSE_MIN_IDS_PER_GROUP,
     dense: Sequence[str] | None = None,
 ) -> DataFrame:
     """Distinct uid set per (tag_code, tag_value), one row per bucket.
@@ -213,7 +215,7 @@ def build_bitmaps(
     if layout != "auto":
         raise ValueError("layout must be 'auto', 'hybrid' or 'bitmap'")
     if dense is None:
-        dense = dense_tags(pairs, dense_min_ids_per_value)
+        dense = dense_tags(pairs, dense_min_ids_per_group)
     dense = list(dense)
     if not dense:
         return _hybrid_layout(located, sparse_max)
@@ -230,7 +232,7 @@ def bitmap_slice(
     layout: str = "auto",
     on_bad_uid: str = "error",
     sparse_max: int = SPARSE_MAX,
-    dense_min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE,
+    dense_min_ids_per_group: int = DENSE_MIN_IDS_PER_GROUP,
     dense: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of one typed bitmap table for the wide table's date.
@@ -245,7 +247,7 @@ def bitmap_slice(
         pairs,
         layout=layout,
         sparse_max=sparse_max,
-        dense_min_ids_per_value=dense_min_ids_per_value,
+        dense_min_ids_per_group=dense_min_ids_per_group,
         dense=dense,
     )
     schema = bitmap_schema(type_code)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tagweave.codes import BITMAP_TABLES, check_date
 from tagweave.operators.bitmap import (
-    DENSE_MIN_IDS_PER_VALUE,
+    DENSE_MIN_IDS_PER_GROUP,
     SPARSE_MAX,
     bitmap_schema,
     bitmap_slice,
@@ -113,12 +113,12 @@ class BitmapOptions:
     layout: str = "auto"
     on_bad_uid: str = "error"
     sparse_max: int = SPARSE_MAX
-    dense_min_ids_per_value: int = DENSE_MIN_IDS_PER_VALUE
+    dense_min_ids_per_group: int = DENSE_MIN_IDS_PER_GROUP
     parallelism: int = 4
 
 
 def routing(
-    store: ProfileStore, wide: DataFrame, routed: dict, execute_date: str, min_ids_per_value: int
+    store: ProfileStore, wide: DataFrame, routed: dict, execute_date: str, min_ids_per_group: int
 ) -> list[str]:
     """Tags to build with map-side partial bitmaps (``auto`` layout).
 
@@ -136,9 +136,9 @@ def routing(
                 "tag_value", F.col("tag_value").cast("string")))
     if previous:
         rows = reduce(DataFrame.unionByName, previous)
-        return dense_from_bitmaps(rows, min_ids_per_value)
+        return dense_from_bitmaps(rows, min_ids_per_group)
     columns = [t["tag_code"].lower() for tags in routed.values() for t in tags]
-    return dense_tags(unpivot_tags(wide, columns), min_ids_per_value)
+    return dense_tags(unpivot_tags(wide, columns), min_ids_per_group)
 
 
 def run_bitmap_job(
@@ -162,7 +162,7 @@ def run_bitmap_job(
         export = store.export_path(execute_date)
         wide = store.spark.read.parquet(export) if store.exists(export) else store.read_wide(execute_date)
         if options.layout == "auto":
-            dense = routing(store, wide, routed, execute_date, options.dense_min_ids_per_value)
+            dense = routing(store, wide, routed, execute_date, options.dense_min_ids_per_group)
 
     def write_type(type_code: str) -> str:
         tags = routed[type_code]
@@ -174,7 +174,7 @@ def run_bitmap_job(
                 layout=options.layout,
                 on_bad_uid=options.on_bad_uid,
                 sparse_max=options.sparse_max,
-                dense_min_ids_per_value=options.dense_min_ids_per_value,
+                dense_min_ids_per_group=options.dense_min_ids_per_group,
                 dense=dense,
             )
         else:

@@ -145,7 +145,7 @@ def test_auto_routing_reuses_an_earlier_date(spark, store, monkeypatch):
     wide = spark.range(0, 9000).selectExpr("cast(id as string) uid", "cast(id % 2 as string) tag_seg")
     for date in ("2024-01-14", "2024-01-15"):
         store.write_wide(wide, date)
-    opts = jb.BitmapOptions(dense_min_ids_per_value=1000)
+    opts = jb.BitmapOptions(dense_min_ids_per_group=1000)
     jb.run_bitmap_job(spark, cat, store, "2024-01-14", opts)
     # the second date must not need a statistics pass over its input
     monkeypatch.setattr(jb, "dense_tags", lambda *a, **k: (_ for _ in ()).throw(AssertionError("scanned")))

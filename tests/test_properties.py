@@ -17,7 +17,7 @@ def test_decode_of_encode_is_identity(spark, cells, layout, sparse_max):
     pairs = spark.createDataFrame(
         [("t", v, u) for v, u in cells], "tag_code string, tag_value string, uid bigint"
     )
-    bm = build_bitmaps(pairs, layout=layout, sparse_max=sparse_max, dense_min_ids_per_value=2)
+    bm = build_bitmaps(pairs, layout=layout, sparse_max=sparse_max, dense_min_ids_per_group=2)
     expected = {(v, u) for v, u in cells}
     got = [(r.tag_value, r.uid) for r in decode(bm).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
