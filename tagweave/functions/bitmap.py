@@ -12,7 +12,6 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BUCKET_BITS = 32768
 BITMAP_BYTES = BUCKET_BITS // 8

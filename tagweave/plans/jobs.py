@@ -117,6 +117,20 @@ class BitmapOptions:
     parallelism: int = 4
 
 
+def bitmap_input(store: ProfileStore, execute_date: str) -> DataFrame:
+    """The date's uid-clustered export if it is current, else the wide table.
+
+    The export counts as current when it was committed after the wide table
+    (a rerun merge without a Parquet export must not be shadowed by an old one).
+    """
+    wide_at = store.written_at(store.wide_path(execute_date))
+    export = store.export_path(execute_date)
+    export_at = store.written_at(export)
+    if export_at is not None and wide_at is not None and export_at >= wide_at:
+        return store.spark.read.parquet(export)
+    return store.read_wide(execute_date)
+
+
 def routing(
     store: ProfileStore, wide: DataFrame, routed: dict, execute_date: str, min_ids_per_group: int
 ) -> list[str]:
@@ -159,8 +173,7 @@ def run_bitmap_job(
     routed = route_by_type(catalog.enabled_tag_rows())
     wide, dense = None, None
     if any(routed.values()):
-        export = store.export_path(execute_date)
-        wide = store.spark.read.parquet(export) if store.exists(export) else store.read_wide(execute_date)
+        wide = bitmap_input(store, execute_date)
         if options.layout == "auto":
             dense = routing(store, wide, routed, execute_date, options.dense_min_ids_per_group)
 

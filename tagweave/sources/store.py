@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.codes import check_date, value_type, wide_table_name
@@ -69,6 +68,15 @@ class ProfileStore:
     def exists(self, path: str) -> bool:
         return _exists(self.spark, path)
 
+    def written_at(self, path: str) -> int | None:
+        """Commit time (ms) of a dataset: its ``_SUCCESS`` marker, if any."""
+        jvm = self.spark.sparkContext._jvm
+        marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        fs = marker.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(marker):
+            return None
+        return int(fs.getFileStatus(marker).getModificationTime())
+
     def size_bytes(self, path: str) -> int:
         """Bytes stored below ``path`` (one metadata call, no data read)."""
         jvm = self.spark.sparkContext._jvm

@@ -153,3 +153,20 @@ def test_auto_routing_reuses_an_earlier_date(spark, store, monkeypatch):
     rows = jb.read_bitmaps(store, "3", "2024-01-15").collect()
     assert rows and all(r.uids is not None for r in rows)
     assert cardinality(jb.read_bitmaps(store, "3", "2024-01-15")).count() == 2
+
+
+def test_bitmap_job_ignores_an_export_older_than_the_wide_table(spark, store):
+    from tagweave.plans import jobs as jb
+
+    cat = mini_catalog(spark, [(1, "TAG_S", "3", "x")])
+    old = spark.createDataFrame([("1", "old")], "uid string, tag_s string")
+    store.write_wide(old, "2024-01-15")
+    jb.run_export_job(spark, cat, store, "2024-01-15")
+    assert jb.bitmap_input(store, "2024-01-15").first().tag_s == "old"  # export is current
+    import time
+
+    time.sleep(0.01)
+    store.write_wide(spark.createDataFrame([("1", "new")], "uid string, tag_s string"), "2024-01-15")
+    jb.run_bitmap_job(spark, cat, store, "2024-01-15")
+    values = {r.tag_value for r in jb.read_bitmaps(store, "3", "2024-01-15").collect()}
+    assert values == {"new"}
