@@ -7,6 +7,7 @@ own output for the date, so any of them can be rerun after a failure.
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -32,6 +33,8 @@ from tagweave.sources.catalog import Catalog
 from tagweave.sources.jdbc import write_jdbc
 from tagweave.sources.store import ProfileStore
 
+log = logging.getLogger("tagweave")
+
 
 def run_tag_job(
     spark: SparkSession, catalog: Catalog, store: ProfileStore, task_id: int, execute_date: str
@@ -41,6 +44,7 @@ def run_tag_job(
     tag = catalog.tag_for_task(task_id)
     rows = build_tag(spark, catalog, task_id, execute_date)
     store.write_tag(rows, tag["tag_code"], execute_date)
+    log.info("tag %s (task %s) written for %s", tag["tag_code"], task_id, execute_date)
     return store.tag_path(tag["tag_code"])
 
 
@@ -243,7 +247,14 @@ def run_day(
     bitmap_options: BitmapOptions = BitmapOptions(),
     jdbc: dict | None = None,
 ) -> None:
-    """All enabled tags, then merge, export and bitmaps for one date."""
+    """All enabled tags, then merge, export and bitmaps for one date.
+
+    The catalog is validated first, so a bad entry stops the day before any
+    table is written.
+    """
+    check_date(execute_date)
+    catalog.validate()
+    log.info("day %s: %d enabled tags", execute_date, len(catalog.enabled_tag_rows()))
     run_tag_jobs(spark, catalog, store, execute_date)
     run_merge_job(spark, catalog, store, execute_date)
     run_export_job(spark, catalog, store, execute_date, jdbc=jdbc)

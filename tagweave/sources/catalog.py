@@ -20,7 +20,10 @@ from tagweave.codes import (
     MATCH_PREDICATE,
     PREDICATE_TAG_CODE,
     TASK_ENABLED,
+    TYPE_DATE,
+    TYPE_STRING,
     CatalogError,
+    value_type,
 )
 
 TAG_INFO_SCHEMA = T.StructType(
@@ -292,3 +295,36 @@ class Catalog:
                 raise CatalogError(f"rule {r['id']}: unknown match_mode {r['match_mode']!r}")
             out.append(Row(**{**r.asDict(), "match_mode": mode}))
         return out
+
+    def validate(self) -> None:
+        """Fail before any work if an enabled tag cannot run.
+
+        Checks every enabled tag: a known value type, a task with SQL, rules
+        with a known match mode, and text typing when it has labels; and that
+        no two enabled tags share a wide column name.
+        """
+        tags = self.enabled_tag_rows()
+        self.prefetch()
+        problems = []
+        seen: dict[str, str] = {}
+        for tag in tags:
+            code = tag["tag_code"] or ""
+            try:
+                value_type(tag["tag_value_type"])
+            except CatalogError as err:
+                problems.append(f"{code}: {err}")
+            task = self.task_by_id(tag["tag_task_id"])
+            if not (task["task_sql"] or "").strip():
+                problems.append(f"{code}: task {task['id']} has no SQL")
+            try:
+                rules = self.rule_rows(tag["tag_task_id"], code)
+            except CatalogError as err:
+                problems.append(f"{code}: {err}")
+                rules = []
+            if rules and str(tag["tag_value_type"]) not in (TYPE_STRING, TYPE_DATE):
+                problems.append(f"{code}: labelled tags must be string or date typed")
+            if code.lower() in seen or code.lower() == "uid":
+                problems.append(f"{code}: wide column {code.lower()!r} collides with {seen.get(code.lower(), 'uid')}")
+            seen[code.lower()] = code
+        if problems:
+            raise CatalogError("catalog cannot run: " + "; ".join(problems))

@@ -81,3 +81,21 @@ def test_warehouse_views_skip_absent_tables(spark):
     names = register_parquet_views(spark, SF_SMALL, ["customer", "no_such_table"])
     assert names == ["customer"]
     assert spark.table("customer").count() > 0
+
+
+def test_validate_reports_every_problem(spark):
+    cat = mini_catalog(
+        spark,
+        [(1, "TAG_OK", "3", "select 1 uid, 2 query_value"), (2, "TAG_BADTYPE", "9", "select 1"),
+         (3, "TAG_NOSQL", "3", " "), (4, "TAG_LONGLABEL", "1", "select 1 uid, 2 query_value"),
+         (5, "tag_ok", "3", "select 1")],
+        rules=[(1, 4, "2", 11, None)],
+        labels=[(11, "two")],
+    )
+    with pytest.raises(CatalogError) as err:
+        cat.validate()
+    msg = str(err.value)
+    for part in ("TAG_BADTYPE", "TAG_NOSQL", "TAG_LONGLABEL", "collides"):
+        assert part in msg
+    assert "TAG_OK:" not in msg
+    seed_catalog(spark).validate()
