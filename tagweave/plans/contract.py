@@ -201,7 +201,7 @@ def bitmap_cardinality_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The density bar is lowered so that both paths run on small tables.
     """
-    options = jobs.BitmapOptions(layout="auto", dense_min_ids_per_group=64)
+    options = jobs.BitmapOptions(layout="auto", dense_min_ids_per_group=64, first_run_scan=True)
     return _cardinality_with(spark, sf_dir, "mixed", options)
 
 

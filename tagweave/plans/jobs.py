@@ -118,6 +118,7 @@ class BitmapOptions:
     on_bad_uid: str = "error"
     sparse_max: int = SPARSE_MAX
     dense_min_ids_per_group: int = DENSE_MIN_IDS_PER_GROUP
+    first_run_scan: bool = False
     parallelism: int = 4
 
 
@@ -136,14 +137,21 @@ def bitmap_input(store: ProfileStore, execute_date: str) -> DataFrame:
 
 
 def routing(
-    store: ProfileStore, wide: DataFrame, routed: dict, execute_date: str, min_ids_per_group: int
+    store: ProfileStore,
+    wide: DataFrame,
+    routed: dict,
+    execute_date: str,
+    min_ids_per_group: int,
+    first_run_scan: bool = False,
 ) -> list[str]:
     """Tags to build with map-side partial bitmaps (``auto`` layout).
 
     Taken from the latest earlier date's bitmap slices when there are any
-    (compact rows, no scan of today's input); otherwise one statistics job
-    over today's input. Routing changes cost only, never results, so
-    statistics from an earlier day are safe to use.
+    (compact rows, no scan of today's input). Routing changes cost only,
+    never results, so statistics from an earlier day are safe to use. With
+    no earlier date every tag goes to ``hybrid`` (bounded cost for any value
+    distribution), or, with ``first_run_scan``, one statistics job over
+    today's input decides.
     """
     previous = []
     for code, table in BITMAP_TABLES.items():
@@ -155,6 +163,8 @@ def routing(
     if previous:
         rows = reduce(DataFrame.unionByName, previous)
         return dense_from_bitmaps(rows, min_ids_per_group)
+    if not first_run_scan:
+        return []
     columns = [t["tag_code"].lower() for tags in routed.values() for t in tags]
     return dense_tags(unpivot_tags(wide, columns), min_ids_per_group)
 
@@ -179,7 +189,14 @@ def run_bitmap_job(
     if any(routed.values()):
         wide = bitmap_input(store, execute_date)
         if options.layout == "auto":
-            dense = routing(store, wide, routed, execute_date, options.dense_min_ids_per_group)
+            dense = routing(
+                store,
+                wide,
+                routed,
+                execute_date,
+                options.dense_min_ids_per_group,
+                options.first_run_scan,
+            )
 
     def write_type(type_code: str) -> str:
         tags = routed[type_code]

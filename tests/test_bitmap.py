@@ -146,8 +146,13 @@ def test_auto_routing_reuses_an_earlier_date(spark, store, monkeypatch):
     for date in ("2024-01-14", "2024-01-15"):
         store.write_wide(wide, date)
     opts = jb.BitmapOptions(dense_min_ids_per_group=1000)
+    # a first date starts all-hybrid without a statistics scan
+    monkeypatch.setattr(jb, "dense_tags", lambda *a, **k: (_ for _ in ()).throw(AssertionError("scanned")))
     jb.run_bitmap_job(spark, cat, store, "2024-01-14", opts)
-    # the second date must not need a statistics pass over its input
+    monkeypatch.undo()
+    assert jb.routing(store, wide, {"3": [{"tag_code": "TAG_SEG"}], "1": [], "2": [], "4": []},
+                      "2024-01-14", 1000, first_run_scan=True) == ["tag_seg"]
+    # the second date routes from the first date's bitmaps, no input scan
     monkeypatch.setattr(jb, "dense_tags", lambda *a, **k: (_ for _ in ()).throw(AssertionError("scanned")))
     jb.run_bitmap_job(spark, cat, store, "2024-01-15", opts)
     rows = jb.read_bitmaps(store, "3", "2024-01-15").collect()
