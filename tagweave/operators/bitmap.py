@@ -13,9 +13,9 @@ Exactly one of the two is set. Layouts:
 * ``bitmap`` - every group is a bitmap, aggregated with map-side partial
   bitmaps: on uid-clustered input a dense value costs ~1 bit per uid in the
   shuffle, but a value held by one uid costs a whole 4 KB bitmap;
-* ``hybrid`` - positions are shuffled (~8 bytes per uid) and each group then
-  picks list or bitmap by its size: right for tags whose values are nearly
-  unique per uid (a spend amount, a date);
+* ``hybrid`` - raw positions are shuffled once (~8 bytes per uid) and each
+  group then keeps a list or a bitmap by its size: right for tags whose
+  values are nearly unique per uid (a spend amount, a date);
 * ``auto`` (default) - per-tag statistics (ids and (value, bucket) groups,
   one row per tag to the driver) send a tag to ``bitmap`` when its bitmaps
   would be well filled on average and to ``hybrid`` otherwise. Groups, not
@@ -29,6 +29,7 @@ Hot keys: the group key includes the bucket, so no group holds more than
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,26 +135,25 @@ def _bitmap_layout(located: DataFrame) -> DataFrame:
 
 
 def _hybrid_layout(located: DataFrame, sparse_max: int) -> DataFrame:
-    # One shuffle on the group key; a group holds at most 32768 positions.
-    grouped = located.groupBy(*GROUP_KEYS).agg(F.collect_set("pos").alias("positions"))
+    """One shuffle of raw positions, then list or bitmap per group.
+
+    ``repartition`` on the group key puts the exchange below the aggregate,
+    so no map-side partial bitmaps (4 KB per partial group) are built; the
+    aggregate then runs once per group after the shuffle and keeps whichever
+    form fits. A group holds at most 32768 positions.
+    """
+    grouped = (
+        located.repartition(*GROUP_KEYS)
+        .groupBy(*GROUP_KEYS)
+        .agg(construct_agg(F.col("pos")).alias("bitmap"), F.collect_set("pos").alias("positions"))
+    )
     n = F.size("positions")
-    sparse = grouped.where(n <= sparse_max).select(
+    ids = F.array_sort(F.transform("positions", lambda p: bucket_base(F.col("bucket")) + p))
+    return grouped.select(
         *GROUP_KEYS,
-        F.lit(None).cast(T.BinaryType()).alias("uids"),
-        F.array_sort(
-            F.transform("positions", lambda p: bucket_base(F.col("bucket")) + p)
-        ).alias("uid_list"),
+        F.when(n > sparse_max, F.col("bitmap")).alias("uids"),
+        F.when(n <= sparse_max, ids).alias("uid_list"),
     )
-    # Dense groups: re-aggregate into a bitmap. The rows are already
-    # partitioned by the group key, so this adds no shuffle.
-    dense = (
-        grouped.where(n > sparse_max)
-        .select(*GROUP_KEYS, F.explode("positions").alias("pos"))
-        .groupBy(*GROUP_KEYS)
-        .agg(construct_agg(F.col("pos")).alias("uids"))
-        .withColumn("uid_list", F.lit(None).cast(T.ArrayType(T.LongType())))
-    )
-    return sparse.unionByName(dense)
 
 
 def _dense(stats: DataFrame, min_ids_per_group: int) -> list[str]:
@@ -237,19 +237,27 @@ def bitmap_slice(
 ) -> DataFrame:
     """Rows of one typed bitmap table for the wide table's date.
 
-    Only the uid and the columns of this type are read from the wide table.
+    Only the uid and the columns of this type are read from the wide table;
+    with ``auto`` the dense and the other columns are two scans of disjoint
+    column sets, each with its own layout.
     """
     columns = [t["tag_code"].lower() for t in tags]
-    pairs = unpivot_tags(wide, columns)
-    pairs = uid_to_long(pairs, on_bad_uid)
-    pairs = typed_value(pairs, type_code)
-    out = build_bitmaps(
-        pairs,
-        layout=layout,
-        sparse_max=sparse_max,
-        dense_min_ids_per_group=dense_min_ids_per_group,
-        dense=dense,
-    )
+
+    def rows(cols: list[str], how: str) -> DataFrame:
+        pairs = typed_value(uid_to_long(unpivot_tags(wide, cols), on_bad_uid), type_code)
+        return build_bitmaps(pairs, layout=how, sparse_max=sparse_max)
+
+    if layout == "auto":
+        if dense is None:
+            dense = dense_tags(uid_to_long(unpivot_tags(wide, columns), on_bad_uid), dense_min_ids_per_group)
+        dense_cols = [c for c in columns if c in set(dense)]
+        other_cols = [c for c in columns if c not in set(dense)]
+        parts = ([rows(dense_cols, "bitmap")] if dense_cols else []) + (
+            [rows(other_cols, "hybrid")] if other_cols or not dense_cols else []
+        )
+        out = reduce(DataFrame.unionByName, parts)
+    else:
+        out = rows(columns, layout)
     schema = bitmap_schema(type_code)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 

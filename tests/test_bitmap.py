@@ -104,13 +104,23 @@ def test_auto_layout_routes_tags_by_ids_per_value(spark):
     assert dense_from_bitmaps(bm, 4096) == ["seg"]
 
 
-def test_dense_path_adds_no_shuffle(spark):
-    bm = build_bitmaps(_pairs(spark, range(1, 2000)), layout="hybrid")
+def test_hybrid_is_one_shuffle_without_partial_bitmaps(spark):
+    wide = spark.range(0, 3000).selectExpr("cast(id as string) uid", "cast(id % 3 as string) a", "cast(id as string) b")
+    bm = bitmap_slice(wide, [{"tag_code": "A"}, {"tag_code": "B"}], "3", layout="hybrid")
     bm.collect()
     plan = bm._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # one shuffle on the group key, read again by the dense branch
-    assert "ReusedExchange" in plan
-    assert plan.count("Exchange hashpartitioning") == 2  # the exchange + its reuse
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_bitmap_construct_agg" not in plan.split("Exchange hashpartitioning")[1]
+    assert plan.count("FileScan") + plan.count("Scan ExistingRDD") + plan.count("Range") == 1
+
+
+def test_auto_slice_scans_disjoint_columns(spark):
+    wide = spark.range(0, 3000).selectExpr("cast(id as string) uid", "cast(id % 3 as string) a", "cast(id as string) b")
+    bm = bitmap_slice(wide, [{"tag_code": "A"}, {"tag_code": "B"}], "3", layout="auto", dense=["a"])
+    rows = bm.collect()
+    assert all((r.uids is not None) == (r.tag_code == "a") for r in rows if r.tag_code == "a")
+    assert {r.tag_code for r in rows if r.uid_list is not None} == {"b"}
+    assert cardinality(bm).count() == 3 + 3000
 
 
 def test_slice_of_type_without_tags_is_cleared(spark, warehouse, store):
