@@ -9,10 +9,17 @@ bit ``p mod 8`` counted from the least significant bit.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Ship this module's task-side helper by value: Python workers then need
+# numpy and pyarrow only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BUCKET_BITS = 32768
 BITMAP_BYTES = BUCKET_BITS // 8
 

@@ -185,3 +185,26 @@ def test_bitmap_job_ignores_an_export_older_than_the_wide_table(spark, store):
     jb.run_bitmap_job(spark, cat, store, "2024-01-15")
     values = {r.tag_value for r in jb.read_bitmaps(store, "3", "2024-01-15").collect()}
     assert values == {"new"}
+
+
+def test_decode_runs_when_workers_cannot_import_the_package(tmp_path):
+    """The driver may import the package from a path Python workers lack."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from tagweave.session import get_session
+from tagweave.operators.bitmap import build_bitmaps, decode
+spark = get_session("local[2]", shuffle_partitions=2)
+pairs = spark.range(1, 3000).selectExpr("'t' tag_code", "'v' tag_value", "id uid")
+print("ROWS", decode(build_bitmaps(pairs, layout="bitmap")).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "ROWS 2999" in out.stdout, out.stderr[-2000:]
