@@ -108,8 +108,7 @@ def run_export_job(
     path = store.export_path(execute_date)
     if num_partitions is None:
         num_partitions = partitions_for(store.size_bytes(store.wide_path(execute_date)))
-    cluster_by_uid(wide, num_partitions).write.mode("overwrite").parquet(path)
-    return path
+    return store.replace(cluster_by_uid(wide, num_partitions), path)
 
 
 @dataclass(frozen=True)

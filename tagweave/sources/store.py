@@ -11,6 +11,7 @@ turns into partition pruning.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,10 +24,14 @@ class MissingTableError(FileNotFoundError):
     """A table (or tag) the job reads has never been written."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path)
     return bool(fs.exists(hpath))
 
 
@@ -70,30 +75,46 @@ class ProfileStore:
 
     def written_at(self, path: str) -> int | None:
         """Commit time (ms) of a dataset: its ``_SUCCESS`` marker, if any."""
-        jvm = self.spark.sparkContext._jvm
-        marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        fs = marker.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, marker = _fs(self.spark, f"{path}/_SUCCESS")
         if not fs.exists(marker):
             return None
         return int(fs.getFileStatus(marker).getModificationTime())
 
     def size_bytes(self, path: str) -> int:
         """Bytes stored below ``path`` (one metadata call, no data read)."""
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, hpath = _fs(self.spark, path)
         return int(fs.getContentSummary(hpath).getLength())
 
     # -- dated slices -------------------------------------------------------
+    def replace(self, df: DataFrame, target: str) -> str:
+        """Write ``df`` as Parquet and put it at ``target`` in one swap.
+
+        Spark writes (and commits) into a hidden staging folder next to the
+        target; only then is the old target removed and the new one renamed
+        in. A job that fails - e.g. after losing executors beyond the task
+        retry limit - leaves the previous data untouched, and a rerun
+        replaces it. Hidden (``.``) folders are ignored by readers.
+        """
+        parent = target.rstrip("/").rsplit("/", 1)[0]
+        staging = f"{parent}/.staging-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(staging)
+        fs, hstaging = _fs(self.spark, staging)
+        _, htarget = _fs(self.spark, target)
+        if fs.exists(htarget) and not fs.delete(htarget, True):
+            raise OSError(f"could not remove {target}")
+        if not fs.rename(hstaging, htarget):
+            raise OSError(f"could not move {staging} to {target}")
+        return target
+
     def overwrite_slice(self, df: DataFrame, path: str, execute_date: str) -> None:
         """Replace ``<path>/dt=D`` with ``df`` (static-partition overwrite).
 
-        Writing to the slice folder itself clears it even when ``df`` has no
-        rows (a dynamic overwrite would leave the old files in that case).
+        The whole slice folder is replaced, so it is cleared even when ``df``
+        has no rows (a dynamic overwrite would leave the old files then).
         """
         check_date(execute_date)
         out = df.drop("dt") if "dt" in df.columns else df
-        out.write.mode("overwrite").parquet(f"{path}/dt={execute_date}")
+        self.replace(out, f"{path}/dt={execute_date}")
 
     def read_slices(
         self, path: str, schema: T.StructType, execute_date: str | None = None
@@ -120,9 +141,7 @@ class ProfileStore:
         """Dates that have a slice folder under ``path`` (one listing call)."""
         if not self.exists(path):
             return []
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, hpath = _fs(self.spark, path)
         dates = []
         for status in fs.listStatus(hpath):
             name = status.getPath().getName()
@@ -143,9 +162,7 @@ class ProfileStore:
     # -- wide table -------------------------------------------------------------
     def write_wide(self, df: DataFrame, execute_date: str) -> str:
         """Full overwrite of the dated wide table."""
-        path = self.wide_path(execute_date)
-        df.write.mode("overwrite").parquet(path)
-        return path
+        return self.replace(df, self.wide_path(execute_date))
 
     def read_wide(self, execute_date: str) -> DataFrame:
         path = self.wide_path(execute_date)

@@ -85,3 +85,19 @@ def test_cli_day_on_parquet_catalog(spark, tmp_path):
 
     st = ProfileStore(spark, root=root)
     assert st.read_wide(EXECUTE_DATE).count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+
+
+def test_failed_rewrite_keeps_the_previous_slice(spark, store):
+    import pytest
+
+    good = spark.createDataFrame([("1", "a")], "uid string, query_value string")
+    store.write_tag(good, "TAG_F", "2024-01-15")
+    bad = spark.createDataFrame([("1", "x")], "uid string, v string").selectExpr(
+        "uid", "cast(raise_error('boom') as string) query_value"
+    )
+    with pytest.raises(Exception, match="boom"):
+        store.write_tag(bad, "TAG_F", "2024-01-15")
+    assert [tuple(r) for r in store.read_tag("TAG_F", "3", "2024-01-15").collect()] == [
+        ("1", "a", "2024-01-15")
+    ]
+    assert store.slice_dates(store.tag_path("TAG_F")) == ["2024-01-15"]
