@@ -243,9 +243,13 @@ def run_tag_jobs(
     catalog: Catalog,
     store: ProfileStore,
     execute_date: str,
-    parallelism: int = 8,
+    parallelism: int = 16,
 ) -> list[str]:
-    """Every enabled task's tag job for a date (independent, run concurrently)."""
+    """Every enabled task's tag job for a date (independent, run concurrently).
+
+    ``parallelism`` bounds the driver threads submitting jobs; the cluster's
+    scheduler shares the executors among the running jobs.
+    """
     task_ids = enabled_task_ids(catalog)
     catalog.prefetch(task_ids)
     return _concurrently(
