@@ -101,3 +101,27 @@ def test_failed_rewrite_keeps_the_previous_slice(spark, store):
         ("1", "a", "2024-01-15")
     ]
     assert store.slice_dates(store.tag_path("TAG_F")) == ["2024-01-15"]
+
+
+def test_cli_single_jobs_in_order(spark, tmp_path):
+    from tagweave.__main__ import main
+    from tagweave.plans.seed import EXECUTE_DATE
+    from tagweave.session import scratch_dir
+    from tagweave.sources.store import ProfileStore
+
+    from .conftest import SF_SMALL
+
+    seed_catalog(spark).write_parquet(str(tmp_path / "meta"))
+    root = scratch_dir(spark, "cli-jobs")
+    common = ["--catalog", f"parquet:{tmp_path / 'meta'}", "--warehouse-parquet", SF_SMALL,
+              "--store-root", root, "--database", "cli_profile"]
+    for task in (1, 2, 3, 4, 5, 6, 7, 8, 9):
+        assert main(["tag", str(task), EXECUTE_DATE, *common]) == 0
+    for job in ("merge", "export", "bitmap"):
+        assert main([job, "0", EXECUTE_DATE, *common, "--bitmap-layout", "hybrid", "--register"]) == 0
+    st = ProfileStore(spark, root=root, database="cli_profile")
+    assert st.read_wide(EXECUTE_DATE).columns[1:4] == ["tag_cust_segment", "tag_order_count", "tag_order_spend"]
+    n = spark.sql(
+        f"select count(*) from cli_profile.user_tag_value_string where dt = '{EXECUTE_DATE}'"
+    ).first()[0]
+    assert n > 0
