@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tagweave.operators.bitmap import cardinality, decode  # noqa: E402
 from tagweave.plans import jobs  # noqa: E402
 from tagweave.plans.contract import _all_bitmaps  # noqa: E402
-from tagweave.plans.seed import EXECUTE_DATE, seed_catalog  # noqa: E402
+from tagweave.plans.seed import EXECUTE_DATE, SEED_TABLES, seed_catalog  # noqa: E402
 from tagweave.session import get_session, scratch_dir  # noqa: E402
 from tagweave.sources.store import ProfileStore  # noqa: E402
 from tagweave.sources.warehouse import register_parquet_views  # noqa: E402
@@ -37,7 +37,7 @@ def run(spark, sf_dir: str, timings: dict | None) -> None:
             timings[name] = round(time.perf_counter() - t, 3)
         return out
 
-    register_parquet_views(spark, sf_dir)
+    register_parquet_views(spark, sf_dir, SEED_TABLES)
     catalog = seed_catalog(spark)
     store = ProfileStore(spark, root=scratch_dir(spark, "bench"))
     timed("tag_jobs", lambda: jobs.run_tag_jobs(spark, catalog, store, EXECUTE_DATE))

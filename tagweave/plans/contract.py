@@ -22,7 +22,7 @@ from tagweave.operators.bitmap import cardinality, decode, unpivot_tags
 from tagweave.operators.tags import build_tag
 from tagweave.operators.wide import build_wide, tag_branch, union_tags
 from tagweave.plans import jobs
-from tagweave.plans.seed import EXECUTE_DATE, SEED_TAGS, seed_catalog
+from tagweave.plans.seed import EXECUTE_DATE, SEED_TABLES, SEED_TAGS, seed_catalog
 from tagweave.session import scratch_dir
 from tagweave.sources.store import ProfileStore
 from tagweave.sources.warehouse import register_parquet_views
@@ -55,7 +55,7 @@ SLICE_TAGS = [t for t in SEED_TAGS if t[0] in (1, 3)]
 
 # ---------------------------------------------------------------- helpers --
 def _setup(spark: SparkSession, sf_dir: str, label: str, **catalog_kwargs):
-    register_parquet_views(spark, sf_dir)
+    register_parquet_views(spark, sf_dir, SEED_TABLES)
     catalog = seed_catalog(spark, **catalog_kwargs)
     store = ProfileStore(spark, root=scratch_dir(spark, label))
     return catalog, store
@@ -79,7 +79,7 @@ def seed_day(spark: SparkSession, sf_dir: str) -> tuple:
             jobs.run_day(spark, catalog, store, D)
             _DAYS[key] = store
         else:
-            register_parquet_views(spark, sf_dir)
+            register_parquet_views(spark, sf_dir, SEED_TABLES)
         return seed_catalog(spark), store
 
 

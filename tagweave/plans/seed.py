@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 from tagweave.sources.catalog import Catalog
 
 EXECUTE_DATE = "2024-01-15"
+# Warehouse tables the sample tag SQL reads.
+SEED_TABLES = ("customer", "nation", "orders", "lineitem", "events")
 
 # (id = task id, tag_code, tag_value_type, task_status, SQL)
 SEED_TAGS = [
