@@ -13,9 +13,9 @@ Exactly one of the two is set. Layouts:
 * ``bitmap`` - every group is a bitmap, aggregated with map-side partial
   bitmaps: on uid-clustered input a dense value costs ~1 bit per uid in the
   shuffle, but a value held by one uid costs a whole 4 KB bitmap;
-* ``hybrid`` - raw positions are shuffled once (~8 bytes per uid) and each
-  group then keeps a list or a bitmap by its size: right for tags whose
-  values are nearly unique per uid (a spend amount, a date);
+* ``hybrid`` - positions are shuffled once (~8 bytes per uid) and each group
+  then keeps a sorted list or, above ``sparse_max`` ids, a bitmap: right for
+  tags whose values are nearly unique per uid (a spend amount, a date);
 * ``auto`` (default) - per-tag statistics (ids and (value, bucket) groups,
   one row per tag to the driver) send a tag to ``bitmap`` when its bitmaps
   would be well filled on average and to ``hybrid`` otherwise. Groups, not
@@ -75,8 +75,11 @@ def route_by_type(tags: Sequence) -> dict[str, list]:
 def unpivot_tags(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(uid, tag_code, tag_value)`` per non-empty cell of ``columns``.
 
-    An Expand over the wide rows (no shuffle). Empty text and NULL are the
-    same "no value" state and are dropped here, before any cast.
+    ``explode`` of an array of (code, value) structs over each wide row: no
+    shuffle. (A Generate, unlike the Expand of ``DataFrame.unpivot``, keeps
+    plans above it canonically equal, so the hybrid layout's two branches
+    share one shuffle.) Empty text and NULL are the same "no value" state and
+    are dropped here, before any cast.
     """
     columns = list(columns)
     if not columns:
@@ -85,8 +88,14 @@ def unpivot_tags(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.lit(None).cast("string").alias("tag_code"),
             F.lit(None).cast("string").alias("tag_value"),
         ).limit(0)
-    long = wide.select("uid", *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        "uid", columns, "tag_code", "tag_value"
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("tag_code"), F.col(c).cast("string").alias("tag_value"))
+            for c in columns
+        ]
+    )
+    long = wide.select("uid", F.explode(cells).alias("_cell")).select(
+        "uid", F.col("_cell.tag_code").alias("tag_code"), F.col("_cell.tag_value").alias("tag_value")
     )
     return long.where(F.col("tag_value").isNotNull() & (F.col("tag_value") != F.lit("")))
 
@@ -135,25 +144,31 @@ def _bitmap_layout(located: DataFrame) -> DataFrame:
 
 
 def _hybrid_layout(located: DataFrame, sparse_max: int) -> DataFrame:
-    """One shuffle of raw positions, then list or bitmap per group.
+    """One shuffle of positions, then a sorted id list or a bitmap per group.
 
-    ``repartition`` on the group key puts the exchange below the aggregate,
-    so no map-side partial bitmaps (4 KB per partial group) are built; the
-    aggregate then runs once per group after the shuffle and keeps whichever
-    form fits. A group holds at most 32768 positions.
+    Positions are collected per group (at most 32768); groups of up to
+    ``sparse_max`` ids keep the list, larger ones are re-aggregated into a
+    bitmap. Both branches read the same shuffle (Spark reuses the exchange)
+    and the re-aggregation needs none of its own, since the rows are already
+    partitioned by the group key. Small groups never allocate a bitmap.
     """
-    grouped = (
-        located.repartition(*GROUP_KEYS)
-        .groupBy(*GROUP_KEYS)
-        .agg(construct_agg(F.col("pos")).alias("bitmap"), F.collect_set("pos").alias("positions"))
-    )
+    grouped = located.groupBy(*GROUP_KEYS).agg(F.collect_set("pos").alias("positions"))
     n = F.size("positions")
-    ids = F.array_sort(F.transform("positions", lambda p: bucket_base(F.col("bucket")) + p))
-    return grouped.select(
+    sparse = grouped.where(n <= sparse_max).select(
         *GROUP_KEYS,
-        F.when(n > sparse_max, F.col("bitmap")).alias("uids"),
-        F.when(n <= sparse_max, ids).alias("uid_list"),
+        F.lit(None).cast(T.BinaryType()).alias("uids"),
+        F.array_sort(
+            F.transform("positions", lambda p: bucket_base(F.col("bucket")) + p)
+        ).alias("uid_list"),
+    )
+    dense = (
+        grouped.where(n > sparse_max)
+        .select(*GROUP_KEYS, F.explode("positions").alias("pos"))
+        .groupBy(*GROUP_KEYS)
+        .agg(construct_agg(F.col("pos")).alias("uids"))
+        .withColumn("uid_list", F.lit(None).cast(T.ArrayType(T.LongType())))
     )
+    return sparse.unionByName(dense)
 
 
 def _dense(stats: DataFrame, min_ids_per_group: int) -> list[str]:
