@@ -19,6 +19,7 @@ import sys
 from tagweave.plans import jobs
 from tagweave.session import get_session
 from tagweave.sources.catalog import Catalog
+from tagweave.sources.jdbc import text_column_types
 from tagweave.sources.store import ProfileStore
 from tagweave.sources.warehouse import register_parquet_views, use_database
 
@@ -49,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--drop-bad-uids", action="store_true")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver")
-    p.add_argument("--jdbc-create-options")
+    p.add_argument("--jdbc-create-options", help='e.g. "ENGINE = MergeTree() ORDER BY uid"')
+    p.add_argument("--jdbc-text-type", help="declare every wide column with this type, e.g. String")
     p.add_argument("--register", action="store_true", help="register tables in the catalog")
     a = p.parse_args(argv)
 
@@ -64,6 +66,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.jdbc_url:
         jdbc = {"url": a.jdbc_url, "driver": a.jdbc_driver,
                 "create_table_options": a.jdbc_create_options}
+        if a.jdbc_text_type:
+            columns = ["uid"] + [t["tag_code"].lower() for t in catalog.enabled_tag_rows()]
+            jdbc["create_table_column_types"] = text_column_types(columns, a.jdbc_text_type)
     options = jobs.BitmapOptions(
         layout=a.bitmap_layout, on_bad_uid="drop" if a.drop_bad_uids else "error"
     )

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tagweave.operators.export import cluster_by_uid
-from tagweave.sources.jdbc import jdbc_options
+from tagweave.sources.jdbc import jdbc_options, text_column_types
 
 
 def test_cluster_by_uid_gives_sorted_disjoint_ranges(spark):
@@ -26,3 +26,9 @@ def test_jdbc_writer_options():
     assert opts["numPartitions"] == "4"
     assert opts["dbtable"] == "user_tag_merge_20240115"
     assert opts["createTableOptions"].endswith("ORDER BY uid")
+
+
+def test_jdbc_text_column_types():
+    types = text_column_types(["uid", "tag_a"])
+    assert types == "uid String, tag_a String"
+    assert jdbc_options(url="u", table="t", create_table_column_types=types)["createTableColumnTypes"] == types
