@@ -1,11 +1,11 @@
 """Profile store: date-partitioned tag tables, dated wide tables, bitmap tables.
 
 Every table is a Parquet folder under one root on shared storage. A dated
-slice lives in ``<table>/dt=<yyyy-MM-dd>`` and is replaced as a whole by
-overwriting exactly that folder, so a rerun leaves the same table, other
-dates are kept, and a run with no rows leaves the slice empty. Readers give
-an explicit schema (``dt`` stays text) and filter on ``dt``, which Spark
-turns into partition pruning.
+slice lives in ``<table>/dt=<yyyy-MM-dd>`` and is replaced as a whole (written
+to a staging folder, then swapped in), so a rerun leaves the same table,
+other dates are kept, a run with no rows leaves the slice empty, and a failed
+run leaves the previous slice. Readers give an explicit schema (``dt`` stays
+text) and list only the slice folder they need.
 """
 
 from __future__ import annotations
