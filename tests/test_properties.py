@@ -43,6 +43,6 @@ def test_rerunning_a_day_leaves_the_same_tables(spark, warehouse, store):
 
     jobs.run_day(spark, cat, store, EXECUTE_DATE)
     first = snapshot()
-    jobs.run_day(spark, cat, store, EXECUTE_DATE)  # second run: auto routing now has statistics
+    jobs.run_day(spark, cat, store, EXECUTE_DATE)  # same date again
     assert snapshot() == first
     assert first[0] == first[1]
