@@ -85,3 +85,17 @@ def test_unpivot_of_pivot_gives_back_the_cells(spark):
 
     back = {(r.uid, r.tag_code.upper()): r.tag_value for r in unpivot_tags(wide, [c.lower() for c in codes]).collect()}
     assert back == cells
+
+
+def test_day_with_no_enabled_tag(spark, store):
+    from tagweave.plans import jobs
+
+    from .conftest import mini_catalog
+
+    cat = mini_catalog(spark, [(1, "TAG_OFF", "3", "select 1 uid, 2 query_value")], statuses={1: "0"})
+    jobs.run_day(spark, cat, store, "2024-01-15")
+    wide = store.read_wide("2024-01-15")
+    assert wide.columns == ["uid"] and wide.count() == 0
+    assert spark.read.parquet(store.export_path("2024-01-15")).count() == 0
+    for code in "1234":
+        assert jobs.read_bitmaps(store, code, "2024-01-15").count() == 0
