@@ -47,6 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--store-root", help="shared folder of the profile database")
     p.add_argument("--database", default="user_profile")
     p.add_argument("--bitmap-layout", default="auto", choices=["auto", "hybrid", "bitmap"])
+    p.add_argument("--bitmap-sparse-max", type=int, default=512, help="largest group kept as an id list")
+    p.add_argument("--bitmap-first-run-scan", action="store_true",
+                   help="auto layout: decide a first date from a statistics scan")
     p.add_argument("--drop-bad-uids", action="store_true")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver")
@@ -70,7 +73,10 @@ def main(argv: list[str] | None = None) -> int:
             columns = ["uid"] + [t["tag_code"].lower() for t in catalog.enabled_tag_rows()]
             jdbc["create_table_column_types"] = text_column_types(columns, a.jdbc_text_type)
     options = jobs.BitmapOptions(
-        layout=a.bitmap_layout, on_bad_uid="drop" if a.drop_bad_uids else "error"
+        layout=a.bitmap_layout,
+        on_bad_uid="drop" if a.drop_bad_uids else "error",
+        sparse_max=a.bitmap_sparse_max,
+        first_run_scan=a.bitmap_first_run_scan,
     )
     if a.job == "tag":
         jobs.run_tag_job(spark, catalog, store, a.task_id, a.execute_date)
