@@ -1,7 +1,7 @@
 """Streaming.
 
-Every job of the profile pipeline is a one-shot batch run for an execute
+Every profile job is a one-shot batch run for an execute
 date; there is no stream, watermark or state to carry. This package is kept
 empty on purpose: the batch jobs in :mod:`tagweave.plans.jobs` are the
-whole pipeline.
+whole workload.
 """
