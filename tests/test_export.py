@@ -32,3 +32,17 @@ def test_jdbc_text_column_types():
     types = text_column_types(["uid", "tag_a"])
     assert types == "uid String, tag_a String"
     assert jdbc_options(url="u", table="t", create_table_column_types=types)["createTableColumnTypes"] == types
+
+
+def test_jdbc_paths_reach_the_jdbc_layer(spark):
+    """Without a database: both JDBC paths get as far as driver lookup."""
+    import pytest
+
+    from tagweave.sources.catalog import Catalog
+    from tagweave.sources.jdbc import write_jdbc
+
+    df = spark.createDataFrame([("1", "a")], "uid string, tag_a string")
+    with pytest.raises(Exception, match="(?i)no suitable driver"):
+        write_jdbc(df, url="jdbc:tagweave-none://nowhere/db", table="user_tag_merge_20240115")
+    with pytest.raises(Exception, match="(?i)no suitable driver"):
+        Catalog.from_jdbc(spark, "jdbc:tagweave-none://nowhere/meta")
