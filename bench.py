@@ -84,7 +84,12 @@ def run(spark, sf_dir: str, timings: dict | None) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(f"local[{cpus}]", app_name="tagweave-bench", shuffle_partitions=int(cpus))
+    conf = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times, see tools/eventlog_summary.py
+        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = get_session(
+        f"local[{cpus}]", app_name="tagweave-bench", shuffle_partitions=int(cpus), conf=conf
+    )
     if os.path.isdir(WARMUP_DIR) and os.path.abspath(sf_dir) != WARMUP_DIR:
         run(spark, WARMUP_DIR, None)  # JIT / class loading, not timed
     passes = int(os.environ.get("BENCH_PASSES", "3"))

@@ -107,6 +107,23 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def _local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Small driver-side rows as a local relation.
+
+    Built from a pandas frame (object columns keep ``None`` as NULL), which
+    Spark plans as a ``LocalRelation`` when Arrow is on: lookups on it need
+    no cluster job. Without Arrow it is an ordinary scan; results are equal.
+    """
+    import pandas as pd
+
+    names = schema.fieldNames()
+    if rows:
+        pdf = pd.DataFrame(rows, columns=names, dtype=object)
+    else:
+        pdf = pd.DataFrame({n: pd.Series([], dtype=object) for n in names})
+    return spark.createDataFrame(pdf, schema)
+
+
 def _rows(records: Iterable[Mapping[str, Any]], schema: T.StructType) -> list[tuple]:
     names = schema.fieldNames()
     out = []
@@ -137,9 +154,9 @@ class Catalog:
         rules: Iterable[Mapping[str, Any]] = (),
     ) -> Catalog:
         return cls(
-            spark.createDataFrame(_rows(tags, TAG_INFO_SCHEMA), TAG_INFO_SCHEMA),
-            spark.createDataFrame(_rows(tasks, TASK_INFO_SCHEMA), TASK_INFO_SCHEMA),
-            spark.createDataFrame(_rows(rules, TASK_TAG_RULE_SCHEMA), TASK_TAG_RULE_SCHEMA),
+            _local_frame(spark, _rows(tags, TAG_INFO_SCHEMA), TAG_INFO_SCHEMA),
+            _local_frame(spark, _rows(tasks, TASK_INFO_SCHEMA), TASK_INFO_SCHEMA),
+            _local_frame(spark, _rows(rules, TASK_TAG_RULE_SCHEMA), TASK_TAG_RULE_SCHEMA),
         )
 
     @classmethod
