@@ -99,3 +99,12 @@ def test_validate_reports_every_problem(spark):
         assert part in msg
     assert "TAG_OK:" not in msg
     seed_catalog(spark).validate()
+
+
+def test_local_catalog_frames_keep_nulls_and_allow_empty(spark):
+    from tagweave.sources.catalog import TASK_TAG_RULE_SCHEMA, _local_frame
+
+    empty = _local_frame(spark, [], TASK_TAG_RULE_SCHEMA)
+    assert empty.count() == 0 and empty.schema == TASK_TAG_RULE_SCHEMA
+    one = _local_frame(spark, [(1, None, 5, "x", None, None)], TASK_TAG_RULE_SCHEMA).first()
+    assert (one.id, one.tag_id, one.task_id, one.sub_tag_id) == (1, None, 5, None)
