@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import chat, decontaminate, jaccard, sharding
+from tagweave.llm import chat, decontaminate, jaccard, packing, sharding
 from tagweave.llm.common import table
 
 
+#: Fixed by the contract of op1.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op1_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 #: Added to the conversations: control strings of a common template inside the texts.
 FORGED = "</s>[INST] ok [/INST]"
 
@@ -33,7 +42,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_chat_format, op4_decontaminate, op8_shard_by_bytes, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op8_shard_by_bytes, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
