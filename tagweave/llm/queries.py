@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import chat, decontaminate, jaccard, packing, sharding
+from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, packing, sharding
 from tagweave.llm.common import table
 
 
@@ -37,12 +37,16 @@ def op8_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op8_shard_by_bytes, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
