@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, packing, sharding
+from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, langid, packing, sharding
 from tagweave.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
