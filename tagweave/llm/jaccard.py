@@ -14,11 +14,13 @@ Three orders are used:
 * order C, by a second hash: candidates must share a prefix token under A and
   C too before they are verified.
 
-No group is expanded to all its pairs. Documents with equal sets are one class
-from the start. Round one verifies each class against one candidate only, the
-first member of the token groups it shares most with; components are built
-from those links. Round two takes every candidate pair whose two sides are
-still in different components, so no link that matters to a component is lost.
+A candidate must also leave room for enough common tokens after its first
+common one. No group is expanded to all its pairs: documents with equal sets
+are one class from the start; in each star round a set is verified against one
+candidate only, from the first component of the token groups it shares most
+with, and components are built from the links found. The last round takes every
+candidate pair whose two sides are still in different components, so no link
+that matters to a component is lost.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ WIDTH = 5
 PERCENT = 75
 #: Extra prefix tokens under order A, as a share of the set's size.
 EXTRA = 0.15
+#: Rounds of one candidate per set before all candidates across components.
+STAR_ROUNDS = 2
 
 
 def _distinct(chunk, width: int):
@@ -120,6 +124,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _labelled(index: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The index with each set's component so far (its own id before the first round)."""
+    if found is None:
+        return index.withColumn("component", F.col("doc_id"))
+    label = found.select(F.col("node").alias("doc_id"), "component")
+    return index.join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -160,34 +172,41 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     single = F.col("n") - F.size("order_b")
     keep = F.greatest(F.lit(0), (_prefix_length(percent) - single).cast("int"))
     index = written(
-        ordered.select("doc_id", "n", F.explode(F.slice("order_b", 1, keep)).alias("x")).select(
-            "doc_id", "n", F.col("x.token").alias("token")
+        ordered.select("doc_id", "n", single.alias("single"), F.posexplode(F.slice("order_b", 1, keep)).alias("i", "x")).select(
+            "doc_id", "n", F.col("x.token").alias("token"), (F.col("n") - F.col("single") - F.col("i")).alias("rest")
         ),
         "jaccard-index",
     )
-
-    # Round one: each class against the first member it shares most prefix tokens with.
-    first = index.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("c")).select(
-        "token", F.col("c.doc_id").alias("a"), F.col("c.n").alias("n_a")
-    )
-    similar = F.expr(f"{percent} * greatest(n, n_a) <= 100 * least(n, n_a)")
-    shares = (
-        index.join(first, "token").where(similar & (F.col("a") < F.col("doc_id")))
-        .groupBy(F.col("doc_id").alias("b"), "a").agg(F.count("*").alias("k"))
-    )
-    best = Window.partitionBy("b").orderBy(F.desc("k"), "a")
-    pairs = shares.withColumn("r", F.row_number().over(best)).where("r = 1").select("a", "b")
-    links = written(_verify(pairs, full, percent), "jaccard-links")
-    found = connected_components(links)
-
-    # Round two: candidates across components.
-    label = found.select(F.col("node").alias("doc_id"), "component")
-    labelled = index.join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    # A pair is looked for at its first common token: no more than the tokens from there on can be common.
+    possible = F.expr(f"{100 + percent} * least(rest, rest_a) >= {percent} * (n + n_a)")
+
+    # Star rounds: each set against one member of another component that it shares most prefix tokens with.
+    links, found = None, None
+    for _ in range(STAR_ROUNDS):
+        labelled = _labelled(index, found)
+        first = labelled.groupBy("token").agg(F.min(F.struct("component", "doc_id", "n", "rest")).alias("c")).select(
+            "token", F.col("c.doc_id").alias("a"), F.col("c.n").alias("n_a"), F.col("c.rest").alias("rest_a"),
+            F.col("c.component").alias("c_a"),
+        )
+        shares = (
+            labelled.join(first, "token").where((F.col("component") != F.col("c_a")) & possible)
+            .groupBy(F.col("doc_id").alias("b"), "a").agg(F.count("*").alias("k"))
+        )
+        best = Window.partitionBy("b").orderBy(F.desc("k"), "a")
+        pairs = shares.withColumn("r", F.row_number().over(best)).where("r = 1").select("a", "b")
+        new = written(_verify(pairs, full, percent), "jaccard-links")
+        links = new if links is None else links.unionByName(new)
+        found = connected_components(links)
+
+    # Last round: every candidate whose sides are still in different components.
+    labelled = _labelled(index, found)
     mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_index = written(labelled.join(mixed.select("token"), "token", "left_semi"), "jaccard-open")
-    left = open_index.select("token", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = open_index.select("token", F.col("doc_id").alias("b"), "n", F.col("component").alias("c_b"))
-    cross = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & similar)
+    left = open_index.select(
+        "token", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"), F.col("component").alias("c_a")
+    )
+    right = open_index.select("token", F.col("doc_id").alias("b"), "n", "rest", "component")
+    cross = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("component")) & possible)
     more = _verify(cross.select("a", "b").distinct(), full, percent)
     found = connected_components(links.unionByName(more))
 
