@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, langid, packing, sharding, suffix_dedup
+from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, langid, lm, packing, sharding, suffix_dedup
 from tagweave.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_strings(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
