@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, langid, lm, packing, sharding, suffix_dedup
+from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, langid, lm, packing, search, sharding, suffix_dedup
 from tagweave.llm.common import table
 
 
@@ -19,6 +20,13 @@ def op1_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 50 is a query, whole, against all documents."""
+    docs = table(spark, sf_dir, "documents")
+    queries = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(queries, docs)
+
+
 #: Added to the conversations: control strings of a common template inside the texts.
 FORGED = "</s>[INST] ok [/INST]"
 
@@ -58,7 +66,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_pack, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -56,8 +56,7 @@ def rows_of(seed):
 
 
 @pytest.mark.parametrize(("seed", "hot"), [(1, 50_000), (2, 3)])
-def test_planted_repeats(spark, docs_dir, monkeypatch, seed, hot):
-    monkeypatch.setattr(suffix_dedup, "BATCH_WINDOWS", 200)
+def test_planted_repeats(spark, docs_dir, seed, hot):
     rows = rows_of(seed)
     docs = spark.read.parquet(docs_dir(rows) + "/documents.parquet")
     assert result(remove_repeated_strings(docs, hot_runs=hot)) == brute({d: t for d, t, _ in rows})
@@ -74,3 +73,16 @@ def test_long_text_in_blocks(monkeypatch):
         _, start, size, _, _ = suffix_dedup.runs_of(part, offsets)
         windows += [s + shift + i for s, n in zip(start, size, strict=True) for i in range(n)]
     assert windows == list(range(4901))
+
+
+def test_family_levels(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LENGTH", 3)
+    rng = np.random.default_rng(2)
+    family, seen = suffix_dedup.SuffixFamily(), set()
+    for _ in range(60):
+        keys = np.array([bytes(x) for x in rng.integers(97, 105, (rng.integers(1, 40), 3)).astype(np.uint8)], dtype="S3")
+        for k, again in zip(keys.tolist(), family.add(keys).tolist(), strict=True):
+            assert again == (k in seen)
+            seen.add(k)
+        sizes = [len(x) for x in family.levels]
+        assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:], strict=False)) and sum(sizes) == len(seen)
