@@ -24,13 +24,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def semi_join(big: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows of ``big`` whose ``on`` is in ``keys`` (a written, narrow table of distinct keys).
+def semi_join(big: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``big`` whose ``on`` is in ``keys``, or with ``how="left_anti"`` is not.
 
-    The keys are counted first: few enough and they are broadcast, so ``big``
-    is not shuffled; beyond that Spark's shuffled join takes over.
+    ``keys`` is a written, narrow table of distinct keys, counted first: few
+    enough and they are broadcast, so ``big`` is not shuffled; beyond that
+    Spark's shuffled join takes over.
     """
     keys = keys.select(on)
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    return big.join(keys, on, "left_semi")
+    return big.join(keys, on, how).select(big.columns)
