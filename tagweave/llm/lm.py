@@ -10,9 +10,8 @@ p(token | class) comes from the counts of all training words, (c + 1) /
 
 Counting covers every training text. The softmax weights start at the class
 frequencies and are trained by distributed gradient updates: in each round
-every task runs mini-batch AdaGrad over its texts from the shared weights, on a
-hashed ``GRADIENT_SHARE`` of all positions, and each weight row is averaged over
-tasks by how often it was used. The counts of the ``HEAD`` most frequent words
+every task runs mini-batch AdaGrad over all its texts from the shared weights,
+and each weight row is averaged over tasks by how often it was used. The counts of the ``HEAD`` most frequent words
 and the weights are broadcast (bounded by these parameters); counts of rarer
 words are joined, which no frequent word can skew.
 """
@@ -38,7 +37,8 @@ CLASSES = 1 + TOP_CLASSES + SUFFIX_CLASSES
 ROWS = (4096, 4096, 8192)
 BIAS = sum(ROWS)
 ROUNDS = 1
-GRADIENT_SHARE = 0.25
+#: Share of positions, chosen by hash, that a round takes gradients of (1: all).
+GRADIENT_SHARE = 1.0
 MINI_BATCH = 4096
 RATE = 0.1
 #: Hash of the token that ends every text.
@@ -140,7 +140,7 @@ def gradient_step(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, f:
 
 def _train(model, share: float):
     """(block, used, weights): one task's weights after its texts, in blocks of rows."""
-    limit = _U64(int(share * (1 << 32)))
+    limit = _U64(round(share * (1 << 32)))
 
     def run(batches):
         m = model.value

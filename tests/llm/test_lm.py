@@ -39,7 +39,6 @@ def same(rows, want):
 
 def test_whole_table_and_held_out_gain(spark, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 500)
-    monkeypatch.setattr(lm, "GRADIENT_SHARE", 1.0)
     rows = op6_lm_score(spark, SF_BIG).collect()
     same(rows, base(texts_of(spark, SF_BIG)))
     held = [r for r in rows if r["held_out"]]
