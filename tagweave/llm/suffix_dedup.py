@@ -109,10 +109,17 @@ def _compress(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.binary())], names=["doc_id", "z"])
 
 
+def _slices(batches, rows: int = 500):
+    """Smaller batches, so that a batch's Python objects stay few."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _extract(batches):
     """The bytes of the listed runs of every document."""
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in _slices(batches):
         ids, starts, sizes, anchors, texts = [], [], [], [], []
         for doc_id, z, wanted in zip(batch["doc_id"].to_pylist(), batch["z"], batch["runs"], strict=True):
             data = unpack.decompress(z.as_py())
@@ -209,7 +216,7 @@ def _window_hashes(batches):
 def _finish(batches):
     """Counts and digest of what is left of every document."""
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in _slices(batches):
         rows = []
         for doc_id, z, spans in zip(batch["doc_id"].to_pylist(), batch["z"], batch["spans"], strict=True):
             data = unpack.decompress(z.as_py())
