@@ -1,14 +1,17 @@
 """Command line: the four jobs with the arguments ``task_id execute_date``.
 
     spark-submit --py-files tagweave.zip -m tagweave tag    3 2024-01-15 \\
-        --catalog parquet:/meta --warehouse-db gmall
+        --catalog parquet:/meta --hive --warehouse-db dw
     python -m tagweave merge  0 2024-01-15 --catalog jdbc:mysql://h/meta ...
     python -m tagweave export 0 2024-01-15 [--jdbc-url ... --jdbc-driver ...]
     python -m tagweave bitmap 0 2024-01-15
     python -m tagweave day    0 2024-01-15      # all of the above
 
 As in the original jobs, only ``tag`` uses the task id; the others take it
-and ignore it. The store root defaults to ``<spark.checkpoint.dir>/tagweave``.
+and ignore it. On a cluster the store's folder is named by ``--store-root`` or
+``spark.tagweave.store.dir``. Without ``--hive`` the catalog lives in the process:
+``--warehouse-db`` then finds only what the cluster's own settings provide, and
+``--register`` lasts as long as the job.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ import sys
 from tagweave.plans import jobs
 from tagweave.session import get_session
 from tagweave.sources.catalog import Catalog
-from tagweave.sources.jdbc import text_column_types
 from tagweave.sources.store import ProfileStore
 from tagweave.sources.warehouse import register_parquet_views, use_database
 
@@ -54,11 +56,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-create-options", help='e.g. "ENGINE = MergeTree() ORDER BY uid"')
-    p.add_argument("--jdbc-text-type", help="declare every wide column with this type, e.g. String")
+    p.add_argument("--export-partitions", type=int, help="writers of the export, to files or JDBC")
+    p.add_argument("--hive", action="store_true", help="use the cluster's Hive catalog")
     p.add_argument("--register", action="store_true", help="register tables in the catalog")
     a = p.parse_args(argv)
 
-    spark = get_session(app_name=f"tagweave_{a.job}")
+    spark = get_session(app_name=f"tagweave_{a.job}", hive=a.hive)
     if a.warehouse_parquet:
         register_parquet_views(spark, a.warehouse_parquet)
     elif a.warehouse_db:
@@ -69,9 +72,6 @@ def main(argv: list[str] | None = None) -> int:
     if a.jdbc_url:
         jdbc = {"url": a.jdbc_url, "driver": a.jdbc_driver,
                 "create_table_options": a.jdbc_create_options}
-        if a.jdbc_text_type:
-            columns = ["uid"] + [t["tag_code"].lower() for t in catalog.enabled_tag_rows()]
-            jdbc["create_table_column_types"] = text_column_types(columns, a.jdbc_text_type)
     options = jobs.BitmapOptions(
         layout=a.bitmap_layout,
         on_bad_uid="drop" if a.drop_bad_uids else "error",
@@ -83,11 +83,11 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "merge":
         jobs.run_merge_job(spark, catalog, store, a.execute_date)
     elif a.job == "export":
-        jobs.run_export_job(spark, catalog, store, a.execute_date, jdbc=jdbc)
+        jobs.run_export_job(spark, catalog, store, a.execute_date, jdbc=jdbc, num_partitions=a.export_partitions)
     elif a.job == "bitmap":
         jobs.run_bitmap_job(spark, catalog, store, a.execute_date, options)
     else:
-        jobs.run_day(spark, catalog, store, a.execute_date, options, jdbc=jdbc)
+        jobs.run_day(spark, catalog, store, a.execute_date, options, jdbc=jdbc, export_partitions=a.export_partitions)
     if a.register:
         jobs.register_tables(catalog, store, a.execute_date)
     return 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 
 from pyspark.sql import types as T
@@ -40,7 +41,7 @@ VALUE_TYPES: dict[str, T.DataType] = {
 MATCH_EXACT = "exact"
 MATCH_PREDICATE = "predicate"
 
-_DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
+_DATE_RE = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
 
 
 class CatalogError(ValueError):
@@ -63,9 +64,10 @@ def bitmap_table(code: str | None) -> str:
 
 
 def check_date(execute_date: str) -> str:
-    """Execute dates are pasted into SQL text and paths: allow yyyy-MM-dd only."""
-    if not isinstance(execute_date, str) or not _DATE_RE.match(execute_date):
+    """Execute dates are pasted into SQL text and paths: allow real yyyy-MM-dd dates only."""
+    if not isinstance(execute_date, str) or not _DATE_RE.fullmatch(execute_date):
         raise ValueError(f"execute date must be yyyy-MM-dd, got {execute_date!r}")
+    datetime.date.fromisoformat(execute_date)
     return execute_date
 
 

@@ -43,10 +43,6 @@ def construct_agg(position: Column) -> Column:
     return F.call_function("bitmap_construct_agg", position)
 
 
-def bitmap_count(bitmap: Column) -> Column:
-    return F.call_function("bitmap_count", bitmap)
-
-
 # Bitmaps expanded per output batch: 64 x 32768 ids at most (16 MB of ids).
 EXPAND_ROWS_PER_BATCH = 64
 
@@ -77,3 +73,43 @@ def expand_bitmap_batches(batches, key_names):
             cols = [chunk.column(name).take(take) for name in key_names]
             uid = pa.array(base[rows] + pos.astype(np.int64), type=pa.int64())
             yield pa.RecordBatch.from_arrays([*cols, uid], names=[*key_names, "uid"])
+
+
+def store_batches(batches, key_names, sparse_max):
+    """``mapInArrow`` body: (keys..., uids | positions) -> (keys..., n, uids, uid_list).
+
+    A group of at most ``sparse_max`` ids becomes its sorted id list, a larger
+    one its bitmap, whichever of the two forms it came in.
+    """
+    import pyarrow as pa
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, EXPAND_ROWS_PER_BATCH * 16):
+            chunk = batch.slice(start, EXPAND_ROWS_PER_BATCH * 16)
+            given = chunk.schema.names[-1]
+            counts, blobs, lists = [], [], []
+            for bucket, group in zip(chunk.column("bucket").to_pylist(), chunk.column(given), strict=True):
+                if given == "uids":
+                    bits = np.unpackbits(np.frombuffer(group.as_py(), dtype=np.uint8), bitorder="little")
+                    pos = np.flatnonzero(bits)
+                else:
+                    pos = np.sort(np.asarray(group.values, dtype=np.int64))
+                counts.append(len(pos))
+                if len(pos) <= sparse_max:
+                    base = 0 if bucket == 0 else (bucket - 1) * BUCKET_BITS + 1
+                    blobs.append(None)
+                    lists.append(pos + base)
+                else:
+                    bits = np.zeros(BUCKET_BITS, dtype=np.uint8)
+                    bits[pos] = 1
+                    blobs.append(np.packbits(bits, bitorder="little").tobytes())
+                    lists.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[chunk.column(k) for k in key_names],
+                    pa.array(counts, pa.int64()),
+                    pa.array(blobs, pa.binary()),
+                    pa.array(lists, pa.list_(pa.int64())),
+                ],
+                names=[*key_names, "n", "uids", "uid_list"],
+            )

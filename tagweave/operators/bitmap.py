@@ -1,21 +1,25 @@
 """Bitmap job: wide table -> (tag, value) pairs -> uid bitmap per pair.
 
 Per value type (long, decimal, string, date) one table
-``tag_code, tag_value <T>, bucket, uids, uid_list, dt`` holds, for every
+``tag_code, tag_value <T>, bucket, n, uids, uid_list, dt`` holds, for every
 (tag, value), the set of uids that have it, split by 32768-id buckets:
 
-* ``uids``     - Spark's 4096-byte bitmap of the bucket (dense groups);
-* ``uid_list`` - the sorted ids themselves, for groups of at most
-  ``sparse_max`` ids (the default 512 ids x 8 bytes = one bitmap).
+* ``n``        - how many ids the row holds;
+* ``uids``     - Spark's 4096-byte bitmap of the bucket, for groups of more than
+  ``sparse_max`` ids (the default 512 ids x 8 bytes = one bitmap);
+* ``uid_list`` - the sorted ids themselves, for smaller groups.
 
-Exactly one of the two is set. Layouts:
+Exactly one of the two is set, decided by the group's ids alone: the same input
+gives the same rows whatever the route or the store's history. States of several
+dates or slices are united with :func:`merge_states`.
 
-* ``bitmap`` - every group is a bitmap, aggregated with map-side partial
-  bitmaps: on uid-clustered input a dense value costs ~1 bit per uid in the
-  shuffle, but a value held by one uid costs a whole 4 KB bitmap;
-* ``hybrid`` - positions are shuffled once (~8 bytes per uid) and each group
-  then keeps a sorted list or, above ``sparse_max`` ids, a bitmap: right for
-  tags whose values are nearly unique per uid (a spend amount, a date);
+Routes to the same rows (``layout``):
+
+* ``bitmap`` - aggregated as bitmaps, with map-side partial bitmaps: on
+  uid-clustered input a dense value costs ~1 bit per uid in the shuffle, but a
+  value held by one uid costs a whole 4 KB bitmap there;
+* ``hybrid`` - positions are shuffled once (~8 bytes per uid): right for tags
+  whose values are nearly unique per uid (a spend amount, a date);
 * ``auto`` (default) - per-tag statistics (ids and (value, bucket) groups,
   one row per tag to the driver) send a tag to ``bitmap`` when its bitmaps
   would be well filled on average and to ``hybrid`` otherwise. Groups, not
@@ -35,14 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.codes import BITMAP_TABLES, CatalogError, value_type
+from tagweave.codes import BITMAP_TABLES, TYPE_STRING, CatalogError, value_type
 from tagweave.functions.bitmap import (
     bit_position,
-    bitmap_count,
     bucket_base,
     bucket_number,
     construct_agg,
     expand_bitmap_batches,
+    store_batches,
 )
 
 GROUP_KEYS = ["tag_code", "tag_value", "bucket"]
@@ -55,6 +59,7 @@ def bitmap_schema(type_code: str) -> T.StructType:
             T.StructField("tag_code", T.StringType()),
             T.StructField("tag_value", value_type(type_code)),
             T.StructField("bucket", T.LongType()),
+            T.StructField("n", T.LongType()),
             T.StructField("uids", T.BinaryType()),
             T.StructField("uid_list", T.ArrayType(T.LongType())),
         ]
@@ -76,9 +81,7 @@ def unpivot_tags(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(uid, tag_code, tag_value)`` per non-empty cell of ``columns``.
 
     ``explode`` of an array of (code, value) structs over each wide row: no
-    shuffle. (A Generate, unlike the Expand of ``DataFrame.unpivot``, keeps
-    plans above it canonically equal, so the hybrid layout's two branches
-    share one shuffle.) Empty text and NULL are the same "no value" state and
+    shuffle. Empty text and NULL are the same "no value" state and
     are dropped here, before any cast.
     """
     columns = list(columns)
@@ -136,39 +139,22 @@ def typed_value(pairs: DataFrame, type_code: str) -> DataFrame:
 DENSE_MIN_IDS_PER_GROUP = 2048
 
 
-def _bitmap_layout(located: DataFrame) -> DataFrame:
-    return located.groupBy(*GROUP_KEYS).agg(
-        construct_agg(F.col("pos")).alias("uids"),
-        F.lit(None).cast(T.ArrayType(T.LongType())).alias("uid_list"),
-    )
+def _stored(groups: DataFrame, sparse_max: int) -> DataFrame:
+    """Groups in their stored form (n, bitmap or id list), in Arrow batches, without a shuffle."""
+    keys = [groups.schema[k] for k in GROUP_KEYS]
+    schema = T.StructType([*keys, *[f for f in bitmap_schema(TYPE_STRING).fields if f.name in ("n", "uids", "uid_list")]])
+    return groups.mapInArrow(lambda batches: store_batches(batches, GROUP_KEYS, sparse_max), schema)
 
 
-def _hybrid_layout(located: DataFrame, sparse_max: int) -> DataFrame:
-    """One shuffle of positions, then a sorted id list or a bitmap per group.
+def _bitmap_layout(located: DataFrame, sparse_max: int) -> DataFrame:
+    groups = located.groupBy(*GROUP_KEYS).agg(construct_agg(F.col("pos")).alias("uids"))
+    return _stored(groups, sparse_max)
 
-    Positions are collected per group (at most 32768); groups of up to
-    ``sparse_max`` ids keep the list, larger ones are re-aggregated into a
-    bitmap. Both branches read the same shuffle (Spark reuses the exchange)
-    and the re-aggregation needs none of its own, since the rows are already
-    partitioned by the group key. Small groups never allocate a bitmap.
-    """
-    grouped = located.groupBy(*GROUP_KEYS).agg(F.collect_set("pos").alias("positions"))
-    n = F.size("positions")
-    sparse = grouped.where(n <= sparse_max).select(
-        *GROUP_KEYS,
-        F.lit(None).cast(T.BinaryType()).alias("uids"),
-        F.array_sort(
-            F.transform("positions", lambda p: bucket_base(F.col("bucket")) + p)
-        ).alias("uid_list"),
-    )
-    dense = (
-        grouped.where(n > sparse_max)
-        .select(*GROUP_KEYS, F.explode("positions").alias("pos"))
-        .groupBy(*GROUP_KEYS)
-        .agg(construct_agg(F.col("pos")).alias("uids"))
-        .withColumn("uid_list", F.lit(None).cast(T.ArrayType(T.LongType())))
-    )
-    return sparse.unionByName(dense)
+
+def _hybrid_layout(located: DataFrame, sparse_max: int) -> DataFrame:
+    """One shuffle of positions and one aggregate per group (at most 32768 ids)."""
+    groups = located.groupBy(*GROUP_KEYS).agg(F.collect_set("pos").alias("positions"))
+    return _stored(groups, sparse_max)
 
 
 def _dense(stats: DataFrame, min_ids_per_group: int) -> list[str]:
@@ -197,11 +183,10 @@ def dense_from_bitmaps(
 ) -> list[str]:
     """``dense_tags`` from already built bitmap rows (e.g. a previous date).
 
-    Each stored row is one (value, bucket) group; only the compact bitmap
-    rows are read and one row per tag comes back.
+    Each stored row is one (value, bucket) group; only tag and count are read
+    and one row per tag comes back.
     """
-    ids = F.coalesce(bitmap_count(F.col("uids")), F.size("uid_list").cast("bigint"))
-    stats = bitmaps.groupBy("tag_code").agg(F.sum(ids).alias("n"), F.count("*").alias("groups"))
+    stats = bitmaps.groupBy("tag_code").agg(F.sum("n").alias("n"), F.count("*").alias("groups"))
     return _dense(stats, min_ids_per_group)
 
 
@@ -224,7 +209,7 @@ def build_bitmaps(
         bit_position(F.col("uid")).alias("pos"),
     )
     if layout == "bitmap":
-        return _bitmap_layout(located)
+        return _bitmap_layout(located, sparse_max)
     if layout == "hybrid":
         return _hybrid_layout(located, sparse_max)
     if layout != "auto":
@@ -235,7 +220,7 @@ def build_bitmaps(
     if not dense:
         return _hybrid_layout(located, sparse_max)
     is_dense = F.col("tag_code").isin(dense)
-    return _bitmap_layout(located.where(is_dense)).unionByName(
+    return _bitmap_layout(located.where(is_dense), sparse_max).unionByName(
         _hybrid_layout(located.where(~is_dense), sparse_max)
     )
 
@@ -277,27 +262,43 @@ def bitmap_slice(
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def merge_states(bitmaps: DataFrame, sparse_max: int = SPARSE_MAX) -> DataFrame:
+    """Union of states: one row per (tag, value, bucket) over all dates or slices given."""
+    return _hybrid_layout(_positions(bitmaps, GROUP_KEYS), sparse_max)
+
+
+def _one_state(bitmaps: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether each group has one row per key: a single date's rows carry no ``dt``."""
+    return "dt" not in bitmaps.columns or "dt" in keys
+
+
 def cardinality(bitmaps: DataFrame, keys: Sequence[str] = ("tag_code", "tag_value")) -> DataFrame:
-    """Number of distinct uids per (tag, value) (sum over buckets)."""
-    per_bucket = F.coalesce(bitmap_count(F.col("uids")), F.size("uid_list").cast("bigint"))
-    return bitmaps.groupBy(*keys).agg(F.sum(per_bucket).cast("bigint").alias("cardinality"))
+    """Number of distinct uids per (tag, value): the sum of ``n`` over buckets.
+
+    For one date only counts are read. Rows of several dates (with ``dt``, and
+    ``dt`` not among the keys) are united first, so a uid counts once.
+    """
+    states = bitmaps if _one_state(bitmaps, keys) else merge_states(bitmaps)
+    return states.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("cardinality"))
+
+
+def _positions(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., bucket, pos): every id stored, as often as it is stored."""
+    keys = list(dict.fromkeys([*keys, "bucket"]))
+    listed = bitmaps.where(F.col("uid_list").isNotNull()).select(*keys, F.explode("uid_list").alias("uid"))
+    dense = bitmaps.where(F.col("uids").isNotNull()).select(*keys, "uids")
+    schema = T.StructType([*[bitmaps.schema[k] for k in keys], T.StructField("uid", T.LongType())])
+    expanded = dense.mapInArrow(lambda batches: expand_bitmap_batches(batches, keys), schema)
+    return listed.unionByName(expanded).select(*keys, bit_position(F.col("uid")).alias("pos"))
 
 
 def decode(bitmaps: DataFrame, keys: Sequence[str] = ("tag_code", "tag_value")) -> DataFrame:
-    """One row per (tag, value, uid) stored in the bitmaps.
+    """One row per distinct (tag, value, uid) stored in the bitmaps.
 
     Id lists explode on the JVM; bitmaps expand in Arrow batches (Spark has
-    no built-in to list a bitmap's bits). No shuffle either way.
+    no built-in to list a bitmap's bits). No shuffle for one date; rows of
+    several dates are united first.
     """
-    keys = list(keys)
-    listed = bitmaps.where(F.col("uid_list").isNotNull()).select(
-        *keys, F.explode("uid_list").alias("uid")
-    )
-    dense = bitmaps.where(F.col("uids").isNotNull()).select(*keys, "bucket", "uids")
-    out_schema = T.StructType(
-        [bitmaps.schema[k] for k in keys] + [T.StructField("uid", T.LongType())]
-    )
-    expanded = dense.mapInArrow(
-        lambda batches: expand_bitmap_batches(batches, keys), out_schema
-    )
-    return listed.unionByName(expanded)
+    states = bitmaps if _one_state(bitmaps, keys) else merge_states(bitmaps)
+    found = _positions(states, keys)
+    return found.select(*keys, (bucket_base(F.col("bucket")) + F.col("pos")).alias("uid"))

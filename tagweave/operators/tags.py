@@ -17,7 +17,7 @@ from tagweave.codes import (
     CatalogError,
     value_type,
 )
-from tagweave.functions.labels import exact_label, predicate_label
+from tagweave.functions.labels import exact_label, predicate_label, rule_text
 from tagweave.functions.templating import render_sql
 
 # Up to this many exact rules the labels are a CASE chain inside the scan's
@@ -50,11 +50,10 @@ def run_tag_sql(spark: SparkSession, task_sql: str, execute_date: str) -> DataFr
 
 
 def passthrough(df: DataFrame) -> DataFrame:
-    """No rules: the SQL's first two columns are uid and value, by position."""
-    if len(df.columns) < 2:
-        raise CatalogError(f"tag SQL must return (uid, value); got columns {df.columns}")
-    first, second = df.columns[:2]
-    return df.select(F.col(f"`{first}`").alias("uid"), F.col(f"`{second}`").alias("query_value"))
+    """No rules: the SQL's two columns are uid and value, by position whatever their names."""
+    if len(df.columns) != 2:
+        raise CatalogError(f"tag SQL must return exactly (uid, value); got columns {df.columns}")
+    return df.toDF("uid", "query_value")
 
 
 def _require_contract(df: DataFrame) -> None:
@@ -86,21 +85,16 @@ def _label_exact_lookup(df: DataFrame, rules: Sequence[LabelRule], vtype: T.Data
     """Many exact rules: left join on a (key -> first label) lookup."""
     spark = df.sparkSession
     lookup = spark.createDataFrame(
-        [(r.rule_id, r.query_value, r.label) for r in rules],
+        [(r.rule_id, rule_text(r.query_value, vtype), r.label) for r in rules],
         "rule_id bigint, rule_value string, label string",
     )
-    key = (
-        F.col("rule_value")
-        if isinstance(vtype, T.StringType)
-        else F.col("rule_value").try_cast(vtype)
-    )
     lookup = (
-        lookup.select(key.alias("_key"), "rule_id", "label")
+        lookup.select(F.col("rule_value").try_cast(vtype).alias("_key"), "rule_id", "label")
         .where(F.col("_key").isNotNull())
         .groupBy("_key")
         .agg(F.min_by("label", "rule_id").alias("_label"))
     )
-    size = sum(len(r.query_value or "") + len(r.label or "") + 16 for r in rules)
+    size = sum(len((r.query_value or "").encode()) + len((r.label or "").encode()) + 16 for r in rules)
     if size <= RULE_BROADCAST_MAX_BYTES:
         lookup = F.broadcast(lookup)
     joined = df.join(lookup, F.col("query_value") == F.col("_key"), "left")
@@ -119,11 +113,18 @@ def label(df: DataFrame, rules: Sequence[LabelRule]) -> DataFrame:
 
 
 def cast_value(df: DataFrame, type_code: str) -> DataFrame:
-    """uid as text, value in the tag's catalog type."""
-    return df.select(
-        F.col("uid").cast(T.StringType()).alias("uid"),
-        F.col("query_value").cast(value_type(type_code)).alias("query_value"),
-    )
+    """uid as text, value in the tag's catalog type.
+
+    A value that the type cannot hold raises, whatever the ANSI setting.
+    """
+    target = value_type(type_code)
+    value = F.col("query_value")
+    typed = value.cast(target)
+    if not isinstance(target, T.StringType) and df.schema["query_value"].dataType != target:
+        parsed = value.try_cast(target)
+        message = F.concat(F.lit("tag value "), value.cast("string"), F.lit(f" is not {target.simpleString()}"))
+        typed = F.when(value.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
+    return df.select(F.col("uid").cast(T.StringType()).alias("uid"), typed.cast(target).alias("query_value"))
 
 
 def tag_frame(

@@ -1,9 +1,11 @@
 """Merge: UNION ALL of the enabled tags' slices, pivoted to one row per uid.
 
 Plan shape: one Parquet scan per tag (partition-pruned to ``dt = D``, only
-``uid, query_value`` read), a union, and a single aggregate keyed by uid -
-one shuffle for the whole merge, with map-side partial aggregation so a uid
-that repeats many times inside a tag collapses before the shuffle.
+``uid, query_value`` read), a union, and two narrow shuffles: ``max`` per
+(uid, tag), reduced on the map side, so a uid that repeats many times inside a
+tag collapses before anything gathers by uid; then at most one row per (uid,
+tag) by uid, where the pivot runs in the same stage. No shuffled row carries a
+column per tag, so bytes grow with the cells, not with tags times cells.
 """
 
 from __future__ import annotations
@@ -69,7 +71,8 @@ def pivot_tags(union: DataFrame, tag_codes: Sequence[str]) -> DataFrame:
     cols = wide_columns(tag_codes)
     if not tag_codes:
         return union.select("uid").limit(0)
-    pivoted = union.groupBy("uid").pivot("tag_code", list(tag_codes)).agg(F.max("query_value"))
+    cells = union.groupBy("uid", "tag_code").agg(F.max("query_value").alias("query_value"))
+    pivoted = cells.repartition("uid").groupBy("uid").pivot("tag_code", list(tag_codes)).agg(F.max("query_value"))
     return pivoted.select(
         "uid", *[F.col(f"`{code}`").alias(col) for code, col in zip(tag_codes, cols)]
     )
@@ -83,14 +86,15 @@ def build_wide(
 ) -> DataFrame:
     """Wide rows of a date from the stored tag slices of ``tags`` (id order).
 
-    A tag without a table is an error naming it; with ``missing_ok`` its
-    column is all NULL instead. The per-tag reads are only planned here
+    A tag without a table, or without a slice for the date (never computed),
+    is an error naming it; with ``missing_ok`` its column is all NULL instead.
+    A slice that was computed and has no rows is no error. The per-tag reads are only planned here
     (listing one folder each), a few at a time from driver threads.
     """
 
     def branch(tag):
         try:
-            rows = store.read_tag(tag["tag_code"], tag["tag_value_type"], execute_date)
+            rows = store.read_tag(tag["tag_code"], tag["tag_value_type"], execute_date, require_slice=True)
         except MissingTableError:
             if missing_ok:
                 return None

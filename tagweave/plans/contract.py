@@ -15,11 +15,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from tagweave.codes import BITMAP_TABLES, TYPE_DECIMAL, TYPE_STRING
+from tagweave.codes import BITMAP_TABLES, MATCH_EXACT, TYPE_DECIMAL, TYPE_STRING
 from tagweave.functions.templating import render_sql
 from tagweave.operators.bitmap import cardinality, decode, unpivot_tags
-from tagweave.operators.tags import build_tag
+from tagweave.operators.tags import LabelRule, build_tag, tag_frame
 from tagweave.operators.wide import build_wide, tag_branch, union_tags
 from tagweave.plans import jobs
 from tagweave.plans.seed import EXECUTE_DATE, SEED_TABLES, SEED_TAGS, seed_catalog
@@ -51,6 +52,15 @@ DORMANT_EVENT_SQL = (
 )
 # Two-tag catalog (decimal + string) for the bitmap slice clearing case.
 SLICE_TAGS = [t for t in SEED_TAGS if t[0] in (1, 3)]
+# A tag with rows and one whose SQL returns none for the date.
+EMPTY_TAGS = [SEED_TAGS[0], (8, "TAG_EVENT_COUNT", "1", "1", DORMANT_EVENT_SQL.replace("date_sub(cast('executeDate' as date), 30)", "cast('1990-01-01' as date)"))]
+# Sixty tags over the customers, several values each, some without a row.
+MANY_TAGS = [
+    (i, f"TAG_MANY_{i}", "1", "1",
+     f"select cast(c_custkey as string) uid, c_custkey % {i + 1} query_value from customer where c_custkey % 3 <> {i % 4}")
+    for i in range(1, 61)
+]
+TWO_DATE_TAGS = [t for t in SEED_TAGS if t[0] in (1, 2)]
 
 
 # ---------------------------------------------------------------- helpers --
@@ -61,6 +71,18 @@ def _setup(spark: SparkSession, sf_dir: str, label: str, **catalog_kwargs):
     return catalog, store
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the day is made from: the warehouse files with their sizes and times."""
+    found = []
+    for table in SEED_TABLES:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.globStatus(path) or []:
+            files = fs.listStatus(path) if status.isDirectory() else [status]
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(found))
+
+
 _DAY_LOCK = threading.Lock()
 _DAYS: dict[tuple, ProfileStore] = {}
 
@@ -68,10 +90,10 @@ _DAYS: dict[tuple, ProfileStore] = {}
 def seed_day(spark: SparkSession, sf_dir: str) -> tuple:
     """Store holding one full seed day (tags, wide, export, bitmaps).
 
-    Built once per (session, sf_dir) in a process and reused by the merge,
+    Built once per application and warehouse files and reused by the merge,
     export and bitmap queries, which only read it.
     """
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, _inputs(spark, sf_dir))
     with _DAY_LOCK:
         store = _DAYS.get(key)
         if store is None or not store.exists(store.wide_path(D)):
@@ -101,11 +123,28 @@ def _tag(task_id: int, text: bool = False):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         catalog, _ = _setup(spark, sf_dir, "tag")
         df = build_tag(spark, catalog, task_id, D)
+        if text:
+            assert df.schema["query_value"].dataType == DecimalType(16, 2)
         return _text(df) if text else df
 
     return query
 
 
+# A decimal value under label rules that only exact comparison gets right.
+EXACT_DECIMAL_SQL = "select cast(c_custkey as string) uid, cast(c_nationkey / 4.0 as decimal(16,2)) query_value from customer"
+EXACT_DECIMAL_RULES = [
+    (1, "0.250", "quarter"), (2, "1.005", "never"), (3, "1", "one"), (4, "1.5e0", "one and a half"), (5, "x", "never"),
+    (6, "2.004", "never"), (7, "02.00", "two"), (8, "1.00", "second rule"),
+]
+
+
+def tag_exact_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact rules on DECIMAL(16,2): equal numbers match, a rule of three places never does."""
+    register_parquet_views(spark, sf_dir, SEED_TABLES)
+    rules = [LabelRule(i, value, label, MATCH_EXACT) for i, value, label in EXACT_DECIMAL_RULES]
+    return tag_frame(spark, EXACT_DECIMAL_SQL, D, TYPE_STRING, rules)
+
+
 def tag_exact_unmatched_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog, _ = _setup(spark, sf_dir, "tag")
     df = build_tag(spark, catalog, 5, D)
@@ -171,6 +210,22 @@ def export_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(store.export_path(D))
 
 
+def merge_empty_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tag that was computed and has no rows for the date gives a NULL column."""
+    catalog, store = _setup(spark, sf_dir, "empty-slice", tags=EMPTY_TAGS, labels=[], rules=[])
+    for task_id in jobs.enabled_task_ids(catalog):
+        jobs.run_tag_job(spark, catalog, store, task_id, D)
+    return jobs.merge_frame(catalog, store, D)
+
+
+def merge_many_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixty tags in slices of their own, merged into one wide table."""
+    catalog, store = _setup(spark, sf_dir, "many", tags=MANY_TAGS, labels=[], rules=[])
+    jobs.run_tag_jobs(spark, catalog, store, D)
+    jobs.run_merge_job(spark, catalog, store, D)
+    return store.read_wide(D)
+
+
 # ------------------------------------------------------- bitmap queries --
 def bitmap_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, store = seed_day(spark, sf_dir)
@@ -210,6 +265,14 @@ def bitmap_decode_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(_all_bitmaps(store))
 
 
+def bitmap_cardinality_two_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct uids over two dates' states: a uid of both dates counts once."""
+    catalog, store = _setup(spark, sf_dir, "two-dates", tags=TWO_DATE_TAGS, labels=[], rules=[])
+    for date in (D_OLD, D):
+        jobs.run_day(spark, catalog, store, date)
+    return cardinality(_all_bitmaps(store, None))
+
+
 def bitmap_route_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per typed table: tags, (tag, value) pairs and uid references."""
     _, store = seed_day(spark, sf_dir)
@@ -229,6 +292,7 @@ def _typed(type_code: str):
         _, store = seed_day(spark, sf_dir)
         out = cardinality(jobs.read_bitmaps(store, type_code, D))
         if type_code == TYPE_DECIMAL:
+            assert out.schema["tag_value"].dataType == DecimalType(16, 2)
             out = out.withColumn("tag_value", F.col("tag_value").cast("string"))
         return out
 
@@ -267,6 +331,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tag_predicate_zodiac": _tag(6),
         "tag_predicate_first_match": _tag(7),
         "tag_event_count": _tag(8),
+        "tag_exact_decimal": tag_exact_decimal,
         "tag_window_sql": _tag(9),
         "tag_partition_overwrite": tag_partition_overwrite,
         "tag_empty_overwrite": tag_empty_overwrite,
@@ -275,12 +340,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_duplicate_max": merge_duplicate_max,
         "merge_disabled_excluded": merge_disabled_excluded,
         "merge_wide_table": merge_wide_table,
+        "merge_empty_slice": merge_empty_slice,
+        "merge_many_tags": merge_many_tags,
         "export_clustered": export_clustered,
         "bitmap_unpivot": bitmap_unpivot,
         "bitmap_route_types": bitmap_route_types,
         "bitmap_cardinality": bitmap_cardinality,
         "bitmap_cardinality_plain": bitmap_cardinality_plain,
         "bitmap_cardinality_mixed": bitmap_cardinality_mixed,
+        "bitmap_cardinality_two_dates": bitmap_cardinality_two_dates,
         "bitmap_decode_uids": bitmap_decode_uids,
         "bitmap_typed_long": _typed("1"),
         "bitmap_typed_decimal": _typed("2"),
@@ -424,6 +492,33 @@ def _o_slice() -> str:
     )
 
 
+def _o_exact_decimal() -> str:
+    case = "case v when 0.25 then 'quarter' when 1.00 then 'one' when 1.50 then 'one and a half' when 2.00 then 'two' end"
+    source = "select cast(c_custkey as varchar) as uid, cast(c_nationkey / 4.0 as decimal(16,2)) as v from customer"
+    return f"select uid, {case} as query_value from ({source}) t"
+
+
+def _o_many() -> str:
+    branches = " union all ".join(
+        f"select cast(c_custkey as varchar) as uid, cast(c_custkey % {i + 1} as varchar) as v, {i} as t "
+        f"from customer where c_custkey % 3 <> {i % 4}"
+        for i in range(1, 61)
+    )
+    cells = ", ".join(f"max(case when t = {i} then v end) as tag_many_{i}" for i in range(1, 61))
+    return f"select uid, {cells} from ({branches}) u group by uid"
+
+
+def _o_two_dates() -> str:
+    parts = " union all ".join(
+        f"select uid, '{_CODE[i].lower()}' as tag_code, cast(query_value as varchar) as tag_value from ({_o_tag(i, d)}) x"
+        for i in (1, 2) for d in (D_OLD, D)
+    )
+    return (
+        f"select tag_code, tag_value, count(distinct uid) as cardinality from ({parts}) u "
+        "where tag_value is not null and tag_value <> '' group by tag_code, tag_value"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     wide = _o_wide()
     return {
@@ -438,6 +533,7 @@ def oracle_sql() -> dict[str, str]:
         "tag_predicate_zodiac": _o_tag(6),
         "tag_predicate_first_match": _o_tag(7),
         "tag_event_count": _o_tag(8),
+        "tag_exact_decimal": _o_exact_decimal(),
         "tag_window_sql": _o_tag(9),
         "tag_partition_overwrite": (
             f"select uid, query_value, '{D}' as dt from ({_o_tag(2, D)}) a "
@@ -449,12 +545,15 @@ def oracle_sql() -> dict[str, str]:
         "merge_duplicate_max": _o_dup(),
         "merge_disabled_excluded": _o_disabled(),
         "merge_wide_table": wide,
+        "merge_empty_slice": f"select uid, query_value as tag_cust_segment, cast(null as varchar) as tag_event_count from ({_o_tag(1)}) t1",
+        "merge_many_tags": _o_many(),
         "export_clustered": wide,
         "bitmap_unpivot": _o_pairs() + "select uid, tag_code, tag_value from p",
         "bitmap_route_types": _o_route(),
         "bitmap_cardinality": _O_CARD,
         "bitmap_cardinality_plain": _O_CARD,
         "bitmap_cardinality_mixed": _O_CARD,
+        "bitmap_cardinality_two_dates": _o_two_dates(),
         "bitmap_decode_uids": _o_pairs()
         + "select distinct tag_code, tag_value, cast(uid as bigint) as uid from p",
         "bitmap_typed_long": _o_typed("1"),

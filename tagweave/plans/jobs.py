@@ -24,6 +24,7 @@ from tagweave.operators.bitmap import (
     dense_from_bitmaps,
     dense_tags,
     route_by_type,
+    uid_to_long,
     unpivot_tags,
 )
 from tagweave.operators.export import cluster_by_uid, partitions_for
@@ -56,7 +57,7 @@ def enabled_task_ids(catalog: Catalog) -> list[int]:
 def _concurrently(fn, items, parallelism: int) -> list:
     """Submit independent Spark jobs from a few driver threads.
 
-    The scheduler interleaves their tasks, so short jobs do not wait behind
+    With the session's FAIR scheduling their tasks share the executors, so short jobs do not wait behind
     each other's fixed costs (planning, listing, commit). Results keep the
     order of ``items``; the first failure is raised.
     """
@@ -97,18 +98,22 @@ def run_export_job(
     With ``jdbc`` options (``url``, ``driver``, ...) the rows go to a JDBC
     table named like the wide table; otherwise to a uid-clustered Parquet
     dataset of about 256 MB per file (sized from the wide table on disk).
-    Both replace the previous export of the date.
+    Both replace the previous export of the date. ``num_partitions`` is the
+    number of writers on either way (JDBC: 4 by default).
     """
     wide = store.read_wide(execute_date)
     if jdbc is not None:
         opts = dict(jdbc)
         opts.setdefault("table", store.wide_path(execute_date).rsplit("/", 1)[-1])
+        if num_partitions is not None:
+            opts["num_partitions"] = num_partitions
         write_jdbc(wide, mode=opts.pop("mode", "overwrite"), **opts)
         return opts["table"]
     path = store.export_path(execute_date)
     if num_partitions is None:
         num_partitions = partitions_for(store.size_bytes(store.wide_path(execute_date)))
-    return store.replace(cluster_by_uid(wide, num_partitions), path)
+    source = store.note(store.wide_path(execute_date), "_version")
+    return store.replace(cluster_by_uid(wide, num_partitions), path, source=source)
 
 
 @dataclass(frozen=True)
@@ -124,13 +129,12 @@ class BitmapOptions:
 def bitmap_input(store: ProfileStore, execute_date: str) -> DataFrame:
     """The date's uid-clustered export if it is current, else the wide table.
 
-    The export counts as current when it was committed after the wide table
+    The export is current if it names the wide table's version as its source
     (a rerun merge without a Parquet export must not be shadowed by an old one).
     """
-    wide_at = store.written_at(store.wide_path(execute_date))
+    version = store.note(store.wide_path(execute_date), "_version")
     export = store.export_path(execute_date)
-    export_at = store.written_at(export)
-    if export_at is not None and wide_at is not None and export_at >= wide_at:
+    if version and store.note(export, "_source") == version:
         return store.spark.read.parquet(export)
     return store.read_wide(execute_date)
 
@@ -187,6 +191,10 @@ def run_bitmap_job(
     wide, dense = None, None
     if any(routed.values()):
         wide = bitmap_input(store, execute_date)
+        if options.on_bad_uid == "drop":
+            bad = wide.count() - uid_to_long(wide.select("uid"), "drop").count()
+            if bad:
+                log.warning("bitmaps of %s: %d wide rows left out for a bad uid", execute_date, bad)
         if options.layout == "auto":
             dense = routing(
                 store,
@@ -233,9 +241,11 @@ def register_tables(catalog: Catalog, store: ProfileStore, execute_date: str | N
 
 
 def read_bitmaps(store: ProfileStore, type_code: str, execute_date: str | None = None) -> DataFrame:
-    return store.read_slices(
+    """The states of one date, or of all dates with their ``dt``."""
+    rows = store.read_slices(
         store.table_path(BITMAP_TABLES[type_code]), bitmap_schema(type_code), execute_date
     )
+    return rows if execute_date is None else rows.drop("dt")
 
 
 def run_tag_jobs(
@@ -266,6 +276,7 @@ def run_day(
     execute_date: str,
     bitmap_options: BitmapOptions = BitmapOptions(),
     jdbc: dict | None = None,
+    export_partitions: int | None = None,
 ) -> None:
     """All enabled tags, then merge, export and bitmaps for one date.
 
@@ -277,5 +288,5 @@ def run_day(
     log.info("day %s: %d enabled tags", execute_date, len(catalog.enabled_tag_rows()))
     run_tag_jobs(spark, catalog, store, execute_date)
     run_merge_job(spark, catalog, store, execute_date)
-    run_export_job(spark, catalog, store, execute_date, jdbc=jdbc)
+    run_export_job(spark, catalog, store, execute_date, jdbc=jdbc, num_partitions=export_partitions)
     run_bitmap_job(spark, catalog, store, execute_date, bitmap_options)

@@ -17,6 +17,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Concurrent jobs (one per tag) share the executors instead of queueing.
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -27,12 +29,17 @@ def get_session(
     app_name: str = "tagweave",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    hive: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
     ``master`` is only set when given: on a cluster spark-submit decides it.
+    ``hive`` uses the Hive catalog the cluster is configured for, so a database
+    of warehouse tables is found and registered tables outlive the process.
     """
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     settings = dict(_DEFAULTS)

@@ -324,6 +324,7 @@ class Catalog:
         self.prefetch()
         problems = []
         seen: dict[str, str] = {}
+        by_task: dict[int, str] = {}
         for tag in tags:
             code = tag["tag_code"] or ""
             try:
@@ -340,6 +341,9 @@ class Catalog:
                 rules = []
             if rules and str(tag["tag_value_type"]) not in (TYPE_STRING, TYPE_DATE):
                 problems.append(f"{code}: labelled tags must be string or date typed")
+            other = by_task.setdefault(int(tag["tag_task_id"]), code)
+            if other != code:
+                problems.append(f"{code}: task {tag['tag_task_id']} already computes {other}; one task computes one tag")
             if code.lower() in seen or code.lower() == "uid":
                 problems.append(f"{code}: wide column {code.lower()!r} collides with {seen.get(code.lower(), 'uid')}")
             seen[code.lower()] = code

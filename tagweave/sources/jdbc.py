@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 JDBC_BATCH_SIZE = 1000
 JDBC_ISOLATION_LEVEL = "NONE"
 JDBC_NUM_PARTITIONS = 4
+# What a target that needs an engine and an order gets by default.
+MERGE_TREE_BY_UID = "ENGINE = MergeTree() ORDER BY uid"
 
 
 def jdbc_options(
@@ -21,7 +23,6 @@ def jdbc_options(
     isolation_level: str = JDBC_ISOLATION_LEVEL,
     num_partitions: int = JDBC_NUM_PARTITIONS,
     create_table_options: str | None = None,
-    create_table_column_types: str | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     opts = {
@@ -33,12 +34,11 @@ def jdbc_options(
     }
     if driver:
         opts["driver"] = driver
+    if create_table_options is None and url.startswith("jdbc:clickhouse:"):
+        create_table_options = MERGE_TREE_BY_UID
     if create_table_options:
         # e.g. "ENGINE = MergeTree() ORDER BY uid" for the target's DDL
         opts["createTableOptions"] = create_table_options
-    if create_table_column_types:
-        # e.g. "uid String, tag_x String" for the target's column types
-        opts["createTableColumnTypes"] = create_table_column_types
     opts.update(extra or {})
     return opts
 
@@ -52,8 +52,3 @@ def write_jdbc(df: DataFrame, mode: str = "overwrite", **options) -> None:
     task may repeat its rows, as with any non-transactional JDBC append.
     """
     df.write.format("jdbc").options(**jdbc_options(**options)).mode(mode).save()
-
-
-def text_column_types(columns, type_name: str = "String") -> str:
-    """``"uid String, tag_a String, ..."``: every wide column as one text type."""
-    return ", ".join(f"{c} {type_name}" for c in columns)

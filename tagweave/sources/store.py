@@ -5,7 +5,9 @@ slice lives in ``<table>/dt=<yyyy-MM-dd>`` and is replaced as a whole (written
 to a staging folder, then swapped in), so a rerun leaves the same table,
 other dates are kept, a run with no rows leaves the slice empty, and a failed
 run leaves the previous slice. Readers give an explicit schema (``dt`` stays
-text) and list only the slice folder they need.
+text) and list only the slice folder they need. On a cluster the store's folder
+must be named (``root`` or ``spark.tagweave.store.dir``): permanent tables do
+not go below the checkpoint folder, which is cleaned.
 """
 
 from __future__ import annotations
@@ -21,7 +23,15 @@ from tagweave.session import shared_root
 
 
 class MissingTableError(FileNotFoundError):
-    """A table (or tag) the job reads has never been written."""
+    """A table (or tag, or slice) the job reads has never been written."""
+
+
+class ConcurrentWriteError(OSError):
+    """Another writer replaced the same data; this run's rows were not stored."""
+
+
+#: Schemes on which a rename is a copy.
+OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -62,7 +72,11 @@ class ProfileStore:
         mostly-zero 4 KB bitmaps about tenfold against snappy."""
         self.spark = spark
         self.compression = compression
-        base = root if root is not None else os.path.join(shared_root(spark), "tagweave")
+        base = root or spark.conf.get("spark.tagweave.store.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("name the store's folder: ProfileStore(root=...) or spark.tagweave.store.dir")
+            base = os.path.join(shared_root(spark), "tagweave")
         self.root = os.path.join(base, database)
         self.database = database
 
@@ -82,39 +96,92 @@ class ProfileStore:
     def exists(self, path: str) -> bool:
         return _exists(self.spark, path)
 
-    def written_at(self, path: str) -> int | None:
-        """Commit time (ms) of a dataset: its ``_SUCCESS`` marker, if any."""
-        fs, marker = _fs(self.spark, f"{path}/_SUCCESS")
-        if not fs.exists(marker):
-            return None
-        return int(fs.getFileStatus(marker).getModificationTime())
-
     def size_bytes(self, path: str) -> int:
         """Bytes stored below ``path`` (one metadata call, no data read)."""
         fs, hpath = _fs(self.spark, path)
         return int(fs.getContentSummary(hpath).getLength())
 
     # -- dated slices -------------------------------------------------------
-    def replace(self, df: DataFrame, target: str) -> str:
-        """Write ``df`` as Parquet and put it at ``target`` in one swap.
+    def replace(self, df: DataFrame, target: str, source: str | None = None) -> str:
+        """Write ``df`` as Parquet and put it at ``target``.
 
         Spark writes (and commits) into a hidden staging folder next to the
-        target; only then is the old target removed and the new one renamed
-        in. A job that fails - e.g. after losing executors beyond the task
-        retry limit - leaves the previous data untouched, and a rerun
-        replaces it. Hidden (``.``) folders are ignored by readers.
+        target. Then the old target is moved aside, the new one is renamed in,
+        and the old one is dropped; if the rename fails the old one is moved
+        back. A writer that finds the target taken in between raises
+        :class:`ConcurrentWriteError` and removes its own staging folder, so one
+        writer's data is complete and the other's loss is reported. On object
+        stores, where a rename copies every file, Spark overwrites the target
+        itself through the store's committer.
+
+        Each write gets a version (``_version`` in the folder); ``source`` is
+        kept beside it, so a reader can tell what the data were made from.
         """
-        parent = target.rstrip("/").rsplit("/", 1)[0]
-        staging = f"{parent}/.staging-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").option("compression", self.compression).parquet(staging)
-        fs, hstaging = _fs(self.spark, staging)
-        _, htarget = _fs(self.spark, target)
-        if fs.exists(htarget) and not fs.delete(htarget, True):
-            raise OSError(f"could not remove {target}")
-        if not fs.rename(hstaging, htarget):
-            raise OSError(f"could not move {staging} to {target}")
+        target = target.rstrip("/")
+        version = uuid.uuid4().hex
+        direct = target.split("://")[0] in OBJECT_STORES if "://" in target else False
+        parent, name = target.rsplit("/", 1)
+        staging = target if direct else f"{parent}/.staging-{version}"
+        try:
+            df.write.mode("overwrite").option("compression", self.compression).parquet(staging)
+            self._note(staging, "_version", version)
+            self._note(staging, "_source", source or "")
+            if not direct:
+                self._swap(staging, target, f"{parent}/.old-{name}-{version}")
+        except BaseException:
+            if not direct:
+                fs, hstaging = _fs(self.spark, staging)
+                fs.delete(hstaging, True)
+            raise
         return target
 
+    def _swap(self, staging: str, target: str, aside: str) -> None:
+        fs, new = _fs(self.spark, staging)
+        _, final = _fs(self.spark, target)
+        _, old = _fs(self.spark, aside)
+        had = fs.exists(final)
+        if had and not fs.rename(final, old):
+            raise ConcurrentWriteError(f"{target}: could not move the previous data aside")
+        try:
+            self._between_renames(target)
+            if fs.exists(final):
+                raise ConcurrentWriteError(f"{target}: another writer replaced it meanwhile")
+            if not fs.rename(new, final):
+                raise OSError(f"could not move {staging} to {target}")
+            # A rename onto a folder that appeared meanwhile moves into it.
+            nested = f"{target}/{staging.rsplit('/', 1)[1]}"
+            if fs.exists(_fs(self.spark, nested)[1]):
+                fs.delete(_fs(self.spark, nested)[1], True)
+                raise ConcurrentWriteError(f"{target}: another writer replaced it meanwhile")
+        except BaseException:
+            if had and not fs.exists(final):
+                fs.rename(old, final)
+            elif had:
+                fs.delete(old, True)
+            raise
+        if had:
+            fs.delete(old, True)
+
+    def _between_renames(self, target: str) -> None:
+        """Runs while the old data are aside (tests put another writer or a failure here)."""
+
+    def _note(self, folder: str, name: str, text: str) -> None:
+        fs, path = _fs(self.spark, f"{folder}/{name}")
+        out = fs.create(path, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def note(self, folder: str, name: str) -> str | None:
+        """A small text kept in a dataset's folder (``_version``, ``_source``), if it is there."""
+        fs, path = _fs(self.spark, f"{folder}/{name}")
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def overwrite_slice(self, df: DataFrame, path: str, execute_date: str) -> None:
         """Replace ``<path>/dt=D`` with ``df`` (static-partition overwrite).
 
@@ -126,13 +193,13 @@ class ProfileStore:
         self.replace(out, f"{path}/dt={execute_date}")
 
     def read_slices(
-        self, path: str, schema: T.StructType, execute_date: str | None = None
+        self, path: str, schema: T.StructType, execute_date: str | None = None, require_slice: bool = False
     ) -> DataFrame:
         """All slices (or one) of a dated table, with ``dt`` as text.
 
         For one date only its folder is listed (``basePath`` keeps ``dt`` as
         a column), so the cost does not grow with the table's history. A
-        date that was never written reads as empty.
+        date that was never written reads as empty, or raises with ``require_slice``.
         """
         if not self.exists(path):
             raise MissingTableError(path)
@@ -142,6 +209,8 @@ class ProfileStore:
             return reader.parquet(path)
         slice_path = f"{path}/dt={check_date(execute_date)}"
         if not self.exists(slice_path):
+            if require_slice:
+                raise MissingTableError(f"{path} has never been computed for {execute_date}")
             return self.spark.createDataFrame([], full)
         # Only this folder is listed, so every row has dt = execute_date.
         return reader.parquet(slice_path)
@@ -162,11 +231,13 @@ class ProfileStore:
     def write_tag(self, df: DataFrame, tag_code: str, execute_date: str) -> None:
         self.overwrite_slice(df, self.tag_path(tag_code), execute_date)
 
-    def read_tag(self, tag_code: str, type_code: str, execute_date: str | None = None) -> DataFrame:
+    def read_tag(
+        self, tag_code: str, type_code: str, execute_date: str | None = None, require_slice: bool = False
+    ) -> DataFrame:
         path = self.tag_path(tag_code)
         if not self.exists(path):
             raise MissingTableError(f"tag {tag_code} has no table at {path}")
-        return self.read_slices(path, tag_schema(type_code), execute_date)
+        return self.read_slices(path, tag_schema(type_code), execute_date, require_slice)
 
     # -- wide table -------------------------------------------------------------
     def write_wide(self, df: DataFrame, execute_date: str) -> str:

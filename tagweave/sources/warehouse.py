@@ -39,7 +39,8 @@ def register_parquet_views(
     """Expose ``<root>/<name>.parquet`` (or ``<root>/<name>``) as temp views.
 
     The views are lazy scans: column pruning and filter pushdown of each tag
-    SQL reach the parquet reader. Tables that are absent are skipped.
+    SQL reach the parquet reader. A table that is absent has no view: one left
+    from another folder is dropped, so no SQL reads the wrong warehouse.
     """
     registered = []
     for name in tables:
@@ -48,6 +49,8 @@ def register_parquet_views(
                 spark.read.parquet(path).createOrReplaceTempView(name)
                 registered.append(name)
                 break
+        else:
+            spark.catalog.dropTempView(name)
     return registered
 
 

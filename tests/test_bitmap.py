@@ -7,6 +7,7 @@ from tagweave.operators.bitmap import (
     build_bitmaps,
     cardinality,
     decode,
+    merge_states,
     route_by_type,
     unpivot_tags,
     uid_to_long,
@@ -96,8 +97,7 @@ def test_auto_layout_routes_tags_by_ids_per_value(spark):
     from tagweave.operators.bitmap import dense_from_bitmaps
     bm = build_bitmaps(pairs, layout="auto")
     rows = bm.collect()
-    assert all(r.uids is not None for r in rows if r.tag_code == "seg")
-    assert all(r.uid_list is not None for r in rows if r.tag_code == "amt")
+    assert all((r.uids is not None) == (r.n > 512) and (r.uid_list is None) == (r.n > 512) for r in rows)
     got = {(r.tag_code, r.tag_value): r.cardinality for r in cardinality(bm).collect()}
     assert got[("seg", "0")] == 10000 and got[("amt", "17")] == 1 and len(got) == 3002
     assert sorted(r.uid for r in decode(bm).where("tag_code = 'seg'").collect()) == list(range(20000))
@@ -109,21 +109,58 @@ def test_hybrid_is_one_shuffle_without_partial_bitmaps(spark):
     bm = bitmap_slice(wide, [{"tag_code": "A"}, {"tag_code": "B"}], "3", layout="hybrid")
     bm.collect()
     plan = bm._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # one shuffle, read again by the dense branch; no bitmap before it
-    assert "ReusedExchange" in plan
-    assert plan.count("Exchange hashpartitioning") == 2  # the exchange + its reuse
+    assert plan.count("Exchange hashpartitioning") == 1 and "bitmap_construct_agg" not in plan
     lines = plan.splitlines()
     at = next(i for i, ln in enumerate(lines) if "+- Exchange hashpartitioning" in ln)
     assert "partial_collect_set" in lines[at + 1]  # positions, not bitmaps, are shuffled
-    assert plan.count("bitmap_construct_agg") == 2  # partial + final, dense branch only
+
+
+def test_stored_form_depends_on_content_only(spark, store):
+    """First date, a later date (routed by the first) and a rerun store equal rows, as do all layouts."""
+    cat = mini_catalog(spark, [(1, "TAG_A", "3", "x"), (2, "TAG_B", "3", "x")])
+    wide = spark.range(0, 9000).selectExpr(
+        "cast(id as string) uid", "cast(id % 2 as string) tag_a", "cast(id % 700 as string) tag_b"
+    )
+    found = []
+    opts = jobs.BitmapOptions(dense_min_ids_per_group=1000)
+    for date in ("2024-01-14", "2024-01-15", "2024-01-14"):
+        store.write_wide(wide, date)
+        jobs.run_bitmap_job(spark, cat, store, date, opts)
+        found.append(sorted(map(str, jobs.read_bitmaps(store, "3", date).collect())))
+    assert found[0] == found[1] == found[2]
+    pairs = wide.selectExpr("'tag_a' tag_code", "tag_a tag_value", "cast(uid as bigint) uid")
+    rows = [sorted(map(str, build_bitmaps(pairs, layout=x).collect())) for x in ("bitmap", "hybrid", "auto")]
+    assert rows[0] == rows[1] == rows[2]
+
+
+def test_states_of_several_dates_count_a_uid_once(spark):
+    a, b = build_bitmaps(_pairs(spark, [1, 2, 40000])), build_bitmaps(_pairs(spark, range(2, 700)))
+    both = a.withColumn("dt", F.lit("2024-01-14")).unionByName(b.withColumn("dt", F.lit("2024-01-15")))
+    assert cardinality(both).first().cardinality == 700
+    assert sorted(r.uid for r in decode(both).collect()) == [*range(1, 700), 40000]
+    by_date = {r.dt: r.cardinality for r in cardinality(both, ("tag_code", "tag_value", "dt")).collect()}
+    assert by_date == {"2024-01-14": 3, "2024-01-15": 698}
+    merged = {r.bucket: (r.n, r.uids is not None) for r in merge_states(both).collect()}
+    assert merged == {1: (699, True), 2: (1, False)}
+
+
+def test_cardinality_reads_counts_only(spark, store):
+    cat = mini_catalog(spark, [(1, "TAG_A", "3", "x")])
+    store.write_wide(spark.range(0, 900).selectExpr("cast(id as string) uid", "cast(id % 2 as string) tag_a"), "2024-01-15")
+    jobs.run_bitmap_job(spark, cat, store, "2024-01-15")
+    card = cardinality(jobs.read_bitmaps(store, "3", "2024-01-15"))
+    assert {r.tag_value: r.cardinality for r in card.collect()} == {"0": 450, "1": 450}
+    scan = card._jdf.queryExecution().executedPlan().toString()
+    read = scan.split("ReadSchema:")[1].splitlines()[0]
+    assert "uid" not in read and "n:bigint" in read
 
 
 def test_auto_slice_scans_disjoint_columns(spark):
     wide = spark.range(0, 3000).selectExpr("cast(id as string) uid", "cast(id % 3 as string) a", "cast(id as string) b")
     bm = bitmap_slice(wide, [{"tag_code": "A"}, {"tag_code": "B"}], "3", layout="auto", dense=["a"])
     rows = bm.collect()
-    assert all((r.uids is not None) == (r.tag_code == "a") for r in rows if r.tag_code == "a")
-    assert {r.tag_code for r in rows if r.uid_list is not None} == {"b"}
+    assert all((r.uids is not None) == (r.n > 512) for r in rows if r.tag_code == "a")
+    assert all(r.uid_list is not None for r in rows if r.tag_code == "b")
     assert cardinality(bm).count() == 3 + 3000
 
 
@@ -170,7 +207,7 @@ def test_auto_routing_reuses_an_earlier_date(spark, store, monkeypatch):
     monkeypatch.setattr(jb, "dense_tags", lambda *a, **k: (_ for _ in ()).throw(AssertionError("scanned")))
     jb.run_bitmap_job(spark, cat, store, "2024-01-15", opts)
     rows = jb.read_bitmaps(store, "3", "2024-01-15").collect()
-    assert rows and all(r.uids is not None for r in rows)
+    assert rows and all((r.uids is not None) == (r.n > 512) for r in rows)
     assert cardinality(jb.read_bitmaps(store, "3", "2024-01-15")).count() == 2
 
 
@@ -182,9 +219,6 @@ def test_bitmap_job_ignores_an_export_older_than_the_wide_table(spark, store):
     store.write_wide(old, "2024-01-15")
     jb.run_export_job(spark, cat, store, "2024-01-15")
     assert jb.bitmap_input(store, "2024-01-15").first().tag_s == "old"  # export is current
-    import time
-
-    time.sleep(0.01)
     store.write_wide(spark.createDataFrame([("1", "new")], "uid string, tag_s string"), "2024-01-15")
     jb.run_bitmap_job(spark, cat, store, "2024-01-15")
     values = {r.tag_value for r in jb.read_bitmaps(store, "3", "2024-01-15").collect()}

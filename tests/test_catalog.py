@@ -108,3 +108,12 @@ def test_local_catalog_frames_keep_nulls_and_allow_empty(spark):
     assert empty.count() == 0 and empty.schema == TASK_TAG_RULE_SCHEMA
     one = _local_frame(spark, [(1, None, 5, "x", None, None)], TASK_TAG_RULE_SCHEMA).first()
     assert (one.id, one.tag_id, one.task_id, one.sub_tag_id) == (1, None, 5, None)
+
+
+def test_two_tags_on_one_task_are_reported(spark):
+    from tagweave.sources.catalog import Catalog
+
+    tags = [{"id": i, "tag_code": c, "tag_name": c, "tag_value_type": "3", "tag_task_id": 1} for i, c in ((1, "TAG_A"), (2, "TAG_B"))]
+    cat = Catalog.from_rows(spark, tags, [{"id": 1, "task_status": "1", "task_sql": "select '1', 'a'"}], [])
+    with pytest.raises(CatalogError, match="one task computes one tag"):
+        cat.validate()

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tagweave.operators.export import cluster_by_uid
-from tagweave.sources.jdbc import jdbc_options, text_column_types
+from tagweave.sources.jdbc import jdbc_options
 
 
 def test_cluster_by_uid_gives_sorted_disjoint_ranges(spark):
@@ -28,10 +28,27 @@ def test_jdbc_writer_options():
     assert opts["createTableOptions"].endswith("ORDER BY uid")
 
 
-def test_jdbc_text_column_types():
-    types = text_column_types(["uid", "tag_a"])
-    assert types == "uid String, tag_a String"
-    assert jdbc_options(url="u", table="t", create_table_column_types=types)["createTableColumnTypes"] == types
+def test_cluster_ranges_stay_disjoint_for_uids_of_mixed_length(spark):
+    wide = spark.range(0, 3000).select(F.col("id").cast("string").alias("uid"))
+    parts = cluster_by_uid(wide, 4).rdd.glom().map(lambda rows: [r.uid for r in rows]).collect()
+    parts = [p for p in parts if p]
+    assert sum(map(len, parts)) == 3000 and all(p == sorted(p) for p in parts)
+    assert all(a[-1] < b[0] for a, b in zip(parts, parts[1:]))
+
+
+def test_jdbc_defaults_and_writer_count(spark, store, monkeypatch):
+    """A MergeTree target is ordered by uid by default; the writer count reaches both ways of export."""
+    from tagweave.plans import jobs
+
+    assert jdbc_options(url="jdbc:clickhouse://h/db", table="t")["createTableOptions"] == "ENGINE = MergeTree() ORDER BY uid"
+    assert "createTableOptions" not in jdbc_options(url="jdbc:x://h/db", table="t")
+    store.write_wide(spark.range(100).selectExpr("cast(id as string) uid"), "2024-01-15")
+    seen = {}
+    monkeypatch.setattr(jobs, "write_jdbc", lambda df, mode, **opts: seen.update(jdbc_options(**opts)))
+    jobs.run_export_job(spark, None, store, "2024-01-15", jdbc={"url": "jdbc:x://h/db"}, num_partitions=9)
+    assert seen["numPartitions"] == "9" and seen["dbtable"] == "user_tag_merge_20240115"
+    path = jobs.run_export_job(spark, None, store, "2024-01-15", num_partitions=3)
+    assert len(spark.read.parquet(path).inputFiles()) == 3
 
 
 def test_jdbc_paths_reach_the_jdbc_layer(spark):

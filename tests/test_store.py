@@ -125,3 +125,98 @@ def test_cli_single_jobs_in_order(spark, tmp_path):
         f"select count(*) from cli_profile.user_tag_value_string where dt = '{EXECUTE_DATE}'"
     ).first()[0]
     assert n > 0
+
+
+def _write(store, spark, value):
+    store.write_tag(spark.createDataFrame([("1", value)], "uid string, query_value string"), "TAG_W", "2024-01-15")
+
+
+def _stored(store):
+    return [r.query_value for r in store.read_tag("TAG_W", "3", "2024-01-15").collect()]
+
+
+def _hidden(store):
+    from tagweave.sources.store import _fs
+
+    fs, path = _fs(store.spark, store.tag_path("TAG_W"))
+    return [s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith(".")]
+
+
+def test_second_writer_in_the_swap_is_reported(spark, store, monkeypatch):
+    import pytest
+
+    from tagweave.sources.store import ConcurrentWriteError, ProfileStore
+
+    _write(store, spark, "old")
+    other = ProfileStore(spark, root=store.root.rsplit("/", 1)[0])
+    with monkeypatch.context() as m:
+        m.setattr(store, "_between_renames", lambda target: _write(other, spark, "winner"))
+        with pytest.raises(ConcurrentWriteError):
+            _write(store, spark, "loser")
+    assert _stored(store) == ["winner"] and _hidden(store) == []
+    _write(store, spark, "next")
+    assert _stored(store) == ["next"]
+
+
+def test_failure_between_the_steps_keeps_the_previous_data(spark, store, monkeypatch):
+    import pytest
+
+    _write(store, spark, "old")
+
+    def fail(target):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_between_renames", fail)
+        with pytest.raises(RuntimeError):
+            _write(store, spark, "new")
+    assert _stored(store) == ["old"] and _hidden(store) == []
+
+
+def test_views_of_another_folder_do_not_stay(spark, tmp_path):
+    from tagweave.sources.warehouse import register_parquet_views
+
+    from .conftest import SF_SMALL
+
+    register_parquet_views(spark, SF_SMALL, ["nation"])
+    assert register_parquet_views(spark, str(tmp_path), ["nation"]) == []
+    assert not spark.catalog.tableExists("nation")
+    register_parquet_views(spark, SF_SMALL)
+
+
+def test_use_database_of_the_session_catalog(spark, tmp_path):
+    from tagweave.sources.warehouse import use_database
+
+    spark.sql(f"create database if not exists dw location '{tmp_path}/dw'")
+    spark.sql("create table if not exists dw.only_here using parquet as select 7 v")
+    try:
+        use_database(spark, "dw")
+        assert spark.sql("select v from only_here").first().v == 7
+    finally:
+        use_database(spark, "default")
+        spark.sql("drop database dw cascade")
+
+
+def test_hive_and_store_settings(spark, monkeypatch):
+    import pytest
+    from pyspark.sql import SparkSession
+
+    from tagweave import session
+    from tagweave.sources.store import ProfileStore
+
+    asked = []
+    monkeypatch.setattr(SparkSession.Builder, "enableHiveSupport", lambda self: asked.append(1) or self)
+    session.get_session(app_name="hive-setting", hive=True)
+    assert asked == [1]
+    spark.conf.set("spark.tagweave.store.dir", "/named/store")
+    try:
+        assert ProfileStore(spark).root == "/named/store/user_profile"
+    finally:
+        spark.conf.unset("spark.tagweave.store.dir")
+
+    class OnCluster:
+        conf = spark.conf
+        sparkContext = type("C", (), {"master": "yarn"})()
+
+    with pytest.raises(RuntimeError, match="spark.tagweave.store.dir"):
+        ProfileStore(OnCluster())

@@ -109,3 +109,52 @@ def test_build_tag_from_catalog_with_exact_rules(spark, warehouse):
     }
     expected = {u: {"BUILDING": "B", "AUTOMOBILE": "A"}.get(v) for u, v in raw.items()}
     assert got == expected
+
+
+def test_passthrough_takes_exactly_two_columns_by_position(spark):
+    from tagweave.operators.tags import passthrough
+
+    assert passthrough(spark.sql("select 1 x, 2 x")).first().asDict() == {"uid": 1, "query_value": 2}
+    for sql in ("select 1 u, 2 v, 3 w", "select 1 u"):
+        with pytest.raises(CatalogError, match="exactly"):
+            passthrough(spark.sql(sql))
+
+
+def test_exact_rules_compare_exact_numbers_in_both_plans(spark, monkeypatch):
+    from tagweave.operators import tags
+
+    rules = [("1.005", "a"), ("x", "b"), ("1.0", "c"), ("1.010", "d"), ("-2.50", "e"), (None, "f"), ("1e2", "g"), ("9" * 30, "h")]
+    rules = [tags.LabelRule(i, v, name, "exact") for i, (v, name) in enumerate(rules)]
+    values = spark.sql("select cast(id as string) uid, cast(v as decimal(16,2)) query_value from values "
+                       "(1, 1.01), (2, 1.00), (3, -2.5), (4, 100), (5, 1.02), (6, null) t(id, v)")
+    want = {"1": "d", "2": "c", "3": "e", "4": "g", "5": None, "6": None}
+    texts = spark.sql("select cast(id as string) uid, v query_value from values (1, '1.0'), (2, '1') t(id, v)")
+    for limit in (64, 0):
+        monkeypatch.setattr(tags, "EXACT_CASE_MAX_RULES", limit)
+        assert {r.uid: r.query_value for r in tags.label_exact(values, rules).collect()} == want
+        longs = values.selectExpr("uid", "cast(query_value as bigint) query_value")
+        assert {r.uid: r.query_value for r in tags.label_exact(longs, rules).collect()} == {**dict.fromkeys("1256", "c"), "3": None, "4": "g", "6": None}
+        assert {r.uid: r.query_value for r in tags.label_exact(texts, rules).collect()} == {"1": "c", "2": None}
+
+
+def test_value_that_does_not_fit_raises_without_ansi(spark):
+    from tagweave.operators.tags import cast_value
+
+    df = spark.createDataFrame([("1", "12"), ("2", "zz")], "uid string, query_value string")
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert cast_value(df.where("uid = '1'"), "1").first().query_value == 12
+        with pytest.raises(Exception, match="is not bigint"):
+            cast_value(df, "1").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+
+def test_dates_are_real_dates():
+    from tagweave.codes import check_date
+
+    assert check_date("2024-02-29") == "2024-02-29"
+    for bad in ("2024-01-15\n", "2024-13-99", "2023-02-29", "20240115", None):
+        with pytest.raises(ValueError):
+            check_date(bad)

@@ -60,13 +60,13 @@ def test_missing_tag_table(spark, store):
     assert tuple(out.first()) == ("1", "v", None)
 
 
-def test_wide_is_one_aggregate_over_one_shuffle(spark, store):
+def test_wide_is_two_narrow_shuffles(spark, store):
     for code in ("TAG_A", "TAG_B", "TAG_C"):
         store.write_tag(_tag(spark, [("1", "v"), ("2", "w")]), code, "2024-01-15")
     tags = [{"tag_code": c, "tag_value_type": "3"} for c in ("TAG_A", "TAG_B", "TAG_C")]
     wide = build_wide(store, tags, "2024-01-15")
     plan = wide._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2  # max per (uid, tag), then one row per cell by uid
     files = wide.inputFiles()  # one single-slice scan per tag
     assert len({f.split("/dt=")[0] for f in files}) == 3 and all("/dt=2024-01-15/" in f for f in files)
     assert "ReadSchema: struct<uid:string,query_value:string>" in plan
@@ -99,3 +99,36 @@ def test_day_with_no_enabled_tag(spark, store):
     assert spark.read.parquet(store.export_path("2024-01-15")).count() == 0
     for code in "1234":
         assert jobs.read_bitmaps(store, code, "2024-01-15").count() == 0
+
+
+def test_slice_never_computed_is_an_error_but_an_empty_one_is_not(spark, store):
+    import pytest
+
+    from tagweave.operators.wide import build_wide
+    from tagweave.sources.store import MissingTableError
+
+    rows = spark.createDataFrame([("1", "a")], "uid string, query_value string")
+    tags = [{"tag_code": "TAG_A", "tag_value_type": "3"}, {"tag_code": "TAG_B", "tag_value_type": "3"}]
+    store.write_tag(rows, "TAG_A", "2024-01-15")
+    store.write_tag(rows, "TAG_B", "2024-01-14")
+    with pytest.raises(MissingTableError, match="2024-01-15"):
+        build_wide(store, tags, "2024-01-15")
+    assert build_wide(store, tags, "2024-01-15", missing_ok=True).first().tag_b is None
+    store.write_tag(rows.where("false"), "TAG_B", "2024-01-15")
+    assert [tuple(r) for r in build_wide(store, tags, "2024-01-15").collect()] == [("1", "a", None)]
+
+
+def test_no_shuffled_row_has_a_column_per_tag(spark):
+    import re
+
+    from tagweave.operators.wide import pivot_tags
+
+    codes = [f"T{i}" for i in range(40)]
+    union = spark.createDataFrame([("1", "v", "T3"), ("1", "w", "T3"), ("2", "x", "T39")], "uid string, query_value string, tag_code string")
+    wide = pivot_tags(union, codes)
+    got = {r.uid: (r.t3, r.t39) for r in wide.collect()}
+    assert got == {"1": ("w", None), "2": (None, "x")}
+    plan = wide._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = plan.splitlines()
+    shuffled = [lines[i + 1] for i, line in enumerate(lines) if re.search(r"\bExchange hashpartitioning", line)]
+    assert len(shuffled) == 2 and all("t39" not in x.lower() and "T3 " not in x for x in shuffled)
