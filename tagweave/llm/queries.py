@@ -69,5 +69,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
 
 
+_O_CHAT = """
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized as (
+  select *, 13 + 2 * length(role) - length(translate(role, '~<[|' || chr(10), ''))
+    + 2 * length(text) - length(translate(text, '~<[', '')) as chars from said
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """What SQL can express; the other queries are tested against brute force."""
+    return {"op3_chat_format": _O_CHAT}

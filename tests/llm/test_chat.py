@@ -4,7 +4,7 @@ import hashlib
 from collections import defaultdict
 
 from tagweave.llm import chat
-from tagweave.llm.queries import FORGED, op3_chat_format
+from tagweave.llm.queries import FORGED, op3_chat_format, oracle_sql
 
 from .conftest import SF_BIG
 
@@ -65,3 +65,13 @@ def test_fold_of_deltas_edits_and_regenerations(spark):
     assert rows == [
         (1, 0, "user", "question"), (1, 1, "assistant", "better"), (2, 0, "user", "new"), (2, 1, "assistant", "kept"), (3, 0, "", ""),
     ]
+
+
+def test_oracle_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{SF_BIG}/conversations.parquet')")
+    columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    want = con.execute(f"select {', '.join(columns)} from ({oracle_sql()['op3_chat_format']}) x").fetchall()
+    assert sorted(want) == sorted(tuple(r) for r in op3_chat_format(spark, SF_BIG).select(columns).collect())

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter, defaultdict
 
 from tagweave.llm.decontaminate import MASKS, MIN_ITEM, MIN_SAME, WINDOW, contamination, find_overlaps
 from tagweave.llm.queries import op4_decontaminate
@@ -26,14 +27,17 @@ def tokens(text):
 def brute(docs, items):
     out = {}
     for d, text in docs.items():
-        w, hit = tokens(text), set()
+        w, hit, where = tokens(text), set(), defaultdict(list)
+        for q, x in enumerate(w):
+            where[x].append(q)
         for i, item in items.items():
             v = tokens(item)
             k = min(WINDOW, len(v))
             if len(v) < MIN_ITEM:
                 continue
             need = MIN_SAME if k == WINDOW else k
-            for shift in range(-len(v) + 1, len(w)):
+            shared = Counter(q - p for p, x in enumerate(v) for q in where[x])
+            for shift in [s for s, n in shared.items() if n >= need]:
                 lo, hi = max(0, -shift), min(len(v), len(w) - shift)
                 eq = [v[p] == w[p + shift] for p in range(lo, hi)]
                 if any(sum(eq[s : s + k]) >= need for s in range(len(eq) - k + 1)):
