@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,11 +31,12 @@ from tagweave.operators.bitmap import (  # noqa: E402
 from tagweave.operators.tags import build_tag  # noqa: E402
 from tagweave.operators.wide import pivot_tags, tag_branch, union_tags  # noqa: E402
 from tagweave.plans import jobs  # noqa: E402
-from tagweave.plans.contract import _all_bitmaps  # noqa: E402
+from tagweave.plans.contract import MANY_TAGS, _all_bitmaps  # noqa: E402
 from tagweave.plans.seed import EXECUTE_DATE, SEED_TABLES, seed_catalog  # noqa: E402
 from tagweave.session import get_session, scratch_dir  # noqa: E402
 from tagweave.sources.store import ProfileStore  # noqa: E402
 from tagweave.sources.warehouse import register_parquet_views  # noqa: E402
+from tools.eventlog_summary import shuffle_bytes  # noqa: E402
 
 WARMUP_DIR = "/root/testdata/sf0.001"
 
@@ -74,8 +76,16 @@ def run(spark, sf_dir: str, timings: dict | None) -> None:
     def probe_bitmaps():
         columns = [t["tag_code"].lower() for t in probe_tags]
         pairs = uid_to_long(unpivot_tags(holder["wide"], columns))
-        return len(cardinality(build_bitmaps(pairs, layout="hybrid")).collect())
-
+        return len(cardinality(build_bitmaps(pairs)).collect())
+
+    # Sixty tags, each in a slice of its own: tag jobs untimed, then their merge.
+    many = seed_catalog(spark, tags=MANY_TAGS, labels=[], rules=[])
+    many_store = ProfileStore(spark, root=scratch_dir(spark, "bench-many"))
+    jobs.run_tag_jobs(spark, many, many_store, EXECUTE_DATE)
+    begin = time.time()
+    timed("merge60_job", lambda: jobs.run_merge_job(spark, many, many_store, EXECUTE_DATE))
+    if timings is not None:
+        timings["merge60_span"] = (begin * 1000, time.time() * 1000)
     timed("probe4_tags_union_pivot", probe_wide)
     timed("probe4_unpivot_bitmap_cardinality", probe_bitmaps)
     holder["wide"].unpersist()
@@ -84,9 +94,9 @@ def run(spark, sf_dir: str, timings: dict | None) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    conf = {}
-    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times, see tools/eventlog_summary.py
-        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    # Stage/task times and shuffle bytes, see tools/eventlog_summary.py.
+    log_dir = os.environ.get("BENCH_EVENT_LOG") or tempfile.mkdtemp(prefix="tagweave-bench-")
+    conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
     spark = get_session(
         f"local[{cpus}]", app_name="tagweave-bench", shuffle_partitions=int(cpus), conf=conf
     )
@@ -97,10 +107,12 @@ def main() -> None:
     for _ in range(passes):
         timings: dict[str, float] = {}
         run(spark, sf_dir, timings)
-        day = [k for k in timings if not k.startswith("probe4_")]
+        day = [k for k in timings if not k.startswith(("probe4_", "merge60_"))]
         results.append((round(sum(timings[k] for k in day), 3), timings))
     # Report the pass with the median total (shared VMs are noisy).
     total, timings = sorted(results, key=lambda r: r[0])[len(results) // 2]
+    span = timings.pop("merge60_span")
+    spark.stop()
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(
         json.dumps(
@@ -111,11 +123,11 @@ def main() -> None:
                 "queries": timings,
                 "sf": sf,
                 "cpus": int(cpus),
+                "merge60_shuffle_bytes": shuffle_bytes(log_dir, *span),
                 "pass_totals": [r[0] for r in results],
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

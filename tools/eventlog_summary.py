@@ -29,6 +29,15 @@ def _events(path: str):
                 yield json.loads(line)
 
 
+def shuffle_bytes(path: str, begin_ms: float, end_ms: float) -> int:
+    """Shuffle bytes written by the tasks launched in a span of time."""
+    total = 0
+    for e in _events(path):
+        if e["Event"] == "SparkListenerTaskEnd" and begin_ms <= e["Task Info"]["Launch Time"] <= end_ms:
+            total += (e.get("Task Metrics") or {}).get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+    return total
+
+
 def summarize(path: str) -> dict:
     jobs, stages, tasks = {}, {}, defaultdict(int)
     for e in _events(path):
