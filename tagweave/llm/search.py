@@ -8,11 +8,13 @@ best k are the exact result.
 
 Within a shard a query's rare terms are read in full; they are few postings.
 Its frequent terms (in more than 1 / ``FREQUENT`` of the shard's documents) hold
-a maximum per block. A block is opened only if its best partial score plus the
-block maxima can still reach the k-th best score so far; blocks go best bound
-first, and the threshold rises with each batch of them. Pruning uses 32-bit
-floats with a margin; the scores of the last candidates are summed again in 64
-bits, in one order of terms, so ties are exact and go to the smaller doc_id.
+a maximum per block. Rare scores plus block maxima bound every block; the query
+opens its best-bounded blocks, takes the k-th best score there as threshold, and
+needs only the blocks whose bound reaches it. A few queries of like size are
+evaluated together, one matrix product over the blocks that any of them needs.
+Pruning uses 32-bit floats with a margin; the scores of the last candidates are
+summed again in 64 bits, in one order of terms, so ties are exact and go to the
+smaller doc_id.
 """
 
 from __future__ import annotations
@@ -28,12 +30,14 @@ from tagweave.llm.hashing import chunks, words
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_DOCS = 8192
+SHARD_DOCS = 16_384
 BLOCK_DOCS = 64
 FREQUENT = 16
 #: Query terms held by one broadcast.
 BLOCK_TERMS = 1_500_000
-_MARGIN = 1e-3
+#: Queries evaluated together in a shard.
+QUERY_BATCH = 128
+_MARGIN = 1e-4
 
 
 def _counts(chunk):
@@ -138,79 +142,100 @@ class Shard:
         self.dense_row = np.full(len(self.terms), -1)
         self.dense_row[frequent] = np.arange(len(frequent))
         self.dense = np.zeros((len(frequent), self.blocks * BLOCK_DOCS), np.float32)
+        self.dense_tf = np.zeros(self.dense.shape, np.int32)
         for i, t in enumerate(frequent):
             span = slice(self.ptr[t], self.ptr[t + 1])
             self.dense[i, self.post[span]] = self.impact[span]
+            self.dense_tf[i, self.post[span]] = self.tf[span]
         self.block_max = self.dense.reshape(len(frequent), self.blocks, BLOCK_DOCS).max(axis=2)
 
-    def _postings(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _rare(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the postings of several terms, and which term each is of."""
         size = self.ptr[t + 1] - self.ptr[t]
         of = np.repeat(np.arange(len(t)), size)
         return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + self.ptr[t][of], of
 
-    def top(self, h: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(doc_id, score) of the best k with any of the terms ``h`` (ascending)."""
-        none = np.empty(0, np.int64), np.empty(0)
-        if not len(self.terms) or not len(h):
-            return none
-        at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
-        here = self.terms[at] == h
-        t, w = at[here], idf[here]
-        row = self.dense_row[t]
-        place, of = self._postings(t[row < 0])
-        partial = np.bincount(self.post[place], weights=w[row < 0][of] * self.impact[place], minlength=self.blocks * BLOCK_DOCS)
-        rows, dense_w = row[row >= 0], w[row >= 0].astype(np.float32)
-        best = partial.reshape(self.blocks, BLOCK_DOCS).max(axis=1)
-        bound = best + (dense_w @ self.block_max[rows] if len(rows) else 0.0)
-        order = np.argsort(-bound)
-        score = np.full(len(partial), -1.0)
-        done, batch, least = 0, 4, 0.0
-        while done < self.blocks:
-            todo = order[done : done + batch]
-            todo = todo[bound[todo] >= least - _MARGIN]
-            if not len(todo):
-                break
-            docs = (todo[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
-            opened = partial[docs]
-            if len(rows):
-                opened = opened + dense_w @ self.dense.reshape(len(self.dense), self.blocks, BLOCK_DOCS)[rows[:, None], todo].reshape(len(rows), -1)
-            score[docs] = opened
-            done += batch
-            batch *= 2
-            if k <= len(score):
-                least = max(0.0, np.partition(score, len(score) - k)[len(score) - k])
-        chosen = np.flatnonzero((score > 0) & (score >= least - _MARGIN))
-        if not len(chosen):
-            return none
-        # Exact scores, term by term in hash order.
-        place, of = self._postings(t)
+    def _exact(self, docs: np.ndarray, w: np.ndarray, row: np.ndarray, place: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """64-bit scores of a few documents, each summed term by term in hash order."""
+        parts = np.zeros((len(w), len(docs)))
+        common = row >= 0
+        tf = self.dense_tf[row[common][:, None], docs]
+        parts[common] = w[common][:, None] * (tf * (K1 + 1) / (tf + self.norm[docs]))
         slot = np.full(self.blocks * BLOCK_DOCS, -1)
-        slot[chosen] = np.arange(len(chosen))
-        mine = slot[self.post[place]] >= 0
-        place, of = place[mine], of[mine]
-        exact = np.zeros(len(chosen))
-        tf, doc = self.tf[place].astype(np.float64), self.post[place]
-        np.add.at(exact, slot[doc], w[of] * (tf * (K1 + 1) / (tf + self.norm[doc])))
-        ids = self.ids[chosen]
-        keep = np.lexsort((ids, -exact))[:k]
-        return ids[keep], exact[keep]
+        slot[docs] = np.arange(len(docs))
+        at = slot[self.post[place]]
+        place, of, at = place[at >= 0], of[at >= 0], at[at >= 0]
+        term = np.flatnonzero(~common)[of]
+        parts[term, at] = w[term] * (self.tf[place] * (K1 + 1) / (self.tf[place] + self.norm[self.post[place]]))
+        total = np.zeros(len(docs))
+        for line in parts:
+            total += line
+        return total
+
+    def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(doc_id, score) of the best k for each of a few queries (hashes ascending, idf)."""
+        wide = self.blocks * BLOCK_DOCS
+        weights = np.zeros((len(queries), len(self.dense)), np.float32)
+        partial = np.zeros((len(queries), wide), np.float32)
+        known = []
+        for i, (h, idf) in enumerate(queries):
+            at = np.minimum(np.searchsorted(self.terms, h), max(0, len(self.terms) - 1))
+            here = self.terms[at] == h if len(self.terms) else np.zeros(len(h), bool)
+            t, w = at[here], idf[here]
+            row = self.dense_row[t]
+            weights[i, row[row >= 0]] = w[row >= 0]
+            place, of = self._rare(t[row < 0])
+            partial[i] = np.bincount(self.post[place], weights=w[row < 0][of] * self.impact[place], minlength=wide)
+            known.append((w, row, place, of))
+        bound = partial.reshape(len(queries), self.blocks, BLOCK_DOCS).max(axis=2) + weights @ self.block_max
+        blocked = self.dense.reshape(len(self.dense), self.blocks, BLOCK_DOCS)
+        # Each query opens its best-bounded blocks; its k-th score there is the least that counts.
+        first = min(self.blocks, -(-k // BLOCK_DOCS) + 3)
+        least = np.zeros(len(queries))
+        for i, (_, row, _, _) in enumerate(known):
+            best = np.argpartition(-bound[i], first - 1)[:first]
+            rows = row[row >= 0]
+            score = partial[i].reshape(self.blocks, BLOCK_DOCS)[best] + np.tensordot(weights[i, rows], blocked[rows[:, None], best], 1)
+            if k <= score.size:
+                least[i] = max(0.0, np.partition(score.ravel(), score.size - k)[score.size - k])
+        margin = _MARGIN * (1 + bound.max(axis=1, initial=0.0))
+        need = (bound > 0) & (bound >= (least - margin)[:, None])
+        opened = np.flatnonzero(need.any(axis=0))  # blocks that no query of the batch needs stay shut
+        docs = (opened[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
+        columns = self.dense if len(opened) == self.blocks else blocked[:, opened].reshape(len(self.dense), -1)
+        score = partial[:, docs] + weights @ columns
+        self.opened = need.mean()
+        out = []
+        for i, (w, row, place, of) in enumerate(known):
+            s = score[i]
+            floor = least[i] - margin[i]
+            if k < len(s):
+                floor = max(floor, np.partition(s, len(s) - k)[len(s) - k] - margin[i])
+            chosen = docs[(s > 0) & (s >= floor)]
+            exact = self._exact(chosen, w, row, place, of)
+            ids = self.ids[chosen]
+            keep = np.lexsort((ids, -exact))[:k]
+            out.append((ids[keep], exact[keep]))
+        return out
 
 
 def _search(queries, mean: float, k: int):
     def run(batches):
         q, ptr, h, idf = queries.value
-        if not len(q):
-            return
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row, mean)
-                got = [shard.top(h[ptr[i] : ptr[i + 1]], idf[ptr[i] : ptr[i + 1]], k) for i in range(len(q))]
-                size = [len(x) for x, _ in got]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q, size)), pa.array(np.concatenate([x for x, _ in got])), pa.array(np.concatenate([x for _, x in got]))],
-                    names=["q", "doc_id", "score"],
-                )
+            for at in range(batch.num_rows):
+                shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
+                for a in range(0, len(q), QUERY_BATCH):
+                    part = range(a, min(a + QUERY_BATCH, len(q)))
+                    got = shard.top([(h[ptr[i] : ptr[i + 1]], idf[ptr[i] : ptr[i + 1]]) for i in part], k)
+                    size = [len(x) for x, _ in got]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.repeat(q[a : a + len(got)], size)), pa.array(np.concatenate([x for x, _ in got])),
+                            pa.array(np.concatenate([x for _, x in got])),
+                        ],
+                        names=["q", "doc_id", "score"],
+                    )
 
     return run
 
@@ -245,9 +270,10 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         if not len(rows) and (found is not None or part + 1 < parts):
             continue
         q, h, idf = rows["q"].to_numpy(), rows["h"].to_numpy().view(np.uint64), rows["idf"].to_numpy()
-        order = np.lexsort((h, q))
-        ids, first = np.unique(q[order], return_index=True)
-        shared = spark.sparkContext.broadcast((ids, np.append(first, len(q)), h[order], idf[order]))
+        _, size_of, size = np.unique(q, return_inverse=True, return_counts=True)
+        order = np.lexsort((h, q, size[size_of]))  # queries of like size stand together
+        new = np.flatnonzero(np.diff(q[order], prepend=q[order][:1] - 1))
+        shared = spark.sparkContext.broadcast((q[order][new], np.append(new, len(q)), h[order], idf[order]))
         best = written(index.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best")
         found = best if found is None else found.unionByName(best)
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "doc_id"))
