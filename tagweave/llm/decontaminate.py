@@ -90,6 +90,14 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return same.where(F.col("same") >= need).select("doc_id", "item_id", "shift", "same")
 
 
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, shift, same): one row per contaminated document and item, its best alignment."""
+    best = F.max(F.struct("same", (-F.col("shift")).alias("back"))).alias("b")  # ties: the smallest shift
+    return find_overlaps(docs, benchmark).groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", (-F.col("b.back")).alias("shift"), F.col("b.same").alias("same")
+    )
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, contaminated, n_items, item_id (smallest), best_same."""
     found = find_overlaps(docs, benchmark).groupBy("doc_id").agg(

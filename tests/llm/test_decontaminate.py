@@ -79,10 +79,14 @@ def test_planted_passages(spark, docs_dir):
 def test_whole_table(spark):
     docs = texts_of(spark, SF)
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
-    flags = {r["doc_id"]: r["contaminated"] for r in op4_decontaminate(spark, SF).collect()}
+    rows = op4_decontaminate(spark, SF).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in rows}
+    assert len(found) == len(rows)
+    assert found == {(d, i) for d, hit in brute(docs, items).items() for i in hit}
+    flags = {d: any(d == e for e, _ in found) for d in docs}
     windows = {tuple(tokens(t)[i : i + WINDOW]) for t in items.values() for i in range(len(tokens(t)) - WINDOW + 1)}
     for d, t in docs.items():
         w = tokens(t)
         if any(tuple(w[i : i + WINDOW]) in windows for i in range(len(w))):
             assert flags[d]
-    assert 0 < sum(flags.values()) < len(flags) / 2 and len(flags) == len(docs)
+    assert 0 < sum(flags.values()) < len(flags) / 2 
