@@ -28,26 +28,26 @@ SEPARATOR = "[^\\p{L}\\p{N}]+"
 
 def token_hashes(text: Column) -> Column:
     """Hashes of the lower-cased letter and digit runs of a text (null: none)."""
-    tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), lambda x: x != "")
+    tokens = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), "")
     return F.transform(tokens, lambda x: F.xxhash64(x))
 
 
-def _seeds(w: str, masks: list[str]) -> Column:
-    """Seeds of every mask at every position, laid end to end: entry m * n + i (null past the end)."""
-    per_mask = []
-    for m, mask in enumerate(masks):
-        at = ", ".join(f"get({w}, i + {j})" if j else "x" for j, on in enumerate(mask) if on == "1")
-        per_mask.append(f"transform({w}, (x, i) -> if(i + {len(mask)} <= size({w}), xxhash64({m}, {at}), cast(null as bigint)))")
-    return F.expr(f"concat({', '.join(per_mask)})")
+def _seed(number: int, mask: str) -> Column:
+    """Seed of one mask at a place whose tokens are z.s0, z.s1, ...; null if the mask reaches past the end."""
+    tokens = [F.col(f"z.s{j}") for j, on in enumerate(mask) if on == "1"]
+    return F.when(F.col(f"z.s{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(number), *tokens))
 
 
 def _places(df: DataFrame, key: str, masks: list[str], place: str) -> DataFrame:
-    """(key, place, seed) for every seed of the token hashes ``w``."""
-    return (
-        df.select(key, F.size("w").alias("size"), F.posexplode(_seeds("w", masks)).alias("at", "seed"))
-        .where("seed is not null")
-        .select(key, F.expr("at % size").alias(place), "seed")
-    )
+    """(key, place, seed) for every seed of the token hashes ``w``.
+
+    A place's tokens come from shifted copies of ``w`` zipped together, so the
+    seeds are hashed in generated code.
+    """
+    shifted = [F.slice("w", j + 1, F.size("w")).alias(f"s{j}") for j in range(max(map(len, masks)))]
+    places = df.select(key, F.posexplode(F.arrays_zip(*shifted)).alias(place, "z"))
+    seeds = F.explode(F.array(*[_seed(m, mask) for m, mask in enumerate(masks)])).alias("seed")
+    return places.select(key, place, seeds).where("seed is not null")
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
