@@ -21,7 +21,9 @@ are handled together as one pattern, so the work is by patterns, not by pieces.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 
@@ -38,39 +40,56 @@ CAPACITY = 2048
 SEPARATOR = 0
 #: Ranks within a length are counted in this many parts (a length may hold most pieces).
 PARTS = 64
-#: Words whose ids a Python worker keeps.
-CACHE_WORDS = 300_000
+#: Words whose ids a Python worker keeps, in each of two generations (some 100 MB each).
+CACHE_WORDS = 600_000
+#: Documents whose new words are encoded together.
+ENCODE_ROWS = 256
 
 
 # ------------------------------------------------------------- tokenizing --
-def _encoder(tokenizer_file: str):
-    """bytes of little-endian 32-bit ids of a text, word by word with a cache.
+_ENCODERS: dict[str, Encoder] = {}  # kept between the tasks of a Python worker
+
+
+class Encoder:
+    """Little-endian 32-bit ids of texts, word by word with a cache.
 
     The tokenizers meant here never merge across a space, line feed or tab, so
     a text's ids are its words' ids in order; words seen before cost a lookup.
+    When the newer generation of the cache is full it becomes the older one, and
+    words still in use move back from there.
     """
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    known: dict[str, bytes] = {}
-
-    def encode(text: str) -> bytes:
-        parts = text.replace("\n", " ").replace("\t", " ").split(" ")
-        try:
-            return b"".join([known[w] for w in parts])
-        except KeyError:
-            pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({w for w in parts if w not in known})
+
+    def __init__(self, tokenizer_file: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        new = []
+        for w in set().union(*parts).difference(self.known):
+            ids = self.older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.known[w] = ids
         for i in range(0, len(new), 4096):
             block = new[i : i + 4096]
-            for w, e in zip(block, tokenizer.encode_batch_fast(block, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([known[w] for w in parts])
+            for w, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False), strict=True):
+                self.known[w] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, p)) for p in parts]
 
-    return encode
+
+def _encoder(tokenizer_file: str) -> Encoder:
+    if tokenizer_file not in _ENCODERS:
+        _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
+    return _ENCODERS[tokenizer_file]
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -80,11 +99,12 @@ def _pieces(tokenizer_file: str, capacity: int, with_ids: bool):
     end = np.array([SEPARATOR], dtype="<u4").tobytes()
 
     def run(batches):
-        encode = _encoder(tokenizer_file)
-        for batch in batches:
+        encoder = _encoder(tokenizer_file)
+        for batch in (b.slice(at, ENCODE_ROWS) for b in batches for at in range(0, b.num_rows, ENCODE_ROWS)):
             out: list[list] = [[] for _ in range(6)]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "") + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part)
