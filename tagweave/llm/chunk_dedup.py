@@ -1,9 +1,11 @@
 """Substring dedup by content-defined chunks and a gear rolling hash.
 
 A chunk ends before a word when the gear hash of the 16 bytes before that word
-is small. Cuts depend on nearby bytes only (no minimum or maximum length that
-would carry over from the last cut), so an insertion moves no cut beyond it and
-a passage is cut alike wherever it stands. Chunks are compared by 64-bit digest
+is small, or the smallest (ties included) among the ``AROUND`` words on either
+side, so text that repeats one word or line is cut at least once a period. Cuts
+depend on nearby bytes only (no minimum or maximum length that would carry over
+from the last cut), so an insertion moves no cut a few words beyond it and a
+passage is cut alike wherever it stands. Chunks are compared by 64-bit digest
 of their bytes; the first occurrence, by (doc_id, place), stays. A later one
 goes if it stands in a run of such chunks of at least ``MIN_WORDS`` words, so
 neither a short phrase nor a chance equality of digests removes anything.
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -26,6 +29,8 @@ MEAN_WORDS = 4
 MIN_WORDS = 20
 #: Bytes that the gear hash covers.
 WINDOW = 16
+#: Words on either side among which the smallest gear hash cuts.
+AROUND = 8
 _GEAR = (BYTE_VALUES >> np.uint64(32)).astype(np.uint32)
 
 
@@ -38,6 +43,17 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _lowest(h: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Whether h[i] is the smallest, ties included, of the ``AROUND`` values on either side in its text."""
+    if not len(h):
+        return np.zeros(0, dtype=bool)
+    # Gaps between the texts, so that no window reaches another text's values.
+    at = np.arange(len(h)) + AROUND * (1 + np.concatenate([[0], np.cumsum(np.diff(text) > 0)]))
+    spread = np.full(at[-1] + AROUND + 1, np.iinfo(h.dtype).max, dtype=h.dtype)
+    spread[at] = h
+    return h == sliding_window_view(spread, 2 * AROUND + 1).min(axis=1)[at - AROUND]
+
+
 def cut(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, words, first chunk of each text) of the pieces of every text.
 
@@ -51,11 +67,13 @@ def cut(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     text_start[offsets] = True
     word |= text_start[:n] & ~SPACE[data]
     places = np.flatnonzero(word[1:]) + 1
-    low = gear(data)[places - 1] < np.uint32((1 << 32) // MEAN_WORDS)
     # No cut in a text's first bytes, where the window would reach into the text before.
-    inside = places - offsets[np.searchsorted(offsets, places, side="right") - 1] >= WINDOW
+    text = np.searchsorted(offsets, places, side="right") - 1
+    inside = places - offsets[text] >= WINDOW
+    places, text = places[inside], text[inside]
+    h = gear(data)[places - 1]
     cuts = text_start
-    cuts[places[low & inside]] = True
+    cuts[places[(h < np.uint32((1 << 32) // MEAN_WORDS)) | _lowest(h, text)]] = True
     start = np.flatnonzero(cuts[:n])
     end = np.append(start[1:], n)
     counts = np.concatenate([[0], np.cumsum(word)])
