@@ -5,10 +5,12 @@ is small, or the smallest (ties included) among the ``AROUND`` words on either
 side, so text that repeats one word or line is cut at least once a period. Cuts
 depend on nearby bytes only (no minimum or maximum length that would carry over
 from the last cut), so an insertion moves no cut a few words beyond it and a
-passage is cut alike wherever it stands. Chunks are compared by 64-bit digest
-of their bytes; the first occurrence, by (doc_id, place), stays. A later one
-goes if it stands in a run of such chunks of at least ``MIN_WORDS`` words, so
-neither a short phrase nor a chance equality of digests removes anything.
+passage is cut alike wherever it stands. Two neighbouring chunks are
+a link (a chunk of ``MIN_WORDS`` words is one alone), compared by 64-bit digest
+of its bytes; the first occurrence, by (doc_id, place), stays. Later links that
+share a chunk make a run, which goes if it has at least ``MIN_WORDS`` words. So
+short phrases seen here and there remove nothing: every step from one chunk of
+a run to the next was seen before.
 """
 
 from __future__ import annotations
@@ -80,42 +82,65 @@ def cut(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return start, end, counts[end] - counts[start], np.searchsorted(start, offsets)
 
 
+def _links(chunk: Chunk, start: np.ndarray, end: np.ndarray, words: np.ndarray, first: np.ndarray):
+    """(first piece, last piece, digest, seen before in its text, first of each text) of every link.
+
+    A link is two neighbouring pieces of a text, or one piece of ``MIN_WORDS`` words.
+    """
+    text = np.searchsorted(first, np.arange(len(start)), side="right") - 1
+    pair = np.flatnonzero(text[1:] == text[:-1])
+    whole = np.flatnonzero(words >= MIN_WORDS)
+    a, b = np.concatenate([pair, whole]), np.concatenate([pair + 1, whole])
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    h = mix(range_hash(prefix_hash(chunk.data), start[a], end[b]) + (end[b] - start[a]).astype(np.uint64))
+    order = np.lexsort((h, text[a]))
+    again = np.zeros(len(h), dtype=bool)
+    again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (text[a[order[1:]]] == text[a[order[:-1]]])
+    return a, b, h.view(np.int64), again, np.searchsorted(a, first)
+
+
 def _digests(batches):
+    """The distinct digests of every text's links."""
     for batch in batches:
         keys = batch.column(0)
         for chunk in chunks(batch.column(1)):
-            start, end, _, first = cut(chunk)
-            h = mix(range_hash(prefix_hash(chunk.data), start, end) + (end - start).astype(np.uint64))
-            lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
+            *_, h, again, first = _links(chunk, *cut(chunk))
+            new = np.concatenate([[0], np.cumsum(~again)])[first]
+            lists = pa.ListArray.from_arrays(pa.array(new.astype(np.int32)), pa.array(h[~again]))
             yield pa.RecordBatch.from_arrays([keys.slice(chunk.rows[0], len(chunk.rows)), lists], names=["doc_id", "h"])
 
 
-def _runs(repeated: np.ndarray, words: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal runs [a, b) of repeated pieces with enough words."""
-    edge = np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]]))
+def _runs(one: np.ndarray, two: np.ndarray, words: np.ndarray) -> list[tuple[int, int]]:
+    """Runs [a, b) of pieces joined by the repeated links (one, two) with enough words."""
+    if not len(one):
+        return []
+    # Links are in order of their first piece; one that begins at the last piece of the run so far goes on with it.
+    last = np.maximum.accumulate(two)
+    new = np.concatenate([[True], one[1:] > last[:-1]])
     total = np.concatenate([[0], np.cumsum(words)])
-    runs = zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)
+    runs = zip(one[new], last[np.append(np.flatnonzero(new)[1:] - 1, len(one) - 1)] + 1, strict=True)
     return [(a, b) for a, b in runs if total[b] - total[a] >= MIN_WORDS]
 
 
 def _remove(batches):
-    """Column 0: repeated pieces of the row; column 1: its text; appends the counts and the kept text."""
+    """Column 0: digests that earlier documents hold; column 1: the text; appends the counts and the kept text."""
     for batch in batches:
         repeated = batch.column(0)
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for chunk in chunks(batch.column(1)):
             start, end, words, first = cut(chunk)
+            one, two, h, again, link = _links(chunk, start, end, words, first)
             for i, row in enumerate(chunk.rows):
                 text = chunk.text(i)
-                marked = repeated[row].as_py()
-                runs = []
-                if marked:
-                    a, b = first[i], first[i + 1]
-                    flags = np.zeros(b - a, dtype=bool)
-                    marked = np.array(marked)
-                    flags[marked[marked < b - a]] = True
-                    begin = chunk.offsets[i]
-                    runs = [(start[a + x] - begin, end[a + y - 1] - begin) for x, y in _runs(flags, words[a:b])]
+                a, b = first[i], first[i + 1]
+                mine = slice(link[i], link[i + 1])
+                hit = again[mine]
+                if repeated[row].is_valid:
+                    hit = hit | np.isin(h[mine], repeated[row].values.to_numpy())
+                begin = chunk.offsets[i]
+                runs = _runs(one[mine][hit] - a, two[mine][hit] - a, words[a:b])
+                runs = [(start[a + x] - begin, end[a + y - 1] - begin) for x, y in runs]
                 rest, at = [], 0
                 for x, y in runs:
                     rest.append(text[at:x])
@@ -142,21 +167,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with _n_bytes, _n_removed, _n_spans and _kept (the text left).
 
     Places are UTF-8 bytes; cuts are at words, so the text left is valid UTF-8.
-    Null text counts as empty. doc_id is the key: rows that repeat one share
-    their marks. Other columns pass through whatever their names (but the four
+    Null text counts as empty. doc_id is the key: rows that repeat one count
+    as one document's and lose only what an earlier document or they themselves hold. Other columns pass through whatever their names (but the four
     added ones). An empty table gives no rows.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = written(text.mapInArrow(_digests, "doc_id long, h array<long>"), "chunks")
-    rows = pieces.select("doc_id", F.posexplode("h").alias("place", "h"))
+    rows = pieces.select("doc_id", F.explode("h").alias("h"))
     firsts = (
-        rows.groupBy("h").agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "place")).alias("first"))
-        .where("k > 1").select("h", "first")
+        rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where("first < last").select("h", "first")
     )
-    later = rows.join(firsts, "h").where(F.struct("doc_id", "place") > F.col("first"))
-    marks = written(
-        later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("place").alias("_marks")), "chunk-marks"
-    )
+    later = rows.join(firsts, "h").where(F.col("doc_id") > F.col("first"))
+    marks = written(later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("h").alias("_marks")), "chunk-marks")
     joined = docs.join(marks, docs["doc_id"].cast("long") == marks["_id"], "left").select(
         F.col("_marks"), docs["text"].alias("_text"), *[docs[c] for c in docs.columns]
     )

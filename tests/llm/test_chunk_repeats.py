@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from tagweave.llm.chunk_dedup import AROUND, MIN_WORDS, dedup_report
+from tagweave.llm.chunk_dedup import AROUND, MIN_WORDS, cut, dedup_report
+from tagweave.llm.hashing import Chunk
 
 
 def letters(rng, n):
@@ -43,3 +45,21 @@ def test_repeated_lines_go_whatever_their_words(spark, docs_dir, seed):
     want = covered(texts)
     # At either end up to a window of words, a period and the words that the gear hash covers may stay.
     assert {d: (left[d], want[d]) for d in texts if not want[d] - 2 * (AROUND + width[d] + 8) <= left[d] <= want[d] + MIN_WORDS} == {}
+
+
+def test_phrases_from_different_places_stay(spark, docs_dir):
+    rng = random.Random(3)
+    texts = {d: " ".join(letters(rng, 60)) for d in range(60)}
+    parts = []
+    for d in texts:
+        data = np.frombuffer(texts[d].encode(), dtype=np.uint8)
+        start, end, _, _ = cut(Chunk(np.arange(1), data, np.array([0, len(data)])))
+        # Pieces longer than the gear window end with the same cut wherever they stand.
+        inner = [data[a:b].tobytes().decode() for a, b in zip(start[1:-1], end[1:-1], strict=True) if 20 <= b - a < 60]
+        parts += inner[:1]
+    assert len(parts) > 40
+    texts[100] = "".join(parts)
+    texts[101] = " ".join(letters(rng, 10)) + " " + texts[7] + " " + " ".join(letters(rng, 10))
+    docs = spark.read.parquet(docs_dir([(d, t, "x") for d, t in texts.items()]) + "/documents.parquet")
+    gone = {r["doc_id"]: r["n_removed"] for r in dedup_report(docs).collect()}
+    assert gone.pop(101) > 150 and set(gone.values()) == {0}
