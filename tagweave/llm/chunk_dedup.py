@@ -10,7 +10,9 @@ a link (a chunk of ``MIN_WORDS`` words is one alone), compared by 64-bit digest
 of its bytes; the first occurrence, by (doc_id, place), stays. Later links that
 share a chunk make a run, which goes if it has at least ``MIN_WORDS`` words. So
 short phrases seen here and there remove nothing: every step from one chunk of
-a run to the next was seen before.
+a run to the next was seen before. In a script written without spaces
+(``UNSPACED``) a chunk may end before any code point, and ``CODE_POINTS`` of
+them count as a word.
 """
 
 from __future__ import annotations
@@ -31,6 +33,11 @@ MEAN_WORDS = 4
 MIN_WORDS = 20
 #: Bytes that the gear hash covers.
 WINDOW = 16
+#: Code points of a script written without spaces that count as a word.
+CODE_POINTS = 2
+#: Such scripts: Thai to Myanmar, Khmer, kana to ideographs, further ideographs, those beyond 16 bits.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x9FFF),
+            (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF))
 #: Words on either side among which the smallest gear hash cuts.
 AROUND = 8
 _GEAR = (BYTE_VALUES >> np.uint64(32)).astype(np.uint32)
@@ -45,6 +52,19 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """Places where a code point of a script written without spaces starts."""
+    # Three bytes from 0xE0 on, four from 0xF0 on.
+    at = np.flatnonzero(data >= 0xE0)
+    b = [data[np.minimum(at + j, len(data) - 1)].astype(np.uint32) & 63 for j in range(4)]
+    three = (b[0] & 15) << 12 | b[1] << 6 | b[2]
+    point = np.where(data[at] < 0xF0, three, (b[0] & 7) << 18 | b[1] << 12 | b[2] << 6 | b[3])
+    found = np.zeros(len(at), dtype=bool)
+    for lo, hi in UNSPACED:
+        found |= (point >= lo) & (point <= hi)
+    return at[found]
+
+
 def _lowest(h: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Whether h[i] is the smallest, ties included, of the ``AROUND`` values on either side in its text."""
     if not len(h):
@@ -57,9 +77,10 @@ def _lowest(h: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 
 def cut(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, words, first chunk of each text) of the pieces of every text.
+    """(start, end, weight, first chunk of each text) of the pieces of every text.
 
-    Pieces tile each text; an empty text has none.
+    Pieces tile each text; an empty text has none. Weight: ``CODE_POINTS`` for each
+    word, 1 for each code point of a script written without spaces.
     """
     data, offsets = chunk.data, chunk.offsets
     n = len(data)
@@ -68,28 +89,31 @@ def cut(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     text_start = np.zeros(n + 1, dtype=bool)
     text_start[offsets] = True
     word |= text_start[:n] & ~SPACE[data]
-    places = np.flatnonzero(word[1:]) + 1
+    weight = word * np.uint8(CODE_POINTS)
+    weight[_unspaced(data)] = 1
+    places = np.flatnonzero(weight[1:]) + 1
     # No cut in a text's first bytes, where the window would reach into the text before.
     text = np.searchsorted(offsets, places, side="right") - 1
     inside = places - offsets[text] >= WINDOW
     places, text = places[inside], text[inside]
     h = gear(data)[places - 1]
     cuts = text_start
-    cuts[places[(h < np.uint32((1 << 32) // MEAN_WORDS)) | _lowest(h, text)]] = True
+    bound = ((1 << 32) // (MEAN_WORDS * CODE_POINTS) * weight[places].astype(np.int64)).astype(np.uint32)
+    cuts[places[(h < bound) | _lowest(h, text)]] = True
     start = np.flatnonzero(cuts[:n])
     end = np.append(start[1:], n)
-    counts = np.concatenate([[0], np.cumsum(word)])
+    counts = np.concatenate([[0], np.cumsum(weight, dtype=np.int64)])
     return start, end, counts[end] - counts[start], np.searchsorted(start, offsets)
 
 
-def _links(chunk: Chunk, start: np.ndarray, end: np.ndarray, words: np.ndarray, first: np.ndarray):
+def _links(chunk: Chunk, start: np.ndarray, end: np.ndarray, weight: np.ndarray, first: np.ndarray):
     """(first piece, last piece, digest, seen before in its text, first of each text) of every link.
 
     A link is two neighbouring pieces of a text, or one piece of ``MIN_WORDS`` words.
     """
     text = np.searchsorted(first, np.arange(len(start)), side="right") - 1
     pair = np.flatnonzero(text[1:] == text[:-1])
-    whole = np.flatnonzero(words >= MIN_WORDS)
+    whole = np.flatnonzero(weight >= MIN_WORDS * CODE_POINTS)
     a, b = np.concatenate([pair, whole]), np.concatenate([pair + 1, whole])
     order = np.argsort(a, kind="stable")
     a, b = a[order], b[order]
@@ -111,16 +135,16 @@ def _digests(batches):
             yield pa.RecordBatch.from_arrays([keys.slice(chunk.rows[0], len(chunk.rows)), lists], names=["doc_id", "h"])
 
 
-def _runs(one: np.ndarray, two: np.ndarray, words: np.ndarray) -> list[tuple[int, int]]:
+def _runs(one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> list[tuple[int, int]]:
     """Runs [a, b) of pieces joined by the repeated links (one, two) with enough words."""
     if not len(one):
         return []
     # Links are in order of their first piece; one that begins at the last piece of the run so far goes on with it.
     last = np.maximum.accumulate(two)
     new = np.concatenate([[True], one[1:] > last[:-1]])
-    total = np.concatenate([[0], np.cumsum(words)])
+    total = np.concatenate([[0], np.cumsum(weight)])
     runs = zip(one[new], last[np.append(np.flatnonzero(new)[1:] - 1, len(one) - 1)] + 1, strict=True)
-    return [(a, b) for a, b in runs if total[b] - total[a] >= MIN_WORDS]
+    return [(a, b) for a, b in runs if total[b] - total[a] >= MIN_WORDS * CODE_POINTS]
 
 
 def _remove(batches):
@@ -129,8 +153,8 @@ def _remove(batches):
         repeated = batch.column(0)
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for chunk in chunks(batch.column(1)):
-            start, end, words, first = cut(chunk)
-            one, two, h, again, link = _links(chunk, start, end, words, first)
+            start, end, weight, first = cut(chunk)
+            one, two, h, again, link = _links(chunk, start, end, weight, first)
             for i, row in enumerate(chunk.rows):
                 text = chunk.text(i)
                 a, b = first[i], first[i + 1]
@@ -139,7 +163,7 @@ def _remove(batches):
                 if repeated[row].is_valid:
                     hit = hit | np.isin(h[mine], repeated[row].values.to_numpy())
                 begin = chunk.offsets[i]
-                runs = _runs(one[mine][hit] - a, two[mine][hit] - a, words[a:b])
+                runs = _runs(one[mine][hit] - a, two[mine][hit] - a, weight[a:b])
                 runs = [(start[a + x] - begin, end[a + y - 1] - begin) for x, y in runs]
                 rest, at = [], 0
                 for x, y in runs:

@@ -63,3 +63,17 @@ def test_phrases_from_different_places_stay(spark, docs_dir):
     docs = spark.read.parquet(docs_dir([(d, t, "x") for d, t in texts.items()]) + "/documents.parquet")
     gone = {r["doc_id"]: r["n_removed"] for r in dedup_report(docs).collect()}
     assert gone.pop(101) > 150 and set(gone.values()) == {0}
+
+
+def test_passages_of_scripts_without_spaces_go(spark, docs_dir):
+    rng = random.Random(4)
+    letter = {"zh": (0x4E00, 0x9FA5), "ja": (0x3041, 0x3096), "th": (0x0E01, 0x0E2E), "far": (0x20000, 0x2A6D0)}
+    some = lambda lang, n: "".join(chr(rng.randint(*letter[lang])) for _ in range(n))
+    texts, passage = {}, {lang: some(lang, 300) for lang in letter}
+    for lang, text in passage.items():
+        for _ in range(3):
+            texts[len(texts)] = some(lang, 50) + text + some(lang, 50)
+        texts[len(texts)] = some(lang, 400)
+    docs = spark.read.parquet(docs_dir([(d, t, "x") for d, t in texts.items()]) + "/documents.parquet")
+    left = {r["doc_id"]: len(texts[r["doc_id"]]) - len(r["text"]) for r in dedup_report(docs).collect()}
+    assert all(220 <= n <= 300 if d % 4 in (1, 2) else n == 0 for d, n in left.items()), left
