@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.llm.chunk_dedup import UNSPACED
 from tagweave.llm.common import BROADCAST_ROWS, semi_join, written
 
 #: Tokens under a 1 are hashed.
@@ -22,12 +23,13 @@ WINDOW = 12
 MIN_SAME = 10
 #: Items with fewer tokens are no evidence; those between this and WINDOW must occur whole.
 MIN_ITEM = 6
-#: What separates tokens: anything but letters and digits.
-SEPARATOR = "[^\\p{L}\\p{N}]+"
+_UNSPACED = "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in UNSPACED) + "]"
+#: What separates tokens: anything but letters and digits; a code point of a script without spaces is a token of its own.
+SEPARATOR = f"[^\\p{{L}}\\p{{N}}]+|(?={_UNSPACED})|(?<={_UNSPACED})"
 
 
 def token_hashes(text: Column) -> Column:
-    """Hashes of the lower-cased letter and digit runs of a text (null: none)."""
+    """Hashes of the lower-cased letter and digit runs of a text (null: none), those of scripts without spaces by code point."""
     tokens = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), "")
     return F.transform(tokens, lambda x: F.xxhash64(x))
 
