@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import chat, chunk_dedup, decontaminate, jaccard, langid, lm, packing, search, sharding, suffix_dedup
+from tagweave.llm import bpe, chat, chunk_dedup, decontaminate, jaccard, langid, lm, packing, search, sharding, suffix_dedup
 from tagweave.llm.common import table
 
 
 #: Fixed by the contract of op1.
 TOKENIZER = "word_bpe_49k.json"
+#: Fixed by the contract of op13.
+RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
 def op1_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,8 +68,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join, op13_byte_bpe)}
 
 
 _O_CHAT = """
