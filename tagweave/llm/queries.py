@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, chat, chunk_dedup, decontaminate, jaccard, langid, lm, packing, search, sharding, suffix_dedup
+from tagweave.llm import bpe, chat, chunk_dedup, decontaminate, jaccard, langid, lm, merkle, packing, search, sharding, suffix_dedup
 from tagweave.llm.common import table
 
 
@@ -68,12 +68,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose id's checksum is divisible by 5 are tampered with."""
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered=F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join, op13_byte_bpe)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join, op11_merkle_manifest, op13_byte_bpe)}
 
 
 _O_CHAT = """
@@ -94,6 +99,80 @@ from sized group by conv_id
 """
 
 
+# Unsigned crc32 of every distinct text ``v`` of the table ``given``, byte by byte through the usual table of 256.
+_CRC = """
+crc_table as (
+  select n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as t
+  from range(256) r(n)
+), crc_state as (
+  select v, hex(encode(v)) as h, 0 as i, 4294967295::bigint as c from (select distinct v from given)
+  union all
+  select v, h, i + 1, xor(t, c >> 8) from crc_state join crc_table
+    on n = xor(c, ('0x' || substr(h, 2 * i + 1, 2))::bigint) & 255
+  where 2 * i < length(h)
+), crc as (select v, xor(c, 4294967295) as crc32 from crc_state where 2 * i = length(h))
+"""
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Levels of 16 that the oracle unrolls: up to 16 million rows a source, and as many sources.
+_ORACLE_LEVELS = 6
+
+
+def _merkle_oracle() -> str:
+    def framed(c: str) -> str:
+        return f"coalesce(octet_length(encode({c}::varchar))::varchar || ':' || {c}::varchar, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(framed(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def levels(name: str) -> str:
+        """Nodes of every level above {name}0, and the siblings of every node below one."""
+        return ",\n".join(
+            f"""{name}{k + 1} as (select g, pos // 16 as pos, (n + 15) // 16 as n, sha256(string_agg(digest, '' order by pos)) as digest
+  from {name}{k} where n > 1 group by all),
+{name}s{k} as (select g, pos,
+  coalesce(string_agg(digest, '') over (partition by g, pos // 16 order by pos rows between unbounded preceding and 1 preceding), '') as b,
+  coalesce(string_agg(digest, '') over (partition by g, pos // 16 order by pos rows between 1 following and unbounded following), '') as a
+  from {name}{k} where n > 1)"""
+            for k in range(_ORACLE_LEVELS)
+        )
+
+    def tops(name: str) -> str:
+        return " union all ".join(f"select g, digest from {name}{k} where n = 1" for k in range(_ORACLE_LEVELS + 1))
+
+    def folds(name: str, over: str, group: str, pos: str) -> str:
+        return ",\n".join(
+            f"""{name}{k + 1} as (select f.* replace (f.{pos} // 16 as {pos}, coalesce(sha256(s.b || f.cur || s.a), f.cur) as cur,
+  f.proof || coalesce(s.b || s.a, '') as proof) from {name}{k} f left join {over}s{k} s on f.{group} = s.g and f.{pos} = s.pos)"""
+            for k in range(_ORACLE_LEVELS)
+        )
+
+    lower = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    last = _ORACLE_LEVELS
+    return f"""
+with recursive given as (select doc_id::varchar as v from documents where doc_id is not null), {_CRC},
+base as (
+  select doc_id, source, {framed("source")} as g, {leaf("text")} as leaf, {leaf(lower)} as lowered, crc32 % 5 = 0 as tampered
+  from documents left join crc on doc_id::varchar = v
+), l as (select *, case when tampered then lowered else leaf end as used from base),
+ranked as (
+  select *, row_number() over (partition by g order by doc_id nulls first, leaf, used) - 1 as pos, count(*) over (partition by g) as n from l
+), l0 as (select g, pos, n, leaf as digest from ranked),
+{levels("l")},
+sub as (select t.g, t.digest, r.source from ({tops("l")}) t join (select g, source from ranked where pos = 0) r on t.g = r.g),
+u0 as (select 0 as g, row_number() over (order by encode(source) nulls first) - 1 as pos, count(*) over () as n, digest, g as source_g from sub),
+{levels("u")},
+root as (select digest as root from ({tops("u")}) t),
+f0 as (
+  select r.doc_id, r.g, r.leaf, r.used as cur, '' as proof, r.pos, 0 as ug, u.pos as upos, u.digest as subroot
+  from ranked r join u0 u on r.g = u.source_g
+),
+{folds("f", "l", "g", "pos")},
+h0 as (select * from f{last}),
+{folds("h", "u", "ug", "upos")}
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, cur as folded_root, cur = root as verified from h{last}, root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """What SQL can express; the other queries are tested against brute force."""
-    return {"op3_chat_format": _O_CHAT}
+    return {"op3_chat_format": _O_CHAT, "op11_merkle_manifest": _merkle_oracle()}
