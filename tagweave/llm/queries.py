@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, chat, chunk_dedup, decontaminate, jaccard, langid, lm, merkle, packing, search, sharding, suffix_dedup
+from tagweave.llm import bpe, chat, chunk_dedup, decontaminate, jaccard, langid, lm, merkle, packing, resample, search, sharding, suffix_dedup
 from tagweave.llm.common import table
 
 
@@ -73,12 +73,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered=F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
 
 
+def op12_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents towards the benchmark's texts."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join, op11_merkle_manifest, op13_byte_bpe)}
+    return {f.__name__: f for f in (op1_best_fit_pack, op2_topk_search, op3_chat_format, op4_decontaminate, op5_suffix_dedup, op6_lm_score, op7_language_id, op8_shard_by_bytes, op9_chunk_dedup, op10_jaccard_join, op11_merkle_manifest, op12_importance_resample, op13_byte_bpe)}
 
 
 _O_CHAT = """
@@ -173,6 +178,33 @@ select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, cur as folded
 """
 
 
+def _resample_oracle() -> str:
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+with recursive said as (
+  select doc_id, {words} as w from documents union all select null, {words} from benchmark
+), numbered as (select row_number() over () as r, doc_id, doc_id is null as target, w from said),
+features as (
+  select r, target, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as v from numbered
+), given as (select v from features), {_CRC},
+hashed as (select r, target, crc32 % 10000 as b from features join crc using (v)),
+per_bucket as (
+  select b, count(*) filter (where not target) as s, count(*) filter (where target) as t from hashed group by b
+), total as (select sum(s)::double as s_all, sum(t)::double as t_all from per_bucket),
+gains as (select b, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::bigint as gain from per_bucket, total),
+summed as (select r, count(*) as n_features, sum(gain) as gain from hashed join gains using (b) where not target group by r),
+weighed as (
+  select doc_id, coalesce(n_features, 0) as n_features, len(w) as n_words,
+    coalesce(((gain - (gain % n_features + n_features) % n_features) // n_features)::bigint, 0) as weight,
+    ('0x' || sha256('7:' || doc_id)[:8])::bigint as h
+  from numbered left join summed using (r) where not target
+), scored as (select *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0::double)))::bigint as score from weighed),
+ranked as (select doc_id, row_number() over (order by score desc, doc_id) as rank from scored where n_words >= 20)
+select doc_id, n_features, weight, score, case when rank <= 25 * (select count(*) from ranked) // 100 then rank end as rank
+from scored left join ranked using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """What SQL can express; the other queries are tested against brute force."""
-    return {"op3_chat_format": _O_CHAT, "op11_merkle_manifest": _merkle_oracle()}
+    return {"op3_chat_format": _O_CHAT, "op11_merkle_manifest": _merkle_oracle(), "op12_importance_resample": _resample_oracle()}
