@@ -4,47 +4,58 @@ import random
 
 import numpy as np
 
-from tagweave.llm.chunk_dedup import _GEAR, MEAN_WORDS, MIN_WORDS, dedup_report, remove_repeats
+from tagweave.llm.chunk_dedup import _GEAR, AROUND, CODE_POINTS, MEAN_WORDS, MIN_WORDS, UNSPACED, WINDOW, dedup_report, remove_repeats
 from tagweave.llm.queries import op9_chunk_dedup
 
 from .conftest import SF, texts_of
 
 
 def pieces(text):
-    data, out, h, last = (text or "").encode(), [], 0, 0
-    space = b" \t\n\x0b\x0c\r"
-    for i, b in enumerate(data):
-        if i and b not in space and data[i - 1] in space:
-            tail = data[max(0, i - 16) : i]
+    """(bytes, weight) of every chunk, place by place."""
+    data, space = text.encode(), b" \t\n\x0b\x0c\r"
+    weights, i = {}, 0  # of the places where a word or a code point of an unspaced script starts
+    for c in text:
+        if any(lo <= ord(c) <= hi for lo, hi in UNSPACED):
+            weights[i] = 1
+        elif data[i] not in space and (i == 0 or data[i - 1] in space):
+            weights[i] = CODE_POINTS
+        i += len(c.encode())
+    hashes = {}
+    for place in weights:
+        if place >= WINDOW:
             h = 0
-            for x in tail:
+            for x in data[place - WINDOW : place]:
                 h = ((h << 1) + int(_GEAR[x])) & 0xFFFFFFFF
-            if h < (1 << 32) // MEAN_WORDS and i >= 16:
-                out.append(data[last:i])
-                last = i
-    return out + [data[last:]] if data else out
+            hashes[place] = h
+    places = list(hashes)
+    cuts = [0]
+    for k, place in enumerate(places):
+        around = [hashes[p] for p in places[max(0, k - AROUND) : k + AROUND + 1]]
+        if hashes[place] < (1 << 32) // (MEAN_WORDS * CODE_POINTS) * weights[place] or hashes[place] == min(around):
+            cuts.append(place)
+    ends = [*cuts[1:], len(data)]
+    return [(data[a:b], sum(w for p, w in weights.items() if a <= p < b)) for a, b in zip(cuts, ends, strict=True)] if data else []
 
 
 def brute(texts):
     seen, out = set(), {}
     for d in sorted(texts):
-        parts = pieces(texts[d])
-        again = []
-        for p in parts:
-            again.append(p in seen)
-            seen.add(p)
-        kept, i, removed, spans = [], 0, 0, 0
-        while i < len(parts):
-            j = i
-            while j < len(parts) and again[j] == again[i]:
-                j += 1
-            run = b"".join(parts[i:j])
-            if again[i] and sum(len(p.split()) for p in parts[i:j]) >= MIN_WORDS:
-                removed, spans = removed + len(run), spans + 1
-            else:
-                kept.append(run)
-            i = j
-        out[d] = (len((texts[d] or "").encode()), removed, spans, b"".join(kept).decode())
+        parts = pieces(texts[d] or "")
+        runs = []
+        for i in range(len(parts)):
+            links = [(i + 1, parts[i][0] + parts[i + 1][0])] if i + 1 < len(parts) else []
+            links += [(i, parts[i][0])] if parts[i][1] >= MIN_WORDS * CODE_POINTS else []
+            for last, link in links:
+                if link in seen and runs and i <= runs[-1][1]:
+                    runs[-1][1] = max(runs[-1][1], last)
+                elif link in seen:
+                    runs.append([i, last])
+            seen.update(link for _, link in links)
+        runs = [(a, b) for a, b in runs if sum(w for _, w in parts[a : b + 1]) >= MIN_WORDS * CODE_POINTS]
+        gone = {i for a, b in runs for i in range(a, b + 1)}
+        kept = b"".join(p for i, (p, _) in enumerate(parts) if i not in gone)
+        n = len((texts[d] or "").encode())
+        out[d] = (n, n - len(kept), len(runs), kept.decode())
     return out
 
 
@@ -64,7 +75,9 @@ def test_planted_passages_go_and_clean_texts_stay(spark, docs_dir):
     for d in range(4, 200):
         mid = [passages[rng.randrange(20)]] if d % 2 else []
         rows.append((d, "  ".join([word(rng.randint(1, 40)), *mid, word(rng.randint(1, 40))]), "x"))
-    rows.append((500, "same line here\n" * 3000, "x"))
+    rows.append((500, "same line here\n" * 300, "x"))
+    unspaced = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(90))
+    rows += [(501, unspaced + "。ab " + word(30), "x"), (502, word(5) + unspaced + word(5), "x")]
     docs = spark.read.parquet(docs_dir(rows) + "/documents.parquet")
     texts = {d: t for d, t, _ in rows}
     got = result(dedup_report(docs))
