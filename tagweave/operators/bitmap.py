@@ -7,7 +7,8 @@ Per value type (long, decimal, string, date) one table
 * ``n``        - how many ids the row holds;
 * ``uids``     - Spark's 4096-byte bitmap of the bucket, for groups of more than
   ``sparse_max`` ids (the default 512 ids x 8 bytes = one bitmap);
-* ``uid_list`` - the sorted ids themselves, for smaller groups.
+* ``uid_list`` - the sorted ids themselves, for smaller groups (an id from 2^63 on as the
+  BIGINT of the same bits).
 
 Exactly one of the two is set, decided by the group's ids alone: the same input
 gives the same rows whatever the route or the store's history. States of several
@@ -42,11 +43,11 @@ from pyspark.sql import types as T
 from tagweave.codes import BITMAP_TABLES, TYPE_STRING, CatalogError, value_type
 from tagweave.functions.bitmap import (
     bit_position,
-    bucket_base,
     bucket_number,
     construct_agg,
     expand_bitmap_batches,
     store_batches,
+    unsigned,
 )
 
 GROUP_KEYS = ["tag_code", "tag_value", "bucket"]
@@ -104,19 +105,23 @@ def unpivot_tags(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def uid_to_long(pairs: DataFrame, on_bad: str = "error") -> DataFrame:
-    """uid text -> non-negative BIGINT.
+    """uid text -> unsigned 64-bit id, as the BIGINT of the same bits.
 
     NULL, negative, non-numeric or out-of-range uids raise (default) or,
-    with ``on_bad="drop"``, are left out. Runs inside the codegen stage.
+    with ``on_bad="drop"``, are left out. Runs inside the codegen stage; only
+    ids from 2^63 on go through decimals.
     """
-    parsed = F.col("uid").try_cast(T.LongType())
-    bad = parsed.isNull() | (parsed < 0)
+    low = F.col("uid").try_cast(T.LongType())
+    digits = F.trim(F.col("uid"))
+    wide = F.when(digits.rlike("^[0-9]{19,20}$"), digits.try_cast("decimal(20,0)"))
+    wrapped = F.when(wide < F.lit(str(1 << 64)).cast("decimal(20,0)"), wide - F.lit(str(1 << 64)).cast("decimal(20,0)")).cast(T.LongType())
+    parsed = F.when(low.isNull(), wrapped).when(low >= 0, low)
     if on_bad == "drop":
-        return pairs.where(~bad).withColumn("uid", parsed)
+        return pairs.withColumn("uid", parsed).where(F.col("uid").isNotNull())
     if on_bad != "error":
         raise ValueError("on_bad must be 'error' or 'drop'")
     message = F.concat(F.lit("bitmap: invalid uid "), F.coalesce(F.col("uid"), F.lit("NULL")))
-    return pairs.withColumn("uid", F.when(bad, F.raise_error(message)).otherwise(parsed))
+    return pairs.withColumn("uid", F.coalesce(parsed, F.raise_error(message).cast(T.LongType())))
 
 
 def typed_value(pairs: DataFrame, type_code: str) -> DataFrame:
@@ -139,22 +144,22 @@ def typed_value(pairs: DataFrame, type_code: str) -> DataFrame:
 DENSE_MIN_IDS_PER_GROUP = 2048
 
 
-def _stored(groups: DataFrame, sparse_max: int) -> DataFrame:
-    """Groups in their stored form (n, bitmap or id list), in Arrow batches, without a shuffle."""
+def _stored(groups: DataFrame, sparse_max: int, ids: bool = False) -> DataFrame:
+    """Groups (keys, ``uids``, ``positions``) in their stored form, in Arrow batches, without a shuffle."""
     keys = [groups.schema[k] for k in GROUP_KEYS]
     schema = T.StructType([*keys, *[f for f in bitmap_schema(TYPE_STRING).fields if f.name in ("n", "uids", "uid_list")]])
-    return groups.mapInArrow(lambda batches: store_batches(batches, GROUP_KEYS, sparse_max), schema)
+    return groups.mapInArrow(lambda batches: store_batches(batches, GROUP_KEYS, sparse_max, ids), schema)
 
 
 def _bitmap_layout(located: DataFrame, sparse_max: int) -> DataFrame:
     groups = located.groupBy(*GROUP_KEYS).agg(construct_agg(F.col("pos")).alias("uids"))
-    return _stored(groups, sparse_max)
+    return _stored(groups.withColumn("positions", F.lit(None).cast("array<bigint>")), sparse_max)
 
 
 def _hybrid_layout(located: DataFrame, sparse_max: int) -> DataFrame:
     """One shuffle of positions and one aggregate per group (at most 32768 ids)."""
     groups = located.groupBy(*GROUP_KEYS).agg(F.collect_set("pos").alias("positions"))
-    return _stored(groups, sparse_max)
+    return _stored(groups.withColumn("uids", F.lit(None).cast("binary")), sparse_max)
 
 
 def _dense(stats: DataFrame, min_ids_per_group: int) -> list[str]:
@@ -199,7 +204,7 @@ def build_bitmaps(
 ) -> DataFrame:
     """Distinct uid set per (tag_code, tag_value), one row per bucket.
 
-    ``pairs`` has ``tag_code, tag_value, uid BIGINT`` (uid >= 0). For
+    ``pairs`` has ``tag_code, tag_value, uid BIGINT`` (see :func:`uid_to_long`). For
     ``auto``, ``dense`` may give the dense tags already (see ``dense_tags``).
     """
     located = pairs.select(
@@ -263,8 +268,15 @@ def bitmap_slice(
 
 
 def merge_states(bitmaps: DataFrame, sparse_max: int = SPARSE_MAX) -> DataFrame:
-    """Union of states: one row per (tag, value, bucket) over all dates or slices given."""
-    return _hybrid_layout(_positions(bitmaps, GROUP_KEYS), sparse_max)
+    """Union of states: one row per (tag, value, bucket) over all dates or slices given.
+
+    Bitmaps are united as bitmaps, with map-side combine; id lists are gathered by
+    group (at most ``sparse_max`` ids a state). Both sides then have one row per group
+    and the same partitioning, so bringing them together shuffles nothing more.
+    """
+    dense = bitmaps.where(F.col("uids").isNotNull()).groupBy(*GROUP_KEYS).agg(F.call_function("bitmap_or_agg", F.col("uids")).alias("uids"))
+    listed = bitmaps.where(F.col("uid_list").isNotNull()).groupBy(*GROUP_KEYS).agg(F.flatten(F.collect_list("uid_list")).alias("positions"))
+    return _stored(dense.join(listed, GROUP_KEYS, "full_outer").select(*GROUP_KEYS, "uids", "positions"), sparse_max, ids=True)
 
 
 def _one_state(bitmaps: DataFrame, keys: Sequence[str]) -> bool:
@@ -282,23 +294,31 @@ def cardinality(bitmaps: DataFrame, keys: Sequence[str] = ("tag_code", "tag_valu
     return states.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("cardinality"))
 
 
-def _positions(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., bucket, pos): every id stored, as often as it is stored."""
+def _stored_ids(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., uid): every id stored, as often as it is stored."""
     keys = list(dict.fromkeys([*keys, "bucket"]))
     listed = bitmaps.where(F.col("uid_list").isNotNull()).select(*keys, F.explode("uid_list").alias("uid"))
     dense = bitmaps.where(F.col("uids").isNotNull()).select(*keys, "uids")
     schema = T.StructType([*[bitmaps.schema[k] for k in keys], T.StructField("uid", T.LongType())])
     expanded = dense.mapInArrow(lambda batches: expand_bitmap_batches(batches, keys), schema)
-    return listed.unionByName(expanded).select(*keys, bit_position(F.col("uid")).alias("pos"))
+    return listed.unionByName(expanded)
 
 
-def decode(bitmaps: DataFrame, keys: Sequence[str] = ("tag_code", "tag_value")) -> DataFrame:
+def decode(
+    bitmaps: DataFrame, keys: Sequence[str] = ("tag_code", "tag_value"), all_unsigned: bool = False
+) -> DataFrame:
     """One row per distinct (tag, value, uid) stored in the bitmaps.
 
     Id lists explode on the JVM; bitmaps expand in Arrow batches (Spark has
     no built-in to list a bitmap's bits). No shuffle for one date; rows of
-    several dates are united first.
+    several dates are united first. uid is a BIGINT, and one from 2^63 on raises; with
+    ``all_unsigned`` it is a DECIMAL(20,0) and holds every unsigned 64-bit id.
     """
     states = bitmaps if _one_state(bitmaps, keys) else merge_states(bitmaps)
-    found = _positions(states, keys)
-    return found.select(*keys, (bucket_base(F.col("bucket")) + F.col("pos")).alias("uid"))
+    uid = F.col("uid")
+    if all_unsigned:
+        value = unsigned(uid)
+    else:
+        message = F.concat(F.lit("uid "), unsigned(uid).cast("string"), F.lit(" is no BIGINT: decode with all_unsigned=True"))
+        value = F.when(uid < 0, F.raise_error(message)).otherwise(uid).cast(T.LongType())
+    return _stored_ids(states, keys).select(*keys, value.alias("uid"))

@@ -1,24 +1,30 @@
 """Merge: UNION ALL of the enabled tags' slices, pivoted to one row per uid.
 
-Plan shape: one Parquet scan per tag (partition-pruned to ``dt = D``, only
-``uid, query_value`` read), a union, and two narrow shuffles: ``max`` per
-(uid, tag), reduced on the map side, so a uid that repeats many times inside a
-tag collapses before anything gathers by uid; then at most one row per (uid,
-tag) by uid, where the pivot runs in the same stage. No shuffled row carries a
-column per tag, so bytes grow with the cells, not with tags times cells.
+Plan shape: one Parquet scan per stored value type (at most four, whatever the
+number of tags; only ``uid, query_value`` of the date's slices is read, the tag
+comes from the folder a row was read from), a union, and two narrow shuffles:
+``max`` per (uid, tag), reduced on the map side, so a uid that repeats many times
+inside a tag collapses before anything gathers by uid; then at most one row per
+(uid, tag) by uid, where the pivot runs in the same stage. No shuffled row
+carries a column per tag, so bytes grow with the cells, not with tags times cells.
+
+The pivot has two levels: tags are numbered, about sqrt(N) neighbours are a group;
+a group's cells become one row of its columns, then a uid's groups become
+one row. A cell so meets 2 * sqrt(N) conditions instead of N.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from math import ceil, sqrt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.sources.store import MissingTableError, ProfileStore
+from tagweave.sources.catalog import local_frame
+from tagweave.sources.store import ProfileStore
 
 UNION_SCHEMA = T.StructType(
     [
@@ -61,21 +67,48 @@ def wide_columns(tag_codes: Sequence[str]) -> list[str]:
     return cols
 
 
+_NUMBERS = T.StructType([T.StructField("tag_code", T.StringType()), T.StructField("tag", T.IntegerType())])
+#: Up to this many tags one level costs less than two.
+ONE_LEVEL_TAGS = 8
+
+
+def pivot_cells(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``uid`` and one column per tag from (uid, query_value, tag), ``tag`` being the column's position.
+
+    Several values of one uid in one tag resolve by text ``max``; a row with a
+    null ``tag`` only makes its uid appear.
+    """
+    if not columns:
+        return cells.select("uid").limit(0)
+    reduced = cells.groupBy("uid", "tag").agg(F.max("query_value").alias("query_value")).repartition("uid")
+    if len(columns) <= ONE_LEVEL_TAGS:
+        one = reduced.groupBy("uid").agg(*[F.max(F.when(F.col("tag") == i, F.col("query_value"))).alias(c) for i, c in enumerate(columns)])
+        return one.select("uid", *columns)
+    width = ceil(sqrt(len(columns)))
+    groups = ceil(len(columns) / width)
+    slot, group = F.pmod("tag", F.lit(width)), F.floor(F.col("tag") / width).cast("int")
+    inner = reduced.groupBy("uid", group.alias("_group")).agg(
+        *[F.max(F.when(slot == j, F.col("query_value"))).alias(f"_s{j}") for j in range(width)]
+    )
+    parts = F.struct(*[f"_s{j}" for j in range(width)])
+    outer = inner.groupBy("uid").agg(
+        *[F.first(F.when(F.col("_group") == g, parts), ignorenulls=True).alias(f"_g{g}") for g in range(groups)]
+    )
+    return outer.select("uid", *[F.col(f"_g{i // width}._s{i % width}").alias(c) for i, c in enumerate(columns)])
+
+
 def pivot_tags(union: DataFrame, tag_codes: Sequence[str]) -> DataFrame:
     """``pivot(max(query_value) for tag_code in (codes))`` grouped by uid.
 
-    Values are listed, so Spark needs no discovery pass; they match the
-    codes literally (original case) and are renamed to lower case after.
-    Several values of one uid in one tag resolve by text ``max``.
+    Codes are listed, so no discovery pass is needed; they match
+    literally (original case) and columns are lower case. A uid with
+    only other codes has a row of NULLs.
     """
-    cols = wide_columns(tag_codes)
+    columns = wide_columns(tag_codes)
     if not tag_codes:
         return union.select("uid").limit(0)
-    cells = union.groupBy("uid", "tag_code").agg(F.max("query_value").alias("query_value"))
-    pivoted = cells.repartition("uid").groupBy("uid").pivot("tag_code", list(tag_codes)).agg(F.max("query_value"))
-    return pivoted.select(
-        "uid", *[F.col(f"`{code}`").alias(col) for code, col in zip(tag_codes, cols)]
-    )
+    numbers = local_frame(union.sparkSession, [(c, i) for i, c in enumerate(tag_codes)], _NUMBERS)  # a row a tag
+    return pivot_cells(union.join(F.broadcast(numbers), "tag_code", "left").select("uid", "query_value", "tag"), columns)
 
 
 def build_wide(
@@ -88,24 +121,8 @@ def build_wide(
 
     A tag without a table, or without a slice for the date (never computed),
     is an error naming it; with ``missing_ok`` its column is all NULL instead.
-    A slice that was computed and has no rows is no error. The per-tag reads are only planned here
-    (listing one folder each), a few at a time from driver threads.
+    A slice that was computed and has no rows is no error.
     """
-
-    def branch(tag):
-        try:
-            rows = store.read_tag(tag["tag_code"], tag["tag_value_type"], execute_date, require_slice=True)
-        except MissingTableError:
-            if missing_ok:
-                return None
-            raise
-        return tag_branch(rows, tag["tag_code"])
-
-    tags = list(tags)
-    if len(tags) > 1:
-        with ThreadPoolExecutor(max_workers=min(8, len(tags))) as pool:
-            planned = list(pool.map(branch, tags))
-    else:
-        planned = [branch(t) for t in tags]
-    union = union_tags([b for b in planned if b is not None], store.spark)
-    return pivot_tags(union, [t["tag_code"] for t in tags])
+    codes = [t["tag_code"] for t in tags]
+    columns = wide_columns(codes)
+    return pivot_cells(store.read_tags(codes, execute_date, missing_ok), columns)

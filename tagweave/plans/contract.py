@@ -96,7 +96,7 @@ def seed_day(spark: SparkSession, sf_dir: str) -> tuple:
     key = (spark.sparkContext.applicationId, _inputs(spark, sf_dir))
     with _DAY_LOCK:
         store = _DAYS.get(key)
-        if store is None or not store.exists(store.wide_path(D)):
+        if store is None or not store.published(store.export_path(D)):
             catalog, store = _setup(spark, sf_dir, "seed-day")
             jobs.run_day(spark, catalog, store, D)
             _DAYS[key] = store
@@ -207,7 +207,7 @@ def merge_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, store = seed_day(spark, sf_dir)
-    return spark.read.parquet(store.export_path(D))
+    return store.read_export(D)
 
 
 def merge_empty_slice(spark: SparkSession, sf_dir: str) -> DataFrame:

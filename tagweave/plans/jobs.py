@@ -112,8 +112,7 @@ def run_export_job(
     path = store.export_path(execute_date)
     if num_partitions is None:
         num_partitions = partitions_for(store.size_bytes(store.wide_path(execute_date)))
-    source = store.note(store.wide_path(execute_date), "_version")
-    return store.replace(cluster_by_uid(wide, num_partitions), path, source=source)
+    return store.replace(cluster_by_uid(wide, num_partitions), path, source=store.published(store.wide_path(execute_date)).version)
 
 
 @dataclass(frozen=True)
@@ -132,10 +131,10 @@ def bitmap_input(store: ProfileStore, execute_date: str) -> DataFrame:
     The export is current if it names the wide table's version as its source
     (a rerun merge without a Parquet export must not be shadowed by an old one).
     """
-    version = store.note(store.wide_path(execute_date), "_version")
-    export = store.export_path(execute_date)
-    if version and store.note(export, "_source") == version:
-        return store.spark.read.parquet(export)
+    wide = store.published(store.wide_path(execute_date))
+    export = store.published(store.export_path(execute_date))
+    if wide and export and export.source == wide.version:
+        return store.read_export(execute_date)
     return store.read_wide(execute_date)
 
 
@@ -235,15 +234,20 @@ def register_tables(catalog: Catalog, store: ProfileStore, execute_date: str | N
     for code, table in BITMAP_TABLES.items():
         if store.exists(store.table_path(table)):
             names.append(store.register_dated(table, bitmap_schema(code)))
-    if execute_date is not None and store.exists(store.wide_path(execute_date)):
+    if execute_date is not None and store.published(store.wide_path(execute_date)):
         names.append(store.register_wide(execute_date))
     return names
 
 
-def read_bitmaps(store: ProfileStore, type_code: str, execute_date: str | None = None) -> DataFrame:
-    """The states of one date, or of all dates with their ``dt``."""
+def read_bitmaps(
+    store: ProfileStore, type_code: str, execute_date: str | None = None, require_slice: bool = True
+) -> DataFrame:
+    """The states of one date, or of all dates with their ``dt``.
+
+    A date whose bitmaps were never built raises; with ``require_slice=False`` it has no rows.
+    """
     rows = store.read_slices(
-        store.table_path(BITMAP_TABLES[type_code]), bitmap_schema(type_code), execute_date
+        store.table_path(BITMAP_TABLES[type_code]), bitmap_schema(type_code), execute_date, require_slice
     )
     return rows if execute_date is None else rows.drop("dt")
 

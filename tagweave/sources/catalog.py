@@ -107,7 +107,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def _local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """Small driver-side rows as a local relation.
 
     Built from a pandas frame (object columns keep ``None`` as NULL), which
@@ -154,9 +154,9 @@ class Catalog:
         rules: Iterable[Mapping[str, Any]] = (),
     ) -> Catalog:
         return cls(
-            _local_frame(spark, _rows(tags, TAG_INFO_SCHEMA), TAG_INFO_SCHEMA),
-            _local_frame(spark, _rows(tasks, TASK_INFO_SCHEMA), TASK_INFO_SCHEMA),
-            _local_frame(spark, _rows(rules, TASK_TAG_RULE_SCHEMA), TASK_TAG_RULE_SCHEMA),
+            local_frame(spark, _rows(tags, TAG_INFO_SCHEMA), TAG_INFO_SCHEMA),
+            local_frame(spark, _rows(tasks, TASK_INFO_SCHEMA), TASK_INFO_SCHEMA),
+            local_frame(spark, _rows(rules, TASK_TAG_RULE_SCHEMA), TASK_TAG_RULE_SCHEMA),
         )
 
     @classmethod

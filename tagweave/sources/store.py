@@ -1,48 +1,62 @@
 """Profile store: date-partitioned tag tables, dated wide tables, bitmap tables.
 
-Every table is a Parquet folder under one root on shared storage. A dated
-slice lives in ``<table>/dt=<yyyy-MM-dd>`` and is replaced as a whole (written
-to a staging folder, then swapped in), so a rerun leaves the same table,
-other dates are kept, a run with no rows leaves the slice empty, and a failed
-run leaves the previous slice. Readers give an explicit schema (``dt`` stays
-text) and list only the slice folder they need. On a cluster the store's folder
-must be named (``root`` or ``spark.tagweave.store.dir``): permanent tables do
-not go below the checkpoint folder, which is cleaned.
+Every table is a folder of Parquet datasets under one root on shared storage: a
+dated slice is ``<table>/dt=<yyyy-MM-dd>``, a wide table or export one
+folder. Each is published as a whole through its manifest (see
+:mod:`tagweave.sources.manifest`), so a rerun leaves the same table, other dates
+are kept, a run with no rows leaves the slice empty, and a run that fails at any
+point leaves the previous version; a slice counts as computed only once it is
+published. Readers give an explicit schema (``dt`` stays text), list only the
+slices they need, and know from the manifest which type a slice was stored with. On a
+cluster the store's folder must be named (``root`` or ``spark.tagweave.store.dir``):
+permanent tables do not go below the checkpoint folder, which is cleaned.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.codes import check_date, value_type, wide_table_name
 from tagweave.session import shared_root
+from tagweave.sources import manifest
+from tagweave.sources.catalog import local_frame
+from tagweave.sources.manifest import ConcurrentWriteError, Manifest
+
+__all__ = ["ConcurrentWriteError", "MissingTableError", "ProfileStore", "tag_schema", "with_dt"]
 
 
 class MissingTableError(FileNotFoundError):
     """A table (or tag, or slice) the job reads has never been written."""
 
 
-class ConcurrentWriteError(OSError):
-    """Another writer replaced the same data; this run's rows were not stored."""
-
+_PLACES = T.StructType([T.StructField("_folder", T.StringType()), T.StructField("tag", T.IntegerType())])
+#: Manifests are read by this many driver threads.
+READERS = 16
 
-#: Schemes on which a rename is a copy.
-OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn")
 
+def _as_stored(frame: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of a slice in the table's types; a value that does not fit raises, whatever the ANSI setting.
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+    The stored types differ from the table's only where a tag's type was changed later.
+    """
 
+    def column(field: T.StructField):
+        value = F.col(f"`{field.name}`")
+        if frame.schema[field.name].dataType == field.dataType:
+            return value
+        parsed = value.try_cast(field.dataType)
+        message = F.concat(F.lit("stored value "), value.cast("string"), F.lit(f" is not {field.dataType.simpleString()}"))
+        return F.when(value.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed).cast(field.dataType).alias(field.name)
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path)
-    return bool(fs.exists(hpath))
+    return frame.select([column(f) for f in schema.fields])
 
 
 def tag_schema(type_code: str) -> T.StructType:
@@ -93,162 +107,162 @@ class ProfileStore:
     def export_path(self, execute_date: str) -> str:
         return os.path.join(self.root, "export", wide_table_name(execute_date))
 
+    def published(self, path: str) -> Manifest | None:
+        """The current version of the dataset at ``path``, or None if none was ever published."""
+        return manifest.read_manifest(self.spark, path)
+
     def exists(self, path: str) -> bool:
-        return _exists(self.spark, path)
+        """Whether there is such a folder: a table, whatever its slices."""
+        return manifest.exists(self.spark, path)
 
     def size_bytes(self, path: str) -> int:
-        """Bytes stored below ``path`` (one metadata call, no data read)."""
-        fs, hpath = _fs(self.spark, path)
+        """Bytes of the dataset's current version (one metadata call, no data read)."""
+        fs, hpath = manifest.filesystem(self.spark, self._data(path))
         return int(fs.getContentSummary(hpath).getLength())
 
-    # -- dated slices -------------------------------------------------------
+    def _data(self, path: str) -> str:
+        found = self.published(path)
+        if found is None:
+            raise MissingTableError(f"{path} has never been computed")
+        return f"{path}/{found.folder}"
+
+    # -- datasets -----------------------------------------------------------
     def replace(self, df: DataFrame, target: str, source: str | None = None) -> str:
-        """Write ``df`` as Parquet and put it at ``target``.
-
-        Spark writes (and commits) into a hidden staging folder next to the
-        target. Then the old target is moved aside, the new one is renamed in,
-        and the old one is dropped; if the rename fails the old one is moved
-        back. A writer that finds the target taken in between raises
-        :class:`ConcurrentWriteError` and removes its own staging folder, so one
-        writer's data is complete and the other's loss is reported. On object
-        stores, where a rename copies every file, Spark overwrites the target
-        itself through the store's committer.
-
-        Each write gets a version (``_version`` in the folder); ``source`` is
-        kept beside it, so a reader can tell what the data were made from.
-        """
-        target = target.rstrip("/")
-        version = uuid.uuid4().hex
-        direct = target.split("://")[0] in OBJECT_STORES if "://" in target else False
-        parent, name = target.rsplit("/", 1)
-        staging = target if direct else f"{parent}/.staging-{version}"
-        try:
-            df.write.mode("overwrite").option("compression", self.compression).parquet(staging)
-            self._note(staging, "_version", version)
-            self._note(staging, "_source", source or "")
-            if not direct:
-                self._swap(staging, target, f"{parent}/.old-{name}-{version}")
-        except BaseException:
-            if not direct:
-                fs, hstaging = _fs(self.spark, staging)
-                fs.delete(hstaging, True)
-            raise
+        """Publish ``df`` at ``target``; ``source``: the version of the data it was made from."""
+        manifest.publish(df, target, source, self.compression, self._before_publishing)
         return target
 
-    def _swap(self, staging: str, target: str, aside: str) -> None:
-        fs, new = _fs(self.spark, staging)
-        _, final = _fs(self.spark, target)
-        _, old = _fs(self.spark, aside)
-        had = fs.exists(final)
-        if had and not fs.rename(final, old):
-            raise ConcurrentWriteError(f"{target}: could not move the previous data aside")
-        try:
-            self._between_renames(target)
-            if fs.exists(final):
-                raise ConcurrentWriteError(f"{target}: another writer replaced it meanwhile")
-            if not fs.rename(new, final):
-                raise OSError(f"could not move {staging} to {target}")
-            # A rename onto a folder that appeared meanwhile moves into it.
-            nested = f"{target}/{staging.rsplit('/', 1)[1]}"
-            if fs.exists(_fs(self.spark, nested)[1]):
-                fs.delete(_fs(self.spark, nested)[1], True)
-                raise ConcurrentWriteError(f"{target}: another writer replaced it meanwhile")
-        except BaseException:
-            if had and not fs.exists(final):
-                fs.rename(old, final)
-            elif had:
-                fs.delete(old, True)
-            raise
-        if had:
-            fs.delete(old, True)
-
-    def _between_renames(self, target: str) -> None:
-        """Runs while the old data are aside (tests put another writer or a failure here)."""
-
-    def _note(self, folder: str, name: str, text: str) -> None:
-        fs, path = _fs(self.spark, f"{folder}/{name}")
-        out = fs.create(path, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-
-    def note(self, folder: str, name: str) -> str | None:
-        """A small text kept in a dataset's folder (``_version``, ``_source``), if it is there."""
-        fs, path = _fs(self.spark, f"{folder}/{name}")
-        if not fs.exists(path):
-            return None
-        stream = fs.open(path)
-        try:
-            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
+    def _before_publishing(self, target: str) -> None:
+        """Runs when the data are written and not yet published (tests put another writer or a failure here)."""
+
+    def read_dataset(self, path: str) -> DataFrame:
+        """The current version of the dataset at ``path``."""
+        found = self.published(path)
+        if found is None:
+            raise MissingTableError(f"{path} has never been computed")
+        return self.spark.read.schema(found.columns).parquet(f"{path}/{found.folder}")
 
+    # -- dated slices -------------------------------------------------------
     def overwrite_slice(self, df: DataFrame, path: str, execute_date: str) -> None:
         """Replace ``<path>/dt=D`` with ``df`` (static-partition overwrite).
 
-        The whole slice folder is replaced, so it is cleared even when ``df``
+        The whole slice is replaced, so it is cleared even when ``df``
         has no rows (a dynamic overwrite would leave the old files then).
         """
         check_date(execute_date)
         out = df.drop("dt") if "dt" in df.columns else df
         self.replace(out, f"{path}/dt={execute_date}")
 
+    def slices(self, path: str, dates: Sequence[str] | None = None) -> dict[str, Manifest]:
+        """The published slices of a dated table by date (one listing call and a small read for each)."""
+        if dates is None:
+            if not self.exists(path):
+                return {}
+            fs, hpath = manifest.filesystem(self.spark, path)
+            names = [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+            dates = sorted(n[3:] for n in names if n.startswith("dt="))
+        return dict(self._manifests({d: f"{path}/dt={d}" for d in dates}))
+
+    def _manifests(self, datasets: dict) -> list[tuple]:
+        """(key, manifest) of the published ones among ``datasets``, a few at a time."""
+        with ThreadPoolExecutor(max_workers=READERS) as pool:
+            found = list(zip(datasets, pool.map(self.published, datasets.values()), strict=True))
+        return [(k, m) for k, m in found if m is not None]
+
+    def slice_dates(self, path: str) -> list[str]:
+        """Dates whose slice is published."""
+        return list(self.slices(path))
+
+    def _scan(self, base: str, folders: Sequence[str], stored: T.StructType, partitioned: bool) -> DataFrame:
+        reader = self.spark.read.schema(with_dt(stored) if partitioned else stored)
+        return (reader.option("basePath", base) if partitioned else reader).parquet(*folders)
+
     def read_slices(
-        self, path: str, schema: T.StructType, execute_date: str | None = None, require_slice: bool = False
+        self, path: str, schema: T.StructType, execute_date: str | None = None, require_slice: bool = True
     ) -> DataFrame:
         """All slices (or one) of a dated table, with ``dt`` as text.
 
-        For one date only its folder is listed (``basePath`` keeps ``dt`` as
-        a column), so the cost does not grow with the table's history. A
-        date that was never written reads as empty, or raises with ``require_slice``.
+        Only the folders of published versions are listed (``basePath`` keeps
+        ``dt`` as a column), so for one date the cost does not grow with the
+        table's history; slices stored with the same types share a scan. A
+        date that was never published raises, or reads as empty with ``require_slice=False``.
         """
         if not self.exists(path):
             raise MissingTableError(path)
         full = with_dt(schema)
-        reader = self.spark.read.schema(full).option("basePath", path)
-        if execute_date is None:
-            return reader.parquet(path)
-        slice_path = f"{path}/dt={check_date(execute_date)}"
-        if not self.exists(slice_path):
-            if require_slice:
-                raise MissingTableError(f"{path} has never been computed for {execute_date}")
+        found = self.slices(path, None if execute_date is None else [check_date(execute_date)])
+        if execute_date is not None and not found and require_slice:
+            raise MissingTableError(f"{path} has never been computed for {execute_date}")
+        by_type: dict[str, list[str]] = {}
+        for date, m in found.items():
+            by_type.setdefault(m.schema, []).append(f"{path}/dt={date}/{m.folder}")
+        if not by_type:
             return self.spark.createDataFrame([], full)
-        # Only this folder is listed, so every row has dt = execute_date.
-        return reader.parquet(slice_path)
-
-    def slice_dates(self, path: str) -> list[str]:
-        """Dates that have a slice folder under ``path`` (one listing call)."""
-        if not self.exists(path):
-            return []
-        fs, hpath = _fs(self.spark, path)
-        dates = []
-        for status in fs.listStatus(hpath):
-            name = status.getPath().getName()
-            if status.isDirectory() and name.startswith("dt="):
-                dates.append(name[3:])
-        return sorted(dates)
+        parts = [
+            _as_stored(self._scan(path, folders, T.StructType.fromJson(json.loads(stored)), True), full)
+            for stored, folders in by_type.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
     # -- tag tables -----------------------------------------------------------
     def write_tag(self, df: DataFrame, tag_code: str, execute_date: str) -> None:
         self.overwrite_slice(df, self.tag_path(tag_code), execute_date)
 
     def read_tag(
-        self, tag_code: str, type_code: str, execute_date: str | None = None, require_slice: bool = False
+        self, tag_code: str, type_code: str, execute_date: str | None = None, require_slice: bool = True
     ) -> DataFrame:
         path = self.tag_path(tag_code)
         if not self.exists(path):
             raise MissingTableError(f"tag {tag_code} has no table at {path}")
         return self.read_slices(path, tag_schema(type_code), execute_date, require_slice)
 
+    def read_tags(self, tag_codes: Sequence[str], execute_date: str, missing_ok: bool = False) -> DataFrame:
+        """``uid, query_value`` (as text) and ``tag``, the position in ``tag_codes``, of many tags' slices of a date.
+
+        One scan for all tags stored with the same types, so the plan does not
+        grow with the tags. The text of a value comes from the type it was stored
+        with. The tag is found by the folder its rows were read from.
+        """
+        check_date(execute_date)
+        paths = {i: f"{self.tag_path(code)}/dt={execute_date}" for i, code in enumerate(tag_codes)}
+        found = dict(self._manifests(paths))
+        absent = [tag_codes[i] for i in paths if i not in found]
+        if absent and not missing_ok:
+            raise MissingTableError(f"never computed for {execute_date}: {', '.join(absent)}")
+        by_type: dict[str, list[int]] = {}
+        for i, m in found.items():
+            by_type.setdefault(m.schema, []).append(i)
+        parts = []
+        for stored, tags in by_type.items():
+            columns = T.StructType.fromJson(json.loads(stored))
+            rows = self._scan("", [f"{paths[i]}/{found[i].folder}" for i in tags], columns, False)
+            version = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+            text = [F.col(c).cast("string").alias(c) for c in ("uid", "query_value")]
+            parts.append(rows.select(*text, version.alias("_folder")))
+        if not parts:
+            return self.spark.createDataFrame([], "uid string, query_value string, tag int")
+        # A row a tag; versions are unique over all tags and need no escaping in a file's address.
+        places = local_frame(self.spark, [(m.folder, i) for i, m in found.items()], _PLACES)
+        rows = reduce(DataFrame.unionByName, parts)
+        return rows.join(F.broadcast(places), "_folder").select("uid", "query_value", "tag")
+
     # -- wide table -------------------------------------------------------------
     def write_wide(self, df: DataFrame, execute_date: str) -> str:
         """Full overwrite of the dated wide table."""
         return self.replace(df, self.wide_path(execute_date))
 
     def read_wide(self, execute_date: str) -> DataFrame:
-        path = self.wide_path(execute_date)
-        if not self.exists(path):
-            raise MissingTableError(f"wide table {path}")
-        return self.spark.read.parquet(path)
+        return self.read_dataset(self.wide_path(execute_date))
+
+    def read_export(self, execute_date: str) -> DataFrame:
+        return self.read_dataset(self.export_path(execute_date))
+
+    def vacuum(self, min_age_hours: float = 24.0) -> list[str]:
+        """Drop versions that no manifest names, left by runs that died, below the whole store."""
+        fs, hpath = manifest.filesystem(self.spark, self.root)
+        datasets = [s.getPath().toString() for pattern in ("*", "*/dt=*", "export/*")
+                    for s in fs.globStatus(manifest.filesystem(self.spark, f"{self.root}/{pattern}")[1]) or []]
+        return [f"{d}/{name}" for d in datasets for name in manifest.vacuum(self.spark, d, min_age_hours)]
 
     # -- catalog registration ---------------------------------------------------
     def _create_database(self) -> None:
@@ -259,18 +273,26 @@ class ProfileStore:
     def register_dated(self, name: str, schema: T.StructType) -> str:
         """Expose a dated table as ``<database>.<name>`` (partitioned by dt).
 
-        Partitions are recovered from the folders, so queries such as
-        ``select * from user_profile.tag_x where dt = '2024-01-15'`` prune
-        through the catalog. Call again after new dates are written.
+        The table is created anew, so it has today's types, and every published
+        slice stored with these types is a partition at its current version; queries
+        such as ``select * from user_profile.tag_x where dt = '2024-01-15'``
+        prune through the catalog. Slices stored with other types (before a tag's type
+        was changed) are left out; :meth:`read_slices` reads them. Call again after slices are written.
         """
         self._create_database()
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_dt(schema).fields)
         table = f"`{self.database}`.`{name}`"
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
-            f"PARTITIONED BY (dt) LOCATION '{self.table_path(name)}'"
-        )
-        self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        path = self.table_path(name)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")  # an external table: the data stay
+        self.spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY (dt) LOCATION '{path}'")
+        types = [(f.name, f.dataType) for f in schema.fields]
+        places = [
+            f"PARTITION (dt = '{date}') LOCATION '{path}/dt={date}/{m.folder}'"
+            for date, m in self.slices(path).items()
+            if [(f.name, f.dataType) for f in m.columns.fields] == types
+        ]
+        if places:
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(places)}")
         return f"{self.database}.{name}"
 
     def register_tag(self, tag_code: str, type_code: str) -> str:
@@ -283,6 +305,6 @@ class ProfileStore:
         self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{name}`")
         self.spark.sql(
             f"CREATE TABLE `{self.database}`.`{name}` USING parquet "
-            f"LOCATION '{self.wide_path(execute_date)}'"
+            f"LOCATION '{self._data(self.wide_path(execute_date))}'"
         )
         return f"{self.database}.{name}"

@@ -34,7 +34,7 @@ def test_rerunning_a_day_leaves_the_same_tables(spark, warehouse, store):
 
     def snapshot():
         wide = sorted(map(tuple, store.read_wide(EXECUTE_DATE).collect()), key=str)
-        export = sorted(map(tuple, spark.read.parquet(store.export_path(EXECUTE_DATE)).collect()), key=str)
+        export = sorted(map(tuple, store.read_export(EXECUTE_DATE).collect()), key=str)
         ids = set()
         for code in "1234":
             bm = jobs.read_bitmaps(store, code, EXECUTE_DATE)

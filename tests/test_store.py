@@ -136,10 +136,14 @@ def _stored(store):
 
 
 def _hidden(store):
-    from tagweave.sources.store import _fs
+    """What the slice's folder holds beside its manifest and the current and the replaced version."""
+    from tagweave.sources.manifest import filesystem
 
-    fs, path = _fs(store.spark, store.tag_path("TAG_W"))
-    return [s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith(".")]
+    slice_path = f"{store.tag_path('TAG_W')}/dt=2024-01-15"
+    fs, path = filesystem(store.spark, slice_path)
+    now = store.published(slice_path)
+    return [s.getPath().getName() for s in fs.listStatus(path)
+            if s.getPath().getName() not in ("_manifest", "._manifest.crc", now.folder, now.previous)]
 
 
 def test_second_writer_in_the_swap_is_reported(spark, store, monkeypatch):
@@ -150,7 +154,7 @@ def test_second_writer_in_the_swap_is_reported(spark, store, monkeypatch):
     _write(store, spark, "old")
     other = ProfileStore(spark, root=store.root.rsplit("/", 1)[0])
     with monkeypatch.context() as m:
-        m.setattr(store, "_between_renames", lambda target: _write(other, spark, "winner"))
+        m.setattr(store, "_before_publishing", lambda target: _write(other, spark, "winner"))
         with pytest.raises(ConcurrentWriteError):
             _write(store, spark, "loser")
     assert _stored(store) == ["winner"] and _hidden(store) == []
@@ -167,7 +171,7 @@ def test_failure_between_the_steps_keeps_the_previous_data(spark, store, monkeyp
         raise RuntimeError("lost the driver")
 
     with monkeypatch.context() as m:
-        m.setattr(store, "_between_renames", fail)
+        m.setattr(store, "_before_publishing", fail)
         with pytest.raises(RuntimeError):
             _write(store, spark, "new")
     assert _stored(store) == ["old"] and _hidden(store) == []

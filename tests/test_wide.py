@@ -67,7 +67,8 @@ def test_wide_is_two_narrow_shuffles(spark, store):
     wide = build_wide(store, tags, "2024-01-15")
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # max per (uid, tag), then one row per cell by uid
-    files = wide.inputFiles()  # one single-slice scan per tag
+    files = wide.inputFiles()  # only the date's slices, in one scan as all are text
+    assert plan.split("== Initial Plan ==")[0].count("FileScan parquet") == 1
     assert len({f.split("/dt=")[0] for f in files}) == 3 and all("/dt=2024-01-15/" in f for f in files)
     assert "ReadSchema: struct<uid:string,query_value:string>" in plan
 
@@ -96,7 +97,7 @@ def test_day_with_no_enabled_tag(spark, store):
     jobs.run_day(spark, cat, store, "2024-01-15")
     wide = store.read_wide("2024-01-15")
     assert wide.columns == ["uid"] and wide.count() == 0
-    assert spark.read.parquet(store.export_path("2024-01-15")).count() == 0
+    assert store.read_export("2024-01-15").count() == 0
     for code in "1234":
         assert jobs.read_bitmaps(store, code, "2024-01-15").count() == 0
 
@@ -132,3 +133,44 @@ def test_no_shuffled_row_has_a_column_per_tag(spark):
     lines = plan.splitlines()
     shuffled = [lines[i + 1] for i, line in enumerate(lines) if re.search(r"\bExchange hashpartitioning", line)]
     assert len(shuffled) == 2 and all("t39" not in x.lower() and "T3 " not in x for x in shuffled)
+
+
+def _many(spark, store, n, seed=3):
+    """n tags of three types with missing cells and repeats; returns (tags, cells by uid and column)."""
+    rnd = random.Random(seed)
+    tags, want = [], {}
+    kinds = {"1": "bigint", "2": "decimal(16,2)", "3": "string"}
+    for i in range(n):
+        code, kind = f"TAG_{i}", "123"[i % 3]
+        values = [(str(u), rnd.randint(0, 30)) for u in range(40) for _ in range(rnd.choice([0, 1, 1, 2]))]
+        rows = spark.createDataFrame([(u, str(v)) for u, v in values] or [("0", "0")], "uid string, v string")
+        store.write_tag(rows.selectExpr("uid", f"cast(v as {kinds[kind]}) query_value"), code, "2024-01-15")
+        tags.append({"tag_code": code, "tag_value_type": kind})
+        for u, v in values or [("0", 0)]:
+            text = f"{v}.00" if kind == "2" else str(v)
+            row = want.setdefault(u, {})
+            row[code.lower()] = max(row.get(code.lower(), ""), text)
+    return tags, want
+
+
+@pytest.mark.parametrize("n", [9, 23])
+def test_many_tags_are_one_scan_a_type(spark, store, n):
+    tags, want = _many(spark, store, n)
+    wide = build_wide(store, tags, "2024-01-15")
+    plan = wide._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning") == 2
+    got = {r.uid: {c: v for c, v in r.asDict().items() if c != "uid" and v is not None} for r in wide.collect()}
+    assert got == want and wide.columns == ["uid", *[t["tag_code"].lower() for t in tags]]
+
+
+def test_pivot_of_six_hundred_tags(spark):
+    n = 600
+    cells = spark.range(3000).selectExpr("cast(id % 50 as string) uid", "cast(id as string) query_value", "cast(id * 7 % 600 as int) tag")
+    from tagweave.operators.wide import pivot_cells
+
+    got = {(r.uid, c): v for r in pivot_cells(cells, [f"t{i}" for i in range(n)]).collect() for c, v in r.asDict().items() if c != "uid" and v}
+    want = {}
+    for i in range(3000):
+        key = (str(i % 50), f"t{i * 7 % n}")
+        want[key] = max(want.get(key, ""), str(i))
+    assert got == want

@@ -40,7 +40,7 @@ def main() -> None:
     store = ProfileStore(spark, root=scratch_dir(spark, "plans"))
     jobs.run_day(spark, cat, store, EXECUTE_DATE)
     wide = store.read_wide(EXECUTE_DATE)
-    export = spark.read.parquet(store.export_path(EXECUTE_DATE))
+    export = store.read_export(EXECUTE_DATE)
     string_tags = [t for t in cat.enabled_tag_rows() if t["tag_value_type"] == "3"]
     sections = [
         ("Tag with a date filter (TAG_ORDER_SPEND)", build_tag(spark, cat, 3, EXECUTE_DATE)),
