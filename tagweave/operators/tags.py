@@ -17,8 +17,9 @@ from tagweave.codes import (
     CatalogError,
     value_type,
 )
+from tagweave.functions.intervals import interval_label
 from tagweave.functions.labels import exact_label, predicate_label, rule_text
-from tagweave.functions.templating import render_sql
+from tagweave.functions.templating import render_sql, sql_arguments
 
 # Up to this many exact rules the labels are a CASE chain inside the scan's
 # codegen stage; above it they become a lookup join, so per-row cost stays
@@ -45,8 +46,9 @@ def rules_from_rows(rows) -> list[LabelRule]:
 
 
 def run_tag_sql(spark: SparkSession, task_sql: str, execute_date: str) -> DataFrame:
-    """Render the date into the stored SQL and plan it (a derived table)."""
-    return spark.sql(render_sql(task_sql, execute_date))
+    """Give the stored SQL its date, as text or bound to ``:executeDate``, and plan it (a derived table)."""
+    text = render_sql(task_sql, execute_date)
+    return spark.sql(text, args=sql_arguments(task_sql, execute_date) or None)
 
 
 def passthrough(df: DataFrame) -> DataFrame:
@@ -65,9 +67,15 @@ def _require_contract(df: DataFrame) -> None:
 
 
 def label_predicate(df: DataFrame, rules: Sequence[LabelRule]) -> DataFrame:
-    """``case when query_value <fragment> then label ... end`` in rule order."""
+    """``case when query_value <fragment> then label ... end`` in rule order.
+
+    Many range fragments are looked up instead (see :mod:`tagweave.functions.intervals`); the result is the same.
+    """
     _require_contract(df)
-    expr = predicate_label("query_value", [(r.query_value, r.label) for r in rules])
+    pairs = [(r.query_value, r.label) for r in rules]
+    expr = interval_label("query_value", df.schema["query_value"].dataType, pairs)
+    if expr is None:
+        expr = predicate_label("query_value", pairs)
     return df.select(F.col("uid"), expr.alias("query_value"))
 
 

@@ -13,11 +13,12 @@ import threading
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tagweave.codes import BITMAP_TABLES, MATCH_EXACT, TYPE_DECIMAL, TYPE_STRING
+from tagweave.codes import BITMAP_TABLES, MATCH_EXACT, MATCH_PREDICATE, TYPE_DECIMAL, TYPE_STRING
 from tagweave.functions.templating import render_sql
 from tagweave.operators.bitmap import cardinality, decode, unpivot_tags
 from tagweave.operators.tags import LabelRule, build_tag, tag_frame
@@ -169,6 +170,56 @@ def tag_empty_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_tag(_CODE[8], _TYPE[8])
 
 
+# Task 2 after an edit that fails on every row.
+FAILING_SQL = f"select uid, cast(raise_error('the edited SQL fails') as bigint) query_value from ({_SQL[2]}) t"
+# Task 2's values as text, as after a change of the tag's type.
+AS_TEXT_TAGS = [(2, _CODE[2], TYPE_STRING, "1", f"select uid, concat('n', query_value) query_value from ({_SQL[2]}) t")]
+# The date bound as a parameter, beside the token in quotes that stays as it is.
+BOUND_SQL = (
+    "select cast(o_custkey as string) uid, count(*) query_value from orders "
+    "where o_orderdate <= cast(:executeDate as date) and 'executeDate' = concat('execute', 'Date') group by o_custkey"
+)
+# A thousand price ranges, overlapping, with one other fragment among them.
+RANGE_SQL = "select cast(o_orderkey as string) uid, cast(o_totalprice as decimal(16,2)) query_value from orders"
+RANGE_RULES = [(f"between {i * 400} and {i * 400 + 600}", f"band {i}") for i in range(1000)]
+RANGE_RULES.insert(100, ("in (1, 2) or query_value % 1000 < 100", "round"))
+
+
+def tag_failed_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date whose rewrite failed is read as it was; nothing is put right in between."""
+    catalog, store = _setup(spark, sf_dir, "failed")
+    for date in (D, D_OLD):
+        jobs.run_tag_job(spark, catalog, store, 2, date)
+    edited = seed_catalog(spark, sql_overrides={2: FAILING_SQL})
+    try:
+        jobs.run_tag_job(spark, edited, store, 2, D)
+    except PySparkException:
+        return store.read_tag(_CODE[2], _TYPE[2])
+    raise AssertionError("the rewrite was meant to fail")
+
+
+def tag_type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date stored before its tag's type changed is read beside one stored after."""
+    catalog, store = _setup(spark, sf_dir, "type-change")
+    jobs.run_tag_job(spark, catalog, store, 2, D_OLD)
+    changed = seed_catalog(spark, tags=AS_TEXT_TAGS, labels=[], rules=[])
+    jobs.run_tag_job(spark, changed, store, 2, D)
+    return store.read_tag(_CODE[2], TYPE_STRING)
+
+
+def tag_bound_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored SQL with the parameter marker ``:executeDate``."""
+    register_parquet_views(spark, sf_dir, SEED_TABLES)
+    return tag_frame(spark, BOUND_SQL, D_OLD, "1")
+
+
+def tag_predicate_many_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand range rules, looked up in disjoint intervals; first match wins."""
+    register_parquet_views(spark, sf_dir, SEED_TABLES)
+    rules = [LabelRule(i, fragment, label, MATCH_PREDICATE) for i, (fragment, label) in enumerate(RANGE_RULES)]
+    return tag_frame(spark, RANGE_SQL, D, TYPE_STRING, rules)
+
+
 # -------------------------------------------------------- merge queries --
 def merge_union_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog, store = seed_day(spark, sf_dir)
@@ -265,6 +316,22 @@ def bitmap_decode_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(_all_bitmaps(store))
 
 
+# Customers under ids that fill the unsigned 64 bits, on both sides of 2^63.
+UNSIGNED_TAGS = [
+    (1, "TAG_UNSIGNED", TYPE_STRING, "1",
+     "select cast(case when c_custkey % 2 = 0 then cast('18446744073709551615' as decimal(20,0)) - c_custkey "
+     "else cast('9223372036854775807' as decimal(20,0)) + c_custkey - 100 end as string) uid, c_mktsegment query_value from customer")
+]
+
+
+def bitmap_unsigned_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """uids beyond BIGINT through all jobs, decoded as unsigned numbers."""
+    catalog, store = _setup(spark, sf_dir, "unsigned", tags=UNSIGNED_TAGS, labels=[], rules=[])
+    jobs.run_day(spark, catalog, store, D)
+    found = decode(jobs.read_bitmaps(store, TYPE_STRING, D), all_unsigned=True)
+    return found.withColumn("uid", F.col("uid").cast("string"))
+
+
 def bitmap_cardinality_two_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct uids over two dates' states: a uid of both dates counts once."""
     catalog, store = _setup(spark, sf_dir, "two-dates", tags=TWO_DATE_TAGS, labels=[], rules=[])
@@ -335,6 +402,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tag_window_sql": _tag(9),
         "tag_partition_overwrite": tag_partition_overwrite,
         "tag_empty_overwrite": tag_empty_overwrite,
+        "tag_failed_rewrite": tag_failed_rewrite,
+        "tag_type_change": tag_type_change,
+        "tag_bound_date": tag_bound_date,
+        "tag_predicate_many_ranges": tag_predicate_many_ranges,
         "merge_union_long": merge_union_long,
         "merge_wide_pivot": merge_wide_pivot,
         "merge_duplicate_max": merge_duplicate_max,
@@ -350,6 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bitmap_cardinality_mixed": bitmap_cardinality_mixed,
         "bitmap_cardinality_two_dates": bitmap_cardinality_two_dates,
         "bitmap_decode_uids": bitmap_decode_uids,
+        "bitmap_unsigned_uids": bitmap_unsigned_uids,
         "bitmap_typed_long": _typed("1"),
         "bitmap_typed_decimal": _typed("2"),
         "bitmap_typed_string": _typed(TYPE_STRING),
@@ -519,6 +591,29 @@ def _o_two_dates() -> str:
     )
 
 
+_O_TWO_DATES_OF_2 = (
+    f"select uid, query_value, '{D}' as dt from ({_o_tag(2, D)}) a "
+    f"union all select uid, query_value, '{D_OLD}' as dt from ({_o_tag(2, D_OLD)}) b"
+)
+
+
+def _o_ranges() -> str:
+    """The first rule by number of those that hold, as a join with the rules' bounds."""
+    rules = ", ".join(
+        f"({i}, {f.split()[1]}, {f.split()[3]}, '{label}')" for i, (f, label) in enumerate(RANGE_RULES) if f.startswith("between")
+    )
+    other = next(i for i, (f, _) in enumerate(RANGE_RULES) if not f.startswith("between"))
+    return f"""
+with v as (select cast(o_orderkey as varchar) as uid, cast(o_totalprice as decimal(16,2)) as x from orders),
+r as (select * from (values {rules}) t(i, lo, hi, label)),
+hits as (
+  select uid, i, label from v join r on x >= lo and x <= hi
+  union all select uid, {other}, 'round' from v where x in (1, 2) or x % 1000 < 100
+)
+select v.uid, first.label as query_value from v left join (select uid, min_by(label, i) as label from hits group by uid) first on v.uid = first.uid
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     wide = _o_wide()
     return {
@@ -535,10 +630,17 @@ def oracle_sql() -> dict[str, str]:
         "tag_event_count": _o_tag(8),
         "tag_exact_decimal": _o_exact_decimal(),
         "tag_window_sql": _o_tag(9),
-        "tag_partition_overwrite": (
-            f"select uid, query_value, '{D}' as dt from ({_o_tag(2, D)}) a "
-            f"union all select uid, query_value, '{D_OLD}' as dt from ({_o_tag(2, D_OLD)}) b"
+        "tag_partition_overwrite": _O_TWO_DATES_OF_2,
+        "tag_failed_rewrite": _O_TWO_DATES_OF_2,
+        "tag_type_change": (
+            f"select uid, 'n' || query_value as query_value, '{D}' as dt from ({_o_tag(2, D)}) a "
+            f"union all select uid, cast(query_value as varchar) as query_value, '{D_OLD}' as dt from ({_o_tag(2, D_OLD)}) b"
+        ),
+        "tag_bound_date": (
+            "select cast(o_custkey as varchar) as uid, count(*) as query_value from orders "
+            f"where o_orderdate <= date '{D_OLD}' group by o_custkey"
         ),
+        "tag_predicate_many_ranges": _o_ranges(),
         "tag_empty_overwrite": f"select uid, query_value, '{D}' as dt from ({_o_tag(8, D)}) a",
         "merge_union_long": _o_tags(),
         "merge_wide_pivot": wide,
@@ -556,6 +658,10 @@ def oracle_sql() -> dict[str, str]:
         "bitmap_cardinality_two_dates": _o_two_dates(),
         "bitmap_decode_uids": _o_pairs()
         + "select distinct tag_code, tag_value, cast(uid as bigint) as uid from p",
+        "bitmap_unsigned_uids": (
+            "select 'tag_unsigned' as tag_code, c_mktsegment as tag_value, cast(case when c_custkey % 2 = 0 "
+            "then 18446744073709551615::hugeint - c_custkey else 9223372036854775707::hugeint + c_custkey end as varchar) as uid from customer"
+        ),
         "bitmap_typed_long": _o_typed("1"),
         "bitmap_typed_decimal": _o_typed("2"),
         "bitmap_typed_string": _o_typed("3"),

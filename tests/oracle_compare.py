@@ -51,7 +51,7 @@ def rows_of(columns, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows], sorted(columns)
 
 
-def compare(spark, sf_dir: str, names=None, con=None) -> dict:
+def compare(spark, sf_dir: str, names=None, con=None, verbose=False) -> dict:
     from tagweave.plans.contract import oracle_sql, queries
 
     con = con or duck(sf_dir)
@@ -80,6 +80,9 @@ def compare(spark, sf_dir: str, names=None, con=None) -> dict:
                 entry["only_spark"] = list(diff_s)[:3]
                 entry["only_oracle"] = list(diff_o)[:3]
         report[name] = entry
+        if verbose:
+            ok = entry.get("values_match", True) and entry.get("columns_match", True)
+            print("OK  " if ok else "FAIL", name, entry, flush=True)
     return report
 
 
@@ -88,10 +91,6 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8)
-    rep = compare(spark, sf, sys.argv[2:] or None)
-    bad = 0
-    for k, v in rep.items():
-        ok = v.get("values_match", True) and v.get("columns_match", True)
-        bad += not ok
-        print(("OK  " if ok else "FAIL"), k, v)
+    rep = compare(spark, sf, sys.argv[2:] or None, verbose=True)
+    bad = sum(not (v.get("values_match", True) and v.get("columns_match", True)) for v in rep.values())
     print("failures:", bad)
