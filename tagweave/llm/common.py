@@ -35,3 +35,31 @@ def semi_join(big: DataFrame, keys: DataFrame, on: str, how: str = "left_semi")
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
     return big.join(keys, on, how).select(big.columns)
+
+
+def keyed(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, text) with a doc_id of its own for every row, and the table (key, id) back to the given ids.
+
+    Unique ids stay as they are and need no table. Where an id is repeated or null (one
+    count of the ids shows it), rows are numbered by (doc_id, text's hash), null ids last, so
+    the numbers order rows as the ids do. Numbers come from a range partitioning.
+    """
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if text.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1 or doc_id is null").isEmpty():
+        return text, None
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.asc_nulls_last("doc_id"), F.asc("_hash")]
+    # The number of a row in its partition is below 2^33; partitions are in order.
+    rows = text.withColumn("_hash", F.xxhash64("text")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    rows = written(rows.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").alias("id"), "text"), f"{label}-keyed")
+    return rows.select(F.col("key").alias("doc_id"), "text"), rows.select("key", "id")
+
+
+def given_ids(found: DataFrame, ids: DataFrame | None, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``found`` with the keys of :func:`keyed` in ``columns`` replaced by the ids given."""
+    if ids is None:
+        return found
+    for c in columns:
+        back = ids.select(F.col("key").alias(c), F.col("id").alias("_id"))
+        found = found.join(back, c, "left").select(*[F.col("_id").alias(c) if x == c else F.col(x) for x in found.columns])
+    return found

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagweave.llm.common import semi_join, written
+from tagweave.llm.common import given_ids, keyed, semi_join, written
 from tagweave.llm.components import connected_components
 from tagweave.llm.hashing import ORDER_VALUES, chunks, mix, shingles, words
 
@@ -139,10 +139,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     included. Null or empty text, or white space only: an empty set, linked
     with nothing. Fewer than ``width`` words: the whole sequence is the one
     shingle. Only doc_id and text are read, so other columns and their names
-    do not matter; an empty table gives no rows; repeated doc_ids are refused
-    by nothing and share one component.
+    do not matter; an empty table gives no rows. Every row is a document, so rows
+    of one doc_id may be in different components; a null doc_id is greater than any other.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    text, ids = keyed(docs, "jaccard")
     sets = written(
         text.mapInArrow(_heads(width, percent), "doc_id long, n long, d1 long, d2 long, head array<long>"), "jaccard-heads"
     )
@@ -158,7 +158,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     full = semi_join(text, able, "doc_id").mapInArrow(_sets(width), "doc_id long, n long, tokens array<long>")
     by_c = F.array_sort(F.transform("tokens", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))
     full = written(
-        full.dropDuplicates(["doc_id"]).withColumn("by_c", F.transform(by_c, lambda s: s["x"])), "jaccard-sets"
+        full.withColumn("by_c", F.transform(by_c, lambda s: s["x"])), "jaccard-sets"
     )
 
     # Order B: by document frequency, hash breaking ties; single tokens come first and index nothing.
@@ -213,6 +213,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("c")
     )
-    return members.join(by_class, ["n", "d1", "d2"], "left").select(
+    labelled = members.join(by_class, ["n", "d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id")
     )
+    return given_ids(labelled, ids, ("doc_id", "component_id"))

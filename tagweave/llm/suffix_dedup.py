@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import written
+from tagweave.llm.common import given_ids, keyed, written
 from tagweave.llm.hashing import BYTE_VALUES, ORDER_VALUES, chunks, mix, prefix_hash, range_hash
 
 LENGTH = 100
@@ -244,10 +244,12 @@ def remove_repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFr
     removed: the maximal removed runs, [start, end) in UTF-8 bytes. Earlier means
     a smaller doc_id, or the same document and an earlier start; overlapping
     repeats count. Null text is empty; texts under ``LENGTH`` bytes lose nothing.
-    doc_id is the key. Only doc_id and text are read; an empty table gives no rows.
+    Every row is a document: of rows with one doc_id (ordered among themselves by their texts' hash) and
+    one text the first keeps it, rows with a null doc_id come after all others.
+    Only doc_id and text are read; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    text, ids = keyed(docs, "suffix")
     runs = written(text.mapInArrow(_runs, "doc_id long, start int, n int, anchor long, run long"), "suffix-runs")
     common = runs.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
     shared = written(runs.join(common, "anchor"), "suffix-shared")
@@ -284,6 +286,7 @@ def remove_repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFr
         again = windows.join(earliest, ["h1", "h2"]).where(F.struct("doc_id", "at") != F.col("first"))
         spans = spans.unionByName(again.select("doc_id", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi")))
     per_doc = written(spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
-    return packed.join(per_doc, "doc_id", "left").mapInArrow(
+    finished = packed.join(per_doc, "doc_id", "left").mapInArrow(
         _finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<array<long>>"
     )
+    return given_ids(finished, ids)

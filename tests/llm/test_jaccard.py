@@ -82,3 +82,12 @@ def test_edited_copies_and_edges(spark, docs_dir, seed):
 def test_empty_table(spark, docs_dir):
     docs = spark.read.parquet(docs_dir([(1, "a", "x")]) + "/documents.parquet").where("false")
     assert jaccard_components(docs).collect() == []
+
+
+def test_repeated_and_null_ids(spark, docs_dir):
+    a, b, c = ("one two three four five six " * 3, "red green blue pink grey white " * 3, "up down left right in out " * 3)
+    rows = [(5, a, "x"), (5, b, "x"), (2, b, "x"), (7, a, "x"), (None, c, "x"), (9, c, "x"), (None, None, "x"), (4, c + "!", "x")]
+    docs = spark.read.parquet(docs_dir(rows) + "/documents.parquet")
+    found = sorted((str(r["doc_id"]), r["n_shingles"] > 0, str(r["component_id"])) for r in jaccard_components(docs).collect())
+    assert found == [("2", True, "2"), ("4", True, "4"), ("5", True, "2"), ("5", True, "5"), ("7", True, "5"), ("9", True, "4"),
+                     ("None", False, "None"), ("None", True, "4")]

@@ -63,6 +63,15 @@ def test_planted_repeats(spark, docs_dir, seed, hot):
     assert remove_repeated_strings(docs.where("false")).collect() == []
 
 
+def test_repeated_and_null_ids(spark, docs_dir):
+    a, b = ("first text " + "".join(random.Random(i).choices("abcdefgh", k=300)) for i in (1, 2))
+    rows = [(1, a, "x"), (1, a, "x"), (2, a, "x"), (2, b, "x"), (None, b, "x"), (None, None, "x"), (3, "", "x")]
+    docs = spark.read.parquet(docs_dir(rows) + "/documents.parquet")
+    found = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"]) for r in remove_repeated_strings(docs).collect())
+    n = len(a)
+    assert found == [("1", n, 0), ("1", n, n), ("2", n, 0), ("2", n, n), ("3", 0, 0), ("None", 0, 0), ("None", n, n)]
+
+
 def test_long_text_in_blocks(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 100)
     rng = np.random.default_rng(1)
