@@ -37,6 +37,8 @@ FREQUENT = 16
 BLOCK_TERMS = 1_500_000
 #: Queries evaluated together in a shard.
 QUERY_BATCH = 128
+#: Stands for a null id.
+NO_ID = -(1 << 63)
 _MARGIN = 1e-4
 
 
@@ -75,10 +77,19 @@ def _statistics(batches):
         )
 
 
+def _ids(column: pa.Array) -> np.ndarray:
+    """Ids as 64-bit integers, null as ``NO_ID`` (floats would round them)."""
+    return column.fill_null(NO_ID).to_numpy(zero_copy_only=False)
+
+
+def _id_or_null(name: str):
+    return F.when(F.col(name) != NO_ID, F.col(name))
+
+
 def _terms(batches):
     """(q, h) rows: the distinct terms of every query."""
     for batch in batches:
-        q = batch.column(0).to_numpy(zero_copy_only=False)
+        q = _ids(batch.column(0))
         for chunk in chunks(batch.column(1)):
             text, h, _, _ = _counts(chunk)
             yield pa.RecordBatch.from_arrays([pa.array(q[chunk.rows[0] + text]), pa.array(h.view(np.int64))], names=["q", "h"])
@@ -107,7 +118,7 @@ def _index(batches):
 
     ids, parts, size, n = [], [], [], 0
     for batch in batches:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
+        keys = _ids(batch.column(0))
         for chunk in chunks(batch.column(1)):
             text, h, tf, per_text = _counts(chunk)
             if n + len(per_text) > SHARD_DOCS and n:
@@ -247,7 +258,8 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
     with idf ln(1 + (N - df + 0.5) / (df + 0.5)); a document without a word of
     the query is no result, so a null or empty query or text finds or is
     nothing. Ties go to the smaller doc_id; repeated rows are documents of
-    their own. Only the named columns and docs' doc_id and text are read.
+    their own. A null id (of a query or document) is null in the result and comes before
+    all others; -2^63 stands for it inside and is no id. Only the named columns and docs' doc_id and text are read.
     """
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -277,4 +289,5 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         best = written(index.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best")
         found = best if found is None else found.unionByName(best)
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "doc_id"))
-    return found.select(F.col("q").alias("query_id"), rank.alias("rank"), "doc_id", "score").where(F.col("rank") <= k)
+    ranked = found.select(_id_or_null("q").alias("query_id"), rank.alias("rank"), _id_or_null("doc_id").alias("doc_id"), "score")
+    return ranked.where(F.col("rank") <= k)

@@ -96,3 +96,11 @@ def test_blocks_are_skipped_without_loss(monkeypatch):
 
 def hash_of(word):
     return int(s.words(next(s.chunks(pa.array([word])))).hashes[0])
+
+
+def test_null_ids_and_ids_beyond_2_53(spark):
+    big = (1 << 60) + 1
+    docs = spark.createDataFrame([(big, "a b"), (None, "a b"), (7, "c")], "doc_id long, text string")
+    q = spark.createDataFrame([(big + 2, "a"), (None, "c")], "query_id long, text string")
+    found = sorted((str(r["query_id"]), r["rank"], str(r["doc_id"])) for r in s.search(q, docs, 5).collect())
+    assert found == sorted([("None", 1, "7"), (str(big + 2), 1, "None"), (str(big + 2), 2, str(big))])
