@@ -71,7 +71,7 @@ def fold_events(events: DataFrame) -> DataFrame:
     log = live.groupBy("conv_id", "turn").agg(
         F.max(F.when(reset, event)).alias("base"), F.array_sort(F.collect_list(F.when(~reset, event))).alias("deltas")
     )
-    after = F.filter("deltas", lambda d: F.col("base").isNull() | (d["seq"] >= F.col("base.seq")))
+    after = F.filter("deltas", lambda d: F.col("base").isNull() | (d > F.col("base")))
     return log.select(
         "conv_id", "turn",
         F.coalesce(F.col("base.role"), F.col("deltas")[0]["role"]).alias("role"),

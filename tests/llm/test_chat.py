@@ -58,12 +58,14 @@ def test_fold_of_deltas_edits_and_regenerations(spark):
         (1, 1, 0, "message", "user", "question"), (1, 2, 1, "delta", "assistant", "an"), (1, 3, 1, "delta", "assistant", "swer"),
         (1, 4, 2, "message", "user", "thanks"), (1, 5, 1, "regenerate", "assistant", ""), (1, 6, 1, "delta", "assistant", "better"),
         (2, 1, 0, "message", "user", "old"), (2, 2, 1, "message", "assistant", "gone"), (2, 3, 0, "edit", "user", "new"),
-        (2, 4, 1, "message", "assistant", "kept"), (3, None, 0, None, None, None),
+        (2, 4, 1, "message", "assistant", "kept"), (4, 1, 0, "message", "user", "base"), (4, 1, 0, "delta", "user", "+tied"),
+        (4, 2, 0, "delta", "user", "+later"), (3, None, 0, None, None, None),
     ]
     df = spark.createDataFrame(e, "conv_id long, seq long, turn long, kind string, role string, text string")
     rows = sorted(tuple(r) for r in chat.fold_events(df).collect())
     assert rows == [
         (1, 0, "user", "question"), (1, 1, "assistant", "better"), (2, 0, "user", "new"), (2, 1, "assistant", "kept"), (3, 0, "", ""),
+        (4, 0, "user", "base+later"),
     ]
 
 
