@@ -3,15 +3,18 @@
 The probability of a token is factored by class: p(class | history) times
 p(token | class). Classes: the end of a text, the ``TOP_CLASSES`` most frequent
 words, one class each, and ``SUFFIX_CLASSES`` hashes of a word's last two bytes
-for all others. p(class | history) is a softmax over hashed features of the
-history: the word before, the word before that (skip), and both (n-gram).
+for all others. Classes stand in groups of ``GROUP``, and p(class | history) is
+p(group | history) times p(class | group, history), each a softmax over hashed features of the
+history: the word before, the word before that (skip), and both (n-gram). So a
+token takes two softmaxes of ``GROUP`` values instead of one over all classes.
 p(token | class) comes from the counts of all training words, (c + 1) /
 (N_class + V_class + 1), so a class keeps the mass of one unseen word.
 
 Counting covers every training text. The softmax weights start at the class
 frequencies and are trained by distributed gradient updates: in each round
 every task runs mini-batch AdaGrad over all its texts from the shared weights,
-and each weight row is averaged over tasks by how often it was used. The counts of the ``HEAD`` most frequent words
+and each weight row is averaged over tasks by how often it was used, as a tree of
+``FAN_IN`` tasks a node. (So scores depend a little on how rows fall into tasks.) The counts of the ``HEAD`` most frequent words
 and the weights are broadcast (bounded by these parameters); counts of rarer
 words are joined, which no frequent word can skew.
 """
@@ -22,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,10 @@ HEAD = 65_536
 TOP_CLASSES = 23
 SUFFIX_CLASSES = 40
 CLASSES = 1 + TOP_CLASSES + SUFFIX_CLASSES
+#: Classes in a group, and groups.
+GROUP = 8
+#: Logits of a feature: those of the groups, then those of each group's classes.
+SLOTS = 1 + CLASSES // GROUP
 #: Hash buckets of the three feature groups; the last row is the bias.
 ROWS = (4096, 4096, 8192)
 BIAS = sum(ROWS)
@@ -45,6 +53,8 @@ RATE = 0.1
 END = np.uint64(0x5851F42D4C957F2D)
 _U64 = np.uint64
 _BLOCKS = 64
+#: Tasks whose weights are averaged together.
+FAN_IN = 32
 
 
 @dataclass
@@ -86,7 +96,7 @@ class Model:
     head_log: np.ndarray  # log10(count + 1) of each
     top: np.ndarray  # hashes of the words with a class of their own
     class_log: np.ndarray  # log10(N_class + V_class + 1)
-    weights: np.ndarray  # (BIAS + 1, CLASSES) float32
+    weights: np.ndarray  # ((BIAS + 1) * SLOTS, GROUP) float32
 
     def classes(self, t: Tokens) -> np.ndarray:
         out = np.where(t.suffix < 0, 0, t.suffix + 1 + TOP_CLASSES)
@@ -115,38 +125,57 @@ def features(t: Tokens) -> np.ndarray:
     return out
 
 
-def _log_softmax(weights: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = weights[f[:, 0]]
-    z += weights[f[:, 1]]
-    z += weights[f[:, 2]]
-    z += weights[BIAS]
+def weight_rows(f: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, bias rows, targets) of the two decisions of every token: first all groups, then all classes in their group."""
+    slot = np.concatenate([np.zeros(len(y), np.int64), 1 + y // GROUP])
+    rows = np.concatenate([f, f]) * SLOTS + slot[:, None]
+    return rows, BIAS * SLOTS + slot, np.concatenate([y // GROUP, y % GROUP])
+
+
+def _softmax_parts(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(logits less their maximum, sum of their exponentials)."""
+    z = weights[rows[:, 0]]
+    z += weights[rows[:, 1]]
+    z += weights[rows[:, 2]]
+    z += weights[bias]
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    return z, np.exp(z).sum(axis=1)
+
+
+def class_log(weights: np.ndarray, f: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """ln p(class | history) of every token's class."""
+    rows, bias, target = weight_rows(f, y)
+    z, total = _softmax_parts(weights, rows, bias)
+    both = z[np.arange(len(target)), target] - np.log(total)
+    return both[: len(y)] + both[len(y) :]
+
+
+_COLUMNS = np.arange(GROUP)
 
 
 def gradient_step(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, f: np.ndarray, y: np.ndarray) -> None:
     """One AdaGrad step on a mini-batch, in place; the step size is kept per weight row."""
-    g = np.exp(_log_softmax(weights, f))
-    g[np.arange(len(y)), y] -= 1
+    rows, bias, target = weight_rows(f, y)
+    z, total = _softmax_parts(weights, rows, bias)
+    g = np.exp(z) / total[:, None]
+    g[np.arange(len(target)), target] -= 1
     for j in range(3):
-        order = np.argsort(f[:, j], kind="stable")
-        rows, first, k = np.unique(f[order, j], return_index=True, return_counts=True)
-        total = np.add.reduceat(g[order], first, axis=0)
-        squares[rows] += (total * total).mean(axis=1)
-        weights[rows] -= RATE * total / np.sqrt(squares[rows] + 1e-6)[:, None]
-        used[rows] += k
+        own, at, k = np.unique(rows[:, j], return_inverse=True, return_counts=True)
+        summed = np.bincount((at[:, None] * GROUP + _COLUMNS).ravel(), g.ravel(), len(own) * GROUP).reshape(-1, GROUP)
+        squares[own] += (summed * summed).mean(axis=1)
+        weights[own] -= RATE * summed / np.sqrt(squares[own] + 1e-6)[:, None]
+        used[own] += k
 
 
 def _train(model, share: float):
-    """(block, used, weights): one task's weights after its texts, in blocks of rows."""
+    """(block, part, used, weights): one task's weights after its texts, in blocks of rows; part: the task's number."""
     limit = _U64(round(share * (1 << 32)))
 
     def run(batches):
         m = model.value
         weights = m.weights.copy()
-        squares = np.full(BIAS + 1, 0.01, dtype=np.float32)
-        used = np.zeros(BIAS + 1, dtype=np.float64)
+        squares = np.full(len(weights), 0.01, dtype=np.float32)
+        used = np.zeros(len(weights), dtype=np.float64)
         seen = 0
         for batch in batches:
             for chunk in chunks(batch.column(0)):
@@ -160,25 +189,53 @@ def _train(model, share: float):
                 seen += len(pick)
         if not seen:
             return
-        step = -(-BIAS // _BLOCKS)
-        for b in range(_BLOCKS):
-            part = slice(b * step, min(BIAS, (b + 1) * step))
+        part = TaskContext.get().partitionId()
+        for b, rows in enumerate(_row_blocks()):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), pa.array([used[part].tobytes()], pa.binary()), pa.array([weights[part].tobytes()], pa.binary())],
-                names=["block", "used", "weights"],
-            )
+                [pa.array([b], pa.int32()), pa.array([part], pa.int32()), pa.array([used[rows].tobytes()], pa.binary()),
+                 pa.array([weights[rows].tobytes()], pa.binary())],
+                names=["block", "part", "used", "weights"],
+            )
 
     return run
 
 
+def _row_blocks() -> list[slice]:
+    """The trained rows (all but the bias') in blocks."""
+    n = BIAS * SLOTS
+    step = -(-n // _BLOCKS)
+    return [slice(b * step, min(n, (b + 1) * step)) for b in range(_BLOCKS)]
+
+
 def _average(table: pa.Table) -> pa.Table:
-    """Rows of one block averaged over tasks by use; a row no task used keeps its weights."""
-    used = np.stack([np.frombuffer(x.as_py(), np.float64) for x in table["used"]])
-    weights = np.stack([np.frombuffer(x.as_py(), np.float32).reshape(used.shape[1], CLASSES) for x in table["weights"]])
-    total = used.sum(axis=0)
-    share = np.where(total > 0, used / np.maximum(total, 1), 1 / len(used))
-    mean = (weights * share[:, :, None]).sum(axis=0).astype(np.float32)
-    return pa.table({"block": table["block"].slice(0, 1), "weights": pa.array([mean.tobytes()], pa.binary())})
+    """Rows of one block averaged over some tasks by use; a row no task used keeps its weights."""
+    used, mean = None, None
+    for u, w in zip(table["used"], table["weights"], strict=True):
+        u = np.frombuffer(u.as_py(), np.float64)
+        w = np.frombuffer(w.as_py(), np.float32).reshape(-1, GROUP).astype(np.float64)
+        if used is None:
+            used, mean = u.copy(), w
+            continue
+        used += u
+        mean += (w - mean) * (u / np.maximum(used, 1))[:, None]
+    return pa.table({
+        "block": table["block"].slice(0, 1), "part": pa.array([table["part"][0].as_py() // FAN_IN], pa.int32()),
+        "used": pa.array([used.tobytes()], pa.binary()), "weights": pa.array([mean.astype(np.float32).tobytes()], pa.binary()),
+    })
+
+
+_WEIGHTS = "block int, part int, used binary, weights binary"
+
+
+def _averaged(trained: DataFrame) -> DataFrame:
+    """One row a block, over all tasks: at most ``FAN_IN`` rows meet in a group."""
+    trained = written(trained, "lm-weights")
+    tasks = (trained.agg(F.max("part")).first()[0] or 0) + 1
+    while True:
+        trained = trained.groupBy("block", F.floor(F.col("part") / FAN_IN).alias("node")).applyInArrow(_average, _WEIGHTS)
+        tasks = -(-tasks // FAN_IN)
+        if tasks == 1:
+            return trained
 
 
 def _score(model):
@@ -194,8 +251,7 @@ def _score(model):
                 y, f = m.classes(t), features(t)
                 part = np.empty(len(y))
                 for a in range(0, len(y), MINI_BATCH):
-                    z = _log_softmax(m.weights, f[a : a + MINI_BATCH])
-                    part[a : a + MINI_BATCH] = z[np.arange(len(z)), y[a : a + MINI_BATCH]]
+                    part[a : a + MINI_BATCH] = class_log(m.weights, f[a : a + MINI_BATCH], y[a : a + MINI_BATCH])
                 part = part / np.log(10) - m.class_log[y]
                 if len(m.head):
                     at = np.minimum(np.searchsorted(m.head, t.hashes), len(m.head) - 1)
@@ -234,20 +290,18 @@ def train(texts: DataFrame) -> tuple[DataFrame, Model, int, int]:
         n_class[1 + i], v_class[1 + i] = n, 1
         n_class[k + 1 + TOP_CLASSES] -= n
         v_class[k + 1 + TOP_CLASSES] -= 1
-    weights = np.zeros((BIAS + 1, CLASSES), dtype=np.float32)
-    weights[BIAS] = np.log((n_class + 1) / (total_n + CLASSES))
+    share = ((n_class + 1) / (total_n + CLASSES)).reshape(-1, GROUP)
+    weights = np.zeros((BIAS + 1, SLOTS, GROUP), dtype=np.float32)
+    weights[BIAS, 0] = np.log(share.sum(axis=1))
+    weights[BIAS, 1:] = np.log(share)
+    weights = weights.reshape(-1, GROUP)
     order = np.argsort(h)
     model = Model(h[order], np.log10(c[order] + 1.0), top, np.log10(n_class + v_class + 1), weights)
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        blocks = (
-            texts.select("text").mapInArrow(_train(shared, GRADIENT_SHARE), "block int, used binary, weights binary")
-            .groupBy("block").applyInArrow(_average, "block int, weights binary").collect()
-        )
-        for r in sorted(blocks):
-            step = -(-BIAS // _BLOCKS)
-            part = slice(r["block"] * step, min(BIAS, (r["block"] + 1) * step))
-            model.weights[part] = np.frombuffer(r["weights"], np.float32).reshape(-1, CLASSES)
+        trained = texts.select("text").mapInArrow(_train(shared, GRADIENT_SHARE), _WEIGHTS)
+        for r in _averaged(trained).select("block", "weights").collect():  # one row a block
+            model.weights[_row_blocks()[r["block"]]] = np.frombuffer(r["weights"], np.float32).reshape(-1, GROUP)
     return counts, model, total_n, total_v
 
 

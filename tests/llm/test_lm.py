@@ -42,6 +42,7 @@ def test_whole_table_and_held_out_gain(spark, monkeypatch):
     rows = op6_lm_score(spark, SF_BIG).collect()
     same(rows, base(texts_of(spark, SF_BIG)))
     held = [r for r in rows if r["held_out"]]
+    print("gain", 1 - sum(r["score"] for r in held) / sum(r["base_score"] for r in held))
     assert sum(r["score"] for r in held) > 0.99 * sum(r["base_score"] for r in held)
     assert np.mean([r["score"] > r["base_score"] for r in held]) > 0.9
 
@@ -64,9 +65,70 @@ def test_distribution_sums_to_one(spark):
     suffix = np.array([s for s, _ in vocabulary.values()])
     t = lm.tokens(next(chunks(pa.array(["the a q"]))))
     for at in range(len(t.hashes)):
-        z = lm._log_softmax(model.weights, lm.features(t)[at : at + 1])[0]
+        z = lm.class_log(model.weights, np.repeat(lm.features(t)[at : at + 1], lm.CLASSES, axis=0), np.arange(lm.CLASSES))
+        assert math.isclose(np.exp(z).sum(), 1, rel_tol=1e-5)
         y = model.classes(lm.Tokens(hashes, suffix, np.array([0, len(hashes)])))
         known = sum(math.exp(z[k]) * (c + 1) / 10 ** model.class_log[k] for k, (_, c) in zip(y, vocabulary.values(), strict=True))
         # A class's denominator is N + V + 1: its known words and one unseen.
         unseen = sum(math.exp(z[k]) / 10 ** model.class_log[k] for k in range(lm.CLASSES))
         assert math.isclose(known + unseen, 1, rel_tol=1e-5)
+
+
+def plain_update(w, squares, f, y):
+    """One mini-batch, value by value: w[row][slot] is a list of GROUP logits."""
+    total = {}
+    for rows, k in zip(f, y, strict=True):
+        for slot, target in ((0, k // lm.GROUP), (1 + k // lm.GROUP, k % lm.GROUP)):
+            z = [sum(w[r][slot][c] for r in rows) + w[lm.BIAS][slot][c] for c in range(lm.GROUP)]
+            e = [math.exp(v) for v in z]
+            for j, r in enumerate(rows):
+                grad = total.setdefault((j, r, slot), [0.0] * lm.GROUP)
+                for c in range(lm.GROUP):
+                    grad[c] += e[c] / sum(e) - (c == target)
+    for (_, r, slot), grad in total.items():
+        squares[r, slot] = squares.get((r, slot), 0.01) + sum(v * v for v in grad) / lm.GROUP
+        for c in range(lm.GROUP):
+            w[r][slot][c] -= lm.RATE * grad[c] / math.sqrt(squares[r, slot] + 1e-6)
+
+
+def test_score_by_plain_updates_on_one_task(spark, monkeypatch):
+    monkeypatch.setattr(lm, "MINI_BATCH", 7)
+    texts = ["the cat sat on the mat", "the dog sat on the cat and the mat", "a b a c the end", "dog on mat"] * 3
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = {r["doc_id"]: r for r in lm.score_documents(docs, modulus=1, remainder=5).collect()}  # learns from all
+
+    t = lm.tokens(next(chunks(pa.array(texts))))
+    _, full, n, _ = lm.train(docs.select("text"))
+    assert n == len(t.hashes)
+    f, y = lm.features(t).tolist(), full.classes(t).tolist()
+    bias = full.weights.reshape(-1, lm.SLOTS, lm.GROUP)[lm.BIAS].astype(float).tolist()
+    w = {r: [[0.0] * lm.GROUP for _ in range(lm.SLOTS)] for rs in f for r in rs} | {lm.BIAS: bias}
+    squares = {}
+    for a in range(0, len(y), 7):
+        plain_update(w, squares, f[a : a + 7], y[a : a + 7])
+    counts = Counter(h for h in t.hashes.tolist())
+    for i in range(len(texts)):
+        score = 0.0
+        for at in range(t.offsets[i], t.offsets[i + 1]):
+            k = y[at]
+            for slot, target in ((0, k // lm.GROUP), (1 + k // lm.GROUP, k % lm.GROUP)):
+                z = [sum(w[r][slot][c] for r in f[at]) + bias[slot][c] for c in range(lm.GROUP)]
+                score += (z[target] - math.log(sum(map(math.exp, z)))) / math.log(10)
+            score += math.log10(counts[int(t.hashes[at])] + 1) - full.class_log[k]
+        assert math.isclose(rows[i]["score"], score, rel_tol=1e-4), i
+
+
+def test_averages_as_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FAN_IN", 3)
+    rng = np.random.default_rng(3)
+    used = rng.integers(0, 4, (20, 5)).astype(np.float64)
+    used[:, 4] = 0
+    weights = rng.normal(size=(20, 5, lm.GROUP)).astype(np.float32)
+    weights[:, 4] = 0.5  # used by no task, so alike in all
+    rows = [(0, i, bytearray(used[i].tobytes()), bytearray(weights[i].tobytes())) for i in range(20)]
+    out = lm._averaged(spark.createDataFrame(rows, lm._WEIGHTS)).collect()
+    got = np.frombuffer(out[0]["weights"], np.float32).reshape(5, lm.GROUP)
+    share = used / np.maximum(used.sum(axis=0), 1)
+    want = (weights * share[:, :, None]).sum(axis=0)
+    want[4] = 0.5
+    assert len(out) == 1 and np.allclose(got, want, atol=1e-5)
