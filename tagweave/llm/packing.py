@@ -21,11 +21,10 @@ are handled together as one pattern, so the work is by patterns, not by pieces.
 from __future__ import annotations
 
 import os
-import sys
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +41,8 @@ SEPARATOR = 0
 PARTS = 64
 #: Words whose ids a Python worker keeps, in each of two generations (some 100 MB each).
 CACHE_WORDS = 600_000
+#: New words encoded as one text.
+JOINED_WORDS = 64
 #: Documents whose new words are encoded together.
 ENCODE_ROWS = 256
 
@@ -55,6 +56,8 @@ class Encoder:
 
     The tokenizers meant here never merge across a space, line feed or tab, so
     a text's ids are its words' ids in order; words seen before cost a lookup.
+    New words are encoded many at a time, as one text with a digit between
+    them that none of them holds; its id says where one word's ids end.
     When the newer generation of the cache is full it becomes the older one, and
     words still in use move back from there.
     """
@@ -64,9 +67,29 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self._check()
+        self.marks = self._marks()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _marks(self) -> list[tuple[str, int]]:
+        """Two digits that are one token of their own between words, with their ids."""
+        found = []
+        for digit in "79":
+            alone, between = self._ids(digit), self._ids(f"a {digit} b")
+            if len(alone) == 1 and between == self._ids("a") + alone + self._ids("b"):
+                found.append((digit, alone[0]))
+        return found
+
+    def _check(self) -> None:
+        """Raise if the file's tokenizer lets a token reach over white space."""
+        whole, words = self._ids("one two  three\tfour\nfive "), [self._ids(w) for w in ("one", "two", "three", "four", "five")]
+        if whole != [i for w in words for i in w] or self._ids(" \t\n"):
+            raise ValueError("this tokenizer's ids depend on white space: word by word encoding would be wrong")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         if len(self.known) > CACHE_WORDS:
@@ -78,13 +101,33 @@ class Encoder:
                 new.append(w)
             else:
                 self.known[w] = ids
-        for i in range(0, len(new), 4096):
-            block = new[i : i + 4096]
-            for w, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False), strict=True):
-                self.known[w] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+        self._learn(new)
         ids = self.known.__getitem__
         return [b"".join(map(ids, p)) for p in parts]
 
+    def _learn(self, words: list[str]) -> None:
+        """Put the words' ids into the cache."""
+        left = words
+        for digit, mark in self.marks:
+            joined, left = [w for w in left if digit not in w], [w for w in left if digit in w]
+            blocks = [joined[i : i + JOINED_WORDS] for i in range(0, len(joined), JOINED_WORDS)]
+            for block, ids in zip(blocks, self._batch([f" {digit} ".join(b) for b in blocks]), strict=True):
+                at = np.flatnonzero(ids == mark).tolist()
+                if len(at) != len(block) - 1:  # a word gave the digit after all
+                    left += block
+                    continue
+                raw = ids.tobytes()
+                for w, a, b in zip(block, [0, *[4 * i + 4 for i in at]], [*[4 * i for i in at], len(raw)], strict=True):
+                    self.known[w] = raw[a:b]
+        for w, ids in zip(left, self._batch(left), strict=True):
+            self.known[w] = ids.tobytes()
+
+    def _batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of every text, little-endian."""
+        for i in range(0, len(texts), 4096):
+            for e in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False):
+                yield np.array(e.ids, dtype="<u4")
+
 
 def _encoder(tokenizer_file: str) -> Encoder:
     if tokenizer_file not in _ENCODERS:

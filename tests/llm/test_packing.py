@@ -6,8 +6,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
+from tagweave.llm import packing
 from tagweave.llm.packing import best_fit, pack, pack_documents, reduce_instance
 from tagweave.llm.queries import op1_best_fit_pack
 
@@ -103,3 +105,18 @@ def test_large_instances():
     assert used(best_fit({5: 7, 3: 9}, 10)) == {5: 7, 3: 9} and pack({}) == []
     n = sum(k for _, k in pack(Counter(rng.integers(1, 700, 100_000).tolist())))
     assert n > 0
+
+
+def test_words_encoded_together_are_words_encoded_alone():
+    encoder = packing.Encoder(FILE)
+    assert len(encoder.marks) == 2
+    words = ["", "a", "don't", "x7", "9", "79", "7", "\u00a0", "\r", "é", "\U0001f600", "<|endoftext|>", "W\x00w", "e\u0301", "\u200d", "７"]
+    words += [f"w{i}" for i in range(300)]
+    encoder._learn(words)
+    alone = encoder.tokenizer.encode_batch(words, add_special_tokens=False)
+    assert {w: np.frombuffer(encoder.known[w], "<u4").tolist() for w in words} == {w: e.ids for w, e in zip(words, alone, strict=True)}
+
+
+def test_a_tokenizer_that_minds_white_space_is_refused():
+    with pytest.raises(ValueError, match="white space"):
+        packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
