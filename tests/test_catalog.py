@@ -102,11 +102,11 @@ def test_validate_reports_every_problem(spark):
 
 
 def test_local_catalog_frames_keep_nulls_and_allow_empty(spark):
-    from tagweave.sources.catalog import TASK_TAG_RULE_SCHEMA, _local_frame
+    from tagweave.sources.catalog import TASK_TAG_RULE_SCHEMA, local_frame
 
-    empty = _local_frame(spark, [], TASK_TAG_RULE_SCHEMA)
+    empty = local_frame(spark, [], TASK_TAG_RULE_SCHEMA)
     assert empty.count() == 0 and empty.schema == TASK_TAG_RULE_SCHEMA
-    one = _local_frame(spark, [(1, None, 5, "x", None, None)], TASK_TAG_RULE_SCHEMA).first()
+    one = local_frame(spark, [(1, None, 5, "x", None, None)], TASK_TAG_RULE_SCHEMA).first()
     assert (one.id, one.tag_id, one.task_id, one.sub_tag_id) == (1, None, 5, None)
 
 

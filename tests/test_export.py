@@ -48,7 +48,7 @@ def test_jdbc_defaults_and_writer_count(spark, store, monkeypatch):
     jobs.run_export_job(spark, None, store, "2024-01-15", jdbc={"url": "jdbc:x://h/db"}, num_partitions=9)
     assert seen["numPartitions"] == "9" and seen["dbtable"] == "user_tag_merge_20240115"
     path = jobs.run_export_job(spark, None, store, "2024-01-15", num_partitions=3)
-    assert len(spark.read.parquet(path).inputFiles()) == 3
+    assert len(store.read_dataset(path).inputFiles()) == 3
 
 
 def test_jdbc_paths_reach_the_jdbc_layer(spark):
