@@ -1,20 +1,24 @@
 """Exact BM25 top-k over an inverted index, with block-max pruning per shard.
 
 Shards are built where the documents are read: each task turns its rows into
-inverted indexes of at most ``SHARD_DOCS`` documents, ordered by length and
-split into blocks of ``BLOCK_DOCS``. A query carries the global statistics (idf,
+inverted indexes of at most ``SHARD_DOCS`` documents and ``SHARD_POSTINGS``
+postings (one document's may be more), ordered by length and split into blocks of ``BLOCK_DOCS``. A query carries the global statistics (idf,
 mean length), so scores are equal in every shard and the best k of the shards'
 best k are the exact result.
 
 Within a shard a query's rare terms are read in full; they are few postings.
 Its frequent terms (in more than 1 / ``FREQUENT`` of the shard's documents) hold
-a maximum per block. Rare scores plus block maxima bound every block; the query
-opens its best-bounded blocks, takes the k-th best score there as threshold, and
-needs only the blocks whose bound reaches it. A few queries of like size are
-evaluated together, one matrix product over the blocks that any of them needs.
-Pruning uses 32-bit floats with a margin; the scores of the last candidates are
-summed again in 64 bits, in one order of terms, so ties are exact and go to the
-smaller doc_id.
+a maximum per block. Rare scores plus block maxima bound every block. The best-bounded
+blocks give a query its first threshold, the k-th best score there; blocks are
+then opened a slab at a time, those that exceed a threshold by most first, for the queries
+whose bound there still reaches their threshold, which rises with every slab.
+Queries of like size are evaluated together, one matrix product a slab; as many
+at a time as their rare postings fit ``BATCH_POSTINGS``, so a batch of long queries
+needs no more memory than one of short ones.
+
+Pruning uses 32-bit floats, with a margin for their rounding that grows with the
+query's terms; the scores of the last candidates are summed again in 64 bits, in
+one order of terms, so ties are exact and go to the smaller doc_id.
 """
 
 from __future__ import annotations
@@ -31,15 +35,21 @@ from tagweave.llm.hashing import chunks, words
 K = 10
 K1, B = 1.2, 0.75
 SHARD_DOCS = 16_384
+SHARD_POSTINGS = 2_000_000
 BLOCK_DOCS = 64
+#: Blocks opened at a time.
+SLAB = 32
 FREQUENT = 16
 #: Query terms held by one broadcast.
 BLOCK_TERMS = 1_500_000
 #: Queries evaluated together in a shard.
 QUERY_BATCH = 128
+#: Postings of rare terms held by a batch of queries (one query may have more).
+BATCH_POSTINGS = 2_000_000
 #: Stands for a null id.
 NO_ID = -(1 << 63)
-_MARGIN = 1e-4
+#: Unit roundoff of 32-bit floats.
+_ROUND = 2.0**-24
 
 
 def _counts(chunk):
@@ -116,24 +126,28 @@ def _index(batches):
         )
         return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], names=[c.split()[0] for c in INDEX.split(", ")])
 
-    ids, parts, size, n = [], [], [], 0
+    ids, parts, size, n, held = [], [], [], 0, 0
     for batch in batches:
         keys = _ids(batch.column(0))
         for chunk in chunks(batch.column(1)):
             text, h, tf, per_text = _counts(chunk)
-            if n + len(per_text) > SHARD_DOCS and n:
-                yield flush(ids, parts, size)
-                ids, parts, size, n = [], [], [], 0
-            for a in range(0, len(per_text), SHARD_DOCS):  # a chunk of very many short texts
-                b = min(a + SHARD_DOCS, len(per_text))
-                lo, hi = np.searchsorted(text, (a, b))
-                if a:
-                    yield flush(ids, parts, size)
-                    ids, parts, size, n = [], [], [], 0
+            ends = np.searchsorted(text, np.arange(len(per_text)), side="right")  # postings up to each text
+            a = 0
+            while a < len(per_text):
+                lo = int(ends[a - 1]) if a else 0
+                fit = int(np.searchsorted(ends, lo + SHARD_POSTINGS - held, side="right"))
+                b = min(len(per_text), a + SHARD_DOCS - n, fit)
+                if b <= a:
+                    if n:
+                        yield flush(ids, parts, size)
+                        ids, parts, size, n, held = [], [], [], 0, 0
+                        continue
+                    b = a + 1
+                hi = int(ends[b - 1])
                 ids.append(keys[chunk.rows[0] + a : chunk.rows[0] + b])
                 parts.append((text[lo:hi] - a + n, h[lo:hi], tf[lo:hi]))
                 size.append(per_text[a:b])
-                n += b - a
+                n, held, a = n + b - a, held + hi - lo, b
     if n:
         yield flush(ids, parts, size)
 
@@ -153,7 +167,7 @@ class Shard:
         self.dense_row = np.full(len(self.terms), -1)
         self.dense_row[frequent] = np.arange(len(frequent))
         self.dense = np.zeros((len(frequent), self.blocks * BLOCK_DOCS), np.float32)
-        self.dense_tf = np.zeros(self.dense.shape, np.int32)
+        self.dense_tf = np.zeros(self.dense.shape, np.min_scalar_type(int(self.tf.max(initial=0))))
         for i, t in enumerate(frequent):
             span = slice(self.ptr[t], self.ptr[t + 1])
             self.dense[i, self.post[span]] = self.impact[span]
@@ -163,14 +177,15 @@ class Shard:
     def _rare(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the postings of several terms, and which term each is of."""
         size = self.ptr[t + 1] - self.ptr[t]
-        of = np.repeat(np.arange(len(t)), size)
-        return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + self.ptr[t][of], of
+        of = np.repeat(np.arange(len(t), dtype=np.int32), size)
+        shift = self.ptr[t] - np.cumsum(size) + size
+        return (np.arange(size.sum()) + np.repeat(shift, size)).astype(np.int32), of
 
     def _exact(self, docs: np.ndarray, w: np.ndarray, row: np.ndarray, place: np.ndarray, of: np.ndarray) -> np.ndarray:
         """64-bit scores of a few documents, each summed term by term in hash order."""
         parts = np.zeros((len(w), len(docs)))
         common = row >= 0
-        tf = self.dense_tf[row[common][:, None], docs]
+        tf = self.dense_tf[row[common][:, None], docs].astype(np.float64)
         parts[common] = w[common][:, None] * (tf * (K1 + 1) / (tf + self.norm[docs]))
         slot = np.full(self.blocks * BLOCK_DOCS, -1)
         slot[docs] = np.arange(len(docs))
@@ -183,47 +198,77 @@ class Shard:
             total += line
         return total
 
+    def _known(self, h: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms of a query that the shard holds, their weights and dense rows (-1: rare)."""
+        if not len(self.terms):
+            return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
+        here = self.terms[at] == h
+        return at[here], idf[here], self.dense_row[at[here]]
+
     def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(doc_id, score) of the best k for each of a few queries (hashes ascending, idf)."""
+        known = [self._known(*one) for one in queries]
+        size = np.diff(self.ptr)
+        out, batch, held, self.opened = [], [], 0, 0.0
+        for one in known:
+            rare = int(size[one[0][one[2] < 0]].sum())
+            if batch and held + rare > BATCH_POSTINGS:
+                out += self._batch(batch, k)
+                batch, held = [], 0
+            batch.append(one)
+            held += rare
+        out += self._batch(batch, k) if batch else []
+        self.opened /= max(1, len(queries))  # share of a query's blocks that were opened for it
+        return out
+
+    def _batch(self, known: list, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         wide = self.blocks * BLOCK_DOCS
-        weights = np.zeros((len(queries), len(self.dense)), np.float32)
-        partial = np.zeros((len(queries), wide), np.float32)
-        known = []
-        for i, (h, idf) in enumerate(queries):
-            at = np.minimum(np.searchsorted(self.terms, h), max(0, len(self.terms) - 1))
-            here = self.terms[at] == h if len(self.terms) else np.zeros(len(h), bool)
-            t, w = at[here], idf[here]
-            row = self.dense_row[t]
+        weights = np.zeros((len(known), len(self.dense)), np.float32)
+        score = np.zeros((len(known), wide), np.float32)  # rare terms; all terms where a block is opened
+        places = []
+        for i, (t, w, row) in enumerate(known):
             weights[i, row[row >= 0]] = w[row >= 0]
             place, of = self._rare(t[row < 0])
-            partial[i] = np.bincount(self.post[place], weights=w[row < 0][of] * self.impact[place], minlength=wide)
-            known.append((w, row, place, of))
-        bound = partial.reshape(len(queries), self.blocks, BLOCK_DOCS).max(axis=2) + weights @ self.block_max
+            score[i] = np.bincount(self.post[place], weights=w[row < 0][of] * self.impact[place], minlength=wide)
+            places.append((place, of))
+        bound = score.reshape(len(known), self.blocks, BLOCK_DOCS).max(axis=2) + weights @ self.block_max
         blocked = self.dense.reshape(len(self.dense), self.blocks, BLOCK_DOCS)
-        # Each query opens its best-bounded blocks; its k-th score there is the least that counts.
+        # A sum of n rounded positive products is off by at most (n + 4) roundoffs of itself; two sums are compared.
+        slack = 1 - 4 * _ROUND * (8 + np.array([len(t) for t, _, _ in known]))
+        # Each query's best-bounded blocks: its k-th score there is the least that counts.
         first = min(self.blocks, -(-k // BLOCK_DOCS) + 3)
-        least = np.zeros(len(queries))
-        for i, (_, row, _, _) in enumerate(known):
+        least = np.zeros(len(known))
+        for i, (_, _, row) in enumerate(known):
             best = np.argpartition(-bound[i], first - 1)[:first]
             rows = row[row >= 0]
-            score = partial[i].reshape(self.blocks, BLOCK_DOCS)[best] + np.tensordot(weights[i, rows], blocked[rows[:, None], best], 1)
-            if k <= score.size:
-                least[i] = max(0.0, np.partition(score.ravel(), score.size - k)[score.size - k])
-        margin = _MARGIN * (1 + bound.max(axis=1, initial=0.0))
-        need = (bound > 0) & (bound >= (least - margin)[:, None])
-        opened = np.flatnonzero(need.any(axis=0))  # blocks that no query of the batch needs stay shut
-        docs = (opened[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
-        columns = self.dense if len(opened) == self.blocks else blocked[:, opened].reshape(len(self.dense), -1)
-        score = partial[:, docs] + weights @ columns
-        self.opened = need.mean()
+            found = score[i].reshape(self.blocks, BLOCK_DOCS)[best] + np.tensordot(weights[i, rows], blocked[rows[:, None], best], 1)
+            if k <= found.size:
+                least[i] = max(0.0, np.partition(found.ravel(), found.size - k)[found.size - k])
+        top = np.zeros((len(known), k), np.float32)  # best scores of the opened blocks
+        opened = np.zeros((len(known), self.blocks), bool)
+        order = np.argsort(-(bound - least[:, None]).max(axis=0), kind="stable")
+        for a in range(0, self.blocks, SLAB):
+            slab = order[a : a + SLAB]
+            need = (bound[:, slab] > 0) & (bound[:, slab] >= (least * slack)[:, None])
+            who, slab = np.flatnonzero(need.any(axis=1)), slab[need.any(axis=0)]
+            if not len(who):
+                continue
+            docs = (slab[:, None] * BLOCK_DOCS + np.arange(BLOCK_DOCS)).ravel()
+            columns = blocked[:, slab].reshape(len(self.dense), -1)
+            found = score[who[:, None], docs] + weights[who] @ columns
+            score[who[:, None], docs] = found
+            opened[who[:, None], slab] = True
+            both = np.concatenate([top[who], found], axis=1)
+            top[who] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            least = np.maximum(least, top.min(axis=1))
+        self.opened += opened.mean(axis=1).sum()
         out = []
-        for i, (w, row, place, of) in enumerate(known):
+        for i, (_, w, row) in enumerate(known):
             s = score[i]
-            floor = least[i] - margin[i]
-            if k < len(s):
-                floor = max(floor, np.partition(s, len(s) - k)[len(s) - k] - margin[i])
-            chosen = docs[(s > 0) & (s >= floor)]
-            exact = self._exact(chosen, w, row, place, of)
+            chosen = np.flatnonzero((s > 0) & (s >= least[i] * slack[i]))
+            chosen = chosen[opened[i, chosen // BLOCK_DOCS]]
+            exact = self._exact(chosen, w, row, *places[i])
             ids = self.ids[chosen]
             keep = np.lexsort((ids, -exact))[:k]
             out.append((ids[keep], exact[keep]))

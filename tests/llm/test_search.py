@@ -104,3 +104,29 @@ def test_null_ids_and_ids_beyond_2_53(spark):
     q = spark.createDataFrame([(big + 2, "a"), (None, "c")], "query_id long, text string")
     found = sorted((str(r["query_id"]), r["rank"], str(r["doc_id"])) for r in s.search(q, docs, 5).collect())
     assert found == sorted([("None", 1, "7"), (str(big + 2), 1, "None"), (str(big + 2), 2, str(big))])
+
+
+def test_shards_and_batches_are_bounded_by_postings(monkeypatch):
+    rng = random.Random(6)
+    texts = {i: " ".join(f"w{rng.randint(0, 400)}" for _ in range(rng.choice([3, 30, 200]))) for i in range(300)}
+    texts[300] = " ".join(f"v{i}" for i in range(2_000))  # more postings than a shard may hold
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()))], names=["doc_id", "text"])
+
+    def shards():
+        return [s.Shard(r, 50.0) for b in s._index([batch]) for r in b.to_pylist()]
+
+    asked = [(np.unique(s.words(next(s.chunks(pa.array([texts[q]])))).hashes), None) for q in range(0, 301, 10)]
+    asked = [(h, np.linspace(0.1, 3, len(h))) for h, _ in asked]
+
+    def best(parts):
+        found = [shard.top(asked, 5) for shard in parts]
+        return [sorted((-v, d) for got in found for d, v in zip(*got[i], strict=True))[:5] for i in range(len(asked))]
+
+    whole = shards()
+    monkeypatch.setattr(s, "SHARD_POSTINGS", 1_000)
+    monkeypatch.setattr(s, "BATCH_POSTINGS", 500)
+    monkeypatch.setattr(s, "SLAB", 2)
+    small = shards()
+    assert len(whole) == 1 and sorted(d for x in small for d in x.ids) == sorted(texts)
+    assert all(len(x.post) <= 1_000 or len(x.ids) == 1 for x in small)
+    assert best(small) == best(whole)
