@@ -11,7 +11,8 @@ Its frequent terms (in more than 1 / ``FREQUENT`` of the shard's documents) hold
 a maximum per block. Rare scores plus block maxima bound every block. The best-bounded
 blocks give a query its first threshold, the k-th best score there; blocks are
 then opened a slab at a time, those that exceed a threshold by most first, for the queries
-whose bound there still reaches their threshold, which rises with every slab.
+whose bound there still reaches their threshold, which rises with every slab and
+goes on to the task's next shard.
 Queries of like size are evaluated together, one matrix product a slab; as many
 at a time as their rare postings fit ``BATCH_POSTINGS``, so a batch of long queries
 needs no more memory than one of short ones.
@@ -46,6 +47,8 @@ BLOCK_TERMS = 1_500_000
 QUERY_BATCH = 128
 #: Postings of rare terms held by a batch of queries (one query may have more).
 BATCH_POSTINGS = 2_000_000
+#: Tasks a core that search the shards; a task's shards share the thresholds found so far.
+SHARD_TASKS = 3
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 #: Unit roundoff of 32-bit floats.
@@ -181,22 +184,19 @@ class Shard:
         shift = self.ptr[t] - np.cumsum(size) + size
         return (np.arange(size.sum()) + np.repeat(shift, size)).astype(np.int32), of
 
-    def _exact(self, docs: np.ndarray, w: np.ndarray, row: np.ndarray, place: np.ndarray, of: np.ndarray) -> np.ndarray:
+    def _exact(self, docs: np.ndarray, w: np.ndarray, row: np.ndarray, place: np.ndarray, of: np.ndarray, post: np.ndarray) -> np.ndarray:
         """64-bit scores of a few documents, each summed term by term in hash order."""
         parts = np.zeros((len(w), len(docs)))
         common = row >= 0
         tf = self.dense_tf[row[common][:, None], docs].astype(np.float64)
         parts[common] = w[common][:, None] * (tf * (K1 + 1) / (tf + self.norm[docs]))
-        slot = np.full(self.blocks * BLOCK_DOCS, -1)
-        slot[docs] = np.arange(len(docs))
-        at = slot[self.post[place]]
-        place, of, at = place[at >= 0], of[at >= 0], at[at >= 0]
-        term = np.flatnonzero(~common)[of]
-        parts[term, at] = w[term] * (self.tf[place] * (K1 + 1) / (self.tf[place] + self.norm[self.post[place]]))
-        total = np.zeros(len(docs))
-        for line in parts:
-            total += line
-        return total
+        asked = np.zeros(self.blocks * BLOCK_DOCS, bool)
+        asked[docs] = True
+        here = np.flatnonzero(asked[post])
+        place, post = place[here], post[here]
+        term = np.flatnonzero(~common)[of[here]]
+        parts[term, np.searchsorted(docs, post)] = w[term] * (self.tf[place] * (K1 + 1) / (self.tf[place] + self.norm[post]))
+        return np.add.accumulate(parts, axis=0)[-1] if len(w) else np.zeros(len(docs))
 
     def _known(self, h: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Terms of a query that the shard holds, their weights and dense rows (-1: rare)."""
@@ -206,23 +206,27 @@ class Shard:
         here = self.terms[at] == h
         return at[here], idf[here], self.dense_row[at[here]]
 
-    def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(doc_id, score) of the best k for each of a few queries (hashes ascending, idf)."""
+    def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, floors: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(doc_id, score) of the best k for each of a few queries (hashes ascending, idf).
+
+        ``floors``: scores below which a document of this shard cannot be among a query's
+        best k, as k documents of other shards reach them; such documents may be left out.
+        """
+        floors = np.zeros(len(queries)) if floors is None else floors
         known = [self._known(*one) for one in queries]
         size = np.diff(self.ptr)
-        out, batch, held, self.opened = [], [], 0, 0.0
-        for one in known:
-            rare = int(size[one[0][one[2] < 0]].sum())
-            if batch and held + rare > BATCH_POSTINGS:
-                out += self._batch(batch, k)
-                batch, held = [], 0
-            batch.append(one)
+        out, a, held, self.opened = [], 0, 0, 0.0
+        for b, (t, _, row) in enumerate(known):
+            rare = int(size[t[row < 0]].sum())
+            if b > a and held + rare > BATCH_POSTINGS:
+                out += self._batch(known[a:b], k, floors[a:b])
+                a, held = b, 0
             held += rare
-        out += self._batch(batch, k) if batch else []
+        out += self._batch(known[a:], k, floors[a:]) if known else []
         self.opened /= max(1, len(queries))  # share of a query's blocks that were opened for it
         return out
 
-    def _batch(self, known: list, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    def _batch(self, known: list, k: int, floors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         wide = self.blocks * BLOCK_DOCS
         weights = np.zeros((len(known), len(self.dense)), np.float32)
         score = np.zeros((len(known), wide), np.float32)  # rare terms; all terms where a block is opened
@@ -230,21 +234,22 @@ class Shard:
         for i, (t, w, row) in enumerate(known):
             weights[i, row[row >= 0]] = w[row >= 0]
             place, of = self._rare(t[row < 0])
-            score[i] = np.bincount(self.post[place], weights=w[row < 0][of] * self.impact[place], minlength=wide)
-            places.append((place, of))
+            post = self.post[place]
+            score[i] = np.bincount(post, weights=w[row < 0].astype(np.float32)[of] * self.impact[place], minlength=wide)
+            places.append((place, of, post))
         bound = score.reshape(len(known), self.blocks, BLOCK_DOCS).max(axis=2) + weights @ self.block_max
         blocked = self.dense.reshape(len(self.dense), self.blocks, BLOCK_DOCS)
         # A sum of n rounded positive products is off by at most (n + 4) roundoffs of itself; two sums are compared.
         slack = 1 - 4 * _ROUND * (8 + np.array([len(t) for t, _, _ in known]))
         # Each query's best-bounded blocks: its k-th score there is the least that counts.
         first = min(self.blocks, -(-k // BLOCK_DOCS) + 3)
-        least = np.zeros(len(known))
+        least = floors.copy()
         for i, (_, _, row) in enumerate(known):
             best = np.argpartition(-bound[i], first - 1)[:first]
             rows = row[row >= 0]
             found = score[i].reshape(self.blocks, BLOCK_DOCS)[best] + np.tensordot(weights[i, rows], blocked[rows[:, None], best], 1)
             if k <= found.size:
-                least[i] = max(0.0, np.partition(found.ravel(), found.size - k)[found.size - k])
+                least[i] = max(least[i], np.partition(found.ravel(), found.size - k)[found.size - k])
         top = np.zeros((len(known), k), np.float32)  # best scores of the opened blocks
         opened = np.zeros((len(known), self.blocks), bool)
         order = np.argsort(-(bound - least[:, None]).max(axis=0), kind="stable")
@@ -278,12 +283,16 @@ class Shard:
 def _search(queries, mean: float, k: int):
     def run(batches):
         q, ptr, h, idf = queries.value
+        best = np.zeros((len(q), k))  # every query's best scores in the task's shards so far
         for batch in batches:
             for at in range(batch.num_rows):
                 shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
                 for a in range(0, len(q), QUERY_BATCH):
                     part = range(a, min(a + QUERY_BATCH, len(q)))
-                    got = shard.top([(h[ptr[i] : ptr[i + 1]], idf[ptr[i] : ptr[i + 1]]) for i in part], k)
+                    asked = [(h[ptr[i] : ptr[i + 1]], idf[ptr[i] : ptr[i + 1]]) for i in part]
+                    got = shard.top(asked, k, best[a : a + QUERY_BATCH].min(axis=1))
+                    for i, (_, score) in zip(part, got, strict=True):
+                        best[i] = np.sort(np.concatenate([best[i], score]))[-k:]
                     size = [len(x) for x, _ in got]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -331,7 +340,8 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         order = np.lexsort((h, q, size[size_of]))  # queries of like size stand together
         new = np.flatnonzero(np.diff(q[order], prepend=q[order][:1] - 1))
         shared = spark.sparkContext.broadcast((q[order][new], np.append(new, len(q)), h[order], idf[order]))
-        best = written(index.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best")
+        few = index.coalesce(SHARD_TASKS * spark.sparkContext.defaultParallelism)
+        best = written(few.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best")
         found = best if found is None else found.unionByName(best)
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "doc_id"))
     ranked = found.select(_id_or_null("q").alias("query_id"), rank.alias("rank"), _id_or_null("doc_id").alias("doc_id"), "score")
