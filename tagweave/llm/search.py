@@ -2,9 +2,10 @@
 
 Shards are built where the documents are read: each task turns its rows into
 inverted indexes of at most ``SHARD_DOCS`` documents and ``SHARD_POSTINGS``
-postings (one document's may be more), ordered by length and split into blocks of ``BLOCK_DOCS``. A query carries the global statistics (idf,
-mean length), so scores are equal in every shard and the best k of the shards'
-best k are the exact result.
+postings (one document's may be more), ordered by length and split into blocks
+of ``BLOCK_DOCS``. A query carries the global statistics (idf, mean length), so
+scores are equal in every shard and the best k of the shards' best k are the
+exact result. A task searches several shards and returns one best k a query.
 
 Within a shard a query's rare terms are read in full; they are few postings.
 Its frequent terms (in more than 1 / ``FREQUENT`` of the shard's documents) hold
@@ -43,12 +44,14 @@ SLAB = 32
 FREQUENT = 16
 #: Query terms held by one broadcast.
 BLOCK_TERMS = 1_500_000
+#: Queries held by one broadcast (a task keeps k scores and ids of each).
+BLOCK_QUERIES = 100_000
 #: Queries evaluated together in a shard.
 QUERY_BATCH = 128
 #: Postings of rare terms held by a batch of queries (one query may have more).
 BATCH_POSTINGS = 2_000_000
-#: Tasks a core that search the shards; a task's shards share the thresholds found so far.
-SHARD_TASKS = 3
+#: Queries a task writes at a time.
+OUT_QUERIES = 10_000
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 #: Unit roundoff of 32-bit floats.
@@ -283,7 +286,7 @@ class Shard:
 def _search(queries, mean: float, k: int):
     def run(batches):
         q, ptr, h, idf = queries.value
-        best = np.zeros((len(q), k))  # every query's best scores in the task's shards so far
+        best, ids = np.zeros((len(q), k)), np.zeros((len(q), k), np.int64)  # every query's best in the task's shards so far
         for batch in batches:
             for at in range(batch.num_rows):
                 shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
@@ -291,16 +294,17 @@ def _search(queries, mean: float, k: int):
                     part = range(a, min(a + QUERY_BATCH, len(q)))
                     asked = [(h[ptr[i] : ptr[i + 1]], idf[ptr[i] : ptr[i + 1]]) for i in part]
                     got = shard.top(asked, k, best[a : a + QUERY_BATCH].min(axis=1))
-                    for i, (_, score) in zip(part, got, strict=True):
-                        best[i] = np.sort(np.concatenate([best[i], score]))[-k:]
-                    size = [len(x) for x, _ in got]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(q[a : a + len(got)], size)), pa.array(np.concatenate([x for x, _ in got])),
-                            pa.array(np.concatenate([x for _, x in got])),
-                        ],
-                        names=["q", "doc_id", "score"],
-                    )
+                    for i, (doc, score) in zip(part, got, strict=True):
+                        score, doc = np.concatenate([best[i], score]), np.concatenate([ids[i], doc])
+                        keep = np.lexsort((doc, -score))[:k]
+                        best[i], ids[i] = score[keep], doc[keep]
+        for a in range(0, len(q), OUT_QUERIES):  # a row per task, query and rank, however many shards the task had
+            some = slice(a, a + OUT_QUERIES)
+            row, column = np.nonzero(best[some] > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q[some][row]), pa.array(ids[some][row, column]), pa.array(best[some][row, column])],
+                names=["q", "doc_id", "score"],
+            )
 
     return run
 
@@ -329,7 +333,8 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         "search-queries",
     )
     index = written(text.mapInArrow(_index, INDEX), "search-index")
-    parts = max(1, -(-weighted.count() // BLOCK_TERMS))
+    asked = weighted.agg(F.count("*").alias("terms"), F.count_distinct("q").alias("queries")).first()
+    parts = max(1, -(-asked["terms"] // BLOCK_TERMS), -(-asked["queries"] // BLOCK_QUERIES))
     found = None
     for part in range(parts):  # each part's terms fit one broadcast
         rows = weighted.where(F.pmod(F.xxhash64("q"), F.lit(parts)) == part).toArrow()
@@ -340,7 +345,7 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         order = np.lexsort((h, q, size[size_of]))  # queries of like size stand together
         new = np.flatnonzero(np.diff(q[order], prepend=q[order][:1] - 1))
         shared = spark.sparkContext.broadcast((q[order][new], np.append(new, len(q)), h[order], idf[order]))
-        few = index.coalesce(SHARD_TASKS * spark.sparkContext.defaultParallelism)
+        few = index.coalesce(spark.sparkContext.defaultParallelism)  # a task a core: its shards share thresholds and one result
         best = written(few.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best")
         found = best if found is None else found.unionByName(best)
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "doc_id"))
