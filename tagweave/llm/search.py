@@ -37,7 +37,7 @@ from tagweave.llm.hashing import chunks, words
 K = 10
 K1, B = 1.2, 0.75
 SHARD_DOCS = 16_384
-SHARD_POSTINGS = 2_000_000
+SHARD_POSTINGS = 1_000_000
 BLOCK_DOCS = 64
 #: Blocks opened at a time.
 SLAB = 32
@@ -49,7 +49,7 @@ BLOCK_QUERIES = 100_000
 #: Queries evaluated together in a shard.
 QUERY_BATCH = 128
 #: Postings of rare terms held by a batch of queries (one query may have more).
-BATCH_POSTINGS = 2_000_000
+BATCH_POSTINGS = 1_000_000
 #: Queries a task writes at a time.
 OUT_QUERIES = 10_000
 #: Stands for a null id.
@@ -123,12 +123,14 @@ def _index(batches):
         place = np.empty(len(ids), np.int64)
         place[by_length] = np.arange(len(ids))
         text, h, tf = (np.concatenate(x) for x in zip(*parts, strict=True))
-        doc = place[text]
+        doc = place[text].astype(np.uint16)
         order = np.lexsort((doc, h))
-        terms, first = np.unique(h[order], return_index=True)
+        h = h[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+        terms = h[first]
         arrays = (
             ids[by_length], size[by_length].astype(np.int32), terms, np.append(first, len(h)).astype(np.int64),
-            doc[order].astype(np.uint16), tf[order].astype(np.int32),
+            doc[order], tf[order].astype(np.min_scalar_type(int(tf.max(initial=0)))),
         )
         return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], names=[c.split()[0] for c in INDEX.split(", ")])
 
@@ -151,7 +153,7 @@ def _index(batches):
                     b = a + 1
                 hi = int(ends[b - 1])
                 ids.append(keys[chunk.rows[0] + a : chunk.rows[0] + b])
-                parts.append((text[lo:hi] - a + n, h[lo:hi], tf[lo:hi]))
+                parts.append(((text[lo:hi] - a + n).astype(np.int32), h[lo:hi].copy(), tf[lo:hi].astype(np.int32)))
                 size.append(per_text[a:b])
                 n, held, a = n + b - a, held + hi - lo, b
     if n:
@@ -164,7 +166,8 @@ class Shard:
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.terms, self.ptr = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["ptr"], np.int64)
-        self.post, self.tf = np.frombuffer(row["post"], np.uint16), np.frombuffer(row["tf"], np.int32)
+        self.post = np.frombuffer(row["post"], np.uint16)
+        self.tf = np.frombuffer(row["tf"], f"u{max(1, 2 * len(row['tf']) // max(1, len(row['post'])))}")  # as wide as its largest count needs
         self.norm = K1 * (1 - B + B * np.frombuffer(row["length"], np.int32) / max(mean, 1e-9))
         self.impact = (self.tf * (K1 + 1) / (self.tf + self.norm[self.post])).astype(np.float32)
         n, df = len(self.ids), np.diff(self.ptr)
@@ -289,6 +292,7 @@ def _search(queries, mean: float, k: int):
         best, ids = np.zeros((len(q), k)), np.zeros((len(q), k), np.int64)  # every query's best in the task's shards so far
         for batch in batches:
             for at in range(batch.num_rows):
+                shard = None  # gone before the next is opened
                 shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
                 for a in range(0, len(q), QUERY_BATCH):
                     part = range(a, min(a + QUERY_BATCH, len(q)))
