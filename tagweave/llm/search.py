@@ -192,6 +192,8 @@ class Shard:
 
     def _exact(self, docs: np.ndarray, w: np.ndarray, row: np.ndarray, place: np.ndarray, of: np.ndarray, post: np.ndarray) -> np.ndarray:
         """64-bit scores of a few documents, each summed term by term in hash order."""
+        if not len(docs):
+            return np.zeros(0)
         parts = np.zeros((len(w), len(docs)))
         common = row >= 0
         tf = self.dense_tf[row[common][:, None], docs].astype(np.float64)
@@ -299,6 +301,8 @@ def _search(queries, mean: float, k: int):
                     asked = [(h[ptr[i] : ptr[i + 1]], idf[ptr[i] : ptr[i + 1]]) for i in part]
                     got = shard.top(asked, k, best[a : a + QUERY_BATCH].min(axis=1))
                     for i, (doc, score) in zip(part, got, strict=True):
+                        if not len(doc):
+                            continue
                         score, doc = np.concatenate([best[i], score]), np.concatenate([ids[i], doc])
                         keep = np.lexsort((doc, -score))[:k]
                         best[i], ids[i] = score[keep], doc[keep]
