@@ -206,16 +206,25 @@ class Shard:
         parts[term, np.searchsorted(docs, post)] = w[term] * (self.tf[place] * (K1 + 1) / (self.tf[place] + self.norm[post]))
         return np.add.accumulate(parts, axis=0)[-1] if len(w) else np.zeros(len(docs))
 
-    def _known(self, h: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Terms of a query that the shard holds, their weights and dense rows (-1: rare)."""
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of every term (hash) in the shard's terms, -1 if it has none."""
         if not len(self.terms):
-            return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+            return np.full(len(h), -1)
         at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
-        here = self.terms[at] == h
-        return at[here], idf[here], self.dense_row[at[here]]
+        return np.where(self.terms[at] == h, at, -1)
+
+    def _known(self, at: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms of a query that the shard holds, their weights and dense rows (-1: rare)."""
+        here = at >= 0
+        at = at[here]
+        return at, idf[here], self.dense_row[at]
 
     def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, floors: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(doc_id, score) of the best k for each of a few queries (hashes ascending, idf).
+        """(doc_id, score) of the best k for each of a few queries (hashes ascending, idf)."""
+        return self.best([(self.find(h), idf) for h, idf in queries], k, floors)
+
+    def best(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, floors: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for queries whose terms were found (places by hash ascending, idf).
 
         ``floors``: scores below which a document of this shard cannot be among a query's
         best k, as k documents of other shards reach them; such documents may be left out.
@@ -290,16 +299,17 @@ class Shard:
 
 def _search(queries, mean: float, k: int):
     def run(batches):
-        q, ptr, h, idf = queries.value
+        q, ptr, terms, term, idf = queries.value
         best, ids = np.zeros((len(q), k)), np.zeros((len(q), k), np.int64)  # every query's best in the task's shards so far
         for batch in batches:
             for at in range(batch.num_rows):
                 shard = None  # gone before the next is opened
                 shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
+                place = shard.find(terms)  # a term is looked up once, however many queries have it
                 for a in range(0, len(q), QUERY_BATCH):
                     part = range(a, min(a + QUERY_BATCH, len(q)))
-                    asked = [(h[ptr[i] : ptr[i + 1]], idf[ptr[i] : ptr[i + 1]]) for i in part]
-                    got = shard.top(asked, k, best[a : a + QUERY_BATCH].min(axis=1))
+                    asked = [(place[term[ptr[i] : ptr[i + 1]]], idf[ptr[i] : ptr[i + 1]]) for i in part]
+                    got = shard.best(asked, k, best[a : a + QUERY_BATCH].min(axis=1))
                     for i, (doc, score) in zip(part, got, strict=True):
                         if not len(doc):
                             continue
@@ -352,7 +362,8 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         _, size_of, size = np.unique(q, return_inverse=True, return_counts=True)
         order = np.lexsort((h, q, size[size_of]))  # queries of like size stand together
         new = np.flatnonzero(np.diff(q[order], prepend=q[order][:1] - 1))
-        shared = spark.sparkContext.broadcast((q[order][new], np.append(new, len(q)), h[order], idf[order]))
+        distinct, term = np.unique(h[order], return_inverse=True)
+        shared = spark.sparkContext.broadcast((q[order][new], np.append(new, len(q)), distinct, term.astype(np.int32), idf[order]))
         few = index.coalesce(spark.sparkContext.defaultParallelism)  # a task a core: its shards share thresholds and one result
         best = written(few.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best")
         found = best if found is None else found.unionByName(best)
