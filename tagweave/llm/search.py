@@ -10,8 +10,8 @@ exact result. A task searches several shards and returns one best k a query.
 Within a shard a query's rare terms are read in full; they are few postings.
 Its frequent terms (in more than 1 / ``FREQUENT`` of the shard's documents) hold
 a maximum per block. Rare scores plus block maxima bound every block. The best-bounded
-blocks give a query its first threshold, the k-th best score there; blocks are
-then opened a slab at a time, those that exceed a threshold by most first, for the queries
+blocks give a query its first threshold, the k-th best score there (if no earlier
+shard of the task gave one); blocks are then opened a slab at a time, those that exceed a threshold by most first, for the queries
 whose bound there still reaches their threshold, which rises with every slab and
 goes on to the task's next shard.
 Queries of like size are evaluated together, one matrix product a slab; as many
@@ -187,8 +187,8 @@ class Shard:
         """Places of the postings of several terms, and which term each is of."""
         size = self.ptr[t + 1] - self.ptr[t]
         of = np.repeat(np.arange(len(t), dtype=np.int32), size)
-        shift = self.ptr[t] - np.cumsum(size) + size
-        return (np.arange(size.sum()) + np.repeat(shift, size)).astype(np.int32), of
+        shift = (self.ptr[t] - np.cumsum(size) + size).astype(np.int32)
+        return np.arange(len(of), dtype=np.int32) + np.repeat(shift, size), of
 
     def _exact(self, docs: np.ndarray, w: np.ndarray, row: np.ndarray, place: np.ndarray, of: np.ndarray, post: np.ndarray) -> np.ndarray:
         """64-bit scores of a few documents, each summed term by term in hash order."""
@@ -258,10 +258,12 @@ class Shard:
         blocked = self.dense.reshape(len(self.dense), self.blocks, BLOCK_DOCS)
         # A sum of n rounded positive products is off by at most (n + 4) roundoffs of itself; two sums are compared.
         slack = 1 - 4 * _ROUND * (8 + np.array([len(t) for t, _, _ in known]))
-        # Each query's best-bounded blocks: its k-th score there is the least that counts.
+        # The best-bounded blocks of a query without a threshold: its k-th score there is the least that counts.
         first = min(self.blocks, -(-k // BLOCK_DOCS) + 3)
         least = floors.copy()
         for i, (_, _, row) in enumerate(known):
+            if floors[i] > 0:  # k documents of other shards
+                continue
             best = np.argpartition(-bound[i], first - 1)[:first]
             rows = row[row >= 0]
             found = score[i].reshape(self.blocks, BLOCK_DOCS)[best] + np.tensordot(weights[i, rows], blocked[rows[:, None], best], 1)
