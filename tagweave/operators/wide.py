@@ -11,6 +11,10 @@ carries a column per tag, so bytes grow with the cells, not with tags times cell
 The pivot has two levels: tags are numbered, about sqrt(N) neighbours are a group;
 a group's cells become one row of its columns, then a uid's groups become
 one row. A cell so meets 2 * sqrt(N) conditions instead of N.
+
+The table that is stored goes by ranges of uid instead of its hash in the second shuffle:
+the pivot needs no other, and every file is one sorted range that the export and
+the bitmaps take as it is.
 """
 
 from __future__ import annotations
@@ -72,15 +76,23 @@ _NUMBERS = T.StructType([T.StructField("tag_code", T.StringType()), T.StructFiel
 ONE_LEVEL_TAGS = 8
 
 
-def pivot_cells(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+def pivot_cells(cells: DataFrame, columns: Sequence[str], clustered: bool = False) -> DataFrame:
     """``uid`` and one column per tag from (uid, query_value, tag), ``tag`` being the column's position.
 
     Several values of one uid in one tag resolve by text ``max``; a row with a
-    null ``tag`` only makes its uid appear.
+    null ``tag`` only makes its uid appear. ``clustered``: partitions are ranges of
+    uid and sorted by it (bounds are sampled from the reduced cells, at most one a uid and tag).
     """
     if not columns:
         return cells.select("uid").limit(0)
-    reduced = cells.groupBy("uid", "tag").agg(F.max("query_value").alias("query_value")).repartition("uid")
+    reduced = cells.groupBy("uid", "tag").agg(F.max("query_value").alias("query_value"))
+    if clustered:
+        return _pivot_reduced(reduced.repartitionByRange("uid"), columns).sortWithinPartitions("uid")
+    return _pivot_reduced(reduced.repartition("uid"), columns)
+
+
+def _pivot_reduced(reduced: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per uid from at most one cell per (uid, tag); a uid's cells share a partition."""
     if len(columns) <= ONE_LEVEL_TAGS:
         one = reduced.groupBy("uid").agg(*[F.max(F.when(F.col("tag") == i, F.col("query_value"))).alias(c) for i, c in enumerate(columns)])
         return one.select("uid", *columns)
@@ -116,13 +128,14 @@ def build_wide(
     tags: Sequence,
     execute_date: str,
     missing_ok: bool = False,
+    clustered: bool = False,
 ) -> DataFrame:
     """Wide rows of a date from the stored tag slices of ``tags`` (id order).
 
     A tag without a table, or without a slice for the date (never computed),
     is an error naming it; with ``missing_ok`` its column is all NULL instead.
-    A slice that was computed and has no rows is no error.
+    A slice that was computed and has no rows is no error. ``clustered``: see :func:`pivot_cells`.
     """
     codes = [t["tag_code"] for t in tags]
     columns = wide_columns(codes)
-    return pivot_cells(store.read_tags(codes, execute_date, missing_ok), columns)
+    return pivot_cells(store.read_tags(codes, execute_date, missing_ok), columns, clustered)

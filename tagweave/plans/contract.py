@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -261,6 +262,17 @@ def export_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_export(D)
 
 
+def export_file_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the export and how many of its files overlap an earlier one's range of uid."""
+    _, store = seed_day(spark, sf_dir)
+    uid = F.col("uid")
+    files = store.read_export(D).groupBy(F.col("_metadata.file_path").alias("file"))
+    files = files.agg(F.min(uid).alias("first"), F.max(uid).alias("last"), F.count("*").alias("n"))
+    before = F.max("last").over(Window.orderBy("first", "file").rowsBetween(Window.unboundedPreceding, -1))  # a row a file
+    ranges = files.select("n", (F.col("first") <= before).alias("overlaps"))
+    return ranges.agg(F.sum("n").alias("n_uids"), F.count_if("overlaps").alias("n_overlaps"))
+
+
 def merge_empty_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tag that was computed and has no rows for the date gives a NULL column."""
     catalog, store = _setup(spark, sf_dir, "empty-slice", tags=EMPTY_TAGS, labels=[], rules=[])
@@ -414,6 +426,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_empty_slice": merge_empty_slice,
         "merge_many_tags": merge_many_tags,
         "export_clustered": export_clustered,
+        "export_file_ranges": export_file_ranges,
         "bitmap_unpivot": bitmap_unpivot,
         "bitmap_route_types": bitmap_route_types,
         "bitmap_cardinality": bitmap_cardinality,
@@ -650,6 +663,7 @@ def oracle_sql() -> dict[str, str]:
         "merge_empty_slice": f"select uid, query_value as tag_cust_segment, cast(null as varchar) as tag_event_count from ({_o_tag(1)}) t1",
         "merge_many_tags": _o_many(),
         "export_clustered": wide,
+        "export_file_ranges": f"select count(*) as n_uids, cast(0 as bigint) as n_overlaps from ({wide}) w",
         "bitmap_unpivot": _o_pairs() + "select uid, tag_code, tag_value from p",
         "bitmap_route_types": _o_route(),
         "bitmap_cardinality": _O_CARD,

@@ -69,9 +69,9 @@ def _concurrently(fn, items, parallelism: int) -> list:
 
 
 def merge_frame(
-    catalog: Catalog, store: ProfileStore, execute_date: str, missing_ok: bool = False
+    catalog: Catalog, store: ProfileStore, execute_date: str, missing_ok: bool = False, clustered: bool = False
 ) -> DataFrame:
-    return build_wide(store, catalog.enabled_tag_rows(), execute_date, missing_ok=missing_ok)
+    return build_wide(store, catalog.enabled_tag_rows(), execute_date, missing_ok, clustered)
 
 
 def run_merge_job(
@@ -81,8 +81,9 @@ def run_merge_job(
     execute_date: str,
     missing_ok: bool = False,
 ) -> str:
-    """Union + pivot the enabled tags of a date; overwrite the dated wide table."""
-    return store.write_wide(merge_frame(catalog, store, execute_date, missing_ok), execute_date)
+    """Union + pivot the enabled tags of a date; overwrite the dated wide table, each file a sorted range of uid."""
+    wide = merge_frame(catalog, store, execute_date, missing_ok, clustered=True)
+    return store.write_wide(wide, execute_date, sorted_by="uid")
 
 
 def run_export_job(
@@ -97,9 +98,11 @@ def run_export_job(
 
     With ``jdbc`` options (``url``, ``driver``, ...) the rows go to a JDBC
     table named like the wide table; otherwise to a uid-clustered Parquet
-    dataset of about 256 MB per file (sized from the wide table on disk).
-    Both replace the previous export of the date. ``num_partitions`` is the
-    number of writers on either way (JDBC: 4 by default).
+    dataset. The merge job's table is clustered already: it is copied file by
+    file, without a shuffle or sort. One stored by other means, or a
+    given ``num_partitions``, is clustered here (by default about 256 MB per
+    file, sized from the wide table on disk). Both targets replace the previous export of the date.
+    ``num_partitions`` is the number of writers on either way (JDBC: 4 by default).
     """
     wide = store.read_wide(execute_date)
     if jdbc is not None:
@@ -109,10 +112,13 @@ def run_export_job(
             opts["num_partitions"] = num_partitions
         write_jdbc(wide, mode=opts.pop("mode", "overwrite"), **opts)
         return opts["table"]
-    path = store.export_path(execute_date)
-    if num_partitions is None:
-        num_partitions = partitions_for(store.size_bytes(store.wide_path(execute_date)))
-    return store.replace(cluster_by_uid(wide, num_partitions), path, source=store.published(store.wide_path(execute_date)).version)
+    path, wide_path = store.export_path(execute_date), store.wide_path(execute_date)
+    merged = store.published(wide_path)
+    if num_partitions is None and merged.sorted_by == "uid":
+        rows = store.read_files_apart(wide_path)
+    else:
+        rows = cluster_by_uid(wide, num_partitions or partitions_for(store.size_bytes(wide_path)))
+    return store.replace(rows, path, source=merged.version, sorted_by="uid")
 
 
 @dataclass(frozen=True)

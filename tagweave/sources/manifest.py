@@ -45,6 +45,7 @@ class Manifest:
     rows: int
     source: str = ""  # version of the data it was made from
     previous: str = ""  # folder it replaced
+    sorted_by: str = ""  # column whose ranges the files hold, each file sorted by it
 
     @property
     def columns(self) -> T.StructType:
@@ -105,11 +106,13 @@ def publish(
     source: str | None = None,
     compression: str = "zstd",
     before_publishing: Callable[[str], None] = lambda dataset: None,
+    sorted_by: str = "",
 ) -> Manifest:
     """Write ``df`` as the dataset's new version and make it the current one.
 
     If another writer published in between, its version stays and this one
     raises :class:`ConcurrentWriteError`. Rows are counted while they are written.
+    ``sorted_by`` states that ``df``'s partitions are sorted ranges of that column.
     """
     spark = df.sparkSession
     dataset = dataset.rstrip("/")
@@ -121,7 +124,7 @@ def publish(
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.mode("errorifexists").option("compression", compression).parquet(f"{dataset}/{folder}")
         new = Manifest(
-            version, folder, df.schema.json(), int(seen.get["rows"]), source or "", before.folder if before else ""
+            version, folder, df.schema.json(), int(seen.get["rows"]), source or "", before.folder if before else "", sorted_by
         )
         before_publishing(dataset)
         if read_manifest(spark, dataset) != before:

@@ -40,6 +40,8 @@ class MissingTableError(FileNotFoundError):
 _PLACES = T.StructType([T.StructField("_folder", T.StringType()), T.StructField("tag", T.IntegerType())])
 #: Manifests are read by this many driver threads.
 READERS = 16
+#: More bytes than any file has.
+NEVER_PACKED = 1 << 50
 
 
 def _as_stored(frame: DataFrame, schema: T.StructType) -> DataFrame:
@@ -127,9 +129,12 @@ class ProfileStore:
         return f"{path}/{found.folder}"
 
     # -- datasets -----------------------------------------------------------
-    def replace(self, df: DataFrame, target: str, source: str | None = None) -> str:
-        """Publish ``df`` at ``target``; ``source``: the version of the data it was made from."""
-        manifest.publish(df, target, source, self.compression, self._before_publishing)
+    def replace(self, df: DataFrame, target: str, source: str | None = None, sorted_by: str = "") -> str:
+        """Publish ``df`` at ``target``; ``source``: the version of the data it was made from.
+
+        ``sorted_by``: the column of which ``df``'s partitions are sorted ranges, if they are.
+        """
+        manifest.publish(df, target, source, self.compression, self._before_publishing, sorted_by)
         return target
 
     def _before_publishing(self, target: str) -> None:
@@ -142,6 +147,20 @@ class ProfileStore:
             raise MissingTableError(f"{path} has never been computed")
         return self.spark.read.schema(found.columns).parquet(f"{path}/{found.folder}")
 
+    def read_files_apart(self, path: str) -> DataFrame:
+        """The current version of the dataset at ``path``, one partition a file, in the file's order.
+
+        The frame belongs to a session of its own: Spark packs and splits files by session settings.
+        """
+        found = self.published(path)
+        if found is None:
+            raise MissingTableError(f"{path} has never been computed")
+        apart = self.spark.newSession()
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            apart.conf.set(f"spark.sql.files.{name}", str(NEVER_PACKED))
+        apart.conf.unset("spark.sql.files.maxPartitionNum")
+        return apart.read.schema(found.columns).parquet(f"{path}/{found.folder}")
+
     # -- dated slices -------------------------------------------------------
     def overwrite_slice(self, df: DataFrame, path: str, execute_date: str) -> None:
         """Replace ``<path>/dt=D`` with ``df`` (static-partition overwrite).
@@ -247,9 +266,9 @@ class ProfileStore:
         return rows.join(F.broadcast(places), "_folder").select("uid", "query_value", "tag")
 
     # -- wide table -------------------------------------------------------------
-    def write_wide(self, df: DataFrame, execute_date: str) -> str:
+    def write_wide(self, df: DataFrame, execute_date: str, sorted_by: str = "") -> str:
         """Full overwrite of the dated wide table."""
-        return self.replace(df, self.wide_path(execute_date))
+        return self.replace(df, self.wide_path(execute_date), sorted_by=sorted_by)
 
     def read_wide(self, execute_date: str) -> DataFrame:
         return self.read_dataset(self.wide_path(execute_date))
