@@ -47,7 +47,7 @@ def main() -> None:
         ("Tag with exact labels over a join (TAG_CUST_REGION)", build_tag(spark, cat, 5, EXECUTE_DATE)),
         ("Tag with row_number() = 1 (TAG_LATEST_PRIORITY)", build_tag(spark, cat, 9, EXECUTE_DATE)),
         ("Merge: union of 9 slices + pivot", jobs.merge_frame(cat, store, EXECUTE_DATE)),
-        ("Export: uid range clustering", cluster_by_uid(wide, 4)),
+        ("Export of a wide table the merge job did not store: uid range clustering", cluster_by_uid(wide, 4)),
         ("Bitmaps, hybrid layout (string tags)", bitmap_slice(export, string_tags, "3", layout="hybrid")),
         ("Bitmaps, bitmap layout (string tags)", bitmap_slice(export, string_tags, "3", layout="bitmap")),
         ("Cardinality of a typed table", cardinality(jobs.read_bitmaps(store, "3", EXECUTE_DATE))),
