@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.session import scratch_dir
+from tagweave.sources.manifest import filesystem
 
+#: Removes the shuffle files of a query when it ends; else they stay until the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A side is broadcast only if a count shows at most this many narrow rows.
 BROADCAST_ROWS = 1_000_000
 
@@ -17,13 +20,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back: cuts the lineage,
-    and a lost executor costs no recomputation."""
+    and a lost executor costs no recomputation. The shuffle files of the write go when it ends."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that :func:`written` made; no frame still to be computed may read them."""
+    for frame in frames:
+        jvm = frame.sparkSession.sparkContext._jvm
+        folders = {jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).getParent().toString() for f in frame.inputFiles()}
+        for folder in folders:
+            fs, path = filesystem(frame.sparkSession, folder)
+            fs.delete(path, True)
+
+
 def semi_join(big: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
     """Rows of ``big`` whose ``on`` is in ``keys``, or with ``how="left_anti"`` is not.
 

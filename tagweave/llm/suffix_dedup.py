@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import given_ids, keyed, written
+from tagweave.llm.common import discard, given_ids, keyed, written
 from tagweave.llm.hashing import BYTE_VALUES, ORDER_VALUES, chunks, mix, prefix_hash, range_hash
 
 LENGTH = 100
@@ -251,11 +251,13 @@ def remove_repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFr
     spark = docs.sparkSession
     text, ids = keyed(docs, "suffix")
     runs = written(text.mapInArrow(_runs, "doc_id long, start int, n int, anchor long, run long"), "suffix-runs")
-    common = runs.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
+    common = written(runs.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor"), "suffix-anchors")
     shared = written(runs.join(common, "anchor"), "suffix-shared")
+    discard(runs, common)
     place = F.struct("doc_id", "start")
     first = shared.groupBy("run").agg(F.min(place).alias("first"))
     known = written(shared.join(first, "run").select("doc_id", "start", "n", "anchor", (place == F.col("first")).alias("is_first")), "suffix-known")
+    discard(shared)
     copies = known.where("not is_first").select(
         "doc_id", F.col("start").cast("long").alias("lo"), (F.col("start") + F.col("n") + LENGTH - 1).cast("long").alias("hi")
     )
@@ -276,7 +278,7 @@ def remove_repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFr
         extract(indexed.where(F.col("k") <= hot_runs)).select("doc_id", "start", "n", "bytes", group)
         .groupBy("g").applyInArrow(_scan_group, "doc_id long, lo long, hi long")
     )
-    spans = copies.unionByName(found)
+    spans, windows = copies.unionByName(found), None
     if (hot_row["k"] or 0) > hot_runs:
         windows = written(
             extract(indexed.where(F.col("k") > hot_runs)).mapInArrow(_window_hashes, "doc_id long, at long, h1 long, h2 long"),
@@ -286,6 +288,7 @@ def remove_repeated_strings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFr
         again = windows.join(earliest, ["h1", "h2"]).where(F.struct("doc_id", "at") != F.col("first"))
         spans = spans.unionByName(again.select("doc_id", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi")))
     per_doc = written(spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "suffix-spans")
+    discard(known, indexed, *([] if windows is None else [windows]))
     finished = packed.join(per_doc, "doc_id", "left").mapInArrow(
         _finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<array<long>>"
     )
