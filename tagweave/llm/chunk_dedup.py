@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from tagweave.llm.common import written
+from tagweave.llm.common import discard, written
 from tagweave.llm.hashing import BYTE_VALUES, SPACE, Chunk, chunks, mix, prefix_hash, range_hash
 
 #: Mean words in a chunk.
@@ -187,6 +187,19 @@ def _remove(batches):
         )
 
 
+def _later_links(pieces: DataFrame) -> DataFrame:
+    """(doc_id, h) of the links that an earlier document holds.
+
+    Both sides of the join read one shuffle of the links, so the filter on doc_id comes before it.
+    """
+    rows = pieces.where("doc_id is not null").select("doc_id", F.explode("h").alias("h")).repartition("h")
+    firsts = (
+        rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where("first < last").select("h", "first")
+    )
+    return rows.join(firsts, "h").where(F.col("doc_id") > F.col("first")).select("doc_id", "h")
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with _n_bytes, _n_removed, _n_spans and _kept (the text left).
 
@@ -197,13 +210,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     pieces = written(text.mapInArrow(_digests, "doc_id long, h array<long>"), "chunks")
-    rows = pieces.select("doc_id", F.explode("h").alias("h"))
-    firsts = (
-        rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("first < last").select("h", "first")
-    )
-    later = rows.join(firsts, "h").where(F.col("doc_id") > F.col("first"))
-    marks = written(later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("h").alias("_marks")), "chunk-marks")
+    marks = _later_links(pieces).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("h").alias("_marks"))
+    marks = written(marks, "chunk-marks")
+    discard(pieces)
     joined = docs.join(marks, docs["doc_id"].cast("long") == marks["_id"], "left").select(
         F.col("_marks"), docs["text"].alias("_text"), *[docs[c] for c in docs.columns]
     )

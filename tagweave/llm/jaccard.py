@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagweave.llm.common import given_ids, keyed, semi_join, written
+from tagweave.llm.common import discard, given_ids, keyed, semi_join, written
 from tagweave.llm.components import connected_components
 from tagweave.llm.hashing import ORDER_VALUES, chunks, mix, shingles, words
 
@@ -146,7 +146,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     sets = written(
         text.mapInArrow(_heads(width, percent), "doc_id long, n long, d1 long, d2 long, head array<long>"), "jaccard-heads"
     )
-    members = sets.select("doc_id", "n", "d1", "d2")
+    members = written(sets.select("doc_id", "n", "d1", "d2"), "jaccard-members")
     classes = written(members.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
 
     # Order A: documents of whose longer prefix enough tokens occur elsewhere.
@@ -155,6 +155,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     need = F.greatest(F.lit(1), F.floor(F.greatest(F.lit(1), F.floor(F.col("n") * EXTRA)) * percent / 100 - 1e-9))
     able = rows.join(repeated, "token").groupBy("doc_id", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= need)
     able = written(able.select("doc_id").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "jaccard-able")
+    discard(sets)
     full = semi_join(text, able, "doc_id").mapInArrow(_sets(width), "doc_id long, n long, tokens array<long>")
     by_c = F.array_sort(F.transform("tokens", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))
     full = written(
@@ -202,6 +203,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     labelled = _labelled(index, found)
     mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_index = written(labelled.join(mixed.select("token"), "token", "left_semi"), "jaccard-open")
+    discard(index)
     left = open_index.select(
         "token", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("rest_a"), F.col("component").alias("c_a")
     )
@@ -209,6 +211,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     cross = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("component")) & possible)
     more = _verify(cross.select("a", "b").distinct(), full, percent)
     found = connected_components(links.unionByName(more))
+    discard(full, open_index, links, able)
 
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("c")
