@@ -18,17 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, settings: dict[str, str] | None = None) -> DataFrame:
     """Write below the shared checkpoint folder and read back: cuts the lineage,
-    and a lost executor costs no recomputation. The shuffle files of the write go when it ends."""
+    and a lost executor costs no recomputation. The shuffle files of the write go when it ends.
+    ``settings`` of the session hold for the write alone."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    settings = (settings or {}) | {CLEANUP: "true"}
+    before = {name: spark.conf.get(name, None) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

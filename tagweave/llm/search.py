@@ -52,6 +52,10 @@ QUERY_BATCH = 128
 BATCH_POSTINGS = 1_000_000
 #: Queries a task writes at a time.
 OUT_QUERIES = 10_000
+#: Shards are rows of several MB: they are stored in small row groups (sizes are looked at after every
+#: row, not after the usual hundred) and read, and handed to Python, one by one, however many a task has.
+SHARDS_WRITTEN = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
+SHARDS_READ = {"spark.sql.parquet.columnarReaderBatchSize": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 #: Unit roundoff of 32-bit floats.
@@ -161,7 +165,7 @@ def _index(batches):
 
 
 class Shard:
-    """One shard's index, opened for queries."""
+    """One shard's index, opened for queries; ``row``: its arrays' bytes or buffers, by column."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["ids"], np.int64)
@@ -306,7 +310,7 @@ def _search(queries, mean: float, k: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 shard = None  # gone before the next is opened
-                shard = Shard(batch.slice(at, 1).to_pylist()[0], mean)
+                shard = Shard({name: column[at].as_buffer() for name, column in zip(batch.schema.names, batch.columns, strict=True)}, mean)
                 place = shard.find(terms)  # a term is looked up once, however many queries have it
                 for a in range(0, len(q), QUERY_BATCH):
                     part = range(a, min(a + QUERY_BATCH, len(q)))
@@ -352,7 +356,7 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         terms.join(counts.where("h is not null"), "h").select("q", "h", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")),
         "search-queries",
     )
-    index = written(text.mapInArrow(_index, INDEX), "search-index")
+    index = written(text.mapInArrow(_index, INDEX), "search-index", SHARDS_WRITTEN)
     asked = weighted.agg(F.count("*").alias("terms"), F.count_distinct("q").alias("queries")).first()
     parts = max(1, -(-asked["terms"] // BLOCK_TERMS), -(-asked["queries"] // BLOCK_QUERIES))
     found = None
@@ -367,7 +371,7 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         distinct, term = np.unique(h[order], return_inverse=True)
         shared = spark.sparkContext.broadcast((q[order][new], np.append(new, len(q)), distinct, term.astype(np.int32), idf[order]))
         few = index.coalesce(spark.sparkContext.defaultParallelism)  # a task a core: its shards share thresholds and one result
-        best = written(few.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best")
+        best = written(few.mapInArrow(_search(shared, mean, k), "q long, doc_id long, score double"), "search-best", SHARDS_READ)
         found = best if found is None else found.unionByName(best)
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "doc_id"))
     ranked = found.select(_id_or_null("q").alias("query_id"), rank.alias("rank"), _id_or_null("doc_id").alias("doc_id"), "score")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tagweave.llm import search as s
@@ -130,3 +131,33 @@ def test_shards_and_batches_are_bounded_by_postings(monkeypatch):
     assert len(whole) == 1 and sorted(d for x in small for d in x.ids) == sorted(texts)
     assert all(len(x.post) <= 1_000 or len(x.ids) == 1 for x in small)
     assert best(small) == best(whole)
+
+
+def test_a_task_gets_its_shards_one_by_one(spark, monkeypatch):
+    def index(batches):
+        for _ in batches:
+            pass
+        noise = np.random.default_rng(1)
+        for _ in range(6):
+            yield pa.RecordBatch.from_arrays([pa.array([noise.bytes(100_000)])] * 5 + [pa.array([noise.bytes(600_000)])], names=[c.split()[0] for c in s.INDEX.split(", ")])
+
+    def batch_sizes(queries, mean, k):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([1]), pa.array([1.0])], names=["q", "doc_id", "score"])
+
+        return run
+
+    frames, names, original = {}, ["parquet.block.size", *s.SHARDS_READ], s.written
+    monkeypatch.setattr(s, "written", lambda df, label, *more: frames.setdefault(label, original(df, label, *more)))
+    monkeypatch.setattr(s, "_index", index)
+    monkeypatch.setattr(s, "_search", batch_sizes)
+    monkeypatch.setitem(s.SHARDS_WRITTEN, "parquet.block.size", str(1 << 20))
+    before = [spark.conf.get(name, None) for name in names]
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string").coalesce(1)
+    found = s.search(docs.withColumnRenamed("doc_id", "query_id"), docs).collect()
+    assert {r["query_id"] for r in found} == {1}  # rows of every batch a task was given
+    files = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata for f in frames["search-index"].inputFiles()]
+    groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(groups) == 6 and max(groups) <= 2  # not all of a task's shards at a time
+    assert [spark.conf.get(name, None) for name in names] == before
