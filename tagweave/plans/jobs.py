@@ -30,12 +30,19 @@ from tagweave.operators.bitmap import (
 from tagweave.operators.export import cluster_by_uid, partitions_for
 from tagweave.operators.tags import build_tag
 from tagweave.operators.wide import build_wide
+from tagweave.session import bounded_session
 from tagweave.sources.catalog import Catalog
 from tagweave.sources.jdbc import write_jdbc
 from tagweave.sources.store import ProfileStore
 
 log = logging.getLogger("tagweave")
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+#: Shuffled cells take about 13 bytes each and a hundred when they are sorted.
+MERGE_PARTITIONS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20}
+#: At most about this many rows of tags to a shuffle partition, before small ones are put together.
+MERGE_CELLS = 1_000_000
+
 
 def run_tag_job(
     spark: SparkSession, catalog: Catalog, store: ProfileStore, task_id: int, execute_date: str
@@ -81,8 +88,16 @@ def run_merge_job(
     execute_date: str,
     missing_ok: bool = False,
 ) -> str:
-    """Union + pivot the enabled tags of a date; overwrite the dated wide table, each file a sorted range of uid."""
-    wide = merge_frame(catalog, store, execute_date, missing_ok, clustered=True)
+    """Union + pivot the enabled tags of a date; overwrite the dated wide table, each file a sorted range of uid.
+
+    It runs in a session of its own, whose shuffle partitions are many enough and small enough that
+    what a task sorts does not grow with the tags and uids.
+    """
+    own = bounded_session(spark, MERGE_PARTITIONS)
+    codes = [t["tag_code"] for t in catalog.enabled_tag_rows()]
+    least = store.count_tag_rows(codes, execute_date) // MERGE_CELLS + 1
+    own.conf.set(SHUFFLE_PARTITIONS, str(max(least, int(own.conf.get(SHUFFLE_PARTITIONS)))))
+    wide = merge_frame(catalog, store.in_session(own), execute_date, missing_ok, clustered=True)
     return store.write_wide(wide, execute_date, sorted_by="uid")
 
 

@@ -55,6 +55,21 @@ def get_session(
     return spark
 
 
+def bounded_session(spark: SparkSession, bytes_of: dict[str, int]) -> SparkSession:
+    """A session of its own with the settings of ``spark``, but the sizes named by ``bytes_of`` at most these bytes.
+
+    Files are split by the session that reads them, shuffles by the session of the frame that runs.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.get(name, None) != value:
+            own.conf.set(name, value)
+    parse = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in bytes_of.items():
+        own.conf.set(name, str(min(most, parse(spark.conf.get(name)))))
+    return own
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not value:

@@ -14,6 +14,7 @@ permanent tables do not go below the checkpoint folder, which is cleaned.
 
 from __future__ import annotations
 
+import copy
 import json
 import os
 from collections.abc import Sequence
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.codes import check_date, value_type, wide_table_name
-from tagweave.session import shared_root
+from tagweave.session import bounded_session, shared_root
 from tagweave.sources import manifest
 from tagweave.sources.catalog import local_frame
 from tagweave.sources.manifest import ConcurrentWriteError, Manifest
@@ -40,6 +41,8 @@ class MissingTableError(FileNotFoundError):
 _PLACES = T.StructType([T.StructField("_folder", T.StringType()), T.StructField("tag", T.IntegerType())])
 #: Manifests are read by this many driver threads.
 READERS = 16
+#: A tag's rows are a few bytes each in a file and a hundred in memory: many tags are read in small splits.
+TAG_SPLITS = {"spark.sql.files.maxPartitionBytes": 8 << 20, "spark.sql.files.openCostInBytes": 1 << 20}
 #: More bytes than any file has.
 NEVER_PACKED = 1 << 50
 
@@ -192,9 +195,8 @@ class ProfileStore:
         """Dates whose slice is published."""
         return list(self.slices(path))
 
-    def _scan(self, base: str, folders: Sequence[str], stored: T.StructType, partitioned: bool) -> DataFrame:
-        reader = self.spark.read.schema(with_dt(stored) if partitioned else stored)
-        return (reader.option("basePath", base) if partitioned else reader).parquet(*folders)
+    def _scan(self, base: str, folders: Sequence[str], stored: T.StructType) -> DataFrame:
+        return self.spark.read.schema(with_dt(stored)).option("basePath", base).parquet(*folders)
 
     def read_slices(
         self, path: str, schema: T.StructType, execute_date: str | None = None, require_slice: bool = True
@@ -218,7 +220,7 @@ class ProfileStore:
         if not by_type:
             return self.spark.createDataFrame([], full)
         parts = [
-            _as_stored(self._scan(path, folders, T.StructType.fromJson(json.loads(stored)), True), full)
+            _as_stored(self._scan(path, folders, T.StructType.fromJson(json.loads(stored))), full)
             for stored, folders in by_type.items()
         ]
         return reduce(DataFrame.unionByName, parts)
@@ -242,19 +244,17 @@ class ProfileStore:
         grow with the tags. The text of a value comes from the type it was stored
         with. The tag is found by the folder its rows were read from.
         """
-        check_date(execute_date)
-        paths = {i: f"{self.tag_path(code)}/dt={execute_date}" for i, code in enumerate(tag_codes)}
-        found = dict(self._manifests(paths))
+        paths, found = self._tags(tag_codes, execute_date)
         absent = [tag_codes[i] for i in paths if i not in found]
         if absent and not missing_ok:
             raise MissingTableError(f"never computed for {execute_date}: {', '.join(absent)}")
         by_type: dict[str, list[int]] = {}
         for i, m in found.items():
             by_type.setdefault(m.schema, []).append(i)
-        parts = []
+        parts, split = [], bounded_session(self.spark, TAG_SPLITS)
         for stored, tags in by_type.items():
             columns = T.StructType.fromJson(json.loads(stored))
-            rows = self._scan("", [f"{paths[i]}/{found[i].folder}" for i in tags], columns, False)
+            rows = split.read.schema(columns).parquet(*[f"{paths[i]}/{found[i].folder}" for i in tags])
             version = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
             text = [F.col(c).cast("string").alias(c) for c in ("uid", "query_value")]
             parts.append(rows.select(*text, version.alias("_folder")))
@@ -263,7 +263,23 @@ class ProfileStore:
         # A row a tag; versions are unique over all tags and need no escaping in a file's address.
         places = local_frame(self.spark, [(m.folder, i) for i, m in found.items()], _PLACES)
         rows = reduce(DataFrame.unionByName, parts)
-        return rows.join(F.broadcast(places), "_folder").select("uid", "query_value", "tag")
+        return F.broadcast(places).join(rows, "_folder").select("uid", "query_value", "tag")  # a frame of the store's session
+
+    def _tags(self, tag_codes: Sequence[str], execute_date: str) -> tuple[dict[int, str], dict[int, Manifest]]:
+        """By position in ``tag_codes``: the folders of the date's slices, and the manifests of those published."""
+        check_date(execute_date)
+        paths = {i: f"{self.tag_path(code)}/dt={execute_date}" for i, code in enumerate(tag_codes)}
+        return paths, dict(self._manifests(paths))
+
+    def count_tag_rows(self, tag_codes: Sequence[str], execute_date: str) -> int:
+        """Rows of the tags' slices of a date, from their manifests."""
+        return sum(m.rows for m in self._tags(tag_codes, execute_date)[1].values())
+
+    def in_session(self, spark: SparkSession) -> ProfileStore:
+        """The same store, its frames belonging to ``spark``."""
+        other = copy.copy(self)
+        other.spark = spark
+        return other
 
     # -- wide table -------------------------------------------------------------
     def write_wide(self, df: DataFrame, execute_date: str, sorted_by: str = "") -> str:

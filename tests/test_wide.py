@@ -174,3 +174,60 @@ def test_pivot_of_six_hundred_tags(spark):
         key = (str(i % 50), f"t{i * 7 % n}")
         want[key] = max(want.get(key, ""), str(i))
     assert got == want
+
+
+def test_bounded_session_copies_settings_and_never_raises_a_size(spark):
+    from tagweave.session import bounded_session
+
+    size, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(size), spark.conf.get(cost)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        spark.conf.set(size, "3k")
+        own = bounded_session(spark, {size: 8 << 20, cost: 1 << 20})
+        assert own.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        assert own.conf.get(size) in ("3072", "3072b") and own.conf.get(cost) in (str(1 << 20), f"{1 << 20}b")
+        assert spark.conf.get(size) == "3k" and spark.conf.get(cost) == before[1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set(size, before[0])
+
+
+def test_tags_are_read_in_small_splits(spark, store, monkeypatch):
+    from tagweave.sources import store as module
+
+    tags = []
+    for i in range(12):
+        store.write_tag(_tag(spark, [(str(u), f"v{u}") for u in range(50)]).repartition(4), f"TAG_{i}", "2024-01-15")
+        tags.append({"tag_code": f"TAG_{i}", "tag_value_type": "3"})
+    for name in module.TAG_SPLITS:
+        monkeypatch.setitem(module.TAG_SPLITS, name, 1 << 12)
+    rows = store.read_tags([t["tag_code"] for t in tags], "2024-01-15")
+    assert rows._jdf.rdd().getNumPartitions() >= 48 and rows.sparkSession is spark  # a file or less each
+    rows.createOrReplaceTempView("tags_of_a_day")
+    assert spark.sql("select count(*) n from tags_of_a_day").first().n == 600
+    wide = build_wide(store, tags, "2024-01-15")
+    assert {tuple(r) for r in wide.collect()} == {(str(u), *[f"v{u}"] * 12) for u in range(50)}
+
+
+def test_partitions_of_the_merge_grow_with_the_rows(spark, store, monkeypatch):
+    from tagweave.plans import jobs
+
+    from .conftest import mini_catalog
+
+    catalog = mini_catalog(spark, [(1, "TAG_A", "3", "select cast(id as string) uid, 'v' query_value from range(200)"),
+                                   (2, "TAG_B", "1", "select cast(id as string) uid, id query_value from range(0, 200, 2)")])
+    jobs.run_tag_jobs(spark, catalog, store, "2024-01-15")
+    assert store.count_tag_rows(["TAG_A", "TAG_B"], "2024-01-15") == 300
+    monkeypatch.setattr(jobs, "MERGE_CELLS", 10)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # a file a partition
+    try:
+        jobs.run_merge_job(spark, catalog, store, "2024-01-15")
+    finally:
+        spark.conf.set(coalesce, "true")
+    wide = store.read_wide("2024-01-15")
+    assert {tuple(r) for r in wide.collect()} == {(str(u), "v", None if u % 2 else str(u)) for u in range(200)}
+    assert len(wide.inputFiles()) > 20 and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    ends = wide.groupBy(F.col("_metadata.file_path")).agg(F.min("uid").alias("a"), F.max("uid").alias("b")).orderBy("a").collect()
+    assert all(x.b < y.a for x, y in zip(ends, ends[1:]))
