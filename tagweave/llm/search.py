@@ -45,13 +45,15 @@ BLOCK_DOCS = 32
 KINDS, KIND_ROUNDS, KIND_POSTINGS = 8, 5, 1_000_000
 #: Neighbouring blocks opened at a time.
 SLAB = 16
-FREQUENT = 24
+FREQUENT = 16
 #: Query terms held by one broadcast.
 BLOCK_TERMS = 3_000_000
 #: Queries held by one broadcast (a task keeps k scores and ids of each).
 BLOCK_QUERIES = 100_000
 #: Queries evaluated together in a shard.
-QUERY_BATCH = 1024
+QUERY_BATCH = 2048
+#: Scores (of a query and a document) held by a batch of queries.
+BATCH_CELLS = 1 << 22
 #: Postings of rare terms, and documents scored by them, held at a time (one query may have more).
 BATCH_POSTINGS = 65_536
 #: Queries a task writes at a time.
@@ -88,25 +90,18 @@ def _counts(chunk):
 
 
 def _statistics(batches):
-    """(h, df) per batch, and one row without h that counts documents (df) and words."""
+    """(h, df) of every shard, and one row without h that counts its documents (df) and words."""
     for batch in batches:
-        hashes, docs, total = [], 0, 0
-        for chunk in chunks(batch.column(0)):
-            _, h, _, size = _counts(chunk)
-            hashes.append(h)
-            docs += len(size)
-            total += int(size.sum())
-        if not docs:
-            continue
-        h, df = np.unique(np.concatenate(hashes), return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.array(h.view(np.int64)), pa.array([None], pa.int64())]),
-                pa.concat_arrays([pa.array(df, pa.int64()), pa.array([docs], pa.int64())]),
-                pa.concat_arrays([pa.array(np.zeros(len(h), np.int64)), pa.array([total], pa.int64())]),
-            ],
-            names=["h", "df", "words"],
-        )
+        for length, terms, df in zip(*batch.columns, strict=True):
+            length, h, df = np.frombuffer(length.as_buffer(), np.int32), np.frombuffer(terms.as_buffer(), np.int64), np.frombuffer(df.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([pa.array(h), pa.array([None], pa.int64())]),
+                    pa.array(np.append(df, len(length))),
+                    pa.array(np.append(np.zeros(len(h), np.int64), length.sum(dtype=np.int64))),
+                ],
+                names=["h", "df", "words"],
+            )
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -157,7 +152,7 @@ class Kinds:
         return (self._has(text, h, n) @ self.centre.T).argmax(axis=1)
 
 
-INDEX = "ids binary, length binary, terms binary, ptr binary, post binary, tf binary"
+INDEX = "ids binary, length binary, terms binary, df binary, post binary, tf binary"
 
 
 class Filling:
@@ -206,7 +201,7 @@ class Filling:
         order = np.argsort(doc, kind="stable")
         order = order[_by_16_bits(term[order], len(first))]
         arrays = (
-            ids[in_order], size[in_order].astype(np.int32), terms, np.append(first, len(h)).astype(np.int64),
+            ids[in_order], size[in_order].astype(np.int32), terms, np.diff(np.append(first, len(h))),
             doc[order], tf[order],
         )
         return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], names=[c.split()[0] for c in INDEX.split(", ")])
@@ -273,14 +268,14 @@ class Shard:
 
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["ids"], np.int64)
-        self.terms, self.ptr = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["ptr"], np.int64)
+        self.terms, self.df = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["df"], np.int64)
+        self.ptr = np.append(0, np.cumsum(self.df))
         self.post = post = np.frombuffer(row["post"], np.uint16)
         tf = np.frombuffer(row["tf"], f"u{max(1, 2 * len(row['tf']) // max(1, len(row['post'])))}")  # as wide as its largest count needs
         self.norm = K1 * (1 - B + B * np.frombuffer(row["length"], np.int32) / max(mean, 1e-9))
         impact = (tf * (K1 + 1) / (tf + self.norm[post])).astype(np.float32)
         self.postings = (post.astype(np.int64) << 32) + impact.view(np.uint32)  # both in one word: looked up at once
-        n, self.df = len(self.ids), np.diff(self.ptr)
-        self.term_max = np.maximum.reduceat(impact, self.ptr[:-1]) if len(self.terms) else np.zeros(0)
+        n = len(self.ids)
         self.blocks = -(-n // BLOCK_DOCS)
         frequent = np.flatnonzero(self.df * FREQUENT > n)
         self.dense_row = np.full(len(self.terms), -1)
@@ -297,7 +292,7 @@ class Shard:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Place of every one of distinct, ascending terms (hashes) in the shard's terms, -1 if it has none."""
-        place = np.full(len(h), -1)
+        place = np.full(len(h), -1, np.int32)
         if len(h):
             at = np.minimum(np.searchsorted(h, self.terms), len(h) - 1)
             known = np.flatnonzero(h[at] == self.terms)
@@ -326,21 +321,18 @@ class Shard:
         """
         n = len(ptr) - 1
         floors = np.zeros(n) if floors is None else floors
-        most = np.where(place >= 0, idf * self.term_max[place], 0) if len(self.terms) else np.zeros(len(place))
         scratch = np.zeros(len(self.terms), bool), np.zeros(len(self.terms))  # the terms of the query at hand, and their weights
         self.opened, out = 0.0, [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for a in range(0, n, QUERY_BATCH):
-            b = min(a + QUERY_BATCH, n)
+        step = max(1, min(QUERY_BATCH, BATCH_CELLS // max(1, self.blocks * BLOCK_DOCS)))
+        for a in range(0, n, step):
+            b = min(a + step, n)
             some = term[ptr[a] : ptr[b]]
-            at, ends = place[some], ptr[a : b + 1] - ptr[a]
-            # A query that cannot reach its threshold with the best of all its terms is not evaluated.
-            bound = np.diff(np.append(0, np.cumsum(most[some]))[ends])
-            asked = (bound > 0) & (bound * (1 + 1e-6) >= floors[a:b] * (1 - 4 * _ROUND * (8 + np.diff(ends))))
-            here = np.flatnonzero(np.repeat(asked, np.diff(ends)) & (at >= 0))
-            asked, ends = np.flatnonzero(asked), np.searchsorted(here, ends)
+            at = place[some]
+            here = np.flatnonzero(at >= 0)
             if len(here):
-                q, ids, score = self._batch(at[here], idf[some[here]], np.append(0, ends[asked + 1]), k, floors[a:b][asked], scratch)
-                out.append((a + asked[q], ids, score))
+                ends = np.searchsorted(here, ptr[a : b + 1] - ptr[a])
+                q, ids, score = self._batch(at[here], idf[some[here]], ends, k, floors[a:b], scratch)
+                out.append((a + q, ids, score))
         self.opened /= max(1, n)  # share of a query's blocks that were opened for it
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
@@ -488,9 +480,12 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
     spark = docs.sparkSession
     cores = spark.sparkContext.defaultParallelism
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    few = text.withColumn("part", F.spark_partition_id()).coalesce(cores)  # a task a core: its shards are full; a column more, or it would undo a coalesce of docs
+    index = written(few.mapInArrow(_index, INDEX), "search-index", SHARDS_WRITTEN)
     counts = written(
-        text.select("text").mapInArrow(_statistics, "h long, df long, words long").groupBy("h").agg(F.sum("df").alias("df"), F.sum("words").alias("words")),
+        index.select("length", "terms", "df").mapInArrow(_statistics, "h long, df long, words long").groupBy("h").agg(F.sum("df").alias("df"), F.sum("words").alias("words")),
         "search-statistics",
+        SHARDS_READ,
     )
     corpus = counts.where("h is null").first()
     n, mean = (corpus["df"], corpus["words"] / corpus["df"]) if corpus else (0, 0.0)
@@ -499,8 +494,6 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
         terms.join(counts.where("h is not null"), "h").select("q", "h", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")),
         "search-queries",
     )
-    few = text.withColumn("part", F.spark_partition_id()).coalesce(cores)  # a task a core: its shards are full; a column more, or it would undo a coalesce of docs
-    index = written(few.mapInArrow(_index, INDEX), "search-index", SHARDS_WRITTEN)
     asked = weighted.agg(F.count("*").alias("terms"), F.count_distinct("q").alias("queries")).first()
     parts = max(1, -(-asked["terms"] // BLOCK_TERMS), -(-asked["queries"] // BLOCK_QUERIES))
     found = None

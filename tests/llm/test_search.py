@@ -161,3 +161,45 @@ def test_a_task_gets_its_shards_one_by_one(spark, monkeypatch):
     groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
     assert sum(groups) == 6 and max(groups) <= 2  # not all of a task's shards at a time
     assert [spark.conf.get(name, None) for name in names] == before
+
+
+def test_full_shards_hold_one_kind_of_documents(monkeypatch):
+    monkeypatch.setattr(s, "SHARD_DOCS", 64)
+    monkeypatch.setattr(s, "KIND_POSTINGS", 500)
+    monkeypatch.setattr(s, "BLOCK_DOCS", 8)
+    rng = random.Random(8)
+    texts = {i: " ".join(f"{'ab'[i % 2]}{min(99, int(rng.paretovariate(0.6)))}" for _ in range(rng.randint(10, 60))) for i in range(1_500)}
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()))], names=["doc_id", "text"])
+    shards = [s.Shard(r, 35.0) for b in s._index([batch]) for r in b.to_pylist()]
+    assert sorted(d for x in shards for d in x.ids) == sorted(texts) and len(shards) == 24
+    assert sum(len(set(x.ids % 2)) == 1 for x in shards) >= 24 - s.KINDS  # were all mixed
+    mixed = [np.concatenate([x.ids[a : a + 8] % 2 for a in range(0, len(x.ids), 8) if len(set(x.ids[a : a + 8] % 2)) == 2] or [x.ids[:0]]) for x in shards]
+    assert sum(map(len, mixed)) < 0.1 * len(texts)  # blocks too
+
+
+def test_the_index_gives_the_statistics():
+    texts = ["a b b", None, "", "B c", "a " * 300]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    shards = list(s._index([batch]))
+    rows = [r for b in s._statistics([b.select(["length", "terms", "df"]) for b in shards]) for r in b.to_pylist()]
+    found = {r["h"]: r["df"] for r in rows if r["h"] is not None}
+    assert {w: found[int(np.uint64(hash_of(w)).view(np.int64))] for w in "abc"} == {"a": 2, "b": 2, "c": 1} and len(found) == 3
+    assert [(r["df"], r["words"]) for r in rows if r["h"] is None] == [(5, 305)]
+    empty = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([None, ""], pa.string())], names=["doc_id", "text"])
+    shard = s.Shard(next(iter(s._index([empty]))).to_pylist()[0], 0.0)
+    assert shard.top([(np.array([5], np.uint64), np.ones(1))], 3)[0][0].tolist() == []
+
+
+def test_a_few_partitions_of_documents_stay_few(spark, monkeypatch):
+    tasks, original = {}, s.written
+
+    def written(df, label, *more):
+        tasks[label] = df.rdd.getNumPartitions()
+        return original(df, label, *more)
+
+    monkeypatch.setattr(s, "written", written)
+    docs = spark.createDataFrame([(i, "a b") for i in range(40)], "doc_id long, text string")
+    for parts, want in ((1, 1), (40, spark.sparkContext.defaultParallelism)):
+        tasks.clear()
+        s.search(docs.limit(0).withColumnRenamed("doc_id", "query_id"), docs.repartition(40).coalesce(parts))
+        assert tasks["search-index"] == want
