@@ -2,8 +2,9 @@
 
 Shards are built where the documents are read: each task turns its rows into
 inverted indexes of at most ``SHARD_DOCS`` documents and ``SHARD_POSTINGS``
-postings (one document's may be more), ordered by length and split into blocks
-of ``BLOCK_DOCS``. A query carries the global statistics (idf, mean length), so
+postings (one document's may be more). A task deals its documents out by kind (``Kinds``: like
+ones share frequent terms), so that full shards hold one kind; their documents are ordered by kind
+and length and split into blocks of ``BLOCK_DOCS``. The collection's counts come from the shards. A query carries the global statistics (idf, mean length), so
 scores are equal in every shard and the best k of the shards' best k are the
 exact result. A task searches several shards and returns one best k a query.
 
@@ -11,12 +12,12 @@ Within a shard a query's rare terms are read in full; they are few postings.
 Its frequent terms (in more than 1 / ``FREQUENT`` of the shard's documents) hold
 a maximum per block. Rare scores plus block maxima bound every block. The best-bounded
 blocks give a query its first threshold, the k-th best score there (if no earlier
-shard of the task gave one); blocks are then opened a slab at a time, those that exceed a threshold by most first, for the queries
+shard of the task gave one); blocks are then opened a slab of neighbours at a time, those that exceed a threshold by most first, for the queries
 whose bound there still reaches their threshold, which rises with every slab and
 goes on to the task's next shard.
 Queries of like size are evaluated together, one matrix product a slab; as many
-at a time as their rare postings fit ``BATCH_POSTINGS``, so a batch of long queries
-needs no more memory than one of short ones.
+at a time as ``BATCH_CELLS`` allows, their rare postings ``BATCH_POSTINGS`` at a time,
+so a batch of long queries needs no more memory than one of short ones.
 
 Pruning uses 32-bit floats, with a margin for their rounding that grows with the
 query's terms; the scores of the last candidates are summed again in 64 bits, in
@@ -47,7 +48,7 @@ KINDS, KIND_ROUNDS, KIND_POSTINGS = 8, 5, 1_000_000
 SLAB = 16
 FREQUENT = 16
 #: Query terms held by one broadcast.
-BLOCK_TERMS = 3_000_000
+BLOCK_TERMS = 2_000_000
 #: Queries held by one broadcast (a task keeps k scores and ids of each).
 BLOCK_QUERIES = 100_000
 #: Queries evaluated together in a shard.
