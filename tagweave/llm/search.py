@@ -63,6 +63,8 @@ OUT_QUERIES = 10_000
 #: row, not after the usual hundred) and read, and handed to Python, one by one, however many a task has.
 SHARDS_WRITTEN = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
 SHARDS_READ = {"spark.sql.parquet.columnarReaderBatchSize": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+#: Texts are handed over a few MB at a time, not tens.
+TEXTS_READ = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 #: Unit roundoff of 32-bit floats.
@@ -482,7 +484,7 @@ def search(queries: DataFrame, docs: DataFrame, k: int = K) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     few = text.withColumn("part", F.spark_partition_id()).coalesce(cores)  # a task a core: its shards are full; a column more, or it would undo a coalesce of docs
-    index = written(few.mapInArrow(_index, INDEX), "search-index", SHARDS_WRITTEN)
+    index = written(few.mapInArrow(_index, INDEX), "search-index", SHARDS_WRITTEN | TEXTS_READ)
     counts = written(
         index.select("length", "terms", "df").mapInArrow(_statistics, "h long, df long, words long").groupBy("h").agg(F.sum("df").alias("df"), F.sum("words").alias("words")),
         "search-statistics",
